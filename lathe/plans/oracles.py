@@ -119,7 +119,7 @@ ORACLES: dict[str, str] = {}
 ORACLES["features_base"] = with_base(
     "SELECT o_orderkey, "
     + ", ".join(
-        [r6(c) + f" AS {c}" if c in ("avg_disc", "avg_tax", "sum_qty", "returned_qty", "c_acctbal") else c for c in NUMERIC]
+        [r6(f"CAST({c} AS DOUBLE)") + f" AS {c}" for c in NUMERIC]
     )
     + f", {r6(LABEL)} AS {LABEL}, o_orderpriority FROM feat"
 )

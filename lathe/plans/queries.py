@@ -57,7 +57,9 @@ def _stats_frame(spark: SparkSession, rows: list[tuple], value_names: list[str])
 
 
 def q_features_base(spark, sf):
-    return fin(OrderCase(spark, sf).features)
+    # the count columns are NULL for orders without lines: compare them as doubles
+    feat = OrderCase(spark, sf).features
+    return fin(feat.withColumns({c: F.col(c).cast("double") for c in ("n_supp", "n_lines")}))
 
 
 def q_profile_columns(spark, sf):
