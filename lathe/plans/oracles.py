@@ -254,3 +254,151 @@ ORACLES["prep_full_counts"] = with_base(
     + ", ".join(f"{r6(f'sum({q(i)})')} AS {q('n_' + i)}" for i in INDICATORS)
     + " FROM pa GROUP BY is_test"
 )
+
+
+# --- metrics, cross-validation and tracking (group-mean stand-in) -----------------
+
+MEAN_GROUPS = [[], ["o_orderpriority"], ["n_lines"], ["o_orderpriority", "n_lines"]]
+FOLD_SQL = "CAST(CAST(('0x' || substr(md5(concat_ws('#', CAST(o_orderkey AS VARCHAR), '42')), 9, 8)) AS BIGINT) % 5 AS INTEGER)"
+
+
+def r4(expr: str) -> str:
+    return f"(round({expr}, 4) + 0.0)"
+
+
+def _cv_ctes(candidates: list[int]) -> str:
+    parts = [
+        f", cvd AS (SELECT o_orderkey, o_orderpriority, n_lines, o_totalprice / 1000.0 AS y, {FOLD_SQL} AS fold FROM train)",
+        ", models AS (SELECT DISTINCT fold AS m FROM cvd)",
+        ", fold_mean AS (SELECT md.m, avg(c.y) AS mu FROM models md JOIN cvd c ON c.fold <> md.m GROUP BY md.m)",
+    ]
+    unions = []
+    for i in candidates:
+        g = MEAN_GROUPS[i]
+        if g:
+            gcols = ", ".join(f"c.{x}" for x in g)
+            parts.append(f", gm_{i} AS (SELECT md.m, {gcols}, avg(c.y) AS mu FROM models md JOIN cvd c ON c.fold <> md.m GROUP BY md.m, {gcols})")
+            on = " AND ".join(f"g.{x} IS NOT DISTINCT FROM c.{x}" for x in g)
+            pred = "coalesce(g.mu, gl.mu)"
+            join = f"LEFT JOIN gm_{i} g ON g.m = md.m AND {on}"
+        else:
+            pred, join = "gl.mu", ""
+        parts.append(
+            f", se_{i} AS (SELECT CAST({i} AS BIGINT) AS candidate_id, md.m AS fold, "
+            f"CASE WHEN c.fold = md.m THEN 'test' ELSE 'train' END AS split, (c.y - {pred}) * (c.y - {pred}) AS se "
+            f"FROM models md CROSS JOIN cvd c JOIN fold_mean gl ON gl.m = md.m {join})"
+        )
+        unions.append(f"SELECT * FROM se_{i}")
+    parts.append(
+        ", scores AS (SELECT candidate_id, fold, split, -avg(se) AS score FROM ("
+        + " UNION ALL ".join(unions)
+        + ") GROUP BY candidate_id, fold, split)"
+    )
+    parts.append(
+        ", res AS (SELECT candidate_id, "
+        "avg(score) FILTER (WHERE split = 'test') AS mean_test_score, "
+        "stddev_pop(score) FILTER (WHERE split = 'test') AS std_test_score, "
+        "avg(score) FILTER (WHERE split = 'train') AS mean_train_score, "
+        "stddev_pop(score) FILTER (WHERE split = 'train') AS std_train_score FROM scores GROUP BY candidate_id)"
+    )
+    parts.append(", ranked AS (SELECT *, CAST(rank() OVER (ORDER BY mean_test_score DESC) AS BIGINT) AS rank_test_score FROM res)")
+    return "\n".join(parts) + "\n"
+
+
+_CV_ALL = _cv_ctes([0, 1, 2, 3])
+_RANKED_COLS = (
+    "candidate_id, "
+    + ", ".join(f"{r4(c)} AS {c}" for c in ["mean_test_score", "std_test_score", "mean_train_score", "std_train_score"])
+    + ", rank_test_score"
+)
+
+ORACLES["cv_fold_scores"] = with_base(_CV_ALL + f"SELECT candidate_id, fold, split, {r4('score')} AS score FROM scores")
+ORACLES["cv_results_ranked"] = with_base(_CV_ALL + f"SELECT {_RANKED_COLS} FROM ranked")
+ORACLES["cv_best"] = with_base(
+    _CV_ALL
+    + f"SELECT candidate_id, {r4('mean_test_score')} AS mean_test_score, rank_test_score FROM ranked "
+    "ORDER BY rank_test_score, candidate_id LIMIT 1"
+)
+# random search: the two candidates with the smallest md5(id#42); ids fixed by the grid order
+_SAMPLED = sorted(range(4), key=lambda i: __import__("hashlib").md5(f"{i}#42".encode()).hexdigest())[:2]
+ORACLES["random_candidates"] = with_base(_cv_ctes(sorted(_SAMPLED)) + f"SELECT {_RANKED_COLS} FROM ranked")
+
+
+def _mean_model_test(group: list[str], name: str = "scored") -> str:
+    if group:
+        gcols = ", ".join(group)
+        on = " AND ".join(f"gm.{x} IS NOT DISTINCT FROM t.{x}" for x in group)
+        return (
+            f", {name}_gm AS (SELECT {gcols}, avg(o_totalprice / 1000.0) AS mu FROM train GROUP BY {gcols})"
+            f", {name}_gl AS (SELECT avg(o_totalprice / 1000.0) AS mu FROM train)"
+            f", {name} AS (SELECT t.*, t.o_totalprice / 1000.0 AS y, coalesce(gm.mu, gl.mu) AS p FROM test t "
+            f"LEFT JOIN {name}_gm gm ON {on} CROSS JOIN {name}_gl gl)\n"
+        )
+    return (
+        f", {name}_gl AS (SELECT avg(o_totalprice / 1000.0) AS mu FROM train)"
+        f", {name} AS (SELECT t.*, t.o_totalprice / 1000.0 AS y, gl.mu AS p FROM test t CROSS JOIN {name}_gl gl)\n"
+    )
+
+
+_METRIC_SELECT = (
+    "count(*) AS n_rows, "
+    + r6("avg(abs(y - p))") + " AS mae, "
+    + r6("avg((y - p) * (y - p))") + " AS mse, "
+    + r6("sqrt(avg((y - p) * (y - p)))") + " AS rmse, "
+    + r6(
+        "CASE WHEN var_pop(y) * count(*) = 0 THEN CASE WHEN sum((y - p) * (y - p)) = 0 THEN 1.0 ELSE 0.0 END "
+        "ELSE 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) END"
+    )
+    + " AS r2"
+)
+ORACLES["regression_metrics"] = with_base(_mean_model_test(["o_orderpriority"]) + f"SELECT {_METRIC_SELECT} FROM scored")
+ORACLES["regression_metrics_by_group"] = with_base(
+    _mean_model_test(["o_orderpriority"]) + f"SELECT o_orderpriority, {_METRIC_SELECT} FROM scored GROUP BY o_orderpriority"
+)
+
+ORACLES["linreg_one_feature"] = with_base(
+    ", lr AS (SELECT (i.sum_qty - s.mu_sum_qty) / s.sd_sum_qty AS x, i.o_totalprice / 1000.0 AS y FROM imp_train i CROSS JOIN sc s)\n"
+    f"SELECT {r6('regr_slope(y, x)')} AS slope, {r6('regr_intercept(y, x)')} AS intercept, {r6('regr_r2(y, x)')} AS r2 FROM lr"
+)
+
+_RUN_ID = "md5(concat_ws('/', 'cv-stand-in', 'Group_Mean_' || CAST(candidate_id AS VARCHAR)))"
+ORACLES["run_metrics"] = with_base(
+    _CV_ALL
+    + f"SELECT {_RUN_ID} AS run_id, 'Group_Mean_' || CAST(candidate_id AS VARCHAR) AS run_name, 'mean_test_score' AS key, {r4('mean_test_score')} AS value FROM ranked "
+    f"UNION ALL SELECT {_RUN_ID} AS run_id, 'Group_Mean_' || CAST(candidate_id AS VARCHAR) AS run_name, 'std_test_score' AS key, {r4('std_test_score')} AS value FROM ranked"
+)
+_GROUP_JSON = ["[]", '["o_orderpriority"]', '["n_lines"]', '["o_orderpriority","n_lines"]']
+_best = "(SELECT candidate_id FROM ranked ORDER BY rank_test_score, candidate_id LIMIT 1)"
+ORACLES["run_params"] = with_base(
+    _CV_ALL
+    + f", best AS (SELECT {_best} AS candidate_id)\n"
+    "SELECT 'Group_Mean_' || CAST(candidate_id AS VARCHAR) AS run_name, 'param' AS kind, 'folds' AS key, '5' AS value FROM best "
+    "UNION ALL SELECT 'Group_Mean_' || CAST(candidate_id AS VARCHAR), 'param', 'group_by', CASE candidate_id "
+    + " ".join(f"WHEN {i} THEN '{j}'" for i, j in enumerate(_GROUP_JSON))
+    + " END FROM best "
+    "UNION ALL SELECT 'Group_Mean_' || CAST(candidate_id AS VARCHAR), 'tag', 'label', 'price_k' FROM best "
+    "UNION ALL SELECT 'Group_Mean_' || CAST(candidate_id AS VARCHAR), 'tag', 'best_run', 'true' FROM best"
+)
+
+_eval_parts = []
+_eval_ctes = ""
+for _i, _g in enumerate(MEAN_GROUPS):
+    _eval_ctes += _mean_model_test(_g, f"sc{_i}")
+    _eval_parts.append(f"SELECT CAST({_i} AS BIGINT) AS candidate_id, {_METRIC_SELECT} FROM sc{_i}")
+ORACLES["run_tree"] = with_base(
+    _CV_ALL
+    + _eval_ctes
+    + ", evals AS (" + " UNION ALL ".join(_eval_parts) + ")\n"
+    + f", best AS (SELECT * FROM ranked ORDER BY rank_test_score, candidate_id LIMIT 1)\n"
+    ", ev AS (SELECT e.* FROM evals e JOIN best b ON e.candidate_id = b.candidate_id)\n"
+    "SELECT 'Parent run' AS run_name, CAST(NULL AS VARCHAR) AS parent_run_name, CAST(NULL AS VARCHAR) AS key, CAST(NULL AS DOUBLE) AS value "
+    "UNION ALL SELECT 'data_ingestion_and_preprocessing', 'Parent run', NULL, NULL "
+    f"UNION ALL SELECT 'Group_Mean_best_model', 'Parent run', 'neg_mean_squared_error', {r4('mean_test_score')} FROM best "
+    f"UNION ALL SELECT 'evaluation', 'Parent run', 'mean_absolute_error', {r4('mae')} FROM ev "
+    f"UNION ALL SELECT 'evaluation', 'Parent run', 'root_mean_squared_error', {r4('rmse')} FROM ev "
+    f"UNION ALL SELECT 'evaluation', 'Parent run', 'r_squared', {r4('r2')} FROM ev"
+)
+ORACLES["input_example"] = with_base(
+    _prep_train_cte
+    + "SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS _rn FROM prep_tr) WHERE _rn IN (1, 51, 101)"
+)

@@ -229,3 +229,12 @@ QUERIES: dict[str, Query] = {
     "label_reattach": q_label_reattach,
     "prep_full_counts": q_prep_full_counts,
 }
+
+
+def _register_models() -> None:
+    from lathe.plans.queries_models import MODEL_QUERIES
+
+    QUERIES.update(MODEL_QUERIES)
+
+
+_register_models()
