@@ -30,12 +30,15 @@ class Moments:
     var_pop: dict[str, float | None]
 
 
-def moments(df: DataFrame, cols: list[str]) -> Moments:
+def moment_aggs(cols: list[str]) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         v = to_double_nullable(c)
         aggs += [F.count(v).alias(f"c{i}"), F.avg(v).alias(f"m{i}"), F.var_pop(v).alias(f"v{i}")]
-    row = df.agg(*aggs).collect()[0]
+    return aggs
+
+
+def moments_from_row(row, cols: list[str]) -> Moments:
     return Moments(
         rows=row["_rows"],
         count={c: row[f"c{i}"] for i, c in enumerate(cols)},
@@ -44,6 +47,10 @@ def moments(df: DataFrame, cols: list[str]) -> Moments:
     )
 
 
+def moments(df: DataFrame, cols: list[str]) -> Moments:
+    return moments_from_row(df.agg(*moment_aggs(cols)).collect()[0], cols)
+
+
 def most_frequent(df: DataFrame, cols: list[str]) -> dict[str, float | None]:
     """Mode per column; ties go to the smallest value.
 
@@ -95,10 +102,14 @@ def fit_imputer(
     cols = list(cols)
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown imputation strategy {strategy!r}; expected one of {STRATEGIES}")
-    mom = moments(df, cols) if (with_moments or strategy == "mean") else None
     if strategy == "median":
-        vals = exact_medians(df.select(*[to_double_nullable(c).alias(c) for c in cols]), cols, **median_kw)
-    elif strategy == "mean":
+        # one pass: median sketch + moments together
+        doubles = df.select(*[to_double_nullable(c).alias(c) for c in cols])
+        vals, row = exact_medians(doubles, cols, extra_aggs=moment_aggs(cols), **median_kw)
+        mom = moments_from_row(row, cols)
+        return Imputation(strategy=strategy, values=vals, moments=mom if with_moments else None)
+    mom = moments(df, cols) if (with_moments or strategy == "mean") else None
+    if strategy == "mean":
         vals = dict(mom.mean)
     elif strategy == "most_frequent":
         vals = most_frequent(df, cols)

@@ -83,16 +83,29 @@ def _recount(df: DataFrame, brackets: dict[str, _Bracket], cand: dict[str, tuple
 
 
 def exact_medians(
-    df: DataFrame, cols: list[str], accuracy: int = 10_000, max_bracket: int = 1_000_000
-) -> dict[str, float | None]:
+    df: DataFrame,
+    cols: list[str],
+    accuracy: int = 10_000,
+    max_bracket: int = 1_000_000,
+    extra_aggs: list | None = None,
+) -> dict[str, float | None] | tuple[dict[str, float | None], object]:
+    """Exact medians of ``cols``; with ``extra_aggs`` also returns their result row.
+
+    ``extra_aggs`` ride along in the first pass (e.g. the moments a scaler
+    needs), so fitting imputer and scaler together costs no additional scan.
+    Columns with at most ``max_bracket`` values skip the sketch entirely.
+    """
+    extra = list(extra_aggs or [])
     if not cols:
-        return {}
+        row = df.agg(*extra).collect()[0] if extra else None
+        return ({}, row) if extra_aggs is not None else {}
     first = df.agg(
         *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
         *[
             F.percentile_approx(F.col(c), [0.5 - 2.0 / accuracy, 0.5 + 2.0 / accuracy], accuracy).alias(f"q{i}")
             for i, c in enumerate(cols)
         ],
+        *extra,
     ).collect()[0]
     result: dict[str, float | None] = {}
     brackets: dict[str, _Bracket] = {}
@@ -105,8 +118,9 @@ def exact_medians(
         br = _Bracket(n=n, k1=(n + 1) // 2, k2=n // 2 + 1)
         br.size = n
         brackets[c] = br
-        cand[c] = tuple(first[f"q{i}"])
-    if brackets:
+        if n > max_bracket:
+            cand[c] = tuple(first[f"q{i}"])
+    if cand:
         _recount(df, brackets, cand)
     for _ in range(16):
         wide = {c: b for c, b in brackets.items() if b.size > max_bracket}
@@ -138,4 +152,5 @@ def exact_medians(
                 result[c] = float(vals[0])
             else:
                 result[c] = float(vals[0]) + (float(vals[1]) - float(vals[0])) * 0.5
-    return {c: result[c] for c in cols}
+    out = {c: result[c] for c in cols}
+    return (out, first) if extra_aggs is not None else out

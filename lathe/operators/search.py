@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lathe.functions.hashing import key_hash
-from lathe.operators.learners import fit_model
+from lathe.operators.learners import deterministic_layout, fit_model
 
 SCORINGS = {
     "neg_mean_squared_error": ("mse", -1.0),
@@ -128,13 +128,17 @@ def grid_search(
     spark = df.sparkSession
     apply_params = apply_params or with_params
     indexed = [c if isinstance(c, tuple) else (i, c) for i, c in enumerate(cands)]
-    data = df.select(*features, label, fold_col, *([key] if key else [])).persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.select(*features, label, fold_col, *([key] if key else []))
+    if key:
+        # one deterministic layout for every fit (fold filters are narrow and keep it)
+        data = deterministic_layout(data, key)
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
 
         def run(task):
             cid, params, f = task
-            model = fit_model(apply_params(estimator, params), data.filter(F.col(fold_col) != f), features, label, key=key)
+            model = fit_model(apply_params(estimator, params), data.filter(F.col(fold_col) != f), features, label)
             scored = model.transform(data).withColumn("_test", F.col(fold_col) == f)
             if not return_train_score:
                 scored = scored.filter("_test")
@@ -151,7 +155,7 @@ def grid_search(
         cv = summarize_cv(scores, cands_df)
         best = best_candidate(cv).collect()[0]
         best_params = dict(indexed)[best["candidate_id"]]
-        model = fit_model(apply_params(estimator, best_params), data, features, label, key=key) if refit else None
+        model = fit_model(apply_params(estimator, best_params), data, features, label) if refit else None
         return SearchResult(scores, cv, int(best["candidate_id"]), best_params, float(best["mean_test_score"]), model, len(folds))
     finally:
         data.unpersist()

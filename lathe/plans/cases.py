@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,7 +45,9 @@ class OrderCase:
 
     @cached_property
     def features(self) -> DataFrame:
-        return order_features(self.spark, self.sf_dir)
+        # read by the split passes, every fit pass and the final projection:
+        # materialise once (spills to disk; recomputed from lineage if lost)
+        return order_features(self.spark, self.sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def flagged(self) -> DataFrame:

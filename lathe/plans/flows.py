@@ -1,13 +1,40 @@
-"""End-to-end flows built from the operators."""
+"""End-to-end flows built from the operators.
+
+* ``flagship``: the minimum slice (features -> split -> prep -> OLS -> metrics).
+* ``ingest``: split, fit the preparation on the training part, apply it to
+  both parts, optionally write them (label kept in the row).
+* ``train_models``: linear regression, regression tree and a grid-searched
+  forest, each evaluated on the training data and logged as its own run; the
+  best forest is saved.
+* ``score``: load a model and a labelled table, return MAE, RMSE and R^2.
+* ``full_pipeline``: parent run with three child runs (ingestion, best model,
+  evaluation), logging parameters, the CV score, the CV table, an input
+  example, the model and both datasets.
+"""
 
 from __future__ import annotations
 
+import json
+import os
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lathe.operators.learners import decision_tree, fit_model, linear_regression, random_forest
 from lathe.operators.linear import fit_ols
-from lathe.operators.metrics import regression_metrics
+from lathe.operators.metrics import evaluate, regression_metrics
+from lathe.operators.prep import FittedPrep, PrepSpec
+from lathe.operators.profile import signature
+from lathe.operators.search import grid_search, param_grid
+from lathe.operators.split import hash_folds, split_approx, split_exact
 from lathe.plans.cases import LABEL, OrderCase
+from lathe.roles import Roles
+from lathe.sources.files import load_labelled, write_table
+from lathe.sources.models import load_model, save_model
+from lathe.tracking import TrackingStore, cv_run_records
+
+FOREST_GRID = {"bootstrap": [True, False], "n_estimators": [3, 10], "max_features": [2, 6]}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,3 +45,136 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_ols(train, prep.feature_names, LABEL)
     scored = model.transform(prep.apply(case.test))
     return regression_metrics(scored, LABEL).select(F.lit("linear_regression").alias("model"), "*")
+
+
+@dataclass
+class Ingested:
+    train_raw: DataFrame
+    test_raw: DataFrame
+    train: DataFrame
+    test: DataFrame
+    prep: FittedPrep
+
+
+def ingest(
+    df: DataFrame,
+    roles: Roles,
+    ratios: dict | None = None,
+    test_size: float = 0.2,
+    seed: int = 42,
+    exact: bool = True,
+    out_dir: str | None = None,
+    fmt: str = "parquet",
+    **spec_kw,
+) -> Ingested:
+    flagged = split_exact(df, roles.key, test_size, seed) if exact else split_approx(df, roles.key, test_size, seed)
+    train_raw = flagged.filter(~F.col("is_test")).drop("is_test")
+    test_raw = flagged.filter(F.col("is_test")).drop("is_test")
+    spec = PrepSpec(numeric=roles.numeric, categorical=roles.categorical, ratios=ratios or {}, **spec_kw)
+    prep = spec.fit(train_raw)
+    train, test = prep.apply(train_raw), prep.apply(test_raw)
+    if out_dir:
+        write_table(train, os.path.join(out_dir, "train"), fmt)
+        write_table(test, os.path.join(out_dir, "test"), fmt)
+    return Ingested(train_raw, test_raw, train, test, prep)
+
+
+def train_models(
+    train: DataFrame,
+    features: list[str],
+    label: str,
+    key: str,
+    store: TrackingStore | None = None,
+    experiment: str = "model_training",
+    model_dir: str | None = None,
+    grid: dict | None = None,
+    folds: int = 5,
+    seed: int = 42,
+    max_depth: int | None = None,
+    parallelism: int = 4,
+) -> dict:
+    """Linear, tree and grid-searched forest; each logged as a run."""
+    out: dict = {}
+    exp_id = store.experiment(experiment) if store else None
+    learners = {
+        "Linear_Regression": (linear_regression(), None),
+        "Decision_tree": (decision_tree(seed=seed, max_depth=max_depth), key),
+    }
+    for name, (est, layout_key) in learners.items():
+        model = fit_model(est, train, features, label, key=layout_key)
+        m = evaluate(model, train, label)
+        out[name] = {"model": model, "train_metrics": m}
+        if store:
+            with store.start_run(name, exp_id) as run:
+                store.log_params(run, {p.name: v for p, v in est.extractParamMap().items()})
+                store.log_metrics(run, {"mae": m["mae"], "rmse": m["rmse"]})
+    data = hash_folds(train, key, folds, seed)
+    res = grid_search(
+        random_forest(seed=seed, max_depth=max_depth), param_grid(grid or FOREST_GRID), data, features, label,
+        parallelism=parallelism, key=key,
+    )
+    out["Random_Forest"] = {"model": res.best_model, "search": res}
+    if store:
+        store.append_records(cv_run_records(res.cv_results, exp_id, "Random_Forest", res.folds, log_best_only=True))
+    if model_dir:
+        save_model(train.sparkSession, res.best_model, os.path.join(model_dir, "model"))
+    return out
+
+
+def score(spark: SparkSession, model_path: str, data_path: str, target_col: str, fmt: str = "parquet") -> dict:
+    model = load_model(spark, model_path)
+    df, _ = load_labelled(spark, data_path, target_col, fmt)
+    return evaluate(model, df, target_col)
+
+
+def full_pipeline(
+    spark: SparkSession,
+    df: DataFrame,
+    roles: Roles,
+    store: TrackingStore,
+    work_dir: str,
+    ratios: dict | None = None,
+    test_size: float = 0.25,
+    seed: int = 42,
+    grid: dict | None = None,
+    max_depth: int | None = None,
+    experiment: str = "Full pipeline",
+    parallelism: int = 4,
+) -> dict:
+    exp_id = store.experiment(experiment)
+    with store.start_run("Parent run", exp_id) as parent:
+        with store.start_run("data_ingestion_and_preprocessing", exp_id, parent) as run:
+            ing = ingest(df, roles, ratios, test_size, seed)
+            store.log_params(
+                run,
+                {
+                    "Feature columns": [c for c in df.columns if c not in (roles.key, roles.label)],
+                    "Label column": roles.label,
+                    "Numerical Features": list(roles.numeric),
+                    "Categorical Features": list(roles.categorical),
+                },
+            )
+        feats = ing.prep.feature_names
+        data = hash_folds(ing.train, roles.key, 5, seed)
+        res = grid_search(
+            random_forest(seed=seed, max_depth=max_depth), param_grid(grid or FOREST_GRID), data, feats, roles.label,
+            parallelism=parallelism, key=roles.key,
+        )
+        with store.start_run("Random_Forest_best_model", exp_id, parent) as run:
+            store.log_params(run, {"CV Folds": res.folds, **res.best_params})
+            store.log_metrics(run, {"neg_mean_squared_error": res.best_score})
+            model_path = os.path.join(work_dir, "models", run.run_id)
+            save_model(spark, res.best_model, model_path)
+            example = ing.train.orderBy(roles.key).limit(101)
+            write_table(example, os.path.join(model_path + "_input_example"))
+            write_table(res.cv_results, os.path.join(work_dir, "cv_results", run.run_id))
+            write_table(signature(ing.train, exclude=(roles.key, roles.label)), model_path + "_signature")
+            store.log_input(run, ing.train_raw, "train", "training", roles.label)
+        with store.start_run("evaluation", exp_id, parent) as run:
+            m = evaluate(res.best_model, ing.test, roles.label)
+            store.log_metrics(
+                run, {"mean_absolute_error": m["mae"], "root_mean_squared_error": m["rmse"], "r_squared": m["r2"]}
+            )
+            store.log_input(run, ing.test_raw, "test", "testing", roles.label)
+    return {"ingested": ing, "search": res, "evaluation": m, "experiment_id": exp_id, "parent_run_id": parent.run_id,
+            "best_params": json.dumps(res.best_params, sort_keys=True)}
