@@ -1,0 +1,17 @@
+"""Plan statistics used to choose between exact in-memory and scalable paths."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (an upper bound for filters; huge when unknown)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate available: treat as large
+        return 1 << 62
+
+
+def is_small(df: DataFrame, limit_bytes: int = 64 << 20) -> bool:
+    return estimated_bytes(df) <= limit_bytes

@@ -76,6 +76,7 @@ class Imputation:
     strategy: str
     values: dict[str, float | None]
     moments: Moments | None = field(default=None, compare=False)
+    extra: object = field(default=None, compare=False, repr=False)  # result row of ride-along aggregates
 
     def expr(self, c: str) -> Column:
         v = self.values[c]
@@ -97,22 +98,26 @@ def fit_imputer(
     strategy: str = "median",
     fill_value: float = 0.0,
     with_moments: bool = True,
+    extra_aggs: list | None = None,
     **median_kw,
 ) -> Imputation:
     cols = list(cols)
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown imputation strategy {strategy!r}; expected one of {STRATEGIES}")
+    extra = list(extra_aggs or [])
     if strategy == "median":
-        # one pass: median sketch + moments together
-        doubles = df.select(*[to_double_nullable(c).alias(c) for c in cols])
-        vals, row = exact_medians(doubles, cols, extra_aggs=moment_aggs(cols), **median_kw)
+        # one pass: median sketch + moments (+ any ride-along aggregates) together
+        vals, row = exact_medians(df, cols, extra_aggs=moment_aggs(cols) + extra, source=to_double_nullable, **median_kw)
         mom = moments_from_row(row, cols)
-        return Imputation(strategy=strategy, values=vals, moments=mom if with_moments else None)
-    mom = moments(df, cols) if (with_moments or strategy == "mean") else None
+        return Imputation(strategy=strategy, values=vals, moments=mom if with_moments else None, extra=row)
+    row = None
+    if with_moments or strategy == "mean" or extra:
+        row = df.agg(*moment_aggs(cols), *extra).collect()[0]
+    mom = moments_from_row(row, cols) if row is not None else None
     if strategy == "mean":
         vals = dict(mom.mean)
     elif strategy == "most_frequent":
         vals = most_frequent(df, cols)
     else:
         vals = {c: float(fill_value) for c in cols}
-    return Imputation(strategy=strategy, values=vals, moments=mom)
+    return Imputation(strategy=strategy, values=vals, moments=mom, extra=row)

@@ -1,9 +1,12 @@
 """Ordinary least squares from one distributed cross-product aggregate.
 
 ``fit_ols`` computes the sums of x_i * x_j, x_i * y, x_i, y and y^2 in one
-``agg`` (partially aggregated per task; output size p^2, independent of the
-row count), solves the small centred normal equations on the driver with a
-least-squares solver (rank-deficient designs get the minimum-norm solution,
+pass: each task multiplies its Arrow batches as a matrix (``X^T X``, one BLAS
+call per batch, inside ``mapInPandas``) and emits one partial Gramian per
+group; Spark sums the partials (output size p^2 per group, independent of the
+row count). A SQL aggregate with one ``sum`` per product would need p^2
+aggregate columns, beyond what whole-stage codegen compiles. The driver
+solves the small centred normal equations with a least-squares solver (rank-deficient designs get the minimum-norm solution,
 as an SVD solver gives), and returns a model whose prediction is a plain
 column expression: scoring runs inside whole-stage codegen, no UDF.
 
@@ -51,31 +54,41 @@ class _Sums:
         return _Sums(self.n - o.n, self.sx - o.sx, self.sy - o.sy, self.sxx - o.sxx, self.sxy - o.sxy, self.syy - o.syy)
 
 
-def _sum_aggs(features: list[str], label: str) -> list[Column]:
-    xs = [F.col(c).cast("double") for c in features]
-    y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).cast("double").alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy")]
-    for i, x in enumerate(xs):
-        aggs.append(F.sum(x).alias(f"sx{i}"))
-        aggs.append(F.sum(x * y).alias(f"sxy{i}"))
-        for j in range(i, len(xs)):
-            aggs.append(F.sum(x * xs[j]).alias(f"sxx{i}_{j}"))
-    return aggs
-
-
-def _sums_from_row(row, p: int) -> _Sums:
-    sxx = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            sxx[i, j] = sxx[j, i] = row[f"sxx{i}_{j}"] or 0.0
-    return _Sums(
-        n=float(row["n"] or 0.0),
-        sx=np.array([row[f"sx{i}"] or 0.0 for i in range(p)]),
-        sy=float(row["sy"] or 0.0),
-        sxx=sxx,
-        sxy=np.array([row[f"sxy{i}"] or 0.0 for i in range(p)]),
-        syy=float(row["syy"] or 0.0),
-    )
+def cross_products(df: DataFrame, features: list[str], label: str, group_col: str | None = None) -> dict[int, _Sums]:
+    """Per group: n, sums, and cross-product sums of [features, label].
+
+    Rows with a missing feature or label are left out (a least-squares fit
+    needs complete rows).
+    """
+    cols = list(features) + [label]
+    p = len(cols)
+    g = F.col(group_col).cast("long") if group_col else F.lit(0).cast("long")
+    packed = df.select(g.alias("_g"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)]).na.drop()
+    names = [f"_x{i}" for i in range(p)]
+
+    def partial(batches):
+        import pandas as pd
+
+        acc: dict[int, np.ndarray] = {}
+        for b in batches:
+            x = np.c_[np.ones(len(b)), b[names].to_numpy(dtype=float)]
+            keys = b["_g"].to_numpy()
+            for key in np.unique(keys):
+                xg = x[keys == key]
+                gram = xg.T @ xg
+                acc[int(key)] = acc[int(key)] + gram if int(key) in acc else gram
+        yield pd.DataFrame({"_g": list(acc.keys()), "gram": [m.ravel() for m in acc.values()]})
+
+    parts = packed.mapInPandas(partial, "_g long, gram array<double>")
+    summed = parts.select("_g", F.posexplode("gram").alias("i", "v")).groupBy("_g", "i").agg(F.sum("v").alias("v"))
+    flat: dict[int, np.ndarray] = {}
+    for r in summed.collect():  # (groups x (p+1)^2) values: bounded by the model size
+        flat.setdefault(r["_g"], np.zeros((p + 1) * (p + 1)))[r["i"]] = r["v"]
+    out = {}
+    for key, v in flat.items():
+        m = v.reshape(p + 1, p + 1)
+        out[key] = _Sums(n=m[0, 0], sx=m[0, 1:p].copy(), sy=m[0, p], sxx=m[1:p, 1:p].copy(), sxy=m[1:p, p].copy(), syy=m[p, p])
+    return out
 
 
 def _solve(s: _Sums) -> tuple[np.ndarray, float]:
@@ -103,8 +116,10 @@ def _sse(s: _Sums, beta: np.ndarray, b0: float) -> float:
 
 def fit_ols(df: DataFrame, features: list[str] | tuple[str, ...], label: str) -> LinearModel:
     feats = list(features)
-    row = df.agg(*_sum_aggs(feats, label)).collect()[0]
-    beta, b0 = _solve(_sums_from_row(row, len(feats)))
+    sums = cross_products(df, feats, label).get(0)
+    if sums is None:
+        raise ValueError("no complete rows to fit")
+    beta, b0 = _solve(sums)
     return LinearModel(tuple(feats), tuple(float(b) for b in beta), b0)
 
 
@@ -113,8 +128,7 @@ def kfold_ols(
 ) -> list[dict]:
     """Per fold: n_test, n_train, test_mse, train_mse of OLS fitted without the fold."""
     feats = list(features)
-    rows = df.groupBy(fold_col).agg(*_sum_aggs(feats, label)).collect()
-    per = {r[fold_col]: _sums_from_row(r, len(feats)) for r in rows}
+    per = cross_products(df, feats, label, fold_col)
     total = None
     for s in per.values():
         total = s if total is None else _Sums(
@@ -130,8 +144,8 @@ def kfold_ols(
                 "fold": int(f),
                 "n_test": int(test.n),
                 "n_train": int(train.n),
-                "test_mse": _sse(test, beta, b0) / test.n,
-                "train_mse": _sse(train, beta, b0) / train.n,
+                "test_mse": float(_sse(test, beta, b0) / test.n),
+                "train_mse": float(_sse(train, beta, b0) / train.n),
             }
         )
     return out

@@ -6,7 +6,8 @@ passes and keeps only statistics:
 * pass 1: row count and per-column count/mean/population variance, plus the
   median bracket sketch (median strategy);
 * passes 2-3: median bracket verification and bounded selection;
-* one ``distinct`` over (column, value) pairs for the category lists.
+* one ``distinct`` over (column, value) pairs for the category lists (for
+  inputs whose size estimate is small, a ``collect_set`` in pass 1 instead).
 
 Scaler statistics of imputed columns are derived from the pass-1 moments, so
 the scaler costs no pass of its own. ``FittedPrep.apply(df)`` is a single
@@ -25,6 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lathe.functions.stats import is_small
 from lathe.operators.impute import Imputation, fit_imputer
 from lathe.operators.onehot import OneHot, fit_onehot
 from lathe.operators.ratios import ratio_columns
@@ -44,7 +46,11 @@ class PrepSpec:
 
     def fit(self, df: DataFrame) -> FittedPrep:
         numeric = list(self.numeric)
-        imp = fit_imputer(df, numeric, self.impute, self.fill_value, with_moments=True)
+        cats = list(self.categorical)
+        # size-checked small input: category sets ride along in the first pass
+        ride = bool(cats) and is_small(df)
+        extra = [F.collect_set(F.col(c).cast("string")).alias(f"_cats{i}") for i, c in enumerate(cats)] if ride else []
+        imp = fit_imputer(df, numeric, self.impute, self.fill_value, with_moments=True, extra_aggs=extra)
         scale_cols = list(self.scale) if self.scale is not None else numeric
         from_imputed = [c for c in scale_cols if c in imp.values]
         others = [c for c in scale_cols if c not in imp.values]
@@ -55,7 +61,14 @@ class PrepSpec:
             derived = derived.select("*", *ratio_columns({k: v for k, v in self.ratios.items() if k in others}))
             extra = fit_scaler(derived, others)
             scaling = Scaling({**scaling.mean, **extra.mean}, {**scaling.std, **extra.std})
-        onehot = fit_onehot(df, list(self.categorical), self.drop_first, self.max_categories)
+        if ride:
+            found = {c: sorted(imp.extra[f"_cats{i}"]) for i, c in enumerate(cats)}
+            too_many = [c for c, v in found.items() if len(v) > self.max_categories]
+            if too_many:
+                raise ValueError(f"columns {too_many} have more than {self.max_categories} categories")
+            onehot = OneHot(found, self.drop_first)
+        else:
+            onehot = fit_onehot(df, cats, self.drop_first, self.max_categories)
         return FittedPrep(self, imp, dict(self.ratios), scaling, scale_cols, onehot)
 
 

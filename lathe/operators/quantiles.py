@@ -16,6 +16,10 @@ that is an unbounded group. Here the exact median is found by selection:
 
 The result equals the mean of the two middle order statistics (the usual
 interpolated median) exactly.
+
+When Catalyst's size estimate of the input is under ``small_bytes`` (an upper
+bound, so the check is safe), the exact ``median`` aggregate is used in the
+single first pass instead: its per-column buffer is then bounded by that size.
 """
 
 from __future__ import annotations
@@ -25,6 +29,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lathe.functions.stats import is_small
+
 
 @dataclass
 class _Bracket:
@@ -88,17 +94,28 @@ def exact_medians(
     accuracy: int = 10_000,
     max_bracket: int = 1_000_000,
     extra_aggs: list | None = None,
+    small_bytes: int = 64 << 20,
+    source=None,
 ) -> dict[str, float | None] | tuple[dict[str, float | None], object]:
     """Exact medians of ``cols``; with ``extra_aggs`` also returns their result row.
 
     ``extra_aggs`` ride along in the first pass (e.g. the moments a scaler
     needs), so fitting imputer and scaler together costs no additional scan.
     Columns with at most ``max_bracket`` values skip the sketch entirely.
+    ``source(c)`` maps a column name to the expression whose median is wanted
+    (e.g. NaN -> NULL); other columns of ``df`` stay available to the extras.
     """
+    if source is not None:
+        keep = [c for c in df.columns if c not in cols]
+        df = df.select(*keep, *[source(c).alias(c) for c in cols])
     extra = list(extra_aggs or [])
     if not cols:
         row = df.agg(*extra).collect()[0] if extra else None
         return ({}, row) if extra_aggs is not None else {}
+    if is_small(df, small_bytes):
+        row = df.agg(*[F.median(F.col(c)).alias(f"med{i}") for i, c in enumerate(cols)], *extra).collect()[0]
+        out = {c: (None if row[f"med{i}"] is None else float(row[f"med{i}"])) for i, c in enumerate(cols)}
+        return (out, row) if extra_aggs is not None else out
     first = df.agg(
         *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
         *[

@@ -164,50 +164,72 @@ def grid_search(
 # --- closed-form CV of a group-mean regressor -----------------------------------
 
 
-def group_mean_cv(df: DataFrame, label: str, group_by: list[str], fold_col: str = "fold") -> DataFrame:
-    """Fold scores (-MSE, test and train) of "predict the group's training mean".
-
-    A group missing from the training folds falls back to the training mean.
-    From one partially aggregated ``groupBy(group, fold)`` of (n, sum y,
-    sum y^2): the model of fold f uses group stats total - fold f, and the
-    squared error of a block of rows with constant prediction m is
-    sum y^2 - 2 m sum y + n m^2. Only the (group, fold) table moves.
+def group_mean_cv_many(
+    df: DataFrame, label: str, groupings: list[list[str]], k: int, fold_col: str = "fold"
+) -> DataFrame:
+    """Fold scores of "predict the group's training mean" for several groupings.
+
+    One partially aggregated pass computes (n, sum y, sum y^2) per (finest
+    group, fold); each candidate rolls that table up to its own grouping.
+    A window per group (at most k rows: one per fold) gives the group totals
+    and the per-fold stats, so the model of fold m uses group total minus
+    fold m, falling back to the training mean of all rows when the group is
+    absent from the training folds. The squared error of a block of rows with
+    constant prediction p is sum y^2 - 2 p sum y + n p^2. Returns
+    (candidate_id, fold, split, score) with score = -MSE.
     """
     y = F.col(label).cast("double")
-    g = list(group_by)
-    gk = F.struct(*[F.col(c) for c in g]) if g else F.lit(0)
-    gf = (
-        df.groupBy(gk.alias("_g"), F.col(fold_col).alias("_f"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q"))
+    cols = list(dict.fromkeys(c for g in groupings for c in g))
+    fine = df.groupBy(*cols, F.col(fold_col).alias("_f")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q")
     )
-    folds = gf.select("_f").distinct().withColumnRenamed("_f", "_m")
-    g_tot = gf.groupBy("_g").agg(F.sum("n").alias("gn"), F.sum("s").alias("gs"))
-    f_tot = gf.groupBy("_f").agg(F.sum("n").alias("fn"), F.sum("s").alias("fs"))
-    all_tot = gf.agg(F.sum("n").alias("tn"), F.sum("s").alias("ts"))
-    # global training mean of model m: (total - fold m)
-    glob = f_tot.crossJoin(all_tot).select(
-        F.col("_f").alias("_m"), F.try_divide(F.col("ts") - F.col("fs"), F.col("tn") - F.col("fn")).alias("glob")
-    )
-    # group training mean of model m: (group total - group's fold m stats)
-    own = gf.select(F.col("_g"), F.col("_f").alias("_m"), F.col("n").alias("mn"), F.col("s").alias("ms"))
-    gm = (
-        g_tot.crossJoin(folds)  # groups x k models; k is small
-        .join(own, ["_g", "_m"], "left")
+    # training mean of all rows for each model m: (total - fold m), k rows
+    per_fold = fine.groupBy("_f").agg(F.sum("n").alias("fn"), F.sum("s").alias("fs"))
+    totals = per_fold.agg(F.sum("fn").alias("tn"), F.sum("fs").alias("ts"))
+    models = F.sequence(F.lit(0), F.lit(k - 1))
+    glob = (
+        totals.select("tn", "ts", F.explode(models).alias("_m"))
+        .join(per_fold.withColumnRenamed("_f", "_m"), "_m", "left")
         .select(
-            "_g",
             "_m",
-            F.when(F.col("gn") - F.coalesce(F.col("mn"), F.lit(0)) > 0,
-                   (F.col("gs") - F.coalesce(F.col("ms"), F.lit(0.0))) / (F.col("gn") - F.coalesce(F.col("mn"), F.lit(0)))).alias("gmean"),
+            F.try_divide(F.col("ts") - F.coalesce("fs", F.lit(0.0)), F.col("tn") - F.coalesce("fn", F.lit(0))).alias("glob"),
         )
     )
-    blocks = (
-        gf.crossJoin(folds)  # every (group, fold) block scored by every model
-        .join(gm, ["_g", "_m"], "left")
-        .join(glob, "_m")
-        .withColumn("m", F.coalesce(F.col("gmean"), F.col("glob")))
-        .withColumn("split", F.when(F.col("_f") == F.col("_m"), F.lit("test")).otherwise(F.lit("train")))
-        .withColumn("sse", F.col("q") - F.lit(2.0) * F.col("m") * F.col("s") + F.col("n") * F.col("m") * F.col("m"))
-    )
-    return blocks.groupBy(F.col("_m").alias("fold"), "split").agg(
-        (-F.sum("sse") / F.sum("n")).alias("score")
-    )
+    parts = []
+    for cid, g in enumerate(groupings):
+        gf = fine.groupBy(*g, "_f").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+        w = Window.partitionBy(*g) if g else Window.partitionBy()  # <= k rows per group
+        gf = gf.select(
+            "_f", "n", "s", "q",
+            F.sum("n").over(w).alias("gn"),
+            F.sum("s").over(w).alias("gs"),
+            F.map_from_entries(F.collect_list(F.struct("_f", F.struct("n", "s"))).over(w)).alias("fm"),
+        )
+        own = F.element_at(F.col("fm"), F.col("_m"))
+        left_n = F.col("gn") - F.coalesce(own.getField("n"), F.lit(0))
+        left_s = F.col("gs") - F.coalesce(own.getField("s"), F.lit(0.0))
+        pred = F.coalesce(F.when(left_n > 0, left_s / left_n), F.col("glob"))
+        blocks = (
+            gf.select("*", F.explode(models).alias("_m"))
+            .join(F.broadcast(glob), "_m")  # k rows
+            .select(
+                F.col("_m"),
+                F.when(F.col("_f") == F.col("_m"), F.lit("test")).otherwise(F.lit("train")).alias("split"),
+                F.col("n"),
+                (F.col("q") - F.lit(2.0) * pred * F.col("s") + F.col("n") * pred * pred).alias("sse"),
+            )
+        )
+        parts.append(
+            blocks.groupBy(F.col("_m").cast("int").alias("fold"), "split")
+            .agg((-F.sum("sse") / F.sum("n")).alias("score"))
+            .withColumn("candidate_id", F.lit(cid).cast("long"))
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def group_mean_cv(df: DataFrame, label: str, group_by: list[str], k: int = 5, fold_col: str = "fold") -> DataFrame:
+    """Single-grouping form: (fold, split, score)."""
+    return group_mean_cv_many(df, label, [list(group_by)], k, fold_col).drop("candidate_id")

@@ -65,7 +65,7 @@ def find_hash_cut(
     seed: int = 42,
     n_test: int | None = None,
     digits_per_pass: int = 3,
-    max_boundary_rows: int = 200_000,
+    max_boundary_rows: int = 50_000,
 ) -> HashCut:
     """Locate the exact cut with histogram passes over hash prefixes.
 

@@ -17,7 +17,7 @@ from lathe.operators.metrics import regression_metrics
 from lathe.operators.search import (
     best_candidate,
     grid_search,
-    group_mean_cv,
+    group_mean_cv_many,
     param_grid,
     sample_candidates,
     summarize_cv,
@@ -56,11 +56,10 @@ def _mean_candidates():
 def _mean_scores(case: OrderCase, chosen: list[tuple[int, dict]] | None = None) -> DataFrame:
     data = cv_table(case)
     chosen = chosen or list(enumerate(_mean_candidates()))
-    parts = [
-        group_mean_cv(data, CV_LABEL, p["group_by"]).withColumn("candidate_id", F.lit(cid).cast("long"))
-        for cid, p in chosen
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    scores = group_mean_cv_many(data, CV_LABEL, [p["group_by"] for _, p in chosen], FOLDS)
+    # map positions back to the grid's candidate ids
+    ids = F.create_map(*[x for pos, (cid, _) in enumerate(chosen) for x in (F.lit(pos), F.lit(cid))])
+    return scores.withColumn("candidate_id", F.element_at(ids, F.col("candidate_id").cast("int")).cast("long"))
 
 
 def _cands_df(spark, chosen):
