@@ -146,7 +146,7 @@ def grid_search(
             return [(cid, int(f), "test" if r["_test"] else "train", float(r["score"])) for r in rows]
 
         tasks = [(cid, p, f) for cid, p in indexed for f in folds]
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(tasks)))) as pool:
             results = [row for rows in pool.map(run, tasks) for row in rows]
         scores = spark.createDataFrame(results, "candidate_id long, fold int, split string, score double")
         cands_df = spark.createDataFrame(

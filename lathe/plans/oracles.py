@@ -238,6 +238,9 @@ ORACLES["onehot_unknown"] = with_base(
     f"SELECT t.o_orderkey, t.o_orderpriority, {', '.join(indicator_sql('t', CATEGORIES[2:]))} FROM test t"
 )
 ORACLES["branch_union"] = with_base(prepared_sql("imp_test", with_label=False))
+ORACLES["onehot_join"] = with_base(
+    f"SELECT i.o_orderkey, {', '.join(scaled_sql('i') + indicator_sql('i'))} FROM imp_test i CROSS JOIN sc s"
+)
 ORACLES["prep_train"] = with_base(prepared_sql("imp_train"))
 ORACLES["prep_test"] = with_base(prepared_sql("imp_test"))
 ORACLES["label_reattach"] = with_base(

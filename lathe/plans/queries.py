@@ -173,6 +173,15 @@ def q_branch_union(spark, sf):
     return fin(branch_union(case.test, [KEY], [p.numeric_branch(), p.categorical_branch()]))
 
 
+def q_onehot_join(spark, sf):
+    """Indicator columns computed apart and joined back on the key (no row index)."""
+    case = OrderCase(spark, sf)
+    p = case.prep
+    numeric = case.test.select(KEY, *p.numeric_columns())
+    indicators = case.test.select(KEY, *p.indicator_columns())
+    return fin(numeric.join(indicators, KEY, "left"))
+
+
 # --- the full preparation ------------------------------------------------------
 
 
@@ -224,6 +233,7 @@ QUERIES: dict[str, Query] = {
     "onehot": q_onehot,
     "onehot_unknown": q_onehot_unknown,
     "branch_union": q_branch_union,
+    "onehot_join": q_onehot_join,
     "prep_train": q_prep_train,
     "prep_test": q_prep_test,
     "label_reattach": q_label_reattach,

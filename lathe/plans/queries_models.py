@@ -156,7 +156,7 @@ def q_grid_search_forest(spark, sf):
         data,
         p.feature_names,
         LABEL,
-        parallelism=4,
+        parallelism=spark.sparkContext.defaultParallelism,
         key=KEY,
     )
     return res.cv_results.withColumn("is_best", F.col("candidate_id") == F.lit(res.best_index))
