@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathe.functions.hashing import hash_fold, key_hash, key_hash_u32
+from lathe.session import ensure_checkpoint_dir
 
 HASH_COL = "_h"
 TWO_32 = 4294967296
@@ -153,6 +154,7 @@ def global_positions(df: DataFrame, order_col: str, pos_col: str = "_pos") -> tu
     executors are lost in between.
     """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)  # the session's shared folder; a scratch one only if unset
     tagged = (
         df.repartitionByRange(F.col(order_col))
         .sortWithinPartitions(order_col)
