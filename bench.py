@@ -28,6 +28,7 @@ HEADLINE = [
     "fit_forest_predict",
     "grid_search_forest",
     "score_many_models",
+    "pipeline_full",
 ]
 
 

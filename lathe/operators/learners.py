@@ -85,8 +85,20 @@ def with_params(estimator: Estimator, params: dict) -> Estimator:
     return est
 
 
-def deterministic_layout(df: DataFrame, key: str, partitions: int = 16) -> DataFrame:
-    return df.repartition(partitions, F.col(key)).sortWithinPartitions(key)
+def layout_partitions(n_rows: int, rows_per_partition: int = 30_000, lo: int = 2, hi: int = 20_000) -> int:
+    """Partition count for tree training, a function of the row count only."""
+    return max(lo, min(hi, -(-n_rows // rows_per_partition)))
+
+
+def deterministic_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
+    """Fixed hash layout by key, sorted inside partitions.
+
+    The partition count depends only on the number of rows (not on how the
+    input happens to be split), so a seeded tree learner sees the same
+    partitions for the same rows.
+    """
+    n = partitions if partitions is not None else layout_partitions(df.count())
+    return df.repartition(n, F.col(key)).sortWithinPartitions(key)
 
 
 def fit_model(
@@ -95,7 +107,7 @@ def fit_model(
     features: list[str],
     label: str,
     key: str | None = None,
-    partitions: int = 16,
+    partitions: int | None = None,
 ) -> PipelineModel:
     data = deterministic_layout(df, key, partitions) if key else df
     if hasattr(estimator, "setLabelCol"):

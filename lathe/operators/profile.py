@@ -82,3 +82,16 @@ def check_signature(expected: list[tuple[str, str]], df: DataFrame) -> None:
     bad = [(n, t, have.get(n)) for n, t in expected if have.get(n) != t]
     if bad:
         raise ValueError(f"input does not match the model signature: {bad}")
+
+
+def input_example(df: DataFrame, key: str, positions: tuple[int, ...] = (0, 50, 100)) -> DataFrame:
+    """Rows at the given 0-based positions in key order.
+
+    A distributed top-k (``orderBy(key).limit(max+1)``) bounds the rows, then
+    a window numbers at most ``max(positions) + 1`` rows.
+    """
+    from pyspark.sql import Window
+
+    top = df.orderBy(key).limit(max(positions) + 1)
+    ranked = top.withColumn("_pos", F.row_number().over(Window.orderBy(key)) - 1)
+    return ranked.filter(F.col("_pos").isin(*positions)).drop("_pos")

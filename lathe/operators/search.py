@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lathe.functions.hashing import key_hash
-from lathe.operators.learners import deterministic_layout, fit_model
+from lathe.operators.learners import deterministic_layout, fit_model, layout_partitions
 
 SCORINGS = {
     "neg_mean_squared_error": ("mse", -1.0),
@@ -129,12 +129,13 @@ def grid_search(
     apply_params = apply_params or with_params
     indexed = [c if isinstance(c, tuple) else (i, c) for i, c in enumerate(cands)]
     data = df.select(*features, label, fold_col, *([key] if key else []))
+    fold_counts = {r[0]: r[1] for r in data.groupBy(fold_col).count().collect()}
+    folds = sorted(fold_counts)
     if key:
         # one deterministic layout for every fit (fold filters are narrow and keep it)
-        data = deterministic_layout(data, key)
+        data = deterministic_layout(data, key, layout_partitions(sum(fold_counts.values())))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        folds = sorted(r[0] for r in data.select(fold_col).distinct().collect())
 
         def run(task):
             cid, params, f = task

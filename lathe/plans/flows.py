@@ -18,6 +18,7 @@ import json
 import os
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ from lathe.operators.learners import decision_tree, fit_model, linear_regression
 from lathe.operators.linear import fit_ols
 from lathe.operators.metrics import evaluate, regression_metrics
 from lathe.operators.prep import FittedPrep, PrepSpec
-from lathe.operators.profile import signature
+from lathe.operators.profile import input_example, signature
 from lathe.operators.search import grid_search, param_grid
 from lathe.operators.split import hash_folds, split_approx, split_exact
 from lathe.plans.cases import LABEL, OrderCase
@@ -67,6 +68,9 @@ def ingest(
     fmt: str = "parquet",
     **spec_kw,
 ) -> Ingested:
+    # the split and every fit pass read the input: materialise it once
+    # (spills to disk, recomputed from lineage if an executor is lost)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     flagged = split_exact(df, roles.key, test_size, seed) if exact else split_approx(df, roles.key, test_size, seed)
     train_raw = flagged.filter(~F.col("is_test")).drop("is_test")
     test_raw = flagged.filter(F.col("is_test")).drop("is_test")
@@ -165,8 +169,7 @@ def full_pipeline(
             store.log_metrics(run, {"neg_mean_squared_error": res.best_score})
             model_path = os.path.join(work_dir, "models", run.run_id)
             save_model(spark, res.best_model, model_path)
-            example = ing.train.orderBy(roles.key).limit(101)
-            write_table(example, os.path.join(model_path + "_input_example"))
+            write_table(input_example(ing.train, roles.key), model_path + "_input_example")
             write_table(res.cv_results, os.path.join(work_dir, "cv_results", run.run_id))
             write_table(signature(ing.train, exclude=(roles.key, roles.label)), model_path + "_signature")
             store.log_input(run, ing.train_raw, "train", "training", roles.label)

@@ -14,6 +14,7 @@ from lathe.operators.baseline import fit_group_mean
 from lathe.operators.learners import decision_tree, fit_model, linear_regression, random_forest
 from lathe.operators.linear import fit_ols, kfold_ols
 from lathe.operators.metrics import regression_metrics
+from lathe.operators.profile import input_example
 from lathe.operators.search import (
     best_candidate,
     grid_search,
@@ -258,12 +259,29 @@ def _mean_model_scored_with(case: OrderCase, group_by: list[str]) -> DataFrame:
 
 def q_input_example(spark, sf):
     """Rows at positions 0, 50 and 100 of the prepared training table in key order."""
-    prepared = OrderCase(spark, sf).prepared("train")
-    top = prepared.orderBy(KEY).limit(101)  # distributed top-k, then a bounded window
-    from pyspark.sql import Window
-
-    ranked = top.withColumn("_pos", F.row_number().over(Window.orderBy(KEY)) - 1)
-    return fin(ranked.filter(F.col("_pos").isin(0, 50, 100)).drop("_pos"))
+    return fin(input_example(OrderCase(spark, sf).prepared("train"), KEY))
+
+
+def q_pipeline_full(spark, sf):
+    """The whole flow: parent run, ingestion, grid-searched forest, evaluation.
+
+    Tracking tables and the model go to the session's checkpoint folder; the
+    result is the run tree with every logged metric, read back from the
+    tracking tables (self-join child -> parent).
+    """
+    from lathe.plans.flows import FOREST_GRID, full_pipeline
+    from lathe.sources.tables import ORDER_RATIOS, ORDER_ROLES, order_features
+    from lathe.tracking import TrackingStore
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
+    store = TrackingStore(spark, f"{root}/tracking")
+    ratios = {k: v for k, v in ORDER_RATIOS.items() if k != "bedrooms_per_room"}
+    full_pipeline(
+        spark, order_features(spark, sf), ORDER_ROLES, store, f"{root}/work", ratios=ratios,
+        test_size=0.25, seed=SEED, grid=FOREST_GRID, max_depth=6, parallelism=spark.sparkContext.defaultParallelism,
+    )
+    tree = run_tree(store.read("runs"), store.read("metrics"))
+    return tree.select("run_name", "parent_run_name", "key", "value")
 
 
 MODEL_QUERIES = {
@@ -286,4 +304,5 @@ MODEL_QUERIES = {
     "grid_search_forest": q_grid_search_forest,
     "score_many_models": q_score_many_models,
     "model_roundtrip": q_model_roundtrip,
+    "pipeline_full": q_pipeline_full,
 }

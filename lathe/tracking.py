@@ -19,6 +19,7 @@ search of any size is a distributed append. Reads are ordinary joins:
 from __future__ import annotations
 
 import getpass
+import hashlib
 import json
 import time
 import uuid
@@ -186,14 +187,20 @@ class TrackingStore:
 
     # experiments: look up by name, create when absent (idempotent)
     def experiment(self, name: str) -> str:
-        wanted = self.spark.createDataFrame([(name,)], "name string")
-        existing = self.read("experiments")
-        new = wanted.join(existing, "name", "left_anti").select(
+        found = self.read("experiments").filter(F.col("name") == name).select("experiment_id").limit(1).collect()
+        if found:
+            return found[0][0]
+        eid = hashlib.md5(name.encode()).hexdigest()[:18]  # deterministic: a racing creator writes the same id
+        self.append("experiments", self.spark.createDataFrame([(eid, name)], SCHEMAS["experiments"]))
+        return eid
+
+    def upsert_experiments(self, names: DataFrame) -> DataFrame:
+        """Bulk form: append the names not yet present (``left_anti``), return all."""
+        new = names.select("name").distinct().join(self.read("experiments"), "name", "left_anti").select(
             F.substring(F.md5(F.col("name")), 1, 18).alias("experiment_id"), "name"
         )
-        if new.take(1):
-            self.append("experiments", new)
-        return self.read("experiments").filter(F.col("name") == name).orderBy("experiment_id").first()["experiment_id"]
+        self.append("experiments", new)
+        return self.read("experiments")
 
     @contextmanager
     def start_run(self, run_name: str, experiment_id: str, parent: Run | None = None):

@@ -92,3 +92,12 @@ def test_write_predictions_partitioned(spark, tmp_path):
     path = str(tmp_path / "preds")
     write_predictions(df, path)
     assert sorted(d for d in os.listdir(path) if d.startswith("model=")) == ["model=m1", "model=m2"]
+
+
+def test_bulk_experiment_upsert(spark, tmp_path):
+    store = TrackingStore(spark, str(tmp_path / "track"))
+    first = store.experiment("a")
+    names = spark.createDataFrame([("a",), ("b",), ("b",)], "name string")
+    out = {r["name"]: r["experiment_id"] for r in store.upsert_experiments(names).collect()}
+    assert out["a"] == first and set(out) == {"a", "b"}
+    assert store.upsert_experiments(names).count() == 2
