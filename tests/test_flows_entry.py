@@ -64,3 +64,31 @@ def test_stream_scoring(spark, sf0001, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sum(got) == case.test.count()
+
+
+def test_train_models_logs_and_saves(spark, sf0001, tmp_path):
+    from lathe.plans.flows import train_models
+    from lathe.roles import numeric_by_schema
+
+    feat = order_features(spark, sf0001)
+    ing = ingest(feat, ORDER_ROLES, ORDER_RATIOS, test_size=0.2)
+    feats = numeric_by_schema(ing.train, exclude=("o_orderkey", "o_totalprice"))
+    assert feats == ing.prep.feature_names  # every prepared feature is numeric
+    store = TrackingStore(spark, str(tmp_path / "track"))
+    out = train_models(
+        ing.train, feats, "o_totalprice", "o_orderkey", store=store, model_dir=str(tmp_path / "models"),
+        grid={"n_estimators": [2], "max_features": [2, 3], "bootstrap": [True]}, max_depth=3, parallelism=2,
+    )
+    assert set(out) == {"Linear_Regression", "Decision_tree", "Random_Forest"}
+    names = {r["run_name"] for r in store.read("runs").collect()}
+    assert {"Linear_Regression", "Decision_tree"} <= names and any(n.startswith("Random_Forest_") for n in names)
+    assert os.path.isdir(str(tmp_path / "models" / "model"))
+    assert out["Linear_Regression"]["train_metrics"]["rmse"] > 0
+
+
+def test_vector_column_sparse_for_indicators(spark):
+    from lathe.operators.prep import vector_column
+
+    df = spark.createDataFrame([(0.0, 0.0, 0.0, 0.0, 1.0)], "a double, b double, c double, d double, e double")
+    v = vector_column(df, ["a", "b", "c", "d", "e"]).collect()[0]["features"]
+    assert v.toArray().tolist() == [0.0, 0.0, 0.0, 0.0, 1.0]
