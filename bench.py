@@ -37,11 +37,11 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16, app="lathe-bench")
-    # warm-up on the smallest tables: JVM, code generation and the Python
-    # workers that the Arrow-batched steps use (all one-off per session)
+    # untimed warm-up at the bench scale: JVM JIT, code generation and the
+    # Python workers that the Arrow-batched steps use (all one-off per session)
     from lathe.plans.flows import flagship
 
-    flagship(spark, os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001")).collect()
+    flagship(spark, os.environ.get("BENCH_WARMUP_DIR", sf_dir)).collect()
     times = {}
     for name in names:
         t0 = time.time()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.ml import PipelineModel
@@ -168,12 +169,17 @@ def q_score_many_models(spark, sf):
     p = case.prep
     train, test = p.apply(case.train), p.apply(case.test)
     feats = p.feature_names
-    models = {
-        "ols": fit_ols(train, feats, LABEL),
-        "linear_regression": fit_model(linear_regression(), train, feats, LABEL),
-        "decision_tree": fit_model(decision_tree(seed=SEED, max_depth=8), train, feats, LABEL, key=KEY),
-        "random_forest": fit_model(random_forest(seed=SEED, n_estimators=10, max_depth=8), train, feats, LABEL, key=KEY),
+    train = train.persist()  # four fits read it
+    fits = {
+        "ols": lambda: fit_ols(train, feats, LABEL),
+        "linear_regression": lambda: fit_model(linear_regression(), train, feats, LABEL),
+        "decision_tree": lambda: fit_model(decision_tree(seed=SEED, max_depth=8), train, feats, LABEL, key=KEY),
+        "random_forest": lambda: fit_model(random_forest(seed=SEED, n_estimators=10, max_depth=8), train, feats, LABEL, key=KEY),
     }
+    # independent fits: submit them as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=len(fits)) as pool:
+        futures = {name: pool.submit(f) for name, f in fits.items()}
+        models = {name: fut.result() for name, fut in futures.items()}
     parts = [m.transform(test).select(F.lit(name).alias("model"), KEY, "prediction") for name, m in models.items()]
     return reduce(DataFrame.unionByName, parts)
 
