@@ -196,39 +196,48 @@ def group_mean_cv_many(
             F.try_divide(F.col("ts") - F.coalesce("fs", F.lit(0.0)), F.col("tn") - F.coalesce("fn", F.lit(0))).alias("glob"),
         )
     )
-    parts = []
-    for cid, g in enumerate(groupings):
-        gf = fine.groupBy(*g, "_f").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
-        w = Window.partitionBy(*g) if g else Window.partitionBy()  # <= k rows per group
-        gf = gf.select(
-            "_f", "n", "s", "q",
-            F.sum("n").over(w).alias("gn"),
-            F.sum("s").over(w).alias("gs"),
-            F.map_from_entries(F.collect_list(F.struct("_f", F.struct("n", "s"))).over(w)).alias("fm"),
-        )
-        own = F.element_at(F.col("fm"), F.col("_m"))
-        left_n = F.col("gn") - F.coalesce(own.getField("n"), F.lit(0))
-        left_s = F.col("gs") - F.coalesce(own.getField("s"), F.lit(0.0))
-        pred = F.coalesce(F.when(left_n > 0, left_s / left_n), F.col("glob"))
-        blocks = (
-            gf.select("*", F.explode(models).alias("_m"))
-            .join(F.broadcast(glob), "_m")  # k rows
-            .select(
-                F.col("_m"),
-                F.when(F.col("_f") == F.col("_m"), F.lit("test")).otherwise(F.lit("train")).alias("split"),
-                F.col("n"),
-                (F.col("q") - F.lit(2.0) * pred * F.col("s") + F.col("n") * pred * pred).alias("sse"),
+    # every candidate in one plan: each finest-grain row is repeated once per
+    # candidate, keyed by (candidate, that candidate's group values as text)
+    keyed = fine.select(
+        F.explode(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(cid).cast("long").alias("candidate_id"),
+                        (F.to_json(F.struct(*[F.col(c) for c in g])) if g else F.lit("")).alias("gk"),
+                    )
+                    for cid, g in enumerate(groupings)
+                ]
             )
+        ).alias("c"),
+        "_f", "n", "s", "q",
+    ).select("c.candidate_id", "c.gk", "_f", "n", "s", "q")
+    gf = keyed.groupBy("candidate_id", "gk", "_f").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"))
+    w = Window.partitionBy("candidate_id", "gk")  # at most k rows per group
+    gf = gf.select(
+        "candidate_id", "_f", "n", "s", "q",
+        F.sum("n").over(w).alias("gn"),
+        F.sum("s").over(w).alias("gs"),
+        F.map_from_entries(F.collect_list(F.struct("_f", F.struct("n", "s"))).over(w)).alias("fm"),
+    )
+    own = F.element_at(F.col("fm"), F.col("_m"))
+    left_n = F.col("gn") - F.coalesce(own.getField("n"), F.lit(0))
+    left_s = F.col("gs") - F.coalesce(own.getField("s"), F.lit(0.0))
+    pred = F.coalesce(F.when(left_n > 0, left_s / left_n), F.col("glob"))
+    blocks = (
+        gf.select("*", F.explode(models).alias("_m"))
+        .join(F.broadcast(glob), "_m")  # k rows
+        .select(
+            "candidate_id",
+            F.col("_m"),
+            F.when(F.col("_f") == F.col("_m"), F.lit("test")).otherwise(F.lit("train")).alias("split"),
+            F.col("n"),
+            (F.col("q") - F.lit(2.0) * pred * F.col("s") + F.col("n") * pred * pred).alias("sse"),
         )
-        parts.append(
-            blocks.groupBy(F.col("_m").cast("int").alias("fold"), "split")
-            .agg((-F.sum("sse") / F.sum("n")).alias("score"))
-            .withColumn("candidate_id", F.lit(cid).cast("long"))
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    )
+    return blocks.groupBy("candidate_id", F.col("_m").cast("int").alias("fold"), "split").agg(
+        (-F.sum("sse") / F.sum("n")).alias("score")
+    )
 
 
 def group_mean_cv(df: DataFrame, label: str, group_by: list[str], k: int = 5, fold_col: str = "fold") -> DataFrame:
