@@ -76,7 +76,8 @@ def q_cv_fold_scores(spark, sf):
 def _cv_results(spark, sf, chosen=None):
     case = OrderCase(spark, sf)
     chosen = chosen or list(enumerate(_mean_candidates()))
-    return summarize_cv(_mean_scores(case, chosen), _cands_df(spark, chosen))
+    # one row per candidate: cached, as the run-record queries read it several times
+    return summarize_cv(_mean_scores(case, chosen), _cands_df(spark, chosen)).persist()
 
 
 _CV_COLS = ["candidate_id", "mean_test_score", "std_test_score", "mean_train_score", "std_train_score", "rank_test_score"]
