@@ -125,21 +125,34 @@ def grid_search(
 ) -> SearchResult:
     from lathe.operators.learners import with_params
 
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+
     spark = df.sparkSession
     apply_params = apply_params or with_params
     indexed = [c if isinstance(c, tuple) else (i, c) for i, c in enumerate(cands)]
-    data = df.select(*features, label, fold_col, *([key] if key else []))
+    # assemble the feature vector once (by name); every fit reads the same rows
+    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
+    data = assembler.transform(df.select(*features, label, fold_col, *([key] if key else []))).select(
+        "features", label, fold_col, *([key] if key else [])
+    )
     fold_counts = {r[0]: r[1] for r in data.groupBy(fold_col).count().collect()}
     folds = sorted(fold_counts)
     if key:
         # one deterministic layout for every fit (fold filters are narrow and keep it)
         data = deterministic_layout(data, key, layout_partitions(sum(fold_counts.values())))
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit_on(rows: DataFrame, params: dict):
+        est = apply_params(estimator, params)
+        est.setFeaturesCol("features").setLabelCol(label).setPredictionCol("prediction")
+        return est.fit(rows)
+
     try:
 
         def run(task):
             cid, params, f = task
-            model = fit_model(apply_params(estimator, params), data.filter(F.col(fold_col) != f), features, label)
+            model = fit_on(data.filter(F.col(fold_col) != f), params)
             scored = model.transform(data).withColumn("_test", F.col(fold_col) == f)
             if not return_train_score:
                 scored = scored.filter("_test")
@@ -156,7 +169,7 @@ def grid_search(
         cv = summarize_cv(scores, cands_df)
         best = best_candidate(cv).collect()[0]
         best_params = dict(indexed)[best["candidate_id"]]
-        model = fit_model(apply_params(estimator, best_params), data, features, label) if refit else None
+        model = PipelineModel(stages=[assembler, fit_on(data, best_params)]) if refit else None
         return SearchResult(scores, cv, int(best["candidate_id"]), best_params, float(best["mean_test_score"]), model, len(folds))
     finally:
         data.unpersist()
