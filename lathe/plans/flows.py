@@ -18,7 +18,6 @@ import json
 import os
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +30,7 @@ from lathe.operators.search import grid_search, param_grid
 from lathe.operators.split import hash_folds, split_approx, split_exact
 from lathe.plans.cases import LABEL, OrderCase
 from lathe.roles import Roles
+from lathe.session import materialize
 from lathe.sources.files import load_labelled, write_table
 from lathe.sources.models import load_model, save_model
 from lathe.tracking import TrackingStore, cv_run_records
@@ -66,11 +66,12 @@ def ingest(
     exact: bool = True,
     out_dir: str | None = None,
     fmt: str = "parquet",
+    materialize_input: str = "persist",
     **spec_kw,
 ) -> Ingested:
     # the split and every fit pass read the input: materialise it once
-    # (spills to disk, recomputed from lineage if an executor is lost)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    # ("persist", or "checkpoint" to the shared checkpoint folder)
+    df = materialize(df, materialize_input)
     flagged = split_exact(df, roles.key, test_size, seed) if exact else split_approx(df, roles.key, test_size, seed)
     train_raw = flagged.filter(~F.col("is_test")).drop("is_test")
     test_raw = flagged.filter(F.col("is_test")).drop("is_test")

@@ -53,3 +53,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
+
+
+def materialize(df, how: str = "persist"):
+    """Fix a table that several passes will read.
+
+    ``persist``: memory and disk on the executors; lost blocks are recomputed
+    from lineage. ``checkpoint``: written to the session's checkpoint folder
+    (the cluster's shared ``spark.checkpoint.dir``), which cuts the lineage,
+    for long jobs where recomputation after an executor loss would be costly.
+    ``none``: leave the plan as it is.
+    """
+    from pyspark import StorageLevel
+
+    if how == "checkpoint":
+        ensure_checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if how == "none":
+        return df
+    raise ValueError(f"unknown materialization {how!r}")

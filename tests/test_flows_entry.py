@@ -92,3 +92,11 @@ def test_vector_column_sparse_for_indicators(spark):
     df = spark.createDataFrame([(0.0, 0.0, 0.0, 0.0, 1.0)], "a double, b double, c double, d double, e double")
     v = vector_column(df, ["a", "b", "c", "d", "e"]).collect()[0]["features"]
     assert v.toArray().tolist() == [0.0, 0.0, 0.0, 0.0, 1.0]
+
+
+def test_ingest_with_checkpointed_input(spark, sf0001):
+    feat = order_features(spark, sf0001)
+    a = ingest(feat, ORDER_ROLES, ORDER_RATIOS, test_size=0.2, materialize_input="checkpoint")
+    b = ingest(feat, ORDER_ROLES, ORDER_RATIOS, test_size=0.2)
+    assert a.prep.imputation.values == b.prep.imputation.values
+    assert a.test.count() == b.test.count() == 300
