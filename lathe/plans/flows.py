@@ -7,6 +7,8 @@
   forest, each evaluated on the training data and logged as its own run; the
   best forest is saved.
 * ``score``: load a model and a labelled table, return MAE, RMSE and R^2.
+* ``score_models``: score a table with every model in a folder and write
+  per-model prediction tables.
 * ``full_pipeline``: parent run with three child runs (ingestion, best model,
   evaluation), logging parameters, the CV score, the CV table, an input
   example, the model and both datasets.
@@ -31,7 +33,7 @@ from lathe.operators.split import hash_folds, split_approx, split_exact
 from lathe.plans.cases import LABEL, OrderCase
 from lathe.roles import Roles
 from lathe.session import materialize
-from lathe.sources.files import load_labelled, write_table
+from lathe.sources.files import load_labelled, write_predictions, write_table
 from lathe.sources.models import load_model, save_model
 from lathe.tracking import TrackingStore, cv_run_records
 
@@ -132,6 +134,49 @@ def score(spark: SparkSession, model_path: str, data_path: str, target_col: str,
     return evaluate(model, df, target_col)
 
 
+def list_models(spark: SparkSession, model_dir: str) -> list[tuple[str, str]]:
+    """(name, path) of every model folder directly under ``model_dir`` (any Hadoop filesystem)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(model_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and not name.startswith(("_", ".")):
+            out.append((name, st.getPath().toString()))
+    return sorted(out)
+
+
+def score_models(
+    spark: SparkSession,
+    model_dir: str,
+    data_path: str,
+    output_path: str,
+    key: str,
+    target_col: str | None = None,
+    fmt: str = "parquet",
+) -> DataFrame:
+    """Score one table with every model in a folder; write per-model predictions.
+
+    Each model is loaded once and applied to the same table; the predictions
+    of all models go out as one table partitioned by model name (one folder
+    per model), with the key and, if given, the label kept next to them.
+    """
+    df, _ = load_labelled(spark, data_path, target_col, fmt)
+    keep = [key] + ([target_col] if target_col else [])
+    parts = []
+    for name, path in list_models(spark, model_dir):
+        model = load_model(spark, path)
+        parts.append(model.transform(df).select(F.lit(name).alias("model"), *keep, F.col("prediction").alias("Predictions")))
+    if not parts:
+        raise ValueError(f"no models under {model_dir}")
+    scored = parts[0]
+    for p in parts[1:]:
+        scored = scored.unionByName(p)
+    write_predictions(scored, output_path, fmt=fmt)
+    return spark.read.format(fmt).load(output_path) if fmt != "csv" else spark.read.option("header", True).csv(output_path)
+
+
 def full_pipeline(
     spark: SparkSession,
     df: DataFrame,
@@ -150,6 +195,9 @@ def full_pipeline(
     with store.start_run("Parent run", exp_id) as parent:
         with store.start_run("data_ingestion_and_preprocessing", exp_id, parent) as run:
             ing = ingest(df, roles, ratios, test_size, seed)
+            # raw split tables, kept for lineage next to the run's outputs
+            write_table(ing.train_raw, os.path.join(work_dir, "data", parent.run_id, "train"))
+            write_table(ing.test_raw, os.path.join(work_dir, "data", parent.run_id, "test"))
             store.log_params(
                 run,
                 {

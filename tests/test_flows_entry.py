@@ -100,3 +100,26 @@ def test_ingest_with_checkpointed_input(spark, sf0001):
     b = ingest(feat, ORDER_ROLES, ORDER_RATIOS, test_size=0.2)
     assert a.prep.imputation.values == b.prep.imputation.values
     assert a.test.count() == b.test.count() == 300
+
+
+def test_score_models_directory(spark, sf0001, tmp_path):
+    from lathe.operators.learners import decision_tree, fit_model, linear_regression
+    from lathe.operators.linear import fit_ols
+    from lathe.plans.flows import score_models
+    from lathe.sources.models import save_model
+
+    case = OrderCase(spark, sf0001)
+    p = case.prep
+    train, test = case.prepared("train"), case.prepared("test")
+    mdir = str(tmp_path / "models")
+    save_model(spark, fit_ols(train, p.feature_names, "o_totalprice"), f"{mdir}/ols")
+    save_model(spark, fit_model(linear_regression(), train, p.feature_names, "o_totalprice"), f"{mdir}/linear")
+    save_model(spark, fit_model(decision_tree(max_depth=3), train, p.feature_names, "o_totalprice", key="o_orderkey"), f"{mdir}/tree")
+    test.write.parquet(str(tmp_path / "test"))
+    out = score_models(spark, mdir, str(tmp_path / "test"), str(tmp_path / "preds"), "o_orderkey", "o_totalprice")
+    counts = {r["model"]: r["count"] for r in out.groupBy("model").count().collect()}
+    assert counts == {"linear": 375, "ols": 375, "tree": 375}
+    # the two least-squares models agree
+    pl = out.filter("model = 'linear'").select("o_orderkey", F.col("Predictions").alias("a"))
+    po = out.filter("model = 'ols'").select("o_orderkey", F.col("Predictions").alias("b"))
+    assert pl.join(po, "o_orderkey").select(F.max(F.abs(F.col("a") - F.col("b")))).collect()[0][0] < 1e-4
