@@ -49,14 +49,15 @@ class HashCut:
     n_test: int
     hash_value: str | None
     key_value: object
+    key_type: str = "bigint"
 
     def condition(self, key: str, seed: int) -> Column:
         if self.n_test <= 0 or self.hash_value is None:
             return F.lit(False)
-        h = key_hash(key, seed)
-        return (h < F.lit(self.hash_value)) | (
-            (h == F.lit(self.hash_value)) & (F.col(key) <= F.lit(self.key_value))
-        )
+        # one lexicographic comparison: the hash is computed once per row
+        row = F.struct(key_hash(key, seed).alias("h"), F.col(key).alias("k"))
+        cut = F.struct(F.lit(self.hash_value).alias("h"), F.lit(self.key_value).cast(self.key_type).alias("k"))
+        return row <= cut
 
 
 def find_hash_cut(
@@ -112,7 +113,8 @@ def find_hash_cut(
         .collect()[0]
     )
     total_test = n_test if n_test is not None else int(math.ceil(fraction * n_rows))
-    return HashCut(n_rows, min(total_test, n_rows), row[HASH_COL], row[key])
+    key_type = df.schema[key].dataType.simpleString()
+    return HashCut(n_rows, min(total_test, n_rows), row[HASH_COL], row[key], key_type)
 
 
 def split_exact(
