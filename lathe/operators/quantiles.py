@@ -4,15 +4,18 @@ Spark's exact ``median``/``percentile`` keeps every distinct value of a column
 in one aggregation buffer and merges them in a single final task; at scale
 that is an unbounded group. Here the exact median is found by selection:
 
-1. one pass: ``count`` and a ``percentile_approx`` bracket [a, b] around the
-   middle rank for every column at once (bounded sketch per task);
-2. one pass: rows below a and at most b per column, which verifies that the
-   two middle ranks lie in [a, b] (else the bracket is widened to open ends);
-3. while a bracket still holds more than ``max_bracket`` rows, it is narrowed
-   by another sketch pass restricted to the bracket;
-4. one pass: the bracket rows of all columns are exploded to (column, value)
-   and numbered per column. Each column's partition holds at most
-   ``max_bracket`` rows; only the two middle values per column come back.
+1. one pass: ``count`` and a ``percentile_approx`` pair (a, b) around the
+   middle ranks for every column at once (bounded sketch per task);
+2. one pass: per column, rows below / at most a and below / at most b. A
+   middle rank that falls inside the tie block of a or b is resolved to that
+   value outright; otherwise it lies in one of the open intervals
+   (lo, a), (a, b) or (b, hi), which becomes the new search region;
+3. while a region still holds more than ``max_bracket`` rows, another sketch
+   restricted to the region narrows it (ties can never stall this: a value
+   repeated many times is resolved as an endpoint);
+4. one pass: the region rows of all unresolved columns are exploded to
+   (column, value) and numbered per column. Each column's partition holds at
+   most ``max_bracket`` rows; only the middle values come back.
 
 The result equals the mean of the two middle order statistics (the usual
 interpolated median) exactly.
@@ -24,7 +27,7 @@ single first pass instead: its per-column buffer is then bounded by that size.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,59 +36,79 @@ from lathe.functions.stats import is_small
 
 
 @dataclass
-class _Bracket:
-    n: int
-    k1: int
-    k2: int
-    lo: float | None = None  # exclusive-below bound: values >= lo kept (None = -inf)
-    hi: float | None = None  # values <= hi kept (None = +inf)
-    below: int = 0  # rows strictly below lo
-    size: int = 0  # rows inside [lo, hi]
+class _Target:
+    n: int  # non-missing values
+    ranks: tuple[int, ...]  # 1-based ranks wanted
+    values: dict = field(default_factory=dict)  # resolved rank -> value
+    lo: float | None = None  # open lower bound (None: -inf)
+    hi: float | None = None  # open upper bound (None: +inf)
+    le_lo: int = 0  # rows <= lo
+    lt_hi: int = 0  # rows < hi
 
+    @property
+    def size(self) -> int:
+        return self.lt_hi - self.le_lo
 
-def _in_bracket(c: str, b: _Bracket):
+    @property
+    def pending(self) -> list[int]:
+        return [k for k in self.ranks if k not in self.values]
+
+
+def _inside(c: str, t: _Target):
     cond = F.col(c).isNotNull()
-    if b.lo is not None:
-        cond = cond & (F.col(c) >= F.lit(b.lo))
-    if b.hi is not None:
-        cond = cond & (F.col(c) <= F.lit(b.hi))
+    if t.lo is not None:
+        cond = cond & (F.col(c) > F.lit(t.lo))
+    if t.hi is not None:
+        cond = cond & (F.col(c) < F.lit(t.hi))
     return cond
 
 
-def _sketch(df: DataFrame, brackets: dict[str, _Bracket], accuracy: int) -> dict[str, tuple]:
-    """percentile_approx bracket around the middle ranks, restricted to each bracket."""
+def _sketch(df: DataFrame, targets: dict[str, _Target], accuracy: int) -> dict[str, tuple]:
+    """percentile_approx pair around the pending ranks, restricted to each region."""
+    names = list(targets)
     exprs = []
-    names = list(brackets)
     for i, c in enumerate(names):
-        b = brackets[c]
-        inside = b.size if b.size else b.n
+        t = targets[c]
         span = 2.0 / accuracy
-        p1 = min(max((b.k1 - b.below) / inside - span, 0.0), 1.0)
-        p2 = min(max((b.k2 - b.below) / inside + span, 0.0), 1.0)
-        v = F.when(_in_bracket(c, b), F.col(c))
-        exprs.append(F.percentile_approx(v, [p1, p2], accuracy).alias(f"q{i}"))
+        p1 = min(max((min(t.pending) - t.le_lo) / t.size - span, 0.0), 1.0)
+        p2 = min(max((max(t.pending) - t.le_lo) / t.size + span, 0.0), 1.0)
+        exprs.append(F.percentile_approx(F.when(_inside(c, t), F.col(c)), [p1, p2], accuracy).alias(f"q{i}"))
     row = df.agg(*exprs).collect()[0]
-    return {c: tuple(row[f"q{i}"] or (None, None)) for i, c in enumerate(names)}
+    return {c: tuple(row[f"q{i}"]) for i, c in enumerate(names) if row[f"q{i}"]}
 
 
-def _recount(df: DataFrame, brackets: dict[str, _Bracket], cand: dict[str, tuple]) -> None:
-    """Count rows below a and at most b; widen when the middle ranks escape."""
-    exprs = []
+def _locate(df: DataFrame, targets: dict[str, _Target], cand: dict[str, tuple]) -> None:
+    """Count around (a, b); resolve ranks on a tie block, else shrink the region."""
     names = list(cand)
+    exprs = []
     for i, c in enumerate(names):
         a, b = cand[c]
-        exprs.append(F.count_if(F.col(c) < F.lit(a)).alias(f"lt{i}"))
-        exprs.append(F.count_if(F.col(c) <= F.lit(b)).alias(f"le{i}"))
+        x = F.col(c)
+        exprs += [
+            F.count_if(x < F.lit(a)).alias(f"lta{i}"),
+            F.count_if(x <= F.lit(a)).alias(f"lea{i}"),
+            F.count_if(x < F.lit(b)).alias(f"ltb{i}"),
+            F.count_if(x <= F.lit(b)).alias(f"leb{i}"),
+        ]
     row = df.agg(*exprs).collect()[0]
     for i, c in enumerate(names):
         a, b = cand[c]
-        br = brackets[c]
-        lt, le = row[f"lt{i}"], row[f"le{i}"]
-        if lt >= br.k1:  # lower end too high: keep the previous lower end
-            a, lt = br.lo, br.below
-        if le < br.k2:  # upper end too low: keep the previous upper end
-            b, le = br.hi, br.below + br.size if br.size else br.n
-        br.lo, br.hi, br.below, br.size = a, b, lt, le - lt
+        t = targets[c]
+        lta, lea, ltb, leb = row[f"lta{i}"], row[f"lea{i}"], row[f"ltb{i}"], row[f"leb{i}"]
+        region = None
+        for k in t.pending:
+            if lta < k <= lea:
+                t.values[k] = float(a)
+            elif ltb < k <= leb:
+                t.values[k] = float(b)
+            elif k <= lta:
+                region = (t.lo, a, t.le_lo, lta)
+            elif k <= ltb:
+                region = (a, b, lea, ltb)
+            else:
+                region = (b, t.hi, leb, t.lt_hi)
+        if region is not None and t.pending:
+            t.lo, t.hi, t.le_lo, t.lt_hi = region
 
 
 def exact_medians(
@@ -124,50 +147,46 @@ def exact_medians(
         ],
         *extra,
     ).collect()[0]
-    result: dict[str, float | None] = {}
-    brackets: dict[str, _Bracket] = {}
+    targets: dict[str, _Target] = {}
     cand: dict[str, tuple] = {}
     for i, c in enumerate(cols):
         n = first[f"n{i}"]
         if n == 0:
-            result[c] = None
             continue
-        br = _Bracket(n=n, k1=(n + 1) // 2, k2=n // 2 + 1)
-        br.size = n
-        brackets[c] = br
-        if n > max_bracket:
+        t = _Target(n=n, ranks=tuple(sorted({(n + 1) // 2, n // 2 + 1})), lt_hi=n)
+        targets[c] = t
+        if n > max_bracket and first[f"q{i}"]:
             cand[c] = tuple(first[f"q{i}"])
     if cand:
-        _recount(df, brackets, cand)
-    for _ in range(16):
-        wide = {c: b for c, b in brackets.items() if b.size > max_bracket}
+        _locate(df, targets, cand)
+    for _ in range(32):
+        wide = {c: t for c, t in targets.items() if t.pending and t.size > max_bracket}
         if not wide:
             break
-        before = {c: b.size for c, b in wide.items()}
-        _recount(df, brackets, _sketch(df, wide, accuracy))
-        if all(brackets[c].size >= before[c] for c in wide):
-            break  # no progress (heavy ties); the bracket sort below is still exact
-    if brackets:
-        names = list(brackets)
+        _locate(df, targets, _sketch(df, wide, accuracy))
+    open_targets = {c: t for c, t in targets.items() if t.pending}
+    if open_targets:
+        names = list(open_targets)
         parts = [
-            F.when(_in_bracket(c, brackets[c]), F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")))
+            F.when(_inside(c, open_targets[c]), F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")))
             for i, c in enumerate(names)
         ]
         exploded = df.select(F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("e")).select("e.i", "e.v")
         ranked = exploded.withColumn("r", F.row_number().over(Window.partitionBy("i").orderBy("v")))
         wanted = None
         for i, c in enumerate(names):
-            b = brackets[c]
-            cond = (F.col("i") == i) & F.col("r").isin(b.k1 - b.below, b.k2 - b.below)
+            t = open_targets[c]
+            cond = (F.col("i") == i) & F.col("r").isin(*[k - t.le_lo for k in t.pending])
             wanted = cond if wanted is None else (wanted | cond)
-        picked: dict[int, list[float]] = {}
         for r in ranked.filter(wanted).collect():
-            picked.setdefault(r["i"], []).append(r["v"])
-        for i, c in enumerate(names):
-            vals = sorted(picked.get(i, []))
-            if len(vals) == 1:
-                result[c] = float(vals[0])
-            else:
-                result[c] = float(vals[0]) + (float(vals[1]) - float(vals[0])) * 0.5
-    out = {c: result[c] for c in cols}
+            t = open_targets[names[r["i"]]]
+            t.values[r["r"] + t.le_lo] = float(r["v"])
+    out: dict[str, float | None] = {}
+    for c in cols:
+        t = targets.get(c)
+        if t is None:
+            out[c] = None
+            continue
+        v1, v2 = t.values[t.ranks[0]], t.values[t.ranks[-1]]
+        out[c] = v1 if v1 == v2 else v1 + (v2 - v1) * 0.5
     return (out, first) if extra_aggs is not None else out

@@ -64,3 +64,20 @@ def test_scalable_prep_path_matches_fast_path(spark):
     for c in fast.scaling.mean:
         assert fast.scaling.mean[c] == pytest.approx(slow.scaling.mean[c], rel=1e-12)
         assert fast.scaling.std[c] == pytest.approx(slow.scaling.std[c], rel=1e-12)
+
+
+@pytest.mark.parametrize("max_bracket", [2, 10])
+def test_heavy_ties_resolve_without_large_sort(spark, max_bracket):
+    # 60% of the rows share the median value; the region must not stall on it
+    vals = [5.0] * 600 + [float(i) for i in range(200)] + [float(1000 + i) for i in range(200)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = exact_medians(df, ["x"], accuracy=50, max_bracket=max_bracket, small_bytes=0)
+    assert got["x"] == float(np.median(vals))
+
+
+def test_scalable_path_even_and_odd(spark):
+    rng = np.random.default_rng(11)
+    for n in (1001, 1000):
+        vals = rng.integers(0, 30, n).astype(float)
+        df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+        assert exact_medians(df, ["x"], accuracy=40, max_bracket=5, small_bytes=0)["x"] == float(np.median(vals))
