@@ -13,16 +13,12 @@ input was partitioned.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lathe.operators.linear import LinearModel, fit_ols
-
 MAX_DEPTH = 30  # MLlib's limit; an uncapped tree maps to it
 
 
@@ -122,11 +118,3 @@ def predict(model, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     if keep is not None:
         out = out.select(*keep, "prediction")
     return out
-
-
-@dataclass(frozen=True)
-class OLS:
-    """Least squares fitted from one cross-product aggregate (see ``linear``)."""
-
-    def fit(self, df: DataFrame, features: list[str], label: str) -> LinearModel:
-        return fit_ols(df, features, label)

@@ -44,7 +44,7 @@ def fin(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
-def _long_stats(values: dict[str, float | None], value_name: str) -> list[tuple]:
+def _long_stats(values: dict[str, float | None]) -> list[tuple]:
     return [(i, c, None if v is None else float(v)) for i, (c, v) in enumerate(values.items())]
 
 
@@ -106,7 +106,7 @@ def q_kfold_ntile(spark, sf):
 
 def q_impute_median_stats(spark, sf):
     imp = OrderCase(spark, sf).prep.imputation
-    return fin(_stats_frame(spark, _long_stats(imp.values, "fill_value"), ["fill_value"]))
+    return fin(_stats_frame(spark, _long_stats(imp.values), ["fill_value"]))
 
 
 def _impute_query(strategy: str, **kw) -> Query:

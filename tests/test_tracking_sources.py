@@ -101,3 +101,13 @@ def test_bulk_experiment_upsert(spark, tmp_path):
     out = {r["name"]: r["experiment_id"] for r in store.upsert_experiments(names).collect()}
     assert out["a"] == first and set(out) == {"a", "b"}
     assert store.upsert_experiments(names).count() == 2
+
+
+def test_roles_from_schema(spark):
+    from lathe.roles import numeric_by_schema, roles_from_schema
+
+    df = spark.createDataFrame([(1, 2.0, 3, "a", 4.0)], "k long, x double, n long, cat string, y double")
+    r = roles_from_schema(df, key="k", label="y", categorical=["cat"])
+    assert r.numeric == ("x", "n") and r.categorical == ("cat",)
+    assert r.passthrough(df) == ["k", "y"]
+    assert numeric_by_schema(df, exclude=["k", "y"]) == ["x", "n"]
