@@ -37,6 +37,15 @@ from lathe.sources.files import load_labelled, write_predictions, write_table
 from lathe.sources.models import load_model, save_model
 from lathe.tracking import TrackingStore, cv_run_records
 
+# The names the tracked run logs under, and the forest grid.
+PARENT_RUN = "Parent run"
+INGEST_RUN = "data_ingestion_and_preprocessing"
+BEST_RUN = "Random_Forest_best_model"
+EVAL_RUN = "evaluation"
+INGEST_PARAMS = ("Feature columns", "Label column", "Numerical Features", "Categorical Features")
+CV_FOLDS_PARAM = "CV Folds"
+CV_METRIC = "neg_mean_squared_error"
+EVAL_METRICS = ("mean_absolute_error", "root_mean_squared_error", "r_squared")
 FOREST_GRID = {"bootstrap": [True, False], "n_estimators": [3, 10], "max_features": [2, 6]}
 
 
@@ -192,41 +201,37 @@ def full_pipeline(
     parallelism: int = 4,
 ) -> dict:
     exp_id = store.experiment(experiment)
-    with store.start_run("Parent run", exp_id) as parent:
-        with store.start_run("data_ingestion_and_preprocessing", exp_id, parent) as run:
+    with store.start_run(PARENT_RUN, exp_id) as parent:
+        with store.start_run(INGEST_RUN, exp_id, parent) as run:
             ing = ingest(df, roles, ratios, test_size, seed)
             # raw split tables, kept for lineage next to the run's outputs
             write_table(ing.train_raw, os.path.join(work_dir, "data", parent.run_id, "train"))
             write_table(ing.test_raw, os.path.join(work_dir, "data", parent.run_id, "test"))
-            store.log_params(
-                run,
-                {
-                    "Feature columns": [c for c in df.columns if c not in (roles.key, roles.label)],
-                    "Label column": roles.label,
-                    "Numerical Features": list(roles.numeric),
-                    "Categorical Features": list(roles.categorical),
-                },
+            values = (
+                [c for c in df.columns if c not in (roles.key, roles.label)],
+                roles.label,
+                list(roles.numeric),
+                list(roles.categorical),
             )
+            store.log_params(run, dict(zip(INGEST_PARAMS, values)))
         feats = ing.prep.feature_names
         data = hash_folds(ing.train, roles.key, 5, seed)
         res = grid_search(
             random_forest(seed=seed, max_depth=max_depth), param_grid(grid or FOREST_GRID), data, feats, roles.label,
             parallelism=parallelism, key=roles.key,
         )
-        with store.start_run("Random_Forest_best_model", exp_id, parent) as run:
-            store.log_params(run, {"CV Folds": res.folds, **res.best_params})
-            store.log_metrics(run, {"neg_mean_squared_error": res.best_score})
+        with store.start_run(BEST_RUN, exp_id, parent) as run:
+            store.log_params(run, {CV_FOLDS_PARAM: res.folds, **res.best_params})
+            store.log_metrics(run, {CV_METRIC: res.best_score})
             model_path = os.path.join(work_dir, "models", run.run_id)
             save_model(spark, res.best_model, model_path)
             write_table(input_example(ing.train, roles.key), model_path + "_input_example")
             write_table(res.cv_results, os.path.join(work_dir, "cv_results", run.run_id))
             write_table(signature(ing.train, exclude=(roles.key, roles.label)), model_path + "_signature")
             store.log_input(run, ing.train_raw, "train", "training", roles.label)
-        with store.start_run("evaluation", exp_id, parent) as run:
+        with store.start_run(EVAL_RUN, exp_id, parent) as run:
             m = evaluate(res.best_model, ing.test, roles.label)
-            store.log_metrics(
-                run, {"mean_absolute_error": m["mae"], "root_mean_squared_error": m["rmse"], "r_squared": m["r2"]}
-            )
+            store.log_metrics(run, dict(zip(EVAL_METRICS, (m["mae"], m["rmse"], m["r2"]))))
             store.log_input(run, ing.test_raw, "test", "testing", roles.label)
     return {"ingested": ing, "search": res, "evaluation": m, "experiment_id": exp_id, "parent_run_id": parent.run_id,
             "best_params": json.dumps(res.best_params, sort_keys=True)}

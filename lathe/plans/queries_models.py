@@ -26,6 +26,7 @@ from lathe.operators.search import (
 )
 from lathe.operators.split import hash_folds
 from lathe.plans.cases import CV_LABEL, FOLDS, KEY, LABEL, MEAN_GRID, SEED, OrderCase, cv_table
+from lathe.plans.flows import CV_METRIC, EVAL_METRICS, EVAL_RUN, FOREST_GRID, INGEST_RUN, PARENT_RUN
 from lathe.plans.queries import fin
 from lathe.session import ensure_checkpoint_dir
 from lathe.tracking import cv_run_records, run_tree
@@ -146,9 +147,6 @@ def q_fit_forest_predict(spark, sf):
     return model.transform(p.apply(case.test)).select(KEY, "prediction")
 
 
-FOREST_GRID = {"bootstrap": [True, False], "n_estimators": [3, 10], "max_features": [2, 6]}
-
-
 def q_grid_search_forest(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
@@ -231,24 +229,25 @@ def q_run_tree(spark, sf):
     ev = regression_metrics(scored, CV_LABEL)
     runs = spark.createDataFrame(
         [
-            ("p", None, "Parent run"),
-            ("i", "p", "data_ingestion_and_preprocessing"),
+            ("p", None, PARENT_RUN),
+            ("i", "p", INGEST_RUN),
             ("b", "p", "Group_Mean_best_model"),
-            ("e", "p", "evaluation"),
+            ("e", "p", EVAL_RUN),
         ],
         "run_id string, parent_run_id string, run_name string",
     )
     metrics = (
         best_candidate(cv)
-        .select(F.lit("b").alias("run_id"), F.lit("neg_mean_squared_error").alias("key"), F.col("mean_test_score").alias("value"))
+        .select(F.lit("b").alias("run_id"), F.lit(CV_METRIC).alias("key"), F.col("mean_test_score").alias("value"))
         .unionByName(
             ev.select(
                 F.lit("e").alias("run_id"),
                 F.explode(
                     F.array(
-                        F.struct(F.lit("mean_absolute_error").alias("key"), F.col("mae").alias("value")),
-                        F.struct(F.lit("root_mean_squared_error").alias("key"), F.col("rmse").alias("value")),
-                        F.struct(F.lit("r_squared").alias("key"), F.col("r2").alias("value")),
+                        *[
+                            F.struct(F.lit(name).alias("key"), F.col(col).alias("value"))
+                            for name, col in zip(EVAL_METRICS, ("mae", "rmse", "r2"))
+                        ]
                     )
                 ).alias("m"),
             ).select("run_id", "m.key", "m.value")
@@ -276,7 +275,7 @@ def q_pipeline_full(spark, sf):
     result is the run tree with every logged metric, read back from the
     tracking tables (self-join child -> parent).
     """
-    from lathe.plans.flows import FOREST_GRID, full_pipeline
+    from lathe.plans.flows import full_pipeline
     from lathe.sources.tables import ORDER_RATIOS, ORDER_ROLES, order_features
     from lathe.tracking import TrackingStore
 
