@@ -405,3 +405,10 @@ ORACLES["input_example"] = with_base(
     _prep_train_cte
     + "SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS _rn FROM prep_tr) WHERE _rn IN (1, 51, 101)"
 )
+
+ORACLES["ols_predict_one_feature"] = with_base(
+    ", lr AS (SELECT (i.sum_qty - s.mu_sum_qty) / s.sd_sum_qty AS x, i.o_totalprice / 1000.0 AS y FROM imp_train i CROSS JOIN sc s)\n"
+    ", fit AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM lr)\n"
+    f"SELECT i.o_orderkey, {r6('f.a + f.b * ((i.sum_qty - s.mu_sum_qty) / s.sd_sum_qty)')} AS prediction "
+    "FROM imp_test i CROSS JOIN sc s CROSS JOIN fit f"
+)

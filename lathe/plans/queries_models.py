@@ -111,6 +111,14 @@ def q_linreg_one_feature(spark, sf):
     return fin(out)
 
 
+def q_ols_predict_one_feature(spark, sf):
+    """OLS on one prepared feature, fitted on train, predictions on the hold-out."""
+    case = OrderCase(spark, sf)
+    train = case.prepared("train").withColumn(CV_LABEL, F.col(LABEL) / F.lit(1000.0))
+    model = fit_ols(train, ["sum_qty"], CV_LABEL)
+    return fin(model.transform(case.prepared("test")).select(KEY, "prediction"))
+
+
 def q_fit_ols_predict(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
@@ -298,6 +306,7 @@ MODEL_QUERIES = {
     "cv_best": q_cv_best,
     "random_candidates": q_random_candidates,
     "linreg_one_feature": q_linreg_one_feature,
+    "ols_predict_one_feature": q_ols_predict_one_feature,
     "run_metrics": q_run_metrics,
     "run_params": q_run_params,
     "run_tree": q_run_tree,
