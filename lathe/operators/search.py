@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lathe.functions.hashing import key_hash
-from lathe.operators.learners import deterministic_layout, fit_model, layout_partitions
+from lathe.operators.learners import deterministic_layout, layout_partitions
 
 SCORINGS = {
     "neg_mean_squared_error": ("mse", -1.0),

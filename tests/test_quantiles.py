@@ -41,7 +41,6 @@ def test_median_all_missing(spark, small_bytes):
 def test_scalable_prep_path_matches_fast_path(spark):
     """Forcing the large-input paths (bracket medians, distinct categories) changes nothing."""
     import lathe.operators.prep as prep_mod
-    from lathe.operators.prep import PrepSpec
     from lathe.plans.cases import OrderCase, base_spec
 
     case = OrderCase(spark, "/root/testdata/sf0.001")
