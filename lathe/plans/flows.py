@@ -33,7 +33,7 @@ from lathe.operators.split import hash_folds, split_approx, split_exact
 from lathe.plans.cases import LABEL, OrderCase
 from lathe.roles import Roles
 from lathe.session import materialize
-from lathe.sources.files import load_labelled, write_predictions, write_table
+from lathe.sources.files import land_once, load_labelled, write_predictions, write_table
 from lathe.sources.models import load_model, save_model
 from lathe.tracking import TrackingStore, cv_run_records
 
@@ -78,8 +78,12 @@ def ingest(
     out_dir: str | None = None,
     fmt: str = "parquet",
     materialize_input: str = "persist",
+    land_dir: str | None = None,
     **spec_kw,
 ) -> Ingested:
+    if land_dir:
+        # raw table written once; later runs read the stored copy instead
+        df = land_once(df, land_dir)
     # the split and every fit pass read the input: materialise it once
     # ("persist", or "checkpoint" to the shared checkpoint folder)
     df = materialize(df, materialize_input)

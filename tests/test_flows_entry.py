@@ -123,3 +123,12 @@ def test_score_models_directory(spark, sf0001, tmp_path):
     pl = out.filter("model = 'linear'").select("o_orderkey", F.col("Predictions").alias("a"))
     po = out.filter("model = 'ols'").select("o_orderkey", F.col("Predictions").alias("b"))
     assert pl.join(po, "o_orderkey").select(F.max(F.abs(F.col("a") - F.col("b")))).collect()[0][0] < 1e-4
+
+
+def test_ingest_landing_table_written_once(spark, sf0001, tmp_path):
+    land = str(tmp_path / "raw")
+    feat = order_features(spark, sf0001)
+    first = ingest(feat, ORDER_ROLES, ORDER_RATIOS, test_size=0.2, land_dir=land)
+    # a second run with other input still reads the landed table
+    second = ingest(feat.limit(10), ORDER_ROLES, ORDER_RATIOS, test_size=0.2, land_dir=land)
+    assert first.test.count() == second.test.count() == 300
