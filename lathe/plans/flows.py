@@ -128,6 +128,11 @@ def train_models(
             with store.start_run(name, exp_id) as run:
                 store.log_params(run, {p.name: v for p, v in est.extractParamMap().items()})
                 store.log_metrics(run, {"mae": m["mae"], "rmse": m["rmse"]})
+                if model_dir:
+                    # the model with its input signature (names, types, required)
+                    path = os.path.join(model_dir, "runs", run.run_id)
+                    save_model(train.sparkSession, model, path)
+                    write_table(signature(train.select(*features)), path + "_signature")
     data = hash_folds(train, key, folds, seed)
     res = grid_search(
         random_forest(seed=seed, max_depth=max_depth), param_grid(grid or FOREST_GRID), data, features, label,

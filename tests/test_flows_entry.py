@@ -83,6 +83,10 @@ def test_train_models_logs_and_saves(spark, sf0001, tmp_path):
     names = {r["run_name"] for r in store.read("runs").collect()}
     assert {"Linear_Regression", "Decision_tree"} <= names and any(n.startswith("Random_Forest_") for n in names)
     assert os.path.isdir(str(tmp_path / "models" / "model"))
+    sigs = [d for d in os.listdir(str(tmp_path / "models" / "runs")) if d.endswith("_signature")]
+    assert len(sigs) == 2
+    sig = spark.read.parquet(str(tmp_path / "models" / "runs" / sigs[0]))
+    assert sig.count() == len(feats) and sig.filter("required").count() == len(feats)
     assert out["Linear_Regression"]["train_metrics"]["rmse"] > 0
 
 
