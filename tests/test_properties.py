@@ -35,3 +35,27 @@ def test_metrics_property(spark, vals):
     sst = float(np.sum((y - y.mean()) ** 2))
     if sst > 1e-6:
         assert math.isclose(r["r2"], 1 - float(np.sum(e * e)) / sst, rel_tol=1e-6, abs_tol=1e-6)
+
+
+@FAST
+@given(
+    vals=st.lists(st.one_of(st.none(), st.integers(-20, 20).map(float), st.floats(-1e3, 1e3)), min_size=1, max_size=80),
+    small=st.booleans(),
+)
+def test_exact_median_property(spark, vals, small):
+    from lathe.operators.quantiles import exact_medians
+
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = exact_medians(df, ["x"], accuracy=30, max_bracket=4, small_bytes=(64 << 20) if small else 0)["x"]
+    clean = [v for v in vals if v is not None]
+    if not clean:
+        assert got is None
+    else:
+        assert math.isclose(got, float(np.median(clean)), rel_tol=1e-12, abs_tol=1e-12)
+
+
+def test_mode_ties_prefer_smallest_negative(spark):
+    from lathe.operators.impute import fit_imputer
+
+    df = spark.createDataFrame([(-3.0,), (-1.0,), (-3.0,), (-1.0,), (2.0,)], "x double").repartition(3)
+    assert fit_imputer(df, ["x"], "most_frequent").values["x"] == -3.0
