@@ -412,3 +412,14 @@ ORACLES["ols_predict_one_feature"] = with_base(
     f"SELECT i.o_orderkey, {r6('f.a + f.b * ((i.sum_qty - s.mu_sum_qty) / s.sd_sum_qty)')} AS prediction "
     "FROM imp_test i CROSS JOIN sc s CROSS JOIN fit f"
 )
+
+ORACLES["kfold_ols_one_feature"] = with_base(
+    f", cvo AS (SELECT {FOLD_SQL} AS fold, (i.sum_qty - s.mu_sum_qty) / s.sd_sum_qty AS x, i.o_totalprice / 1000.0 AS y "
+    "FROM imp_train i CROSS JOIN sc s)\n"
+    ", models AS (SELECT DISTINCT fold AS m FROM cvo)\n"
+    ", fits AS (SELECT md.m, regr_slope(c.y, c.x) AS b, regr_intercept(c.y, c.x) AS a FROM models md JOIN cvo c ON c.fold <> md.m GROUP BY md.m)\n"
+    ", errs AS (SELECT f.m AS fold, c.fold = f.m AS is_test, (c.y - f.a - f.b * c.x) * (c.y - f.a - f.b * c.x) AS se FROM fits f CROSS JOIN cvo c)\n"
+    "SELECT fold, count(*) FILTER (WHERE is_test) AS n_test, count(*) FILTER (WHERE NOT is_test) AS n_train, "
+    f"{r4('avg(se) FILTER (WHERE is_test)')} AS test_mse, {r4('avg(se) FILTER (WHERE NOT is_test)')} AS train_mse "
+    "FROM errs GROUP BY fold"
+)

@@ -137,6 +137,18 @@ def q_kfold_ols(spark, sf):
     )
 
 
+def q_kfold_ols_one_feature(spark, sf):
+    """Closed-form 5-fold CV of OLS on one prepared feature (label in thousands)."""
+    case = OrderCase(spark, sf)
+    data = hash_folds(case.prepared("train").withColumn(CV_LABEL, F.col(LABEL) / F.lit(1000.0)), KEY, FOLDS, SEED)
+    rows = kfold_ols(data, ["sum_qty"], CV_LABEL)
+    out = spark.createDataFrame(
+        [(r["fold"], r["n_test"], r["n_train"], r["test_mse"], r["train_mse"]) for r in rows],
+        "fold int, n_test long, n_train long, test_mse double, train_mse double",
+    )
+    return fin(out, 4)
+
+
 # --- trees and forests (rows-only checks) -----------------------------------------------
 
 
@@ -307,6 +319,7 @@ MODEL_QUERIES = {
     "random_candidates": q_random_candidates,
     "linreg_one_feature": q_linreg_one_feature,
     "ols_predict_one_feature": q_ols_predict_one_feature,
+    "kfold_ols_one_feature": q_kfold_ols_one_feature,
     "run_metrics": q_run_metrics,
     "run_params": q_run_params,
     "run_tree": q_run_tree,
