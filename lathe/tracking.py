@@ -181,6 +181,12 @@ class TrackingStore:
         cols = [c.split()[0] for c in SCHEMAS[table].split(", ")]
         df.select(*cols).write.mode("append").parquet(self.path(table))
 
+    def compact(self, table: str, files: int = 1) -> None:
+        """Rewrite an append-heavy table into ``files`` files (via a staged copy, kept and reused)."""
+        staged = f"{self.path(table)}__compacted"
+        self.read(table).repartition(files).write.mode("overwrite").parquet(staged)
+        self.spark.read.schema(SCHEMAS[table]).parquet(staged).write.mode("overwrite").parquet(self.path(table))
+
     def append_records(self, records: dict[str, DataFrame]) -> None:
         for table, df in records.items():
             self.append(table, df)

@@ -111,3 +111,17 @@ def test_roles_from_schema(spark):
     assert r.numeric == ("x", "n") and r.categorical == ("cat",)
     assert r.passthrough(df) == ["k", "y"]
     assert numeric_by_schema(df, exclude=["k", "y"]) == ["x", "n"]
+
+
+def test_compact_keeps_rows(spark, tmp_path):
+    store = TrackingStore(spark, str(tmp_path / "track"))
+    eid = store.experiment("e")
+    with store.start_run("r", eid) as run:
+        for i in range(5):
+            store.log_metrics(run, {"m": float(i)}, step=i)
+    before = sorted((r["step"], r["value"]) for r in store.read("metrics").collect())
+    store.compact("metrics")
+    after = sorted((r["step"], r["value"]) for r in store.read("metrics").collect())
+    assert before == after and len(after) == 5
+    files = [f for f in os.listdir(str(tmp_path / "track" / "metrics")) if f.endswith(".parquet")]
+    assert len(files) == 1
