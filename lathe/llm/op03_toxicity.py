@@ -37,6 +37,8 @@ PREFIXES = (4, 5, 6)
 KEEP, LIFT = 20_000, 2.5
 #: Standard deviations by which they are more frequent than by chance.
 SURPRISE = 6.0
+#: Minimum hashes of a sampled text.
+HASHES = 12
 
 
 @dataclass
@@ -68,51 +70,60 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             doc, got = feature_table(texts[lo:hi])
             both = np.unique(doc.astype(np.int64) << 31 | (got >> U(33)).astype(np.int64))
             lists = np.split((both & ((1 << 31) - 1)).astype(np.int32), np.searchsorted(both, np.arange(1, hi - lo) << 31))
-            yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi].cast(pa.int64()), batch.column(batch.schema.get_field_index("toxic"))[lo:hi], pa.array(lists, pa.list_(pa.int32()))], names=["id", "toxic", "features"])
+            low = [[int(mix(x.astype(U) + U(j << 40)).min().view(np.int64)) for j in range(HASHES)] if len(x) else [] for x in lists]
+            yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi].cast(pa.int64()), batch.column(batch.schema.get_field_index("toxic"))[lo:hi], pa.array(lists, pa.list_(pa.int32())), pa.array(low, pa.list_(pa.int64()))], names=["id", "toxic", "features", "low"])
 
 
-def distinct_texts(rows: list[np.ndarray], hashes: int = 12) -> list[np.ndarray]:
-    """One of each group of near copies (half of the minimum hashes equal), so that copies don't pass for evidence."""
+def distinct_texts(lows: list[list[int]]) -> list[int]:
+    """Numbers of the texts that are no near copies (half of the minimum hashes equal) of one before, so that copies don't pass for evidence."""
     seen: dict[tuple[int, int], list[int]] = {}
     kept = []
-    for r in rows:
-        if not len(r):
-            continue
-        low = [int(mix(r.astype(U) + U(j << 40)).min()) for j in range(hashes)]
+    for i, low in enumerate(lows):
         met = [k for j in enumerate(low) for k in seen.get(j, ())]
-        if not met or np.bincount(met).max() < hashes // 2:
+        if low and (not met or np.bincount(met).max() < HASHES // 2):
             for j in enumerate(low):
                 seen.setdefault(j, []).append(len(kept))
-            kept.append(r)
+            kept.append(i)
     return kept
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, members: int = 3, steps: int = 120, seed: int = 11) -> Linear:
-    """``positive``/``unlabelled``: feature hashes (31 bits) of each text."""
-
-    positive, unlabelled = distinct_texts(positive), distinct_texts(unlabelled)
-
-    def counted(rows):
-        return np.unique(np.concatenate(rows) if rows else np.zeros(0, np.int32), return_counts=True)
-
-    (fp, np_), (fu, nu) = counted(positive), counted(unlabelled)
-    at = np.minimum(np.searchsorted(fu, fp), max(len(fu) - 1, 0))
-    in_u = np.where(fu[at] == fp, nu[at], 0) if len(fu) else np.zeros(len(fp))
-    rate_p, rate_u = np_ / max(len(positive), 1), (in_u + 1) / max(len(unlabelled) + 1, 1)
+class Sample:
+    """Distinct features of texts, one array for all: text k has ``flat[off[k]:off[k + 1]]``."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        rows = rows.sort_by("id").combine_chunks()
+        rows = rows.take(pa.array(distinct_texts(rows["low"].to_pylist()), pa.int64()))
+        lists = rows["features"].combine_chunks()
+        lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) and lists.num_chunks else lists
+        self.n = rows.num_rows
+        self.flat = lists.flatten().to_numpy() if self.n else np.zeros(0, np.int32)
+        self.off = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]) if self.n else np.zeros(1, np.int64)
+
+    def within(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text, number of the slot) of the features among ``slots``, a part of the texts at a time."""
+        doc, got = [], []
+        for a in range(0, self.n, 500):
+            b = min(a + 500, self.n)
+            f = self.flat[self.off[a] : self.off[b]]
+            k = np.minimum(np.searchsorted(slots, f), max(len(slots) - 1, 0))
+            hit = np.flatnonzero(slots[k] == f) if len(slots) else np.zeros(0, np.int64)
+            got.append(k[hit])
+            doc.append(np.searchsorted(self.off, self.off[a] + hit, "right") - 1)
+        return np.concatenate(doc or [np.zeros(0, np.int64)]), np.concatenate(got or [np.zeros(0, np.int64)])
+
+
+def train(positive: Sample, unlabelled: Sample, prior: float, members: int = 3, steps: int = 120, seed: int = 11) -> Linear:
+    fp, np_ = np.unique(positive.flat, return_counts=True)
+    fp, np_ = fp[np_ >= 3], np_[np_ >= 3]
+    in_u = np.bincount(unlabelled.within(fp)[1], minlength=len(fp))
+    rate_p, rate_u = np_ / max(positive.n, 1), (in_u + 1) / max(unlabelled.n + 1, 1)
     lift = rate_p / rate_u
-    chance = rate_u * len(positive)  # toxic texts that would have it if it were as frequent there
-    ok = np.flatnonzero((np_ >= 3) & (lift >= min(LIFT, 0.5 / prior)) & (np_ - chance >= SURPRISE * np.sqrt(chance)))
+    chance = rate_u * positive.n  # toxic texts that would have it if it were as frequent there
+    ok = np.flatnonzero((lift >= min(LIFT, 0.5 / prior)) & (np_ - chance >= SURPRISE * np.sqrt(chance)))
     ok = np.sort(ok[np.argsort(-(np_[ok] * np.log(lift[ok])), kind="stable")[:KEEP]])
     slots = fp[ok]
 
-    def sparse(rows):
-        doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        f = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-        k = np.minimum(np.searchsorted(slots, f), max(len(slots) - 1, 0))
-        keep = slots[k] == f if len(slots) else np.zeros(len(f), bool)
-        return doc[keep], k[keep], len(rows)
-
-    p, u = sparse(positive), sparse(unlabelled)
+    p, u = (*positive.within(slots), positive.n), (*unlabelled.within(slots), unlabelled.n)
     total, bias = np.zeros(len(slots)), 0.0
     rng = np.random.default_rng(seed)
     for _ in range(members):
@@ -171,7 +182,7 @@ def _score(shared, keep_below: float | None = None):
     return run
 
 
-def fit(documents: DataFrame, labels: DataFrame, where: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", positives: int = 2500, unlabelled: int = 7500, **params) -> Linear | None:
+def fit(documents: DataFrame, labels: DataFrame, where: Column | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", positives: int = 2000, unlabelled: int = 5000, **params) -> Linear | None:
     """Train on bounded samples of the rows that ``where`` (on the id) allows; None without a toxic example."""
     docs = only(documents, id=id_col, text=text_col)
     own = only(labels, id=id_col, toxic=label_col)
@@ -187,9 +198,8 @@ def fit(documents: DataFrame, labels: DataFrame, where: Column | None = None, id
     arrow_batches(documents.sparkSession)
     pos = docs.join(F.broadcast(toxic), "id").select("id", "text", F.col("toxic").cast("int").alias("toxic"))  # at most 2 * positives rows
     rest = docs.where(unit(F.col("id"), "unlabelled") < unlabelled / max(n_docs, 1)).limit(2 * unlabelled).select("id", "text", F.lit(0).alias("toxic"))
-    rows = pos.union(rest).mapInArrow(_features, "id long, toxic int, features array<int>").toPandas().sort_values(["toxic", "id"])
-    split = [rows.loc[rows["toxic"] == t, "features"].map(np.asarray).tolist() for t in (1, 0)]
-    return train(split[0], split[1], prior, **params) if split[0] else None
+    positive, rest_ = (Sample(x.mapInArrow(_features, "id long, toxic int, features array<int>, low array<long>").toArrow()) for x in (pos, rest))
+    return train(positive, rest_, prior, **params) if positive.n else None
 
 
 def score(documents: DataFrame, model: Linear | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
