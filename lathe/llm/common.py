@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 #: Rows of a slim table (keys and a few numbers) that may be broadcast, after they were counted.
 BROADCAST_ROWS = 200_000
 #: Bytes of one Arrow batch handed to a Python worker; a longer single text is a batch of its own.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,7 +61,7 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
     return col.fill_null("") if col.null_count else col
 
 
-def blocks(texts: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def blocks(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows with at most ``max_bytes`` of text each, or a single longer row."""
     if not len(texts):
         return
