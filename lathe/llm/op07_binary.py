@@ -1,23 +1,22 @@
 """Token ids as fixed-stride shards in training order.
 
 Texts are encoded, end with ``eos`` and are cut into sequences of ``length`` ids
-(the last is filled up with ``eos``; its record says how many are real).
-Sequences are numbered in the order of the scan: one pass counts the sequences
-of every partition, a second encodes and numbers from the partition's offset,
-and fails if a partition differs from what was counted. A keyed Feistel
+(the last is filled up with ``eos``; its record says how many are real). The
+one pass over the texts writes packed ids to the shared folder, each row with
+the number of sequences that its task wrote before it. With the tasks' totals
+(one number a task) every sequence has its number. A keyed Feistel
 permutation of the next power of four, walked until it lands below the number
-of sequences, gives each its slot: a bijection, with no sort and no table.
+of sequences, turns it into a slot: a bijection, with no sort and no table.
 
 Slots ``[k * per_shard, (k + 1) * per_shard)`` make shard k. Each task gathers its
-sequences by shard, so a few large rows are shuffled; each shard is one buffer
+sequences by shard, so few and large rows are shuffled; each shard is one buffer
 of fixed size, filled by position, written as a file of records of equal stride
 (``RECORD`` header, then ids). Slot s is at byte ``(s % per_shard) * stride`` of shard
 ``s // per_shard``: a reader goes on from any slot after a restart.
 
-Null and empty texts have one sequence, of ``eos`` alone. Repeated rows are
-sequences of their own. An empty table gives no shard. Other columns are not
-read. The input must be read from files (a plan with a shuffle is written to
-the shared folder first), as its partitions must come out the same twice.
+Null and empty texts have one sequence, of ``eos`` alone; null ids are -1.
+Repeated rows are sequences of their own. An empty table gives no shard. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -34,15 +33,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lathe.llm.common import arrow_batches, blocks, cut, only, scratch, texts_of
+from lathe.llm.common import BATCH_BYTES, arrow_batches, blocks, cut, only, scratch, texts_of
 from lathe.llm.files import attempt_name, opened
 from lathe.llm.op06_tokens import PATTERN
-from lathe.llm.pretokens import Pieces
 from lathe.llm.words import U, mix
 
 #: What stands before the ids of a record.
 RECORD = np.dtype([("id", "<i8"), ("seq", "<i4"), ("n", "<i4")])
 ROUNDS = 4
+#: Bytes of records that a task gathers before they are dealt to shards, and the level of packing.
+GATHERED, LEVEL = 24 << 20, 6
 
 
 class Slots:
@@ -70,65 +70,74 @@ class Slots:
 
 
 @lru_cache(2)
-def encoder(path: str) -> Pieces:
-    """Pieces as bytes of 16-bit ids; one for each worker process."""
+def encoding(path: str):
+    """One for each worker process."""
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
     if len(ranks) >= 1 << 16:
         raise ValueError("ids of this vocabulary don't fit 16 bits")
-    encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return Pieces(lambda strings: [np.array(encoding.encode_ordinary(s), "<u2").tobytes() for s in strings], PATTERN, None, 300_000)
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _counted(path: str, length: int):
+def _encoded(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total, rows = encoder(path), 0, 0
+        encode, before, part = encoding(path).encode_ordinary, 0, TaskContext.get().partitionId()
+        pack = zstandard.ZstdCompressor(level=LEVEL)
         for batch in batches:
-            texts = texts_of(batch)
-            rows += batch.num_rows
-            for lo, hi in blocks(texts):
-                total += sum(-(-(sum(map(len, x)) // 2 + 1) // length) for x in known.of(texts[lo:hi].to_pylist()))
-        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([rows], pa.int64()), pa.array([total], pa.int64())], names=["part", "n_rows", "sequences"])
+            texts, ids = texts_of(batch), batch.column(0).to_numpy(zero_copy_only=False)
+            for lo, hi in blocks(texts, BATCH_BYTES):
+                tokens = [np.array(encode(t), "<u2") for t in texts[lo:hi].to_pylist()]
+                size = np.array([len(t) for t in tokens], "<i4")
+                n = int((-(-(size.astype(np.int64) + 1) // length)).sum())
+                blob = pack.compress(ids[lo:hi].astype("<i8").tobytes() + size.tobytes() + b"".join(t.tobytes() for t in tokens))
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([n], pa.int64()), pa.array([hi - lo], pa.int64()), pa.array([blob], pa.binary())], names=["part", "before", "n", "texts", "blob"])
+                before += n
 
     return run
 
 
-def _gathered(path: str, eos: int, length: int, per_shard: int, key: int, n: int, shared):
-    row = RECORD.itemsize + 2 * length
+def _records(blob: bytes, texts: int, length: int, eos: int) -> np.ndarray:
+    """The bytes of a packed row's records, one line each."""
+    ids, size = np.frombuffer(blob, "<i8", texts), np.frombuffer(blob, "<i4", texts, 8 * texts).astype(np.int64)
+    tokens = np.frombuffer(blob, "<u2", offset=12 * texts)
+    count = -(-(size + 1) // length)
+    first = np.cumsum(count) - count
+    out = np.full((int(count.sum()), length), eos, "<u2")
+    out.reshape(-1)[np.arange(len(tokens)) + np.repeat(first * length - (np.cumsum(size) - size), size)] = tokens
+    doc = np.repeat(np.arange(texts), count)
+    head = np.empty(len(doc), RECORD)
+    head["id"], head["seq"] = ids[doc], np.arange(len(doc)) - first[doc]
+    head["n"] = np.minimum(size[doc] + 1 - head["seq"].astype(np.int64) * length, length)
+    return np.concatenate([head.view(np.uint8).reshape(-1, RECORD.itemsize), out.view(np.uint8)], axis=1)
 
+
+def _dealt(eos: int, length: int, per_shard: int, key: int, n: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, sequences, n_rows = shared.value.get(TaskContext.get().partitionId(), (0, 0, 0))
-        begun, rows = at, 0
-        slots, known, pack = Slots(n, key), encoder(path), zstandard.ZstdCompressor(level=1)
+        slots, pack, unpack = Slots(n, key), zstandard.ZstdCompressor(level=LEVEL), zstandard.ZstdDecompressor()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def by_shard() -> pa.RecordBatch:
+            slot, records = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
+            order = np.argsort(slot, kind="stable")
+            shard = slot[order] // per_shard
+            cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
+            ends = [*cuts[1:], len(order)]
+            got = [pack.compress((slot[order[a:b]] % per_shard).astype("<i4").tobytes() + records[order[a:b]].tobytes()) for a, b in zip(cuts, ends, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(shard[cuts].astype(np.int64)), pa.array([b - a for a, b in zip(cuts, ends, strict=True)], pa.int64()), pa.array(got, pa.binary())], names=["shard", "n", "blob"])
+
         for batch in batches:
-            texts, ids = texts_of(batch), batch.column(0).to_numpy(zero_copy_only=False)
-            rows += batch.num_rows
-            for lo, hi in blocks(texts, 8 << 20):
-                blobs = [b"".join(x) for x in known.of(texts[lo:hi].to_pylist())]
-                size = np.array([len(b) // 2 + 1 for b in blobs])
-                count = -(-size // length)
-                doc = np.repeat(np.arange(hi - lo), count)
-                seq = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
-                out = np.full((len(doc), length), eos, "<u2")
-                flat, first = out.reshape(-1), (np.cumsum(count) - count) * length
-                for b, f in zip(blobs, first.tolist(), strict=True):
-                    flat[f : f + len(b) // 2] = np.frombuffer(b, "<u2")
-                head = np.empty(len(doc), RECORD)
-                head["id"], head["seq"], head["n"] = ids[lo:hi][doc], seq, np.minimum(size[doc] - seq * length, length)
-                records = np.concatenate([head.view(np.uint8).reshape(-1, RECORD.itemsize), out.view(np.uint8)], axis=1)
-                slot = slots.of(np.arange(at, at + len(doc)))
-                at += len(doc)
-                order = np.argsort(slot, kind="stable")
-                shard = slot[order] // per_shard
-                cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1])) if len(shard) else []
-                got = [pack.compress((slot[order[a:b]] % per_shard).astype("<i4").tobytes() + records[order[a:b]].tobytes()) for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(shard[cuts].astype(np.int64)), pa.array([b - a for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True)], pa.int64()), pa.array(got, pa.binary())], names=["shard", "n", "blob"])
-        if (at - begun, rows) != (sequences, n_rows):
-            raise RuntimeError("a partition differs from its first reading; write the table to files first")
-
-    return run, row
+            for part, before, k, texts, blob in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                begin = shared.value[part] + before
+                held.append((slots.of(np.arange(begin, begin + k)), _records(unpack.decompress(blob), texts, length, eos)))
+                if sum(h[1].nbytes for h in held) >= GATHERED:
+                    yield by_shard()
+                    held.clear()
+        if held:
+            yield by_shard()
+
+    return run
 
 
 def _written(folder: str, row: int, per_shard: int, n: int):
@@ -167,20 +176,19 @@ def write_shards(documents: DataFrame, vocabulary: str, folder: str | None = Non
     """The manifest (shard, path, n, crc32), a table in the shared folder, and the layout that readers need."""
     spark = documents.sparkSession
     docs = only(documents, id=id_col, text=text_col).withColumn("id", F.coalesce(F.col("id").cast("long"), F.lit(-1)))
-    if "Exchange" in documents._jdf.queryExecution().sparkPlan().toString() or not documents.inputFiles():
-        docs = cut(docs)
     arrow_batches(spark)
-    parts = docs.mapInArrow(_counted(vocabulary, length), "part int, n_rows long, sequences long").collect()  # a row of counts for each partition
+    packed = cut(docs.mapInArrow(_encoded(vocabulary, length), "part int, before long, n long, texts long, blob binary"))
     offsets, n = {}, 0
-    for p in sorted(parts, key=lambda p: p.part):
-        offsets[p.part] = (n, p.sequences, p.n_rows)
-        n += p.sequences
+    for p in sorted(packed.groupBy("part").agg(F.sum("n").alias("n")).collect()):  # a number for each task
+        offsets[p.part] = n
+        n += p.n
     folder = folder or scratch(spark)
     store, base = opened(folder)
     store.create_dir(base, recursive=True)
-    run, row = _gathered(vocabulary, eos, length, per_shard, key, n, spark.sparkContext.broadcast(offsets))
+    row = RECORD.itemsize + 2 * length
+    run = _dealt(eos, length, per_shard, key, n, spark.sparkContext.broadcast(offsets))
     shards = -(-n // per_shard)
-    dealt = docs.mapInArrow(run, "shard long, n long, blob binary").repartitionById(max(1, min(shards, 100_000)), F.pmod("shard", F.lit(max(1, min(shards, 100_000)))).cast("int")).sortWithinPartitions("shard")
+    dealt = packed.mapInArrow(run, "shard long, n long, blob binary").repartitionById(max(1, min(shards, 100_000)), F.pmod("shard", F.lit(max(1, min(shards, 100_000)))).cast("int")).sortWithinPartitions("shard")
     manifest = cut(dealt.mapInArrow(_written(folder, row, per_shard, n), "shard long, path string, n long, crc32 long"))
     return manifest, {"folder": folder, "length": length, "stride": row, "per_shard": per_shard, "sequences": n, "key": key, "eos": eos}
 
