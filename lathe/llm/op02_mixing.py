@@ -12,7 +12,8 @@ Null sources are a source of their own. Null and empty texts count as 0 bytes
 and are copied like any other row; a source of 0 bytes keeps each row once.
 Sources without a target have weight 0 if ``weights`` are given, and else a share
 by size to the power ``temper``. Equal ids draw equal numbers. Empty tables give
-empty results; every column of the rows is kept.
+empty results; every column of the rows is kept, but for those with the names
+of the four added ones (rate, copies, copy, place), which these replace.
 """
 
 from __future__ import annotations
@@ -63,6 +64,7 @@ def mixed(
     draws = F.greatest(F.ceil(F.col("rate") / PIECE), F.lit(1)).cast("int")
     steps = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), draws.alias("_draws"), poisson_steps(F.col("rate") / draws).alias("_steps"))
     rates.unpersist()
+    documents = documents.drop("rate", "copies", "copy", "place")
     rows = documents.join(small_enough(steps, 10_000), documents[source_col].eqNullSafe(F.col("_source")))
     first = F.size(F.filter("_steps", lambda c: c <= unit(F.col(f"`{id_col}`"), seed)))
     more = F.aggregate(F.sequence(F.lit(1), F.col("_draws") - 1), F.lit(0), lambda n, j: n + F.size(F.filter("_steps", lambda c: c <= unit(F.concat(F.col(f"`{id_col}`").cast("string"), F.lit("+"), j.cast("string")), seed))))

@@ -46,7 +46,7 @@ SUBSET = 2
 #: Sets up to this size may count as small.
 SMALL = 64
 #: Shingles counted together before the repeated ones are passed on, and the repeats from which they are.
-BUFFER, REPEATS = 4_000_000, 3
+BUFFER, REPEATS = 2_000_000, 3
 #: Frequent shingles that are ranked (a broadcast of 16 bytes each); the ranks of others don't matter.
 RANKED = 200_000
 #: Rows of a list that share a salt.
@@ -236,8 +236,10 @@ def _fits(a: str, b: str, percent: int):
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (F.least(na - pa_, nb - pb) >= need)
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link; sets are met by id, so only what a pair needs is moved."""
+def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets link. Sets are made again from the texts, for the ids in pairs only."""
+    ids = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    sets = cut(docs.join(small_enough(ids), "id", "left_semi").mapInArrow(_sets(words), "id long, shingles array<long>"))
     got = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     both = F.size(F.array_intersect("sa", "sb"))
     return got.where(100 * both >= percent * (F.size("sa") + F.size("sb") - both)).select("a", "b")
@@ -262,7 +264,6 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     listed = own.mapInArrow(_postings(words, percent, limit, shared), POSTING)
     cls = F.floor(F.log2(F.greatest("n", F.lit(1))) * 4).cast("int")
     met = cut(listed.withColumn("cls", cls).repartition("key", "salt").sortWithinPartitions("key", "salt", "cls", "pos", "n", "id").mapInArrow(_meetings, MEETING))
-    arrays = cut(own.join(small_enough(met.select("id").distinct()), "id", "left_semi").mapInArrow(_sets(words), "id long, shingles array<long>"))
 
     def pair(x: str, y: str) -> list:
         return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
@@ -272,7 +273,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     pivots = met.where("salt > 0 and id = pivot").select("key", F.struct("pos", "n", "id").alias("p"))
     tops = pivots.groupBy("key").agg(F.min("p").alias("top"))
     tried = cut(tried.union(pivots.join(tops, "key").where("p.id <> top.id and 100 * least(p.n, top.n) >= %d * greatest(p.n, top.n)" % percent).select(*pair("p.id", "top.id"))).distinct())
-    links = cut(_verified(tried, arrays, percent))
+    links = cut(_verified(tried, own, words, percent))
 
     comp = components(links)
     met = cut(met.drop("pivot", "pivot_n", "pivot_pos").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id")))
@@ -281,7 +282,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     x = rest.select("key", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "small", "component")])
     y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "pos", "small", "component")])
     across = x.join(y, "key").where("x_id < y_id and x_component <> y_component").where(_fits("x_", "y_", percent)).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
-    more = cut(_verified(across.join(tried, ["a", "b"], "left_anti"), arrays, percent))
+    more = cut(_verified(cut(across.join(tried, ["a", "b"], "left_anti")), own, words, percent))
     comp = components(links.union(more))
 
     rep = member.select("id", "rep")
@@ -294,5 +295,5 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
 
 def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
     """``documents`` without the rows whose component has a smaller id."""
-    dropped = jaccard_components(documents, id_col, text_col, words, percent).where(F.col(id_col) > F.col("component_id")).select(F.col(id_col).alias("_copy"))
-    return documents.join(small_enough(cut(dropped.distinct())), documents[id_col] == F.col("_copy"), "left_anti")
+    dropped = jaccard_components(documents, id_col, text_col, words, percent).where(F.col(id_col) > F.col("component_id")).select(id_col)
+    return documents.join(small_enough(cut(dropped.distinct())), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])

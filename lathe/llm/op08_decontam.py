@@ -174,5 +174,5 @@ def leaks(
 
 def decontaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
     """The rows of ``documents`` with no passage of the benchmark."""
-    bad = cut(leaks(documents, benchmark, id_col, **params).select(F.col(id_col).alias("_leak")).distinct())
-    return documents.join(small_enough(bad), documents[id_col] == F.col("_leak"), "left_anti")
+    bad = cut(leaks(documents, benchmark, id_col, **params).select(id_col).distinct())
+    return documents.join(small_enough(bad), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
