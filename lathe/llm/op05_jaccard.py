@@ -201,8 +201,9 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone = new_list.copy()
         alone[:-1] &= new_list[1:]
         alone[-1] = False  # not known yet
+        alone &= salt == 0  # other salts share the key
         keep = ~alone
-        wait = bool(new_list[-1])
+        wait = bool(new_list[-1]) and salt[-1] == 0
         if wait:
             keep[-1] = False
         got = batch.select(["key", "salt", "id", "n", "pos", "small"])
@@ -236,6 +237,22 @@ def _fits(a: str, b: str, percent: int):
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (F.least(na - pa_, nb - pb) >= need)
 
 
+def _counted(pairs: DataFrame, met: DataFrame, limit: int, percent: int) -> DataFrame:
+    """Pairs whose shared prefix shingles allow a link.
+
+    A shingle that both sets have stands in both prefixes, or beyond the end of
+    the prefix that ends first: so the overlap is at most the shared ones in the
+    prefixes and the rest of one set. Two small sets meet by subsets and are left
+    as they are."""
+    keys = cut(met.where("not small").groupBy("id").agg(F.first("n").alias("n"), F.collect_set("key").alias("keys")))  # at most a prefix
+    for side in "ab":
+        pairs = pairs.join(keys.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("keys").alias(f"keys_{side}")), side, "left")
+    need = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / F.lit(100 + percent))
+    rest = F.ceil(F.lit(percent) * F.greatest("na", "nb") / F.lit(100)) - 1
+    few = (F.greatest("na", "nb") > limit) & (F.size(F.array_intersect("keys_a", "keys_b")) + rest < need)
+    return pairs.where(~F.coalesce(few, F.lit(False))).select("a", "b")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link. Sets are made again from the texts, for the ids in pairs only."""
     ids = cut(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
@@ -273,7 +290,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     pivots = met.where("salt > 0 and id = pivot").select("key", F.struct("pos", "n", "id").alias("p"))
     tops = pivots.groupBy("key").agg(F.min("p").alias("top"))
     tried = cut(tried.union(pivots.join(tops, "key").where("p.id <> top.id and 100 * least(p.n, top.n) >= %d * greatest(p.n, top.n)" % percent).select(*pair("p.id", "top.id"))).distinct())
-    links = cut(_verified(tried, own, words, percent))
+    links = cut(_verified(cut(_counted(tried, met, limit, percent)), own, words, percent))
 
     comp = components(links)
     met = cut(met.drop("pivot", "pivot_n", "pivot_pos").join(comp, "id", "left").withColumn("component", F.coalesce("component", "id")))
@@ -282,7 +299,8 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     x = rest.select("key", *[F.col(c).alias(f"x_{c}") for c in ("id", "n", "pos", "small", "component")])
     y = rest.select("key", *[F.col(c).alias(f"y_{c}") for c in ("id", "n", "pos", "small", "component")])
     across = x.join(y, "key").where("x_id < y_id and x_component <> y_component").where(_fits("x_", "y_", percent)).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
-    more = cut(_verified(cut(across.join(tried, ["a", "b"], "left_anti")), own, words, percent))
+    across = cut(_counted(across.join(tried, ["a", "b"], "left_anti"), met, limit, percent))
+    more = cut(_verified(across, own, words, percent))
     comp = components(links.union(more))
 
     rep = member.select("id", "rep")
