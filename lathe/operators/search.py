@@ -31,6 +31,7 @@ from pyspark.ml import Estimator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lathe.operators.metrics import r2_of
 from lathe.functions.hashing import key_hash
 from lathe.operators.learners import deterministic_layout, layout_partitions
 
@@ -76,7 +77,7 @@ def _score_expr(scoring: str, label: str, pred: str = "prediction"):
         return F.lit(sign) * F.sqrt(F.avg(e * e))
     if metric == "mae":
         return F.lit(sign) * F.avg(F.abs(e))
-    return F.lit(1.0) - F.sum(e * e) / (F.count(F.lit(1)) * F.var_pop(y))
+    return r2_of(F.sum(e * e), F.var_pop(F.when(e.isNotNull(), y)), F.count(e))
 
 
 @dataclass
