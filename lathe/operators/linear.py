@@ -54,8 +54,8 @@ class _Sums:
         return _Sums(self.n - o.n, self.sx - o.sx, self.sy - o.sy, self.sxx - o.sxx, self.sxy - o.sxy, self.syy - o.syy)
 
 
-def cross_products(df: DataFrame, features: list[str], label: str, group_col: str | None = None) -> dict[int, _Sums]:
-    """Per group: n, sums, and cross-product sums of [features, label].
+def cross_products(df: DataFrame, features: list[str], label: str, group_col: str | None = None, shift: np.ndarray | None = None) -> dict[int, _Sums]:
+    """Per group: n, sums, and cross-product sums of [features, label], each less its ``shift``.
 
     Rows with a missing feature or label are left out (a least-squares fit
     needs complete rows).
@@ -65,13 +65,14 @@ def cross_products(df: DataFrame, features: list[str], label: str, group_col: st
     g = F.col(group_col).cast("long") if group_col else F.lit(0).cast("long")
     packed = df.select(g.alias("_g"), *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)]).na.drop()
     names = [f"_x{i}" for i in range(p)]
+    by = np.zeros(p) if shift is None else shift
 
     def partial(batches):
         import pandas as pd
 
         acc: dict[int, np.ndarray] = {}
         for b in batches:
-            x = np.c_[np.ones(len(b)), b[names].to_numpy(dtype=float)]
+            x = np.c_[np.ones(len(b)), b[names].to_numpy(dtype=float) - by]
             keys = b["_g"].to_numpy()
             for key in np.unique(keys):
                 xg = x[keys == key]
@@ -91,6 +92,12 @@ def cross_products(df: DataFrame, features: list[str], label: str, group_col: st
     return out
 
 
+def column_means(df: DataFrame, cols: list[str]) -> np.ndarray:
+    """Means to shift the columns by: products of raw values far from zero would cancel when they are centred."""
+    row = df.agg(*[F.avg(F.col(c).cast("double")) for c in cols]).first()
+    return np.array([x if x is not None and np.isfinite(x) else 0.0 for x in row])
+
+
 def _solve(s: _Sums) -> tuple[np.ndarray, float]:
     if s.n <= 0:
         raise ValueError("no rows to fit")
@@ -111,16 +118,19 @@ def _sse(s: _Sums, beta: np.ndarray, b0: float) -> float:
         + 2 * b0 * beta @ s.sx
         + beta @ s.sxx @ beta
     )
+    if val < -1e-9 * max(float(s.syy), 1.0):
+        raise ArithmeticError(f"sum of squared residuals is {val}: the sums have cancelled")
     return max(float(val), 0.0)
 
 
 def fit_ols(df: DataFrame, features: list[str] | tuple[str, ...], label: str) -> LinearModel:
     feats = list(features)
-    sums = cross_products(df, feats, label).get(0)
+    shift = column_means(df, [*feats, label])
+    sums = cross_products(df, feats, label, shift=shift).get(0)
     if sums is None:
         raise ValueError("no complete rows to fit")
     beta, b0 = _solve(sums)
-    return LinearModel(tuple(feats), tuple(float(b) for b in beta), b0)
+    return LinearModel(tuple(feats), tuple(float(b) for b in beta), float(shift[-1] + b0 - shift[:-1] @ beta))
 
 
 def kfold_ols(
@@ -128,7 +138,7 @@ def kfold_ols(
 ) -> list[dict]:
     """Per fold: n_test, n_train, test_mse, train_mse of OLS fitted without the fold."""
     feats = list(features)
-    per = cross_products(df, feats, label, fold_col)
+    per = cross_products(df, feats, label, fold_col, column_means(df, [*feats, label]))
     total = None
     for s in per.values():
         total = s if total is None else _Sums(
