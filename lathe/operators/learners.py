@@ -35,12 +35,13 @@ def decision_tree(seed: int = 42, max_depth: int | None = None, max_bins: int =
 
 def feature_subset(max_features) -> str:
     """Map a max_features setting to MLlib's featureSubsetStrategy."""
-    if max_features is None or max_features == 1.0:
-        return "all"
     if isinstance(max_features, bool):
         raise ValueError("max_features must be a number or a strategy name")
     if isinstance(max_features, int):
-        return str(max_features)
+        # "1" could also be read as the fraction 1.0; a fraction just above 0 is one feature
+        return str(max_features) if max_features != 1 else "0.000001"
+    if max_features is None or max_features == 1.0:
+        return "all"
     if isinstance(max_features, float):
         return repr(max_features)
     return {"sqrt": "sqrt", "log2": "log2"}.get(max_features, max_features)
@@ -81,9 +82,9 @@ def with_params(estimator: Estimator, params: dict) -> Estimator:
     return est
 
 
-def layout_partitions(n_rows: int, rows_per_partition: int = 30_000, lo: int = 2, hi: int = 20_000) -> int:
+def layout_partitions(n_rows: int, rows_per_partition: int = 30_000, lo: int = 2) -> int:
     """Partition count for tree training, a function of the row count only."""
-    return max(lo, min(hi, -(-n_rows // rows_per_partition)))
+    return max(lo, -(-n_rows // rows_per_partition))
 
 
 def deterministic_layout(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
