@@ -17,8 +17,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder of the session, setting one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder; it is read,
-    never overridden. Only when nothing is configured (tests, local runs) a
-    fresh scratch folder is created.
+    never overridden. Where nothing is configured a local session (tests) gets
+    a fresh scratch folder; on a cluster that is an error, since executors
+    could not read each other's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -30,6 +31,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="lathe-ckpt-", dir=os.environ.get("LATHE_SCRATCH", "/tmp"))
     sc.setCheckpointDir(local)
     return local
