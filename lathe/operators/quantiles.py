@@ -19,10 +19,6 @@ that is an unbounded group. Here the exact median is found by selection:
 
 The result equals the mean of the two middle order statistics (the usual
 interpolated median) exactly.
-
-When Catalyst's size estimate of the input is under ``small_bytes`` (an upper
-bound, so the check is safe), the exact ``median`` aggregate is used in the
-single first pass instead: its per-column buffer is then bounded by that size.
 """
 
 from __future__ import annotations
@@ -32,7 +28,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lathe.functions.stats import is_small
 
 
 @dataclass
@@ -117,7 +112,6 @@ def exact_medians(
     accuracy: int = 10_000,
     max_bracket: int = 1_000_000,
     extra_aggs: list | None = None,
-    small_bytes: int = 64 << 20,
     source=None,
 ) -> dict[str, float | None] | tuple[dict[str, float | None], object]:
     """Exact medians of ``cols``; with ``extra_aggs`` also returns their result row.
@@ -135,10 +129,6 @@ def exact_medians(
     if not cols:
         row = df.agg(*extra).collect()[0] if extra else None
         return ({}, row) if extra_aggs is not None else {}
-    if is_small(df, small_bytes):
-        row = df.agg(*[F.median(F.col(c)).alias(f"med{i}") for i, c in enumerate(cols)], *extra).collect()[0]
-        out = {c: (None if row[f"med{i}"] is None else float(row[f"med{i}"])) for i, c in enumerate(cols)}
-        return (out, row) if extra_aggs is not None else out
     first = df.agg(
         *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
         *[
@@ -164,6 +154,8 @@ def exact_medians(
         if not wide:
             break
         _locate(df, targets, _sketch(df, wide, accuracy))
+    else:
+        raise RuntimeError("the medians' regions did not shrink to a size that can be sorted")
     open_targets = {c: t for c, t in targets.items() if t.pending}
     if open_targets:
         names = list(open_targets)

@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathe.functions.stats import is_small
 from lathe.roles import Roles
 
 TABLES = (
@@ -96,11 +95,6 @@ def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"
     )
-    if is_small(orders):
-        # a small driving table arrives as one or two file splits, and broadcast
-        # joins keep that layout: spread it so later passes use every core
-        # (large inputs arrive in many splits and are left as they are)
-        orders = orders.repartition(spark.sparkContext.defaultParallelism, "o_orderkey")
     lines = line_aggregates(
         read_table(spark, sf_dir, "lineitem").select(
             "l_orderkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag"

@@ -40,13 +40,12 @@ def test_metrics_property(spark, vals):
 @FAST
 @given(
     vals=st.lists(st.one_of(st.none(), st.integers(-20, 20).map(float), st.floats(-1e3, 1e3)), min_size=1, max_size=80),
-    small=st.booleans(),
 )
-def test_exact_median_property(spark, vals, small):
+def test_exact_median_property(spark, vals):
     from lathe.operators.quantiles import exact_medians
 
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = exact_medians(df, ["x"], accuracy=30, max_bracket=4, small_bytes=(64 << 20) if small else 0)["x"]
+    got = exact_medians(df, ["x"], accuracy=30, max_bracket=4)["x"]
     clean = [v for v in vals if v is not None]
     if not clean:
         assert got is None

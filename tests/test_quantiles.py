@@ -7,11 +7,10 @@ from lathe.operators.quantiles import exact_medians
 
 
 @pytest.mark.parametrize(
-    "max_bracket,accuracy,small_bytes",
-    [(1_000_000, 10_000, 64 << 20), (1_000_000, 10_000, 0), (50, 100, 0), (3, 20, 0)],
+    "max_bracket,accuracy",
+    [(1_000_000, 10_000), (50, 100), (3, 20)],
 )
-def test_exact_medians_match_numpy(spark, max_bracket, accuracy, small_bytes):
-    # small_bytes=0 forces the scalable path (sketch bracket, recount, bounded selection)
+def test_exact_medians_match_numpy(spark, max_bracket, accuracy):
     rnd = random.Random(3)
     rows = []
     for i in range(3001):
@@ -20,49 +19,20 @@ def test_exact_medians_match_numpy(spark, max_bracket, accuracy, small_bytes):
         c = None if i % 7 == 0 else rnd.uniform(-5, 5)  # missing values
         rows.append((a, b, c))
     df = spark.createDataFrame(rows, "a double, b double, c double")
-    got = exact_medians(df, ["a", "b", "c"], accuracy=accuracy, max_bracket=max_bracket, small_bytes=small_bytes)
+    got = exact_medians(df, ["a", "b", "c"], accuracy=accuracy, max_bracket=max_bracket)
     for j, name in enumerate("abc"):
         vals = [r[j] for r in rows if r[j] is not None]
         assert got[name] == pytest.approx(float(np.median(vals)), abs=1e-12)
 
 
-@pytest.mark.parametrize("small_bytes", [64 << 20, 0])
-def test_median_even_count_interpolates(spark, small_bytes):
+def test_median_even_count_interpolates(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "x double")
-    assert exact_medians(df, ["x"], small_bytes=small_bytes) == {"x": 2.5}
+    assert exact_medians(df, ["x"]) == {"x": 2.5}
 
 
-@pytest.mark.parametrize("small_bytes", [64 << 20, 0])
-def test_median_all_missing(spark, small_bytes):
+def test_median_all_missing(spark):
     df = spark.createDataFrame([(None,), (None,)], "x double")
-    assert exact_medians(df, ["x"], small_bytes=small_bytes) == {"x": None}
-
-
-def test_scalable_prep_path_matches_fast_path(spark):
-    """Forcing the large-input paths (bracket medians, distinct categories) changes nothing."""
-    import lathe.operators.prep as prep_mod
-    from lathe.plans.cases import OrderCase, base_spec
-
-    case = OrderCase(spark, "/root/testdata/sf0.001")
-    fast = base_spec().fit(case.train)
-    orig = prep_mod.is_small
-    try:
-        prep_mod.is_small = lambda df, limit_bytes=0: False
-        import lathe.operators.quantiles as q
-
-        q_orig = q.is_small
-        q.is_small = lambda df, limit_bytes=0: False
-        try:
-            slow = base_spec().fit(case.train)
-        finally:
-            q.is_small = q_orig
-    finally:
-        prep_mod.is_small = orig
-    assert fast.imputation.values == slow.imputation.values
-    assert fast.onehot.categories == slow.onehot.categories
-    for c in fast.scaling.mean:
-        assert fast.scaling.mean[c] == pytest.approx(slow.scaling.mean[c], rel=1e-12)
-        assert fast.scaling.std[c] == pytest.approx(slow.scaling.std[c], rel=1e-12)
+    assert exact_medians(df, ["x"]) == {"x": None}
 
 
 @pytest.mark.parametrize("max_bracket", [2, 10])
@@ -70,7 +40,7 @@ def test_heavy_ties_resolve_without_large_sort(spark, max_bracket):
     # 60% of the rows share the median value; the region must not stall on it
     vals = [5.0] * 600 + [float(i) for i in range(200)] + [float(1000 + i) for i in range(200)]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
-    got = exact_medians(df, ["x"], accuracy=50, max_bracket=max_bracket, small_bytes=0)
+    got = exact_medians(df, ["x"], accuracy=50, max_bracket=max_bracket)
     assert got["x"] == float(np.median(vals))
 
 
@@ -79,4 +49,4 @@ def test_scalable_path_even_and_odd(spark):
     for n in (1001, 1000):
         vals = rng.integers(0, 30, n).astype(float)
         df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-        assert exact_medians(df, ["x"], accuracy=40, max_bracket=5, small_bytes=0)["x"] == float(np.median(vals))
+        assert exact_medians(df, ["x"], accuracy=40, max_bracket=5)["x"] == float(np.median(vals))
