@@ -38,9 +38,9 @@ def source_rates(documents: DataFrame, weights: dict[str, float] | None = None,
         for name, x in weights.items():
             w = F.when(F.col("source") == name, float(x)).otherwise(w)
         weighted = by.withColumn("w", w)
-    total = weighted.agg(F.sum("w").alias("all_w"), F.sum("bytes").alias("all_b"))  # one row
-    rate = F.lit(float(size)) * F.col("w") / F.col("all_w") * F.col("all_b") / F.col("bytes")
-    return weighted.join(F.broadcast(total)).select("source", "bytes", F.when(F.col("bytes") > 0, F.coalesce(rate, F.lit(0.0))).otherwise(F.lit(1.0)).alias("rate"))
+    total = weighted.agg(F.sum("w").alias("w"), F.sum("bytes").alias("b")).first()
+    rate = F.lit(float(size)) * F.col("w") / F.lit(total.w or None) * F.lit(total.b) / F.col("bytes")
+    return weighted.select("source", "bytes", F.when(F.col("bytes") > 0, F.coalesce(rate, F.lit(0.0))).otherwise(F.lit(1.0)).alias("rate"))
 
 
 def poisson_steps(rate: Column) -> Column:
