@@ -13,8 +13,8 @@ shuffle that does not depend on partitioning, file layout or engine.
 * ``hash_folds``: fold = hash digits 9..16 mod k (independent of the split).
 * ``contiguous_folds``: folds as contiguous blocks in key order with the
   block sizes of an unshuffled k-fold (first ``n mod k`` folds one larger).
-  A distributed row number: range-partitioned sort, per-partition counts,
-  prefix offsets from a table with one row per partition.
+  A distributed row number over the key column alone gives the first key of
+  each block; the folds are then a narrow comparison with those keys.
 """
 
 from __future__ import annotations
@@ -177,6 +177,15 @@ def global_positions(df: DataFrame, order_col: str, pos_col: str = "_pos") -> tu
 
 
 def contiguous_folds(df: DataFrame, order_col: str, k: int = 5, fold_col: str = "fold") -> DataFrame:
-    """Unshuffled k-fold: contiguous blocks in ``order_col`` order."""
-    positioned, n = global_positions(df, order_col)
-    return positioned.withColumn(fold_col, fold_of_position(F.col("_pos"), n, k)).drop("_pos")
+    """Unshuffled k-fold: contiguous blocks in ``order_col`` order.
+
+    Only the key column is sorted; the k - 1 block starts come to the driver and
+    every row is compared with them. ``order_col`` must be unique and not null
+    for exact block sizes (equal keys share a fold, a null key is in fold 0).
+    """
+    positioned, n = global_positions(df.select(order_col), order_col)
+    block = fold_of_position(F.col("_pos"), n, k)
+    starts = positioned.groupBy(block.alias("b")).agg(F.min(order_col).alias("first")).where("b > 0").collect()
+    key_type = df.schema[order_col].dataType
+    after = [F.when(F.col(order_col) >= F.lit(r["first"]).cast(key_type), 1).otherwise(0) for r in starts]
+    return df.withColumn(fold_col, sum(after, F.lit(0)).cast("int"))

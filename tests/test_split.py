@@ -74,3 +74,13 @@ def test_contiguous_folds_block_sizes(spark):
     # contiguous: fold never decreases along the key order
     folds = [r["fold"] for r in out]
     assert folds == sorted(folds)
+
+
+def test_contiguous_folds_of_few_rows_and_null_key(spark):
+    few = spark.createDataFrame([(i,) for i in range(3)], "k int")
+    assert [r["fold"] for r in contiguous_folds(few, "k", 5).orderBy("k").collect()] == [0, 1, 2]
+    empty = spark.createDataFrame([], "k int")
+    assert contiguous_folds(empty, "k", 5).count() == 0
+    null = spark.createDataFrame([(None,), (1,), (2,), (3,)], "k int")
+    got = {r["k"]: r["fold"] for r in contiguous_folds(null, "k", 2).collect()}
+    assert got == {None: 0, 1: 0, 2: 1, 3: 1}
