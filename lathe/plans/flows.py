@@ -3,9 +3,9 @@
 * ``flagship``: the minimum slice (features -> split -> prep -> OLS -> metrics).
 * ``ingest``: split, fit the preparation on the training part, apply it to
   both parts, optionally write them (label kept in the row).
-* ``train_models``: linear regression, regression tree and a grid-searched
-  forest, each evaluated on the training data and logged as its own run; the
-  best forest is saved.
+* ``train_models``: linear regression, regression tree, a grid-searched forest
+  and, where its parameters are given, a forest without search, each evaluated
+  on the training data and logged as its own run; every model is saved.
 * ``score``: load a model and a labelled table, return MAE, RMSE and R^2.
 * ``score_models``: score a table with every model in a folder and write
   per-model prediction tables.
@@ -34,7 +34,7 @@ from lathe.plans.cases import LABEL, OrderCase
 from lathe.roles import Roles
 from lathe.session import materialize
 from lathe.sources.files import land_once, load_labelled, write_predictions, write_table
-from lathe.sources.models import load_model, save_model
+from lathe.sources.models import is_model, load_model, save_model
 from lathe.tracking import TrackingStore, cv_run_records
 
 # The names the tracked run logs under, and the forest grid.
@@ -112,18 +112,28 @@ def train_models(
     seed: int = 42,
     max_depth: int | None = None,
     parallelism: int = 4,
+    forest: dict | None = None,
 ) -> dict:
-    """Linear, tree and grid-searched forest; each logged as a run."""
+    """Linear, tree and grid-searched forest; each logged as a run.
+
+    ``forest`` holds the parameters of a forest trained without search beside
+    the tuned one. Models go to folders of ``model_dir`` by name, the tuned forest
+    to ``model``, so that ``score_models`` can take the folder as it is.
+    """
     out: dict = {}
     exp_id = store.experiment(experiment) if store else None
     learners = {
         "Linear_Regression": (linear_regression(), None),
         "Decision_tree": (decision_tree(seed=seed, max_depth=max_depth), key),
     }
+    if forest is not None:
+        learners["Random_Forest_untuned"] = (random_forest(seed=seed, **{"max_depth": max_depth, **forest}), key)
     for name, (est, layout_key) in learners.items():
         model = fit_model(est, train, features, label, key=layout_key)
         m = evaluate(model, train, label)
         out[name] = {"model": model, "train_metrics": m}
+        if model_dir:
+            save_model(train.sparkSession, model, os.path.join(model_dir, name))
         if store:
             with store.start_run(name, exp_id) as run:
                 store.log_params(run, {p.name: v for p, v in est.extractParamMap().items()})
@@ -141,6 +151,8 @@ def train_models(
     out["Random_Forest"] = {"model": res.best_model, "search": res}
     if store:
         store.append_records(cv_run_records(res.cv_results, exp_id, "Random_Forest", res.folds, log_best_only=True))
+    if model_dir:
+        write_table(res.cv_results, os.path.join(model_dir, "cv_results"))
     if model_dir:
         save_model(train.sparkSession, res.best_model, os.path.join(model_dir, "model"))
     return out
@@ -153,14 +165,14 @@ def score(spark: SparkSession, model_path: str, data_path: str, target_col: str,
 
 
 def list_models(spark: SparkSession, model_dir: str) -> list[tuple[str, str]]:
-    """(name, path) of every model folder directly under ``model_dir`` (any Hadoop filesystem)."""
+    """(name, path) of every model directly under ``model_dir``; signatures, examples and other tables beside them are passed over."""
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(model_dir)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if st.isDirectory() and not name.startswith(("_", ".")):
+        if st.isDirectory() and not name.startswith(("_", ".")) and is_model(spark, st.getPath().toString()):
             out.append((name, st.getPath().toString()))
     return sorted(out)
 

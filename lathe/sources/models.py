@@ -42,11 +42,21 @@ def save_model(spark: SparkSession, model, path: str) -> None:
     raise TypeError(f"cannot save {type(model).__name__}")
 
 
+def has_folder(spark: SparkSession, *names: str) -> bool:
+    """Whether the joined path exists, on any Hadoop file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(*names))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def is_model(spark: SparkSession, path: str) -> bool:
+    """A closed-form model's ``meta``, or the stages of an MLlib pipeline."""
+    return has_folder(spark, path, "meta") or (has_folder(spark, path, "metadata") and has_folder(spark, path, "stages"))
+
+
 def load_model(spark: SparkSession, path: str):
-    try:
-        meta = json.loads(_hadoop_read_text(spark, os.path.join(path, "meta")))
-    except Exception:  # noqa: BLE001 - not one of ours: an MLlib pipeline
+    if not has_folder(spark, path, "meta"):
         return PipelineModel.load(path)
+    meta = json.loads(_hadoop_read_text(spark, os.path.join(path, "meta")))
     if meta["kind"] == "linear":
         return LinearModel(tuple(meta["features"]), tuple(meta["coef"]), meta["intercept"])
     means = spark.read.parquet(os.path.join(path, "means")) if meta["group_by"] else None

@@ -136,3 +136,21 @@ def test_ingest_landing_table_written_once(spark, sf0001, tmp_path):
     # a second run with other input still reads the landed table
     second = ingest(feat.limit(10), ORDER_ROLES, ORDER_RATIOS, test_size=0.2, land_dir=land)
     assert first.test.count() == second.test.count() == 300
+
+
+def test_trained_folder_scores_with_every_model(spark, sf0001, tmp_path):
+    from lathe.plans.flows import score_models, train_models
+
+    ing = ingest(order_features(spark, sf0001), ORDER_ROLES, ORDER_RATIOS, test_size=0.2)
+    store, mdir = TrackingStore(spark, str(tmp_path / "track")), str(tmp_path / "models")
+    train_models(
+        ing.train, ing.prep.feature_names, "o_totalprice", "o_orderkey", store=store, model_dir=mdir,
+        grid={"n_estimators": [2], "max_features": [2], "bootstrap": [True]}, max_depth=2, forest={"n_estimators": 2},
+    )
+    ing.test.write.parquet(str(tmp_path / "test"))
+    # signatures and the CV table beside the models are no models
+    for folder, names in ((mdir, {"Linear_Regression", "Decision_tree", "Random_Forest_untuned", "model"}), (f"{mdir}/runs", None)):
+        out = score_models(spark, folder, str(tmp_path / "test"), f"{folder}-preds", "o_orderkey", "o_totalprice")
+        counts = {r["model"]: r["count"] for r in out.groupBy("model").count().collect()}
+        assert set(counts.values()) == {300}
+        assert set(counts) == names if names else len(counts) == 3
