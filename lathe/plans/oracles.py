@@ -423,3 +423,16 @@ ORACLES["kfold_ols_one_feature"] = with_base(
     f"{r4('avg(se) FILTER (WHERE is_test)')} AS test_mse, {r4('avg(se) FILTER (WHERE NOT is_test)')} AS train_mse "
     "FROM errs GROUP BY fold"
 )
+
+# an uncapped tree over few values predicts the group's mean; so does a forest of such trees
+ORACLES["tree_one_feature"] = ORACLES["forest_one_feature"] = with_base(
+    ", g AS (SELECT n_lines, avg(o_totalprice / 1000.0) AS m FROM imp_train GROUP BY n_lines)\n"
+    f"SELECT i.o_orderkey, {r6('g.m')} AS prediction FROM imp_test i JOIN g ON i.n_lines = g.n_lines"
+)
+
+# least squares leaves residuals that are orthogonal to every feature
+ORACLES["ols_residuals"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, 0.0::DOUBLE AS mean_product" for c in [x[0] for x in RATIOS] + NUMERIC + INDICATORS
+)
+
+ORACLES["model_roundtrip_equal"] = with_base("SELECT count(*) AS n_rows, count(*) AS n_equal FROM test")

@@ -31,6 +31,9 @@ from lathe.plans.queries import fin
 from lathe.session import ensure_checkpoint_dir
 from lathe.tracking import cv_run_records, run_tree
 
+#: Fits of a search that run at the same time: each keeps a binned copy of its rows.
+FITS_AT_ONCE = 4
+
 # --- metrics -------------------------------------------------------------------
 
 
@@ -155,14 +158,14 @@ def q_kfold_ols_one_feature(spark, sf):
 def q_fit_tree_predict(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
-    model = fit_model(decision_tree(seed=SEED, max_depth=8), p.apply(case.train), p.feature_names, LABEL, key=KEY)
+    model = fit_model(decision_tree(seed=SEED), p.apply(case.train), p.feature_names, LABEL, key=KEY)
     return model.transform(p.apply(case.test)).select(KEY, "prediction")
 
 
 def q_fit_forest_predict(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
-    est = random_forest(seed=SEED, n_estimators=10, max_features=6, bootstrap=False, max_depth=8)
+    est = random_forest(seed=SEED, n_estimators=10, max_features=6, bootstrap=False)
     model = fit_model(est, p.apply(case.train), p.feature_names, LABEL, key=KEY)
     return model.transform(p.apply(case.test)).select(KEY, "prediction")
 
@@ -172,12 +175,12 @@ def q_grid_search_forest(spark, sf):
     p = case.prep
     data = hash_folds(p.apply(case.train), KEY, FOLDS, SEED)
     res = grid_search(
-        random_forest(seed=SEED, max_depth=6),
+        random_forest(seed=SEED),
         param_grid(FOREST_GRID),
         data,
         p.feature_names,
         LABEL,
-        parallelism=spark.sparkContext.defaultParallelism,
+        parallelism=FITS_AT_ONCE,
         key=KEY,
     )
     return res.cv_results.withColumn("is_best", F.col("candidate_id") == F.lit(res.best_index))
@@ -192,8 +195,8 @@ def q_score_many_models(spark, sf):
     fits = {
         "ols": lambda: fit_ols(train, feats, LABEL),
         "linear_regression": lambda: fit_model(linear_regression(), train, feats, LABEL),
-        "decision_tree": lambda: fit_model(decision_tree(seed=SEED, max_depth=8), train, feats, LABEL, key=KEY),
-        "random_forest": lambda: fit_model(random_forest(seed=SEED, n_estimators=10, max_depth=8), train, feats, LABEL, key=KEY),
+        "decision_tree": lambda: fit_model(decision_tree(seed=SEED), train, feats, LABEL, key=KEY),
+        "random_forest": lambda: fit_model(random_forest(seed=SEED, n_estimators=10), train, feats, LABEL, key=KEY),
     }
     # independent fits: submit them as concurrent Spark jobs
     with ThreadPoolExecutor(max_workers=len(fits)) as pool:
@@ -206,7 +209,7 @@ def q_score_many_models(spark, sf):
 def q_model_roundtrip(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
-    est = random_forest(seed=SEED, n_estimators=5, max_depth=6)
+    est = random_forest(seed=SEED, n_estimators=5)
     model = fit_model(est, p.apply(case.train), p.feature_names, LABEL, key=KEY)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
     model.write().overwrite().save(path)
@@ -214,6 +217,48 @@ def q_model_roundtrip(spark, sf):
     return loaded.transform(p.apply(case.test)).select(KEY, "prediction")
 
 
+# --- learners whose result SQL can follow --------------------------------------------
+
+
+def _one_feature_predictions(spark, sf, estimator):
+    """Fitted on the prepared line count alone: few values, so an uncapped tree holds a leaf for each."""
+    case = OrderCase(spark, sf)
+    train = case.prepared("train").withColumn(CV_LABEL, F.col(LABEL) / F.lit(1000.0))
+    model = fit_model(estimator, train, ["n_lines"], CV_LABEL, key=KEY)
+    return fin(model.transform(case.prepared("test")).select(KEY, "prediction"))
+
+
+def q_tree_one_feature(spark, sf):
+    return _one_feature_predictions(spark, sf, decision_tree(seed=SEED))
+
+
+def q_forest_one_feature(spark, sf):
+    return _one_feature_predictions(spark, sf, random_forest(seed=SEED, n_estimators=3, bootstrap=False))
+
+
+def q_ols_residuals(spark, sf):
+    """Mean product of the residual and each feature on the training part: zero for least squares."""
+    case = OrderCase(spark, sf)
+    train = case.prepared("train").withColumn(CV_LABEL, F.col(LABEL) / F.lit(1000.0))
+    feats = case.prep.feature_names
+    off = F.col(CV_LABEL) - F.col("prediction")
+    sums = fit_ols(train, feats, CV_LABEL).transform(train).agg(*[F.avg(off * F.col(f"`{c}`")).alias(c) for c in feats])
+    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("mean_product")) for c in feats])
+    return fin(sums.select(F.explode(rows).alias("r")).select("r.feature", "r.mean_product"))
+
+
+def q_model_roundtrip_equal(spark, sf):
+    """Hold-out rows, and those that a saved and reloaded forest predicts as the fitted one did."""
+    case = OrderCase(spark, sf)
+    p = case.prep
+    model = fit_model(random_forest(seed=SEED, n_estimators=5), p.apply(case.train), p.feature_names, LABEL, key=KEY)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
+    model.write().overwrite().save(path)
+    before = model.transform(p.apply(case.test)).withColumnRenamed("prediction", "was").drop("features")
+    both = PipelineModel.load(path).transform(before)
+    return both.agg(F.count("*").alias("n_rows"), F.count_if(F.col("was") == F.col("prediction")).alias("n_equal"))
+
+
 # --- tracking -------------------------------------------------------------------------------
 
 EXPERIMENT_ID = "cv-stand-in"
@@ -304,7 +349,7 @@ def q_pipeline_full(spark, sf):
     ratios = {k: v for k, v in ORDER_RATIOS.items() if k != "bedrooms_per_room"}
     full_pipeline(
         spark, order_features(spark, sf), ORDER_ROLES, store, f"{root}/work", ratios=ratios,
-        test_size=0.25, seed=SEED, grid=FOREST_GRID, max_depth=6, parallelism=spark.sparkContext.defaultParallelism,
+        test_size=0.25, seed=SEED, grid=FOREST_GRID, parallelism=FITS_AT_ONCE,
     )
     tree = run_tree(store.read("runs"), store.read("metrics"))
     return tree.select("run_name", "parent_run_name", "key", "value")
@@ -324,6 +369,10 @@ MODEL_QUERIES = {
     "run_params": q_run_params,
     "run_tree": q_run_tree,
     "input_example": q_input_example,
+    "tree_one_feature": q_tree_one_feature,
+    "forest_one_feature": q_forest_one_feature,
+    "ols_residuals": q_ols_residuals,
+    "model_roundtrip_equal": q_model_roundtrip_equal,
     # rows-only: learner outputs
     "fit_ols_predict": q_fit_ols_predict,
     "kfold_ols": q_kfold_ols,
