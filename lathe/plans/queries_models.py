@@ -175,7 +175,7 @@ def q_grid_search_forest(spark, sf):
     p = case.prep
     data = hash_folds(p.apply(case.train), KEY, FOLDS, SEED)
     res = grid_search(
-        random_forest(seed=SEED),
+        random_forest(seed=SEED, max_depth=6),
         param_grid(FOREST_GRID),
         data,
         p.feature_names,
@@ -349,7 +349,7 @@ def q_pipeline_full(spark, sf):
     ratios = {k: v for k, v in ORDER_RATIOS.items() if k != "bedrooms_per_room"}
     full_pipeline(
         spark, order_features(spark, sf), ORDER_ROLES, store, f"{root}/work", ratios=ratios,
-        test_size=0.25, seed=SEED, grid=FOREST_GRID, parallelism=FITS_AT_ONCE,
+        test_size=0.25, seed=SEED, grid=FOREST_GRID, max_depth=6, parallelism=FITS_AT_ONCE,
     )
     tree = run_tree(store.read("runs"), store.read("metrics"))
     return tree.select("run_name", "parent_run_name", "key", "value")
