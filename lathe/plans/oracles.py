@@ -436,3 +436,68 @@ ORACLES["ols_residuals"] = " UNION ALL ".join(
 )
 
 ORACLES["model_roundtrip_equal"] = with_base("SELECT count(*) AS n_rows, count(*) AS n_equal FROM test")
+
+
+# --- sources, roles, matrices, scoring folders and run records ---------------------------
+
+ORACLES["csv_roundtrip"] = ORACLES["features_base"]
+_prep_cols = ", ".join([KEY, *[n for n, _, _ in RATIOS], *NUMERIC, *[q(i) for i in INDICATORS]])
+ORACLES["prepared_roundtrip"] = with_base(
+    f", a AS ({prepared_sql('imp_train')}), b AS ({prepared_sql('imp_test', with_label=False)})\n"
+    f"SELECT {_prep_cols}, {LABEL}, 'train' AS part FROM a UNION ALL SELECT {_prep_cols}, CAST(NULL AS DOUBLE), 'test' FROM b"
+)
+ORACLES["land_once"] = "SELECT o_orderkey, o_totalprice FROM orders"
+_roles = {KEY: "key", LABEL: "label", "o_orderpriority": "categorical"}
+ORACLES["roles_by_schema"] = with_base(
+    _long(
+        [
+            f"SELECT '{c}' AS column_name, '{_roles.get(c, 'numeric')}' AS role, {c in NUMERIC} AS numeric_type, count({c}) AS n_non_null FROM feat"
+            for c in _feat_cols
+        ]
+    )
+)
+_matrix = [f"coalesce({r6(f'i.{n} / nullif(i.{d}, 0)')}, 0.0)" for _, n, d in RATIOS]
+_matrix += [r6(f"(i.{c} - s.mu_{c}) / s.sd_{c}") for c in NUMERIC]
+_matrix += [f"CASE WHEN i.o_orderpriority = '{c}' THEN 1.0 ELSE 0.0 END" for c in CATEGORIES[1:]]
+ORACLES["vector_matrix"] = with_base(
+    _long([f"SELECT i.{KEY}, CAST({k} AS INTEGER) AS position, CAST({x} AS DOUBLE) AS value FROM imp_test i CROSS JOIN sc s" for k, x in enumerate(_matrix)])
+)
+ORACLES["onehot_sparse"] = """
+WITH fit AS (SELECT * FROM orders WHERE o_orderstatus = 'O'),
+     a AS (SELECT v, row_number() OVER (ORDER BY v) - 2 AS p FROM (SELECT DISTINCT o_orderpriority AS v FROM fit WHERE o_orderpriority IS NOT NULL)),
+     b AS (SELECT v, row_number() OVER (ORDER BY v) - 2 AS p FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS v FROM fit WHERE o_custkey IS NOT NULL)),
+     na AS (SELECT greatest(count(*) - 1, 0) AS n FROM a), nb AS (SELECT greatest(count(*) - 1, 0) AS n FROM b)
+SELECT o.o_orderkey, na.n + nb.n AS n_dims,
+       concat_ws(',', CASE WHEN a.p >= 0 THEN CAST(a.p AS VARCHAR) END, CASE WHEN b.p >= 0 THEN CAST(na.n + b.p AS VARCHAR) END) AS ones
+FROM orders o LEFT JOIN a ON a.v = o.o_orderpriority LEFT JOIN b ON b.v = CAST(o.o_custkey AS VARCHAR) CROSS JOIN na CROSS JOIN nb
+"""
+ORACLES["grid_candidates"] = with_base(
+    f", f AS (SELECT {FOLD_SQL} AS fold, count(*) AS n FROM train GROUP BY 1)\n"
+    ", c AS (SELECT row_number() OVER (ORDER BY bi, fi, ei) - 1 AS candidate_id, "
+    """'{"bootstrap": ' || b || ', "max_features": ' || m || ', "n_estimators": ' || e || '}' AS params """
+    "FROM (VALUES (0, 'true'), (1, 'false')) x(bi, b) CROSS JOIN (VALUES (0, 2), (1, 6)) y(fi, m) CROSS JOIN (VALUES (0, 3), (1, 10)) z(ei, e))\n"
+    "SELECT candidate_id, params, fold, CAST((SELECT sum(n) FROM f) - n AS BIGINT) AS n_train, n AS n_test FROM c CROSS JOIN f"
+)
+ORACLES["train_metrics"] = with_base(
+    ", gm AS (SELECT o_orderpriority, avg(o_totalprice / 1000.0) AS mu FROM train GROUP BY o_orderpriority)"
+    ", scored AS (SELECT t.o_totalprice / 1000.0 AS y, gm.mu AS p FROM train t JOIN gm ON gm.o_orderpriority IS NOT DISTINCT FROM t.o_orderpriority)\n"
+    f"SELECT {_METRIC_SELECT} FROM scored"
+)
+ORACLES["score_models_tables"] = (
+    f"SELECT 'Decision_tree' AS model, o_orderkey, prediction FROM ({ORACLES['tree_one_feature']}) "
+    f"UNION ALL SELECT 'Linear_Regression', o_orderkey, prediction FROM ({ORACLES['ols_predict_one_feature']})"
+)
+ORACLES["experiment_upsert"] = "SELECT DISTINCT substr(md5(o_orderpriority), 1, 18) AS experiment_id, o_orderpriority AS name FROM orders WHERE o_orderpriority IS NOT NULL"
+ORACLES["run_inputs"] = with_base(
+    _long(
+        [
+            f"SELECT '{run}' AS run_name, '{context}' AS context, '{context}' AS name, num_rows, num_elements, digest, '{LABEL}' AS targets FROM ({_digest(part)})"
+            for run, context, part in (("data_ingestion_and_preprocessing", "training", "train"), ("evaluation", "testing", "test"))
+        ]
+    )
+)
+ORACLES["run_durations"] = with_base(
+    "SELECT 'Parent run' AS run_name, CAST(NULL AS VARCHAR) AS parent_run_name, 'FINISHED' AS status, TRUE AS times_fit, CAST(2 AS BIGINT) AS n_children, CAST(NULL AS DOUBLE) AS n_rows "
+    "UNION ALL SELECT 'data_ingestion_and_preprocessing', 'Parent run', 'FINISHED', TRUE, 0, count(*)::DOUBLE FROM train "
+    "UNION ALL SELECT 'evaluation', 'Parent run', 'FINISHED', TRUE, 0, count(*)::DOUBLE FROM test"
+)

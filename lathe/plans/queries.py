@@ -243,8 +243,10 @@ QUERIES: dict[str, Query] = {
 
 def _register_models() -> None:
     from lathe.plans.queries_models import MODEL_QUERIES
+    from lathe.plans.queries_tables import TABLE_QUERIES
 
     QUERIES.update(MODEL_QUERIES)
+    QUERIES.update(TABLE_QUERIES)
 
 
 _register_models()

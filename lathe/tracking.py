@@ -136,6 +136,11 @@ def runs_per_parent(runs: DataFrame) -> DataFrame:
     )
 
 
+def run_durations(runs: DataFrame) -> DataFrame:
+    """Wall time of every finished run in seconds."""
+    return runs.withColumn("seconds", F.col("end_time").cast("double") - F.col("start_time").cast("double"))
+
+
 def dataset_record(df: DataFrame, name: str, targets: str | None = None) -> DataFrame:
     """A datasets row: profile (rows, elements, digest) plus schema and targets."""
     prof = dataset_profile(df)
