@@ -322,9 +322,12 @@ ORACLES["cv_best"] = with_base(
     + f"SELECT candidate_id, {r4('mean_test_score')} AS mean_test_score, rank_test_score FROM ranked "
     "ORDER BY rank_test_score, candidate_id LIMIT 1"
 )
-# random search: the two candidates with the smallest md5(id#42); ids fixed by the grid order
-_SAMPLED = sorted(range(4), key=lambda i: __import__("hashlib").md5(f"{i}#42".encode()).hexdigest())[:2]
-ORACLES["random_candidates"] = with_base(_cv_ctes(sorted(_SAMPLED)) + f"SELECT {_RANKED_COLS} FROM ranked")
+# random search: the two candidates with the smallest md5(id#42), ranked among themselves
+ORACLES["random_candidates"] = with_base(
+    _CV_ALL
+    + ", sampled AS (SELECT * FROM res ORDER BY md5(CAST(candidate_id AS VARCHAR) || '#42') LIMIT 2)\n"
+    + f"SELECT {_RANKED_COLS.replace('rank_test_score', 'CAST(rank() OVER (ORDER BY sampled.mean_test_score DESC) AS BIGINT) AS rank_test_score')} FROM sampled"
+)
 
 
 def _mean_model_test(group: list[str], name: str = "scored") -> str:
@@ -424,10 +427,12 @@ ORACLES["kfold_ols_one_feature"] = with_base(
     "FROM errs GROUP BY fold"
 )
 
-# an uncapped tree over few values predicts the group's mean; so does a forest of such trees
+# an uncapped tree over few values predicts the group's mean; so does a forest of such trees.
+# Splits lie midway between values, so a value that the training part lacks goes to the nearest one (the lower of two).
 ORACLES["tree_one_feature"] = ORACLES["forest_one_feature"] = with_base(
     ", g AS (SELECT n_lines, avg(o_totalprice / 1000.0) AS m FROM imp_train GROUP BY n_lines)\n"
-    f"SELECT i.o_orderkey, {r6('g.m')} AS prediction FROM imp_test i JOIN g ON i.n_lines = g.n_lines"
+    ", near AS (SELECT v.n_lines, arg_min(g.m, abs(g.n_lines - v.n_lines) + g.n_lines * 1e-6) AS m FROM (SELECT DISTINCT n_lines FROM imp_test) v CROSS JOIN g GROUP BY v.n_lines)\n"
+    f"SELECT i.o_orderkey, {r6('near.m')} AS prediction FROM imp_test i JOIN near ON i.n_lines = near.n_lines"
 )
 
 # least squares leaves residuals that are orthogonal to every feature
