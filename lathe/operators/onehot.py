@@ -73,7 +73,7 @@ def fit_onehot(
         found[r["i"]].append(r["v"])
     for i, c in enumerate(cols):
         if len(found[i]) > max_categories:
-            raise ValueError(f"column {c!r} has more than {max_categories} categories")
+            raise ValueError(f"column {c!r} has more than {max_categories} categories: raise max_categories, or use the sparse form")
     return OneHot({c: sorted(found[i]) for i, c in enumerate(cols)}, drop_first)
 
 

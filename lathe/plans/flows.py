@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import os
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +28,14 @@ from lathe.operators.learners import decision_tree, fit_model, linear_regression
 from lathe.operators.linear import fit_ols
 from lathe.operators.metrics import evaluate, regression_metrics
 from lathe.operators.prep import FittedPrep, PrepSpec
-from lathe.operators.profile import input_example, signature
+from lathe.operators.profile import check_signature, input_example, signature
 from lathe.operators.search import grid_search, param_grid
 from lathe.operators.split import hash_folds, split_approx, split_exact
 from lathe.plans.cases import LABEL, OrderCase
 from lathe.roles import Roles
 from lathe.session import materialize
 from lathe.sources.files import land_once, load_labelled, write_predictions, write_table
-from lathe.sources.models import is_model, load_model, save_model
+from lathe.sources.models import has_folder, is_model, load_model, save_model
 from lathe.tracking import TrackingStore, cv_run_records
 
 # The names the tracked run logs under, and the forest grid.
@@ -150,7 +151,14 @@ def train_models(
     )
     out["Random_Forest"] = {"model": res.best_model, "search": res}
     if store:
-        store.append_records(cv_run_records(res.cv_results, exp_id, "Random_Forest", res.folds, log_best_only=True))
+        records = cv_run_records(res.cv_results, exp_id, "Random_Forest", res.folds, log_best_only=True, search_id=uuid.uuid4().hex)
+        store.append_records(records)
+        if model_dir:
+            # the best run keeps its model, input signature and CV table
+            path = os.path.join(model_dir, "best", records["runs"].first()["run_id"])
+            save_model(train.sparkSession, res.best_model, path)
+            write_table(signature(train.select(*features)), path + "_signature")
+            write_table(res.cv_results, path + "_cv_results")
     if model_dir:
         write_table(res.cv_results, os.path.join(model_dir, "cv_results"))
     if model_dir:
@@ -161,9 +169,17 @@ def train_models(
 def score(spark: SparkSession, model_path: str, data_path: str, target_col: str, fmt: str = "parquet") -> dict:
     model = load_model(spark, model_path)
     df, _ = load_labelled(spark, data_path, target_col, fmt)
+    enforce_signature(spark, model_path, df)
     return evaluate(model, df, target_col)
 
 
+def enforce_signature(spark: SparkSession, model_path: str, df: DataFrame) -> None:
+    """Raise where a signature is kept beside the model and ``df`` does not match it."""
+    if has_folder(spark, model_path + "_signature"):
+        kept = spark.read.parquet(model_path + "_signature").orderBy("position").collect()
+        check_signature([(r["column_name"], r["data_type"]) for r in kept], df)
+
+
 def list_models(spark: SparkSession, model_dir: str) -> list[tuple[str, str]]:
     """(name, path) of every model directly under ``model_dir``; signatures, examples and other tables beside them are passed over."""
     jvm = spark.sparkContext._jvm
@@ -196,6 +212,7 @@ def score_models(
     keep = [key] + ([target_col] if target_col else [])
     parts = []
     for name, path in list_models(spark, model_dir):
+        enforce_signature(spark, path, df)
         model = load_model(spark, path)
         parts.append(model.transform(df).select(F.lit(name).alias("model"), *keep, F.col("prediction").alias("Predictions")))
     if not parts:
@@ -242,7 +259,8 @@ def full_pipeline(
             parallelism=parallelism, key=roles.key,
         )
         with store.start_run(BEST_RUN, exp_id, parent) as run:
-            store.log_params(run, {CV_FOLDS_PARAM: res.folds, **res.best_params})
+            fitted = {p.name: v for p, v in res.best_model.stages[-1].extractParamMap().items()}
+            store.log_params(run, {CV_FOLDS_PARAM: res.folds, **fitted, **res.best_params})
             store.log_metrics(run, {CV_METRIC: res.best_score})
             model_path = os.path.join(work_dir, "models", run.run_id)
             save_model(spark, res.best_model, model_path)

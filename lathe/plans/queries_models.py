@@ -29,7 +29,7 @@ from lathe.plans.cases import CV_LABEL, FOLDS, KEY, LABEL, MEAN_GRID, SEED, Orde
 from lathe.plans.flows import CV_METRIC, EVAL_METRICS, EVAL_RUN, FOREST_GRID, INGEST_RUN, PARENT_RUN
 from lathe.plans.queries import fin
 from lathe.session import ensure_checkpoint_dir
-from lathe.tracking import cv_run_records, run_tree
+from lathe.tracking import TrackingStore, cv_run_records, run_tree
 
 #: Fits of a search that run at the same time: each keeps a binned copy of its rows.
 FITS_AT_ONCE = 4
@@ -292,32 +292,17 @@ def q_run_tree(spark, sf):
     group_by = json.loads(best["params"])["group_by"]
     scored = _mean_model_scored_with(case, group_by)
     ev = regression_metrics(scored, CV_LABEL)
-    runs = spark.createDataFrame(
-        [
-            ("p", None, PARENT_RUN),
-            ("i", "p", INGEST_RUN),
-            ("b", "p", "Group_Mean_best_model"),
-            ("e", "p", EVAL_RUN),
-        ],
-        "run_id string, parent_run_id string, run_name string",
-    )
-    metrics = (
-        best_candidate(cv)
-        .select(F.lit("b").alias("run_id"), F.lit(CV_METRIC).alias("key"), F.col("mean_test_score").alias("value"))
-        .unionByName(
-            ev.select(
-                F.lit("e").alias("run_id"),
-                F.explode(
-                    F.array(
-                        *[
-                            F.struct(F.lit(name).alias("key"), F.col(col).alias("value"))
-                            for name, col in zip(EVAL_METRICS, ("mae", "rmse", "r2"))
-                        ]
-                    )
-                ).alias("m"),
-            ).select("run_id", "m.key", "m.value")
-        )
-    )
+    store = TrackingStore(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/tracking/{uuid.uuid4().hex}")
+    exp = store.experiment(EXPERIMENT_ID)
+    with store.start_run(PARENT_RUN, exp) as parent:
+        with store.start_run(INGEST_RUN, exp, parent):
+            pass
+        with store.start_run("Group_Mean_best_model", exp, parent) as run:
+            store.log_metrics(run, {CV_METRIC: best["mean_test_score"]})
+        with store.start_run(EVAL_RUN, exp, parent) as run:
+            got = ev.first()
+            store.log_metrics(run, dict(zip(EVAL_METRICS, (got["mae"], got["rmse"], got["r2"]))))
+    runs, metrics = store.read("runs"), store.read("metrics")
     tree = run_tree(runs, metrics)
     return fin(tree.select("run_name", "parent_run_name", "key", "value"), 4)
 
@@ -342,7 +327,6 @@ def q_pipeline_full(spark, sf):
     """
     from lathe.plans.flows import full_pipeline
     from lathe.sources.tables import ORDER_RATIOS, ORDER_ROLES, order_features
-    from lathe.tracking import TrackingStore
 
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
     store = TrackingStore(spark, f"{root}/tracking")

@@ -43,9 +43,9 @@ SCHEMAS = {
 }
 
 
-def run_id_expr(experiment_id: Column, run_name: Column) -> Column:
-    """Deterministic run id: md5 of experiment id and run name."""
-    return F.md5(F.concat_ws("/", experiment_id, run_name))
+def run_id_expr(experiment_id: Column, run_name: Column, search_id: str | None = None) -> Column:
+    """Deterministic run id: md5 of experiment id, run name and, where given, the search that made the run."""
+    return F.md5(F.concat_ws("/", experiment_id, run_name, *([F.lit(search_id)] if search_id else [])))
 
 
 def cv_run_records(
@@ -57,12 +57,14 @@ def cv_run_records(
     log_best_only: bool = False,
     tags: dict[str, str] | None = None,
     now_ms: int | None = None,
+    search_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """One run per candidate (or the best only), named ``<model>_<candidate>``.
 
     params: ``folds`` plus the candidate's parameters (from its JSON text);
     metrics: every ``mean_test*`` column and its ``std`` twin;
     tags: the given tags plus ``best_run`` on the best candidate's run.
+    ``search_id`` keeps the run ids of several searches of one model apart.
     """
     now_ms = int(time.time() * 1000) if now_ms is None else now_ms
     ts = F.timestamp_millis(F.lit(now_ms))
@@ -70,7 +72,7 @@ def cv_run_records(
     runs = (
         cv_results.withColumn("is_best", F.col("candidate_id") == best_id)
         .withColumn("run_name", F.concat_ws("_", F.lit(model_name), F.col("candidate_id").cast("string")))
-        .withColumn("run_id", run_id_expr(F.lit(experiment_id), F.col("run_name")))
+        .withColumn("run_id", run_id_expr(F.lit(experiment_id), F.col("run_name"), search_id))
     )
     if log_best_only:
         runs = runs.filter("is_best")

@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from lathe.plans.cases import OrderCase
@@ -154,3 +155,11 @@ def test_trained_folder_scores_with_every_model(spark, sf0001, tmp_path):
         counts = {r["model"]: r["count"] for r in out.groupBy("model").count().collect()}
         assert set(counts.values()) == {300}
         assert set(counts) == names if names else len(counts) == 3
+    # the best run of the search keeps its model under its own id
+    best = store.read("runs").where("run_name like 'Random_Forest_%' and run_name <> 'Random_Forest_untuned'").first()["run_id"]
+    out = score_models(spark, f"{mdir}/best", str(tmp_path / "test"), str(tmp_path / "best-preds"), "o_orderkey")
+    assert {r["model"] for r in out.select("model").distinct().collect()} == {best}
+    # a table without a column of the signature is refused before it is scored
+    ing.test.drop("n_lines").write.parquet(str(tmp_path / "narrow"))
+    with pytest.raises(ValueError, match="signature"):
+        score_models(spark, f"{mdir}/runs", str(tmp_path / "narrow"), str(tmp_path / "none"), "o_orderkey")

@@ -18,6 +18,12 @@ SUBSET = [
     "cv_results_ranked",
     "linreg_one_feature",
     "profile_dataset",
+    "onehot_sparse",
+    "prepared_roundtrip",
+    "score_models_tables",
+    "run_inputs",
+    "run_tree",
+    "random_candidates",
 ]
 
 

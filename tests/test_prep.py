@@ -183,3 +183,27 @@ def test_apply_is_one_projection(spark):
     fp = PrepSpec(numeric=tuple(NUM), categorical=("ocean_proximity",), ratios=dict(HOUSING_RATIOS)).fit(df)
     plan = fp.apply(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Project") == 1 and "Join" not in plan and "Aggregate" not in plan
+
+
+def test_sparse_onehot_matches_dense_order(spark):
+    from lathe.operators.onehot import category_table, sparse_onehot
+
+    rows = [(i, v, w) for i, (v, w) in enumerate([("b", 3), ("a", 10), (None, 3), ("c", None), ("zz", 2), ("b", 2), ("b", 2)])]
+    df = spark.createDataFrame(rows, "k long, v string, w long")
+    table = category_table(df.where("k <> 4"), ["v", "w"])
+    numbered = {(r["column_name"], r["category"]): r["position"] for r in table.collect()}
+    assert numbered == {("v", "a"): 0, ("v", "b"): 1, ("v", "c"): 2, ("w", "10"): 0, ("w", "2"): 1, ("w", "3"): 2}
+    got = {r["k"]: r["ones"] for r in sparse_onehot(df, ["v", "w"], table).collect()}
+    # the first category of each column, missing and unknown values have no one
+    assert got == {0: [0, 3], 1: [], 2: [3], 3: [1], 4: [2], 5: [0, 2], 6: [0, 2]}
+    empty = df.where("k < 0")
+    assert sparse_onehot(df, ["v", "w"], category_table(empty, ["v", "w"])).where("size(ones) > 0 or n_dims > 0").count() == 0
+
+
+def test_category_table_numbers_across_prefixes(spark):
+    from lathe.operators.onehot import category_table
+
+    values = [f"{a}{b}{n}" for a in "xyz" for b in "ab" for n in range(150)] + ["", "x", "xa"]
+    got = category_table(spark.createDataFrame([(v,) for v in values * 2], "c string"), ["c"]).collect()
+    assert [r["category"] for r in sorted(got, key=lambda r: r["position"])] == sorted(values)
+    assert sorted(r["position"] for r in got) == list(range(len(values)))

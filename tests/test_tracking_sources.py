@@ -125,3 +125,9 @@ def test_compact_keeps_rows(spark, tmp_path):
     assert before == after and len(after) == 5
     files = [f for f in os.listdir(str(tmp_path / "track" / "metrics")) if f.endswith(".parquet")]
     assert len(files) == 1
+
+
+def test_two_searches_of_a_model_get_their_own_runs(spark):
+    cv = spark.createDataFrame([(0, "{}", -1.0, 0.1, 1)], "candidate_id long, params string, mean_test_score double, std_test_score double, rank_test_score long")
+    ids = {cv_run_records(cv, "e", "m", 5, search_id=s)["runs"].first()["run_id"] for s in (None, "a", "b")}
+    assert len(ids) == 3
