@@ -1,17 +1,17 @@
-"""Benchmark decontamination: rare n-gram seeds find candidate passages, Smith-Waterman scores them.
+"""Benchmark decontamination: n-gram seeds find candidate passages, Smith-Waterman scores them.
 
 1. Every run of ``seed_words`` words of a test item is a seed (a shorter item is
    one seed, whole). One pass over all texts lists where seeds occur.
-2. The number of documents with each seed is counted over the corpus. An item
-   keeps the rarer half of its seeds (ties kept, ``least_seeds`` at least) and
-   any seed in at most ``rare_share`` of all documents: a leak into very many
-   documents makes all seeds of an item frequent, and still keeps half of them.
-3. Occurrences join the items' seeds; those of one item on nearby diagonals
-   make a window of the text, at most three times as long as the item.
-4. Each window is aligned with its item, word by word, by Smith-Waterman (match
-   2, mismatch and gap -1), so copies with words changed, lost or put in score
-   high. ``score`` is the best local score over that of a full match, of the
-   item or, for long items, of ``full_words`` words.
+2. Occurrences join the items' seeds, every one however frequent: which seeds
+   an edited copy keeps can't be told from counts. Those of one item on nearby
+   diagonals make a window of the text, at most three times as long as the item.
+3. A window that holds too few of its item's words for ``at_least``, were all
+   of them matched, is left out; no pair is lost by that.
+4. Each other window is aligned with its item, word by word, by Smith-Waterman
+   (match 2, mismatch and gap -1), so copies with words changed, lost or put in
+   score high. ``score`` is the best local score over that of a full match, of
+   the item or, for long items, of ``full_words`` words. A copy that keeps no
+   seed (every third word changed, say) is not found.
 
 Items are taken in blocks of ``block_words`` words, one pass over the texts per
 block, so what is broadcast is bounded. Null or empty texts and items have no
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathe.llm.common import arrow_batches, blocks, cut, only, small_enough, texts_of
@@ -97,7 +97,12 @@ def align(items: list[np.ndarray], windows: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def _aligned(shared):
+def _may_score(item: np.ndarray, window: np.ndarray, full_words: int, at_least: float) -> bool:
+    """Whether the score could be ``at_least``: a match needs one of the item's words that the window has."""
+    return np.isin(item, window).sum() / min(len(item), full_words) >= at_least
+
+
+def _aligned(shared, full_words: int, at_least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in batches:
@@ -110,6 +115,8 @@ def _aligned(shared):
                 for i, (a, b) in enumerate(zip(words.off[:-1], words.off[1:], strict=True)):
                     for w in lists[lo + i].as_py():
                         s, e = max(0, w["start"]), min(int(b - a), w["end"])
+                        if not _may_score(items[w["item"]], h[a + s : a + e], full_words, at_least):
+                            continue
                         doc.append(ids[lo + i])
                         item.append(w["item"])
                         start.append(s)
@@ -123,35 +130,29 @@ def _aligned(shared):
     return run
 
 
-def _block(docs: DataFrame, items: dict[int, np.ndarray], seed_words: int, rare_share: float, least_seeds: int, n_docs: int) -> DataFrame:
+def _block(docs: DataFrame, items: dict[int, np.ndarray], seed_words: int, full_words: int, at_least: float) -> DataFrame:
     spark = docs.sparkSession
     rows = [(int(i), s, k, len(h)) for i, h in items.items() for k, s in enumerate(_seeds_of(h, seed_words).view(np.int64).tolist())]
     seeds = np.unique(np.array([r[1] for r in rows], np.int64).view(U))
     sizes = sorted({min(seed_words, len(h)) for h in items.values()})
     own = spark.createDataFrame(rows, "item long, seed long, pos long, words long")
     hits = cut(docs.mapInArrow(_occurrences(seeds, sizes), "id long, seed long, at long"))
-    df = hits.select("id", "seed").distinct().groupBy("seed").agg(F.count("*").alias("df"))
-    ranked = own.join(F.broadcast(df) if len(seeds) <= 200_000 else df, "seed", "left").na.fill(0, ["df"])
-    by = Window.partitionBy("item")  # seeds of one item of the block, no more
-    ranked = ranked.withColumn("rank", F.rank().over(by.orderBy("df"))).withColumn("seeds", F.count("*").over(by))
-    rare = ranked.where((F.col("rank") <= F.greatest(F.ceil(F.col("seeds") / 2), F.lit(least_seeds))) | (F.col("df") <= F.lit(rare_share * n_docs))).select("item", "seed", "pos", "words")
-    met = hits.join(F.broadcast(rare) if len(rows) <= 200_000 else rare, "seed").withColumn("diagonal", F.col("at") - F.col("pos"))
+    met = hits.join(F.broadcast(own) if len(rows) <= 200_000 else own, "seed").withColumn("diagonal", F.col("at") - F.col("pos"))
     windows = met.groupBy("id", "item", "words", F.floor(F.col("diagonal") / F.col("words")).alias("near")).agg(F.min("diagonal").alias("lo"), F.max("diagonal").alias("hi"))
     windows = windows.select("id", F.struct("item", (F.col("lo") - F.ceil(F.col("words") / 2)).alias("start"), (F.col("hi") + F.ceil(F.col("words") * 1.5)).alias("end")).alias("w"))
     windows = cut(windows.groupBy("id").agg(F.collect_list("w").alias("windows")))  # of one text: as many as its length and the items allow
     shared = spark.sparkContext.broadcast(items)
-    return docs.join(small_enough(windows), "id").select("id", "text", "windows").mapInArrow(_aligned(shared), "id long, item long, start long, end long, raw long, words long")
+    return docs.join(small_enough(windows), "id").select("id", "text", "windows").mapInArrow(_aligned(shared, full_words, at_least), "id long, item long, start long, end long, raw long, words long")
 
 
 def leaks(
     documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    seed_words: int = 3, rare_share: float = 1e-5, least_seeds: int = 8, full_words: int = 32, at_least: float = 0.5, block_words: int = 1_000_000,
+    seed_words: int = 3, full_words: int = 32, at_least: float = 0.5, block_words: int = 1_000_000,
 ) -> DataFrame:
     """(id, item, score, word_from, word_to): pairs whose alignment score is ``at_least`` that, with the window's words."""
     spark = documents.sparkSession
     arrow_batches(spark)
     docs = only(documents, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
-    n_docs = docs.count()
     test = only(benchmark, item=item_col, text=item_text).where("text is not null and item is not null").withColumn("n", F.length("text"))
     n_blocks = int((test.agg(F.sum("n")).first()[0] or 0) // (5 * block_words)) + 1
     out = None
@@ -163,7 +164,7 @@ def leaks(
             h = words.hashes()
             items = {int(i): h[a:b] for i, a, b in zip(rows["item"], words.off[:-1], words.off[1:], strict=True) if b > a}
         if items:
-            part = _block(docs, items, seed_words, rare_share, least_seeds, n_docs)
+            part = _block(docs, items, seed_words, full_words, at_least)
             out = part if out is None else out.union(part)
     if out is None:
         out = spark.createDataFrame([], "id long, item long, start long, end long, raw long, words long")

@@ -260,6 +260,20 @@ def test_leaks_found_copies_edits_and_nothing_else(spark, docs):
     assert {(r.doc_id, r.item_id) for r in blocks.collect()} == want | {(902, 52)}
 
 
+@pytest.mark.parametrize("others", [0, 120_000])
+@pytest.mark.parametrize("beside", [False, True])
+def test_edited_copies_are_leaks_whatever_else_is_there(spark, others, beside):
+    rng = random.Random(9)
+    items = [" ".join(f"{'é' if k % 4 == 3 else 'e'}{i}x{rng.randrange(10**6)}" for k in range(26)) for i in range(3)]
+    changed = [" ".join("other" if k % 4 == 3 else x for k, x in enumerate(t.split())) for t in items]
+    rows = [(10 * i + k, f"{prose(rng, 40, 2000)} {t} {prose(rng, 40, 2000)}") for i in range(3) for k, t in enumerate([changed[i], changed[i], items[i].upper()])]
+    if beside:
+        rows += [(10 * i + 3, items[i]) for i in range(3)]
+    test = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").union(spark.range(1000, 1000 + others).select("id", F.lit("nothing of the kind")))
+    assert {(r.doc_id, r.item_id) for r in op08_decontam.leaks(docs, test).collect()} == {(i, i // 10) for i, _ in rows}
+
+
 SYLLABLES = {"aa": ["ba", "be", "bi", "bo"], "bb": ["ka", "ke", "ki", "ko"]}
 
 
