@@ -11,9 +11,10 @@ shuffle: its range is cut evenly, so no sample is needed to balance it.
 Null sources are a source of their own. Null and empty texts count as 0 bytes
 and are copied like any other row; a source of 0 bytes keeps each row once.
 Sources without a target have weight 0 if ``weights`` are given, and else a share
-by size to the power ``temper``. Equal ids draw equal numbers. Empty tables give
-empty results; every column of the rows is kept, but for those with the names
-of the four added ones (rate, copies, copy, place), which these replace.
+by size to the power ``temper``. Equal ids draw equal numbers; a row without
+an id draws by the md5 of its text. Empty tables give empty results; every
+column of the rows is kept, but for those with the names of the four added ones
+(rate, copies, copy, place), which these replace.
 """
 
 from __future__ import annotations
@@ -65,13 +66,14 @@ def mixed(
     steps = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), draws.alias("_draws"), poisson_steps(F.col("rate") / draws).alias("_steps"))
     rates.unpersist()
     documents = documents.drop("rate", "copies", "copy", "place")
+    key = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.md5(F.col(f"`{text_col}`")), F.lit(""))
     rows = documents.join(small_enough(steps, 10_000), documents[source_col].eqNullSafe(F.col("_source")))
-    first = F.size(F.filter("_steps", lambda c: c <= unit(F.col(f"`{id_col}`"), seed)))
-    more = F.aggregate(F.sequence(F.lit(1), F.col("_draws") - 1), F.lit(0), lambda n, j: n + F.size(F.filter("_steps", lambda c: c <= unit(F.concat(F.col(f"`{id_col}`").cast("string"), F.lit("+"), j.cast("string")), seed))))
+    first = F.size(F.filter("_steps", lambda c: c <= unit(key, seed)))
+    more = F.aggregate(F.sequence(F.lit(1), F.col("_draws") - 1), F.lit(0), lambda n, j: n + F.size(F.filter("_steps", lambda c: c <= unit(F.concat(key, F.lit("+"), j.cast("string")), seed))))
     copies = F.when(F.col("_draws") > 1, first + more).otherwise(first)
     rows = rows.select(*[documents[c] for c in documents.columns], F.col("_rate").alias("rate"), copies.alias("copies")).where("copies > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    rows = rows.withColumn("place", unit(F.concat(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), F.lit("#"), F.col("copy").cast("string")), seed + "-place"))
+    rows = rows.withColumn("place", unit(F.concat(key, F.lit("#"), F.col("copy").cast("string")), seed + "-place"))
     parts = int(total // partition_bytes) + 1
     parts = max(parts, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return rows.repartitionById(parts, F.floor(F.col("place") * parts).cast("int")).sortWithinPartitions("place", id_col, "copy")

@@ -224,6 +224,24 @@ def test_poisson_mix(docs, spark):
     assert twice[0] == twice[1]
 
 
+@pytest.mark.parametrize("size", [40.0, 2000.0])
+def test_rows_without_an_id_are_mixed_by_their_rate(spark, size):
+    df = spark.createDataFrame([(None, "abcd", "hot"), (1, "abcd", "hot"), (None, "abcd", "off")], "doc_id long, text string, source string")
+    got = op02_mixing.mixed(df, weights={"hot": 1.0, "off": 0.0}, size=size).collect()
+    rate = 3 * size / 2
+    for i in (None, 1):
+        own = [r for r in got if r.doc_id == i]
+        assert {r.source for r in own} == {"hot"} and abs(len(own) - rate) < 6 * rate**0.5
+        assert sorted(r["copy"] for r in own) == list(range(1, len(own) + 1)) and {r.copies for r in own} == {len(own)}
+        assert len({r.place for r in own}) == len(own)
+
+
+def test_rows_without_an_id_draw_one_by_one(spark):
+    df = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.format_string("%04d", "id").alias("text"), F.lit("s").alias("source"))
+    got = op02_mixing.mixed(df.union(df.limit(1).withColumn("text", F.lit(None).cast("string"))), size=0.5).collect()
+    assert abs(len(got) - 1000) < 200 and len({r.text for r in got}) > 600 and {r.doc_id for r in got} == {None}
+
+
 def brute_align(item, text):
     h = np.zeros((len(item) + 1, len(text) + 1), int)
     for i, a in enumerate(item):
