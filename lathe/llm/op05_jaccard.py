@@ -24,8 +24,10 @@ shingles). Its steps, each a Spark job over the output of the one before:
    components, so that no link between different components is missed.
 
 Nulls and texts without words have empty sets and link with nothing. Ties and
-repeated rows: rows are told apart by id, equal texts are one class. An empty
-table gives an empty result. Other columns are not read.
+repeated rows: rows are told apart by id, equal texts are one class. A row
+without an id is counted, links with nothing and has a null component, so
+``one_of_each`` keeps it. An empty table gives an empty result. Other columns are
+not read.
 """
 
 from __future__ import annotations
@@ -267,7 +269,9 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
     spark = documents.sparkSession
     docs = only(documents, id=id_col, text=text_col)
     table = shingle_table(docs, words)
-    sets = table.where("id is not null").select("id", "n", "k1", "k2", "small")
+    docs = docs.where("id is not null")
+    sets = table.where("shingle is null and id is not null").select("id", "n", "k1", "k2", "small")
+    alone = table.where("shingle is null and id is null").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id"))
     classes = cut(sets.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
     repeats = table.where("shingle is not null").groupBy("shingle").agg(F.sum("repeats").alias("df")).orderBy(F.desc("df"), "shingle").limit(RANKED).toPandas()
     order = np.argsort(h := repeats["shingle"].to_numpy(np.int64).view(U))
@@ -308,6 +312,7 @@ def jaccard_components(documents: DataFrame, id_col: str = "doc_id", text_col: s
         sets.select("id", "n").join(rep, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
         .join(comp.withColumnRenamed("id", "rep"), "rep", "left")
         .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+        .union(alone)
     )
 
 

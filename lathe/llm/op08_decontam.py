@@ -15,8 +15,9 @@
 
 Items are taken in blocks of ``block_words`` words, one pass over the texts per
 block, so what is broadcast is bounded. Null or empty texts and items have no
-seeds and match nothing; equal rows are told apart by id; empty tables give an
-empty result; other columns are not read.
+seeds and match nothing; rows are told apart by id, those without one by a hash
+of their text (``leaks`` gives them a null id); empty tables give an empty result;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathe.llm.common import arrow_batches, blocks, cut, only, small_enough, texts_of
@@ -35,6 +36,13 @@ MATCH, OTHER, GAP = 2, -1, -1
 #: Cells of one row of alignments that are filled together.
 CELLS = 1 << 19
 BITS = 20
+FOUND = "id long, noid boolean, item long, start long, end long, raw long, words long"
+
+
+def _key(id_col: str, text_col: str) -> list[Column]:
+    """(id, noid): what a row is told apart by, never null."""
+    own = F.col(f"`{id_col}`").cast("long")
+    return [F.coalesce(own, F.xxhash64(F.col(f"`{text_col}`"))), own.isNull()]
 
 
 def _seeds_of(h: np.ndarray, size: int) -> np.ndarray:
@@ -47,7 +55,7 @@ def _occurrences(seeds: np.ndarray, sizes: list[int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, ids = texts_of(batch), batch.column(0).to_numpy(zero_copy_only=False)
+            texts, ids, noid = texts_of(batch), *(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
             for lo, hi in blocks(texts):
                 words = Words(texts[lo:hi])
                 h = words.hashes()
@@ -59,7 +67,7 @@ def _occurrences(seeds: np.ndarray, sizes: list[int]):
                     got, at = got[found], at[found]
                     if len(got):
                         doc = np.searchsorted(words.off, at, "right") - 1
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][doc]), pa.array(got.view(np.int64)), pa.array((at - words.off[doc]).astype(np.int64))], names=["id", "seed", "at"])
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][doc]), pa.array(noid[lo:hi][doc]), pa.array(got.view(np.int64)), pa.array((at - words.off[doc]).astype(np.int64))], names=["id", "noid", "seed", "at"])
 
     return run
 
@@ -106,18 +114,19 @@ def _aligned(shared, full_words: int, at_least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
         for batch in batches:
-            texts, ids = texts_of(batch), batch.column(0).to_pylist()
+            texts, ids, noid = texts_of(batch), batch.column(0).to_pylist(), batch.column(1).to_pylist()
             lists = batch.column(batch.schema.get_field_index("windows"))
             for lo, hi in blocks(texts):
                 words = Words(texts[lo:hi])
                 h = words.hashes()
-                doc, item, start, end, what, where = [], [], [], [], [], []
+                doc, bare, item, start, end, what, where = [], [], [], [], [], [], []
                 for i, (a, b) in enumerate(zip(words.off[:-1], words.off[1:], strict=True)):
                     for w in lists[lo + i].as_py():
                         s, e = max(0, w["start"]), min(int(b - a), w["end"])
                         if not _may_score(items[w["item"]], h[a + s : a + e], full_words, at_least):
                             continue
                         doc.append(ids[lo + i])
+                        bare.append(noid[lo + i])
                         item.append(w["item"])
                         start.append(s)
                         end.append(e)
@@ -125,7 +134,7 @@ def _aligned(shared, full_words: int, at_least: float):
                         where.append(h[a + s : a + e])
                 if doc:
                     raw = align(what, where)
-                    yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(item, pa.int64()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(raw.astype(np.int64)), pa.array([len(x) for x in what], pa.int64())], names=["id", "item", "start", "end", "raw", "words"])
+                    yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(bare, pa.bool_()), pa.array(item, pa.int64()), pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(raw.astype(np.int64)), pa.array([len(x) for x in what], pa.int64())], names=["id", "noid", "item", "start", "end", "raw", "words"])
 
     return run
 
@@ -136,23 +145,21 @@ def _block(docs: DataFrame, items: dict[int, np.ndarray], seed_words: int, full_
     seeds = np.unique(np.array([r[1] for r in rows], np.int64).view(U))
     sizes = sorted({min(seed_words, len(h)) for h in items.values()})
     own = spark.createDataFrame(rows, "item long, seed long, pos long, words long")
-    hits = cut(docs.mapInArrow(_occurrences(seeds, sizes), "id long, seed long, at long"))
+    hits = cut(docs.mapInArrow(_occurrences(seeds, sizes), "id long, noid boolean, seed long, at long"))
     met = hits.join(F.broadcast(own) if len(rows) <= 200_000 else own, "seed").withColumn("diagonal", F.col("at") - F.col("pos"))
-    windows = met.groupBy("id", "item", "words", F.floor(F.col("diagonal") / F.col("words")).alias("near")).agg(F.min("diagonal").alias("lo"), F.max("diagonal").alias("hi"))
-    windows = windows.select("id", F.struct("item", (F.col("lo") - F.ceil(F.col("words") / 2)).alias("start"), (F.col("hi") + F.ceil(F.col("words") * 1.5)).alias("end")).alias("w"))
-    windows = cut(windows.groupBy("id").agg(F.collect_list("w").alias("windows")))  # of one text: as many as its length and the items allow
+    windows = met.groupBy("id", "noid", "item", "words", F.floor(F.col("diagonal") / F.col("words")).alias("near")).agg(F.min("diagonal").alias("lo"), F.max("diagonal").alias("hi"))
+    windows = windows.select("id", "noid", F.struct("item", (F.col("lo") - F.ceil(F.col("words") / 2)).alias("start"), (F.col("hi") + F.ceil(F.col("words") * 1.5)).alias("end")).alias("w"))
+    windows = cut(windows.groupBy("id", "noid").agg(F.collect_list("w").alias("windows")))  # of one text: as many as its length and the items allow
     shared = spark.sparkContext.broadcast(items)
-    return docs.join(small_enough(windows), "id").select("id", "text", "windows").mapInArrow(_aligned(shared, full_words, at_least), "id long, item long, start long, end long, raw long, words long")
+    return docs.join(small_enough(windows), ["id", "noid"]).select("id", "noid", "text", "windows").mapInArrow(_aligned(shared, full_words, at_least), FOUND)
 
 
-def leaks(
-    documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
-    seed_words: int = 3, full_words: int = 32, at_least: float = 0.5, block_words: int = 1_000_000,
-) -> DataFrame:
-    """(id, item, score, word_from, word_to): pairs whose alignment score is ``at_least`` that, with the window's words."""
+def _found(documents: DataFrame, benchmark: DataFrame, id_col: str, text_col: str, item_col: str, item_text: str, seed_words: int, full_words: int, at_least: float, block_words: int) -> DataFrame:
+    """(id, noid, item, b): the best window of each pair whose score is ``at_least`` that."""
     spark = documents.sparkSession
     arrow_batches(spark)
-    docs = only(documents, id=id_col, text=text_col).withColumn("id", F.col("id").cast("long"))
+    key, noid = _key(id_col, text_col)
+    docs = documents.select(key.alias("id"), noid.alias("noid"), F.col(f"`{text_col}`").alias("text"))
     test = only(benchmark, item=item_col, text=item_text).where("text is not null and item is not null").withColumn("n", F.length("text"))
     n_blocks = int((test.agg(F.sum("n")).first()[0] or 0) // (5 * block_words)) + 1
     out = None
@@ -167,13 +174,26 @@ def leaks(
             part = _block(docs, items, seed_words, full_words, at_least)
             out = part if out is None else out.union(part)
     if out is None:
-        out = spark.createDataFrame([], "id long, item long, start long, end long, raw long, words long")
+        out = spark.createDataFrame([], FOUND)
     share = F.least(F.lit(1.0), F.col("raw") / (F.least("words", F.lit(full_words)) * float(MATCH)))
-    best = out.withColumn("score", share).where(F.col("score") >= at_least).groupBy("id", "item").agg(F.max(F.struct("score", -F.col("start"), -F.col("end"))).alias("b"))
-    return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), F.round("b.score", 6).alias("score"), (-F.col("b.col2")).alias("word_from"), (-F.col("b.col3")).alias("word_to"))
+    return out.withColumn("score", share).where(F.col("score") >= at_least).groupBy("id", "noid", "item").agg(F.max(F.struct("score", -F.col("start"), -F.col("end"))).alias("b"))
 
 
-def decontaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
+def leaks(
+    documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+    seed_words: int = 3, full_words: int = 32, at_least: float = 0.5, block_words: int = 1_000_000,
+) -> DataFrame:
+    """(id, item, score, word_from, word_to): pairs whose alignment score is ``at_least`` that, with the window's words."""
+    best = _found(documents, benchmark, id_col, text_col, item_col, item_text, seed_words, full_words, at_least, block_words)
+    return best.select(F.when(~F.col("noid"), F.col("id")).alias(id_col), F.col("item").alias(item_col), F.round("b.score", 6).alias("score"), (-F.col("b.col2")).alias("word_from"), (-F.col("b.col3")).alias("word_to"))
+
+
+def decontaminated(
+    documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+    seed_words: int = 3, full_words: int = 32, at_least: float = 0.5, block_words: int = 1_000_000,
+) -> DataFrame:
     """The rows of ``documents`` with no passage of the benchmark."""
-    bad = cut(leaks(documents, benchmark, id_col, **params).select(id_col).distinct())
-    return documents.join(small_enough(bad), id_col, "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])
+    found = _found(documents, benchmark, id_col, text_col, item_col, item_text, seed_words, full_words, at_least, block_words)
+    bad = small_enough(cut(found.select(F.col("id").alias("_bad_id"), F.col("noid").alias("_bad_noid")).distinct()))
+    key, noid = _key(id_col, text_col)
+    return documents.join(bad, (key == F.col("_bad_id")) & (noid == F.col("_bad_noid")), "left_anti").select(*[F.col(f"`{c}`") for c in documents.columns])

@@ -96,6 +96,20 @@ def test_jaccard_whatever_the_boundary(docs, monkeypatch, limit):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in op05_jaccard.jaccard_components(docs).collect()} == want
 
 
+def test_jaccard_has_a_result_for_rows_without_an_id(docs, spark):
+    rng = random.Random(12)
+    long = prose(rng, 900)
+    more = [(None, long), (None, long), (None, ""), (None, None), (1, long), (2, long + " end")]
+    both = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string")).coalesce(1)
+    got = op05_jaccard.jaccard_components(both).collect()
+    want = brute_components([(r.doc_id, r.text) for r in both.where("doc_id is not null").collect()])
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == want and want[2][1] == 1
+    n = len(shingles(long))
+    assert sorted((r.n_shingles, r.component_id) for r in got if r.doc_id is None) == [(0, None), (0, None), (n, None), (n, None)]
+    kept = collections.Counter(r.doc_id for r in op05_jaccard.one_of_each(both).collect())
+    assert kept == {None: 4} | {i: 1 for i, (_, c) in want.items() if i == c}
+
+
 def test_meetings_across_batches():
     import pyarrow as pa
 
@@ -292,6 +306,19 @@ def test_edited_copies_are_leaks_whatever_else_is_there(spark, others, beside):
     assert {(r.doc_id, r.item_id) for r in op08_decontam.leaks(docs, test).collect()} == {(i, i // 10) for i, _ in rows}
 
 
+def test_leaks_in_rows_without_an_id(spark):
+    rng = random.Random(10)
+    item, other = prose(rng, 30, 2000), prose(rng, 5000, 2000)
+    rows = [(None, f"{other} {item}"), (None, f"{other} {item}"), (None, item), (None, other), (None, None), (7, f"{item} {other}"), (8, other)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    test = spark.createDataFrame([(3, item)], "item_id long, text string")
+    got = op08_decontam.leaks(docs, test)
+    assert got.schema["doc_id"].dataType.typeName() == "long"
+    assert sorted((r.doc_id or 0, r.item_id, r.score) for r in got.collect()) == [(0, 3, 1.0), (0, 3, 1.0), (7, 3, 1.0)]
+    left = op08_decontam.decontaminated(docs, test).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in left) == collections.Counter([(None, other), (None, None), (8, other)])
+
+
 SYLLABLES = {"aa": ["ba", "be", "bi", "bo"], "bb": ["ka", "ke", "ki", "ko"]}
 
 
