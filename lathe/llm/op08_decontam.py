@@ -16,8 +16,9 @@
 Items are taken in blocks of ``block_words`` words, one pass over the texts per
 block, so what is broadcast is bounded. Null or empty texts and items have no
 seeds and match nothing; rows are told apart by id, those without one by a hash
-of their text (``leaks`` gives them a null id); empty tables give an empty result;
-other columns are not read.
+of their text (``leaks`` gives them a null id). Items of one id with different
+texts are all searched, and a pair has the best score of them; equal ones are one.
+Empty tables give an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lathe.llm.common import arrow_batches, blocks, cut, only, small_enough, texts_of
+from lathe.llm.common import BROADCAST_ROWS, arrow_batches, blocks, cut, only, small_enough, texts_of
 from lathe.llm.words import U, Words, join_hashes, ngrams
 
 MATCH, OTHER, GAP = 2, -1, -1
@@ -162,16 +163,20 @@ def _found(documents: DataFrame, benchmark: DataFrame, id_col: str, text_col: st
     docs = documents.select(key.alias("id"), noid.alias("noid"), F.col(f"`{text_col}`").alias("text"))
     test = only(benchmark, item=item_col, text=item_text).where("text is not null and item is not null").withColumn("n", F.length("text"))
     n_blocks = int((test.agg(F.sum("n")).first()[0] or 0) // (5 * block_words)) + 1
-    out = None
+    out, out_cols = None, ["id", "noid", "item", "start", "end", "raw", "words"]
     for k in range(n_blocks):
         rows = test.where(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == k).select("item", "text").toPandas()
         items = {}
         if len(rows):
             words = Words(pa.array(rows["text"], pa.large_string()))
             h = words.hashes()
-            items = {int(i): h[a:b] for i, a, b in zip(rows["item"], words.off[:-1], words.off[1:], strict=True) if b > a}
+            # rows of one item with other words are searched each by itself
+            texts = {(int(i), h[a:b].tobytes()): h[a:b] for i, a, b in zip(rows["item"], words.off[:-1], words.off[1:], strict=True) if b > a}
+            items, owner = dict(enumerate(texts.values())), [i for i, _ in texts]
         if items:
             part = _block(docs, items, seed_words, full_words, at_least)
+            names = spark.createDataFrame(list(enumerate(owner)), "item long, owner long")
+            part = part.join(F.broadcast(names) if len(owner) <= BROADCAST_ROWS else names, "item").withColumn("item", F.col("owner")).drop("owner").select(*out_cols)
             out = part if out is None else out.union(part)
     if out is None:
         out = spark.createDataFrame([], FOUND)

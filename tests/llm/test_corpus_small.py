@@ -319,6 +319,17 @@ def test_leaks_in_rows_without_an_id(spark):
     assert collections.Counter((r.doc_id, r.text) for r in left) == collections.Counter([(None, other), (None, None), (8, other)])
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_items_of_one_id_are_all_searched(spark, turn):
+    rng = random.Random(11)
+    a, b, c = (prose(rng, 30, 2000) for _ in range(3))
+    test = spark.createDataFrame([(3, a), (3, b), (3, a), (4, c), (4, None)][::turn], "item_id long, text string")
+    docs = spark.createDataFrame([(1, a), (2, b), (5, f"{a} {' '.join(b.split()[:20])}"), (6, c), (7, prose(rng, 30, 2000))], "doc_id long, text string")
+    got = op08_decontam.leaks(docs, test)
+    assert sorted((r.doc_id, r.item_id, r.score) for r in got.collect()) == [(1, 3, 1.0), (2, 3, 1.0), (5, 3, 1.0), (6, 4, 1.0)]
+    assert [r.doc_id for r in op08_decontam.decontaminated(docs, test).collect()] == [7]
+
+
 SYLLABLES = {"aa": ["ba", "be", "bi", "bo"], "bb": ["ka", "ke", "ki", "ko"]}
 
 
