@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathe.llm import op01_langid, op02_mixing, op03_toxicity, op04_warc, op05_jaccard, op06_tokens, op07_binary, op08_decontam, op09_quality, op10_kdtree
+from lathe.llm import op01_langid, op02_mixing, op03_toxicity, op04_warc, op05_jaccard, op06_tokens, op07_binary, op08_decontam, op09_quality, op10_kdtree, op11_repair, op12_replay, op13_merkle
 from lathe.llm.common import table
 
 
@@ -71,13 +71,42 @@ def op10_kdtree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = op11_repair.damaged(op11_repair.rows_of(table(spark, sf_dir, "conversations")))
+    got = op11_repair.repair_digests(rows)
+    return got.select(F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def op12_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return op12_replay.digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_merkle.document_proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_langid_crf, op2_poisson_mix, op3_toxicity_nnpu, op4_warc_zdict, op5_ngram_jaccard, op6_token_counts, op7_training_shards, op8_decontamination, op9_quality_cascade, op10_kdtree_shards)
+    for f in (op1_langid_crf, op2_poisson_mix, op3_toxicity_nnpu, op4_warc_zdict, op5_ngram_jaccard, op6_token_counts, op7_training_shards, op8_decontamination, op9_quality_cascade, op10_kdtree_shards, op11_conversation_repair, op12_merge_replay, op13_merkle_manifest)
 }
 
 _BLANK = r"[\x20\x09-\x0D]"
 
+
+def _crc32(name: str) -> str:
+    """CRC-32 of an ASCII text in SQL, bit by bit: each byte enters with the first of its eight steps."""
+    bits = f"flatten(list_transform(string_split({name}, ''), lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))"
+    step = "lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), {step}), 4294967295::BIGINT)"
+
+
+def _leaf(n_chars: str) -> str:
+    parts = [f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END" for c in ("doc_id", "source", "lang", n_chars, "text")]
+    return f"sha256({' || '.join(parts)})"
+
+
 ORACLES: dict[str, str] = {
     "op2_poisson_mix": """
 WITH by_source AS (SELECT source, sum(strlen(coalesce(text, ''))) AS bytes FROM documents GROUP BY source),
@@ -130,5 +159,80 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 2 * len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) < n_words
             OR 20 * len(list_distinct(words)) < n_words) AS kept
 FROM f
+""",
+    "op11_conversation_repair": rf"""
+WITH RECURSIVE
+raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+hit AS (SELECT *, {_crc32('name')} % 20 AS k FROM raw),
+dam AS (SELECT conv_id, turn, CASE k WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(range(CASE k WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM hit),
+ord AS (SELECT conv_id, turn, role, text, left(role, 1) AS ini, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body,
+               row_number() OVER w AS i, lag(left(role, 1)) OVER w AS prev
+        FROM dam WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy)),
+seen AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS nth FROM ord),
+sym AS (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM seen),
+stat AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                count(*) FILTER (i > 1 AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM sym GROUP BY conv_id),
+ins(q, k, r) AS (VALUES (0, 0, 0), (0, 1, 2), (0, 2, 3), (0, 3, 2), (1, 0, 1), (1, 1, 2), (1, 2, 3), (1, 3, 2), (2, 0, 2), (2, 1, 3), (2, 2, 2), (2, 3, 3), (3, 0, 3), (3, 1, 2), (3, 2, 3), (3, 3, 2)),
+keep(q, ini, r) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+made(q, r, role) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+names(r, role) AS (VALUES (2, 'user'), (3, 'assistant')),
+-- rows inserted from a state on, as text
+pad AS (SELECT q, k, r, 5 * k AS cost, repeat('I', k) AS audit,
+               CASE k WHEN 0 THEN '' WHEN 1 THEN chr(10) || CASE r WHEN 2 THEN 'user:' ELSE 'assistant:' END
+                      WHEN 2 THEN chr(10) || CASE r WHEN 2 THEN 'assistant:' ELSE 'user:' END || chr(10) || CASE r WHEN 2 THEN 'user:' ELSE 'assistant:' END
+                      ELSE chr(10) || CASE r WHEN 2 THEN 'user:' ELSE 'assistant:' END || chr(10) || CASE r WHEN 2 THEN 'assistant:' ELSE 'user:' END || chr(10) || CASE r WHEN 2 THEN 'user:' ELSE 'assistant:' END END AS lines FROM ins),
+dp AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS q, {{'c': 0::BIGINT, 'a': '', 'o': ''}} AS best FROM stat
+  UNION ALL
+  SELECT conv_id, i, q, min({{'c': c, 'a': a, 'o': o}}) FROM (
+    SELECT d.conv_id, s.i, e.r AS q, d.best.c + p.cost + e.cost AS c, d.best.a || p.audit || e.edit AS a, d.best.o || p.lines || e.line AS o
+    FROM dp d JOIN pad p ON p.q = d.q JOIN sym s ON s.conv_id IS NOT DISTINCT FROM d.conv_id AND s.i = d.i + 1,
+    LATERAL (SELECT p.r, 2 AS cost, 'D' AS edit, '' AS line
+             UNION ALL SELECT k.r, CASE s.fault WHEN 'truncated' THEN 5 ELSE 0 END, 'K', chr(10) || s.role || ':' || s.text FROM keep k WHERE k.q = p.r AND k.ini = s.ini AND s.fault IN ('', 'truncated')
+             UNION ALL SELECT m.r, CASE s.fault WHEN 'truncated' THEN 6 ELSE 1 END, 'R', chr(10) || m.role || ':' || s.text FROM made m WHERE m.q = p.r AND s.fault IN ('', 'truncated')) e
+  ) GROUP BY conv_id, i, q
+),
+fin AS (SELECT d.conv_id, min({{'c': d.best.c + p.cost, 'a': d.best.a || p.audit, 'o': d.best.o || p.lines}}) AS best
+        FROM dp d JOIN stat t ON t.conv_id IS NOT DISTINCT FROM d.conv_id AND d.i = t.n JOIN pad p ON p.q = d.q AND p.r IN (0, 3) GROUP BY d.conv_id)
+SELECT c.conv_id, coalesce(t.gaps, 0)::BIGINT AS gaps, coalesce(t.blank, 0)::BIGINT AS blank, coalesce(t.duplicate, 0)::BIGINT AS duplicate,
+       coalesce(t.truncated, 0)::BIGINT AS truncated, coalesce(t.illegal, 0)::BIGINT AS illegal, coalesce(f.best.c, 0)::BIGINT AS cost,
+       coalesce(f.best.a, '') AS audit, sha256(coalesce(substr(f.best.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stat t ON t.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN fin f ON f.conv_id IS NOT DISTINCT FROM c.conv_id
+""",
+    "op13_merkle_manifest": f"""
+WITH RECURSIVE
+docs AS (SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+                CASE WHEN {_crc32("coalesce(doc_id::VARCHAR, '')")} % 7 = 0 AND doc_id IS NOT NULL THEN {_leaf('(n_chars + 1)')} END AS changed FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM docs),
+tree AS (SELECT lang, 0 AS level, i, leaf AS d, count(*) OVER (PARTITION BY lang) AS n FROM placed
+         UNION ALL
+         SELECT lang, level, i, d, count(*) OVER (PARTITION BY lang) AS n
+         FROM (SELECT lang, level + 1 AS level, i // 2 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM tree WHERE n > 1 GROUP BY lang, level, i // 2)),
+subs AS (SELECT lang, d AS subroot, level AS height FROM tree WHERE n = 1),
+place AS (SELECT *, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM subs),
+top AS (SELECT 0 AS level, i, subroot AS d, count(*) OVER () AS n FROM place
+        UNION ALL
+        SELECT level, i, d, count(*) OVER () AS n
+        FROM (SELECT level + 1 AS level, i // 2 AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM top WHERE n > 1 GROUP BY level, i // 2)),
+-- every leaf's way up: the side it is on and its sibling, if any
+way AS (SELECT a.doc_id, a.lang, a.i AS leaf_at, t.level, (a.i >> t.level) & 1 AS side, s.d
+        FROM placed a JOIN tree t ON t.lang IS NOT DISTINCT FROM a.lang AND t.i = a.i >> t.level AND t.n > 1
+        LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM t.lang AND s.level = t.level AND s.i = xor(t.i, 1)
+        UNION ALL
+        SELECT a.doc_id, a.lang, a.i, p.height + t.level, (p.i >> t.level) & 1, s.d
+        FROM placed a JOIN place p ON p.lang IS NOT DISTINCT FROM a.lang JOIN top t ON t.i = p.i >> t.level AND t.n > 1
+        LEFT JOIN top s ON s.level = t.level AND s.i = xor(t.i, 1)),
+ways AS (SELECT lang, leaf_at, sha256(coalesce(string_agg(d, '' ORDER BY level), '')) AS proof_sha256,
+                list_transform(list(struct_pack(side := side, d := d) ORDER BY level), lambda x: CASE WHEN x.d IS NULL THEN '' WHEN x.side = 1 THEN 'l' || x.d ELSE 'r' || x.d END) AS steps FROM way GROUP BY lang, leaf_at),
+folded AS (SELECT a.doc_id, a.leaf, a.lang, coalesce(w.proof_sha256, sha256('')) AS proof_sha256,
+                  list_reduce(list_concat([coalesce(a.changed, a.leaf)], coalesce(w.steps, [])),
+                              lambda x, s: sha256(CASE left(s, 1) WHEN 'l' THEN substr(s, 2) || x WHEN 'r' THEN x || substr(s, 2) ELSE x END)) AS folded_root
+           FROM placed a LEFT JOIN ways w ON w.lang IS NOT DISTINCT FROM a.lang AND w.leaf_at = a.i)
+SELECT f.doc_id, f.leaf, p.subroot, r.d AS root, f.proof_sha256, f.folded_root, f.folded_root = r.d AS verified
+FROM folded f JOIN place p ON p.lang IS NOT DISTINCT FROM f.lang, (SELECT d FROM top WHERE n = 1) r
 """,
 }
