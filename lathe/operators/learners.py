@@ -1,4 +1,7 @@
-"""Regressors on MLlib, with the reference learners' defaults.
+"""Regressors with the reference learners' defaults: MLlib's, and one ``fit_model`` for these and for ``Forest``s.
+
+Trees and forests without a depth cap are in ``forest``; MLlib's end at depth 30
+and split at bin borders only.
 
 Features are assembled by name (``VectorAssembler``), never by position, and
 the fitted ``PipelineModel`` carries the assembler, so scoring a table with
@@ -19,6 +22,8 @@ from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, Rando
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lathe.operators.forest import Forest, ForestModel, fit_forest
+
 MAX_DEPTH = 30  # MLlib's limit; an uncapped tree maps to it
 
 
@@ -99,13 +104,17 @@ def deterministic_layout(df: DataFrame, key: str, partitions: int | None = None)
 
 
 def fit_model(
-    estimator: Estimator,
+    estimator: Estimator | Forest,
     df: DataFrame,
     features: list[str],
     label: str,
     key: str | None = None,
     partitions: int | None = None,
-) -> PipelineModel:
+) -> PipelineModel | ForestModel:
+    if isinstance(estimator, Forest):
+        if key is None:
+            raise ValueError("a forest's rows are named by a key")
+        return fit_forest(df, features, label, key, estimator)
     data = deterministic_layout(df, key, partitions) if key else df
     if hasattr(estimator, "setLabelCol"):
         estimator = estimator.copy()
@@ -114,6 +123,13 @@ def fit_model(
     return pipe.fit(data)
 
 
+def params_of(estimator: Estimator | Forest) -> dict:
+    """A regressor's parameters by name."""
+    if isinstance(estimator, Forest):
+        return vars(estimator)
+    return {p.name: v for p, v in estimator.extractParamMap().items()}
+
+
 def predict(model, df: DataFrame, keep: list[str] | None = None) -> DataFrame:
     out = model.transform(df)
     if keep is not None:

@@ -4,10 +4,14 @@
   varying fastest (the usual grid order); ``candidates_frame`` puts it in a
   DataFrame with a ``candidate_id``.
 * ``sample_candidates``: random search as a seeded hash sample of the grid.
-* ``grid_search``: each candidate x fold is one MLlib fit on the other folds
-  plus one scoring pass that yields test and train error together; fits run
-  in a thread pool (``parallelism``) over a persisted, assembled table; the
-  best candidate is refit on all rows.
+* ``grid_search`` of a ``Forest``: the trees of all candidates and folds grow
+  together over one packed table, a fold being a weight of 0 (``forest``); the
+  scans don't depend on the number of candidates. Test and train errors come
+  from the tasks that grew the trees; the best candidate is refit on all rows.
+* ``grid_search`` of an MLlib regressor: each candidate x fold is one fit on
+  the other folds plus one scoring pass that yields test and train error
+  together; fits run in a thread pool (``parallelism``) over a persisted,
+  assembled table.
 * ``group_mean_cv``: cross-validation of a group-mean regressor in closed
   form from one ``groupBy(group, fold)`` of count, sum and sum of squares.
 * ``summarize_cv``: fold scores -> mean, population std and rank per
@@ -22,6 +26,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -33,6 +38,7 @@ from pyspark.sql import functions as F
 
 from lathe.operators.metrics import r2_of
 from lathe.functions.hashing import key_hash
+from lathe.operators.forest import Forest, cross_validated, fit_laid_out, lay_out
 from lathe.operators.learners import deterministic_layout, layout_partitions
 
 SCORINGS = {
@@ -110,8 +116,36 @@ def best_candidate(cv_results: DataFrame) -> DataFrame:
     return cv_results.orderBy("rank_test_score", "candidate_id").limit(1)
 
 
+def _score_of(scoring: str, r) -> float:
+    """The score from sums of errors, as ``_score_expr`` has it from rows."""
+    metric, sign = SCORINGS[scoring]
+    if metric == "r2":
+        sst = r["syy"] - r["sy"] * r["sy"] / r["n"]
+        return 1.0 - r["sse"] / sst if sst > 0 else float(r["sse"] == 0)
+    mean = r["sae"] / r["n"] if metric == "mae" else r["sse"] / r["n"]
+    return sign * (math.sqrt(mean) if metric == "rmse" else mean)
+
+
+def _forest_search(estimator: Forest, cands, df, features, label, fold_col, scoring, return_train_score, refit, key) -> SearchResult:
+    if key is None:
+        raise ValueError("a forest's rows are named by a key")
+    spark, features = df.sparkSession, list(features)
+    indexed = [c if isinstance(c, tuple) else (i, c) for i, c in enumerate(cands)]
+    laid = lay_out(df, features, label, key, fold_col)
+    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
+    sums = cross_validated(laid, [estimator.with_params(p) for _, p in indexed], folds).collect()  # a row per candidate, fold and side
+    results = [(indexed[r["candidate"]][0], int(r["fold"]), "test" if r["test"] else "train", float(_score_of(scoring, r))) for r in sums if r["test"] or return_train_score]
+    scores = spark.createDataFrame(results, "candidate_id long, fold int, split string, score double")
+    named = spark.createDataFrame([(cid, json.dumps(p, sort_keys=True)) for cid, p in indexed], "candidate_id long, params string")
+    cv = summarize_cv(scores, named)
+    best = best_candidate(cv).collect()[0]
+    params = dict(indexed)[best["candidate_id"]]
+    model = fit_laid_out(laid, estimator.with_params(params), features) if refit else None
+    return SearchResult(scores, cv, int(best["candidate_id"]), params, float(best["mean_test_score"]), model, len(folds))
+
+
 def grid_search(
-    estimator: Estimator,
+    estimator: Estimator | Forest,
     cands: list[dict] | list[tuple[int, dict]],
     df: DataFrame,
     features: list[str],
@@ -130,6 +164,8 @@ def grid_search(
     from pyspark.ml.feature import VectorAssembler
 
     spark = df.sparkSession
+    if isinstance(estimator, Forest):
+        return _forest_search(estimator, cands, df, features, label, fold_col, scoring, return_train_score, refit, key)
     apply_params = apply_params or with_params
     indexed = [c if isinstance(c, tuple) else (i, c) for i, c in enumerate(cands)]
     # assemble the feature vector once (by name); every fit reads the same rows

@@ -24,7 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathe.operators.learners import decision_tree, fit_model, linear_regression, random_forest
+from lathe.operators.forest import Forest, tree
+from lathe.operators.learners import fit_model, linear_regression, params_of
 from lathe.operators.linear import fit_ols
 from lathe.operators.metrics import evaluate, regression_metrics
 from lathe.operators.prep import FittedPrep, PrepSpec
@@ -112,7 +113,6 @@ def train_models(
     folds: int = 5,
     seed: int = 42,
     max_depth: int | None = None,
-    parallelism: int = 4,
     forest: dict | None = None,
 ) -> dict:
     """Linear, tree and grid-searched forest; each logged as a run.
@@ -125,10 +125,10 @@ def train_models(
     exp_id = store.experiment(experiment) if store else None
     learners = {
         "Linear_Regression": (linear_regression(), None),
-        "Decision_tree": (decision_tree(seed=seed, max_depth=max_depth), key),
+        "Decision_tree": (tree(seed, max_depth), key),
     }
     if forest is not None:
-        learners["Random_Forest_untuned"] = (random_forest(seed=seed, **{"max_depth": max_depth, **forest}), key)
+        learners["Random_Forest_untuned"] = (Forest(seed=seed, max_depth=max_depth).with_params(forest), key)
     for name, (est, layout_key) in learners.items():
         model = fit_model(est, train, features, label, key=layout_key)
         m = evaluate(model, train, label)
@@ -137,7 +137,7 @@ def train_models(
             save_model(train.sparkSession, model, os.path.join(model_dir, name))
         if store:
             with store.start_run(name, exp_id) as run:
-                store.log_params(run, {p.name: v for p, v in est.extractParamMap().items()})
+                store.log_params(run, params_of(est))
                 store.log_metrics(run, {"mae": m["mae"], "rmse": m["rmse"]})
                 if model_dir:
                     # the model with its input signature (names, types, required)
@@ -146,8 +146,7 @@ def train_models(
                     write_table(signature(train.select(*features)), path + "_signature")
     data = hash_folds(train, key, folds, seed)
     res = grid_search(
-        random_forest(seed=seed, max_depth=max_depth), param_grid(grid or FOREST_GRID), data, features, label,
-        parallelism=parallelism, key=key,
+        Forest(seed=seed, max_depth=max_depth), param_grid(grid or FOREST_GRID), data, features, label, key=key
     )
     out["Random_Forest"] = {"model": res.best_model, "search": res}
     if store:
@@ -236,7 +235,6 @@ def full_pipeline(
     grid: dict | None = None,
     max_depth: int | None = None,
     experiment: str = "Full pipeline",
-    parallelism: int = 4,
 ) -> dict:
     exp_id = store.experiment(experiment)
     with store.start_run(PARENT_RUN, exp_id) as parent:
@@ -255,12 +253,10 @@ def full_pipeline(
         feats = ing.prep.feature_names
         data = hash_folds(ing.train, roles.key, 5, seed)
         res = grid_search(
-            random_forest(seed=seed, max_depth=max_depth), param_grid(grid or FOREST_GRID), data, feats, roles.label,
-            parallelism=parallelism, key=roles.key,
+            Forest(seed=seed, max_depth=max_depth), param_grid(grid or FOREST_GRID), data, feats, roles.label, key=roles.key
         )
         with store.start_run(BEST_RUN, exp_id, parent) as run:
-            fitted = {p.name: v for p, v in res.best_model.stages[-1].extractParamMap().items()}
-            store.log_params(run, {CV_FOLDS_PARAM: res.folds, **fitted, **res.best_params})
+            store.log_params(run, {CV_FOLDS_PARAM: res.folds, **res.best_model.params})
             store.log_metrics(run, {CV_METRIC: res.best_score})
             model_path = os.path.join(work_dir, "models", run.run_id)
             save_model(spark, res.best_model, model_path)

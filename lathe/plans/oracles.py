@@ -435,6 +435,53 @@ ORACLES["tree_one_feature"] = ORACLES["forest_one_feature"] = with_base(
     f"SELECT i.o_orderkey, {r6('near.m')} AS prediction FROM imp_test i JOIN near ON i.n_lines = near.n_lines"
 )
 
+EXACT_FEATURES = ["sum_qty", "returned_qty", "n_supp", "n_lines", "c_acctbal"]
+
+
+def _mix32(x: str) -> str:
+    """The 32-bit mixing function that draws features and bootstrap weights."""
+    keep = "& 4294967295::UBIGINT"
+    return (
+        f"list_reduce([({x})::UBIGINT, 0::UBIGINT, 1::UBIGINT, 2::UBIGINT], lambda a, s: CASE s "
+        f"WHEN 0 THEN (xor(a, a >> 16) * 2146121005::UBIGINT) {keep} WHEN 1 THEN (xor(a, a >> 15) * 2221713035::UBIGINT) {keep} ELSE xor(a, a >> 16) END)"
+    )
+
+
+def forest_sql(n_trees: int, max_features: int, bootstrap: bool, seed: int) -> str:
+    """An uncapped forest grown in SQL, level by level: every row of every tree moves to its node's child until the node's labels agree."""
+    feats = ", ".join(EXACT_FEATURES)
+    bag = f"(SELECT count(*) FROM poisson c WHERE c.p <= {_mix32('xor(kh, ' + _mix32('root') + ')')} / 4294967296.0::DOUBLE)::DOUBLE" if bootstrap else "1.0::DOUBLE"
+    return with_base(f"""
+, poisson AS (SELECT sum(exp(-1.0::DOUBLE) / f) OVER (ORDER BY k) AS p FROM (SELECT k, CASE WHEN k = 0 THEN 1 ELSE list_product(range(1, k + 1)) END::DOUBLE AS f FROM range(0, 12) r(k)))
+, names AS (SELECT number, {_mix32(f'xor({_mix32(str(seed))}, number::UBIGINT)')} AS root FROM range(0, {n_trees}) t(number))
+, every AS (SELECT o_orderkey, o_totalprice, 1 AS used, [{feats}]::DOUBLE[] AS x FROM imp_train UNION ALL SELECT o_orderkey, o_totalprice, 0, [{feats}]::DOUBLE[] FROM imp_test)
+, begin AS (SELECT n.number, n.root, e.o_orderkey, e.used, e.x, round(e.o_totalprice * 100) AS y, ('0x' || substr(md5(e.o_orderkey || '#0'), 1, 8))::UBIGINT AS kh FROM every e, names n)
+, grown AS (
+  SELECT number, 0 AS level, '' AS node, root AS h, o_orderkey, used * {bag} AS w, y, x FROM begin
+  UNION ALL
+  SELECT g.number, g.level + 1, g.node || CASE WHEN g.x[b.f] > b.cut THEN 'r' ELSE 'l' END,
+         {_mix32("xor(g.h, CASE WHEN g.x[b.f] > b.cut THEN 2246822507::UBIGINT ELSE 2654435769::UBIGINT END)")}, g.o_orderkey, g.w, g.y, g.x
+  FROM grown g JOIN (
+    SELECT number, node, arg_max({{'f': f, 'cut': v + (nv - v) * 0.5}}, {{'g': gain, 'f': -f, 'v': -v}}) AS best FROM (
+      SELECT number, node, f, v, nv, sl * sl / wl + (s - sl) * (s - sl) / (w - wl) AS gain FROM (
+        SELECT *, dense_rank() OVER (PARTITION BY number, node ORDER BY lot) AS place FROM (
+          SELECT number, node, h, f, v, lead(v) OVER u AS nv, sum(w) OVER u AS wl, sum(s) OVER u AS sl,
+                 sum(w) OVER (PARTITION BY number, node, f) AS w, sum(s) OVER (PARTITION BY number, node, f) AS s,
+                 count(*) OVER (PARTITION BY number, node, f) AS n_values, {_mix32(f"xor(h, {_mix32('f::UBIGINT')})")} AS lot
+          FROM (SELECT number, node, h, f, x[f] AS v, sum(w) AS w, sum(w * y) AS s
+                FROM (SELECT *, min(y) OVER p <> max(y) OVER p AS differ FROM grown WHERE w > 0 WINDOW p AS (PARTITION BY number, node)), range(1, {len(EXACT_FEATURES) + 1}) c(f)
+                WHERE differ GROUP BY ALL)
+          WINDOW u AS (PARTITION BY number, node, f ORDER BY v)) WHERE n_values > 1)
+      WHERE nv IS NOT NULL AND place <= {max_features}) GROUP BY number, node) a ON a.number = g.number AND a.node = g.node, LATERAL (SELECT a.best.f AS f, a.best.cut AS cut) b
+)
+, means AS (SELECT number, level, node, sum(w * y) / sum(w) AS mean FROM grown GROUP BY number, level, node)
+, guess AS (SELECT g.number, g.o_orderkey, arg_max(m.mean, g.level) AS v FROM grown g JOIN means m ON m.number = g.number AND m.level = g.level AND m.node = g.node WHERE g.o_orderkey IN (SELECT o_orderkey FROM test) GROUP BY g.number, g.o_orderkey)
+SELECT o_orderkey, round(avg(v) / 100, 4) + 0.0 AS prediction FROM guess GROUP BY o_orderkey""").replace("WITH ","WITH RECURSIVE ",1)
+
+
+ORACLES["tree_exact"] = forest_sql(1, len(EXACT_FEATURES), False, 42)
+ORACLES["forest_exact"] = forest_sql(3, 2, True, 42)
+
 # least squares leaves residuals that are orthogonal to every feature
 ORACLES["ols_residuals"] = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, 0.0::DOUBLE AS mean_product" for c in [x[0] for x in RATIOS] + NUMERIC + INDICATORS

@@ -7,12 +7,12 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathe.operators.baseline import fit_group_mean
-from lathe.operators.learners import decision_tree, fit_model, linear_regression, random_forest
+from lathe.operators.forest import Forest, tree
+from lathe.operators.learners import fit_model, linear_regression
 from lathe.operators.linear import fit_ols, kfold_ols
 from lathe.operators.metrics import regression_metrics
 from lathe.operators.profile import input_example
@@ -29,11 +29,9 @@ from lathe.plans.cases import CV_LABEL, FOLDS, KEY, LABEL, MEAN_GRID, SEED, Orde
 from lathe.plans.flows import CV_METRIC, EVAL_METRICS, EVAL_RUN, FOREST_GRID, INGEST_RUN, PARENT_RUN
 from lathe.plans.queries import fin
 from lathe.session import ensure_checkpoint_dir
+from lathe.sources.models import load_model, save_model
 from lathe.tracking import TrackingStore, cv_run_records, run_tree
 
-#: Fits of a search that run at the same time: each keeps a binned copy of its rows.
-FITS_AT_ONCE = 4
-
 # --- metrics -------------------------------------------------------------------
 
 
@@ -158,14 +156,14 @@ def q_kfold_ols_one_feature(spark, sf):
 def q_fit_tree_predict(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
-    model = fit_model(decision_tree(seed=SEED), p.apply(case.train), p.feature_names, LABEL, key=KEY)
+    model = fit_model(tree(SEED), p.apply(case.train), p.feature_names, LABEL, key=KEY)
     return model.transform(p.apply(case.test)).select(KEY, "prediction")
 
 
 def q_fit_forest_predict(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
-    est = random_forest(seed=SEED, n_estimators=10, max_features=6, bootstrap=False)
+    est = Forest(10, 6, False, seed=SEED)
     model = fit_model(est, p.apply(case.train), p.feature_names, LABEL, key=KEY)
     return model.transform(p.apply(case.test)).select(KEY, "prediction")
 
@@ -174,15 +172,7 @@ def q_grid_search_forest(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
     data = hash_folds(p.apply(case.train), KEY, FOLDS, SEED)
-    res = grid_search(
-        random_forest(seed=SEED, max_depth=6),
-        param_grid(FOREST_GRID),
-        data,
-        p.feature_names,
-        LABEL,
-        parallelism=FITS_AT_ONCE,
-        key=KEY,
-    )
+    res = grid_search(Forest(seed=SEED), param_grid(FOREST_GRID), data, p.feature_names, LABEL, key=KEY)
     return res.cv_results.withColumn("is_best", F.col("candidate_id") == F.lit(res.best_index))
 
 
@@ -195,8 +185,8 @@ def q_score_many_models(spark, sf):
     fits = {
         "ols": lambda: fit_ols(train, feats, LABEL),
         "linear_regression": lambda: fit_model(linear_regression(), train, feats, LABEL),
-        "decision_tree": lambda: fit_model(decision_tree(seed=SEED), train, feats, LABEL, key=KEY),
-        "random_forest": lambda: fit_model(random_forest(seed=SEED, n_estimators=10), train, feats, LABEL, key=KEY),
+        "decision_tree": lambda: fit_model(tree(SEED), train, feats, LABEL, key=KEY),
+        "random_forest": lambda: fit_model(Forest(10, seed=SEED), train, feats, LABEL, key=KEY),
     }
     # independent fits: submit them as concurrent Spark jobs
     with ThreadPoolExecutor(max_workers=len(fits)) as pool:
@@ -209,12 +199,11 @@ def q_score_many_models(spark, sf):
 def q_model_roundtrip(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
-    est = random_forest(seed=SEED, n_estimators=5)
+    est = Forest(5, seed=SEED)
     model = fit_model(est, p.apply(case.train), p.feature_names, LABEL, key=KEY)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
-    model.write().overwrite().save(path)
-    loaded = PipelineModel.load(path)
-    return loaded.transform(p.apply(case.test)).select(KEY, "prediction")
+    save_model(spark, model, path)
+    return load_model(spark, path).transform(p.apply(case.test)).select(KEY, "prediction")
 
 
 # --- learners whose result SQL can follow --------------------------------------------
@@ -229,11 +218,32 @@ def _one_feature_predictions(spark, sf, estimator):
 
 
 def q_tree_one_feature(spark, sf):
-    return _one_feature_predictions(spark, sf, decision_tree(seed=SEED))
+    return _one_feature_predictions(spark, sf, tree(SEED))
 
 
 def q_forest_one_feature(spark, sf):
-    return _one_feature_predictions(spark, sf, random_forest(seed=SEED, n_estimators=3, bootstrap=False))
+    return _one_feature_predictions(spark, sf, Forest(3, bootstrap=False, seed=SEED))
+
+
+#: Features whose values are the same numbers in every engine (averages of doubles are not), so that equal splits can be asked for.
+EXACT_FEATURES = ["sum_qty", "returned_qty", "n_supp", "n_lines", "c_acctbal"]
+
+
+def _exact_predictions(spark, sf, forest):
+    """Grown without a cap on imputed columns and the price in cents: SQL can follow every split."""
+    case = OrderCase(spark, sf)
+    train, test = (case.prep.imputation.apply(part) for part in (case.train, case.test))
+    cents = F.round(F.col(LABEL) * 100).alias("cents")
+    model = fit_model(forest, train.select(KEY, *EXACT_FEATURES, cents), EXACT_FEATURES, "cents", key=KEY)
+    return fin(model.transform(test).select(KEY, (F.col("prediction") / 100).alias("prediction")), 4)
+
+
+def q_tree_exact(spark, sf):
+    return _exact_predictions(spark, sf, tree(SEED))
+
+
+def q_forest_exact(spark, sf):
+    return _exact_predictions(spark, sf, Forest(3, 2, True, seed=SEED))
 
 
 def q_ols_residuals(spark, sf):
@@ -251,11 +261,11 @@ def q_model_roundtrip_equal(spark, sf):
     """Hold-out rows, and those that a saved and reloaded forest predicts as the fitted one did."""
     case = OrderCase(spark, sf)
     p = case.prep
-    model = fit_model(random_forest(seed=SEED, n_estimators=5), p.apply(case.train), p.feature_names, LABEL, key=KEY)
+    model = fit_model(Forest(5, seed=SEED), p.apply(case.train), p.feature_names, LABEL, key=KEY)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/models/{uuid.uuid4().hex}"
-    model.write().overwrite().save(path)
-    before = model.transform(p.apply(case.test)).withColumnRenamed("prediction", "was").drop("features")
-    both = PipelineModel.load(path).transform(before)
+    save_model(spark, model, path)
+    before = model.transform(p.apply(case.test)).withColumnRenamed("prediction", "was")
+    both = load_model(spark, path).transform(before)
     return both.agg(F.count("*").alias("n_rows"), F.count_if(F.col("was") == F.col("prediction")).alias("n_equal"))
 
 
@@ -333,7 +343,7 @@ def q_pipeline_full(spark, sf):
     ratios = {k: v for k, v in ORDER_RATIOS.items() if k != "bedrooms_per_room"}
     full_pipeline(
         spark, order_features(spark, sf), ORDER_ROLES, store, f"{root}/work", ratios=ratios,
-        test_size=0.25, seed=SEED, grid=FOREST_GRID, max_depth=6, parallelism=FITS_AT_ONCE,
+        test_size=0.25, seed=SEED, grid=FOREST_GRID,
     )
     tree = run_tree(store.read("runs"), store.read("metrics"))
     return tree.select("run_name", "parent_run_name", "key", "value")
@@ -355,6 +365,8 @@ MODEL_QUERIES = {
     "input_example": q_input_example,
     "tree_one_feature": q_tree_one_feature,
     "forest_one_feature": q_forest_one_feature,
+    "tree_exact": q_tree_exact,
+    "forest_exact": q_forest_exact,
     "ols_residuals": q_ols_residuals,
     "model_roundtrip_equal": q_model_roundtrip_equal,
     # rows-only: learner outputs

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathe.operators.baseline import fit_group_mean
-from lathe.operators.learners import decision_tree, fit_model, linear_regression
+from lathe.operators.forest import tree
+from lathe.operators.learners import fit_model, linear_regression
 from lathe.operators.metrics import regression_metrics
 from lathe.operators.onehot import category_table, sparse_onehot
 from lathe.operators.prep import vector_column
@@ -123,7 +124,7 @@ def q_score_models_tables(spark, sf):
     root = _folder(spark, "scored")
     try:
         for name, est, feature, key in (
-            ("Decision_tree", decision_tree(seed=SEED), "n_lines", KEY),
+            ("Decision_tree", tree(SEED), "n_lines", KEY),
             ("Linear_Regression", linear_regression(), "sum_qty", None),
         ):
             save_model(spark, fit_model(est, train, [feature], CV_LABEL, key=key), f"{root}/models/{name}")

@@ -77,3 +77,13 @@ def materialize(df, how: str = "persist"):
     if how == "none":
         return df
     raise ValueError(f"unknown materialization {how!r}")
+
+
+def stored(df):
+    """The table written to the session's shared folder and read back: lineage ends there."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
