@@ -51,6 +51,7 @@ class Vocabulary:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, filter(bytes.strip, f))}
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         self.size = max(ranks.values()) + 1
+        self.id = ranks
         self.token = [b""] * self.size
         self.pair: dict[int, int] = {}
         for whole, rank in ranks.items():
@@ -59,7 +60,14 @@ class Vocabulary:
                 a, b = ranks.get(whole[:k]), ranks.get(whole[k:])
                 if a is not None and b is not None:
                     self.pair[a * self.size + b] = rank
-        self.first = np.array([[self.pair.get(int(a) * self.size + int(b), -1) for b in self.byte] for a in self.byte], np.int32)
+        self.key = np.fromiter(sorted(self.pair), np.int64, len(self.pair))
+        self.rank = np.array([self.pair[k] for k in self.key.tolist()], np.int64)
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair, -1 for none."""
+        key = a * self.size + b
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where(self.key[at] == key, self.rank[at], -1)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
@@ -67,6 +75,8 @@ class Vocabulary:
 
 def encode_alone(vocabulary: Vocabulary, word: bytes) -> list[int]:
     """One word, one merge at a time: the lowest rank, of equal ones the leftmost."""
+    if word in vocabulary.id:
+        return [vocabulary.id[word]]
     n, size, pair = len(word), vocabulary.size, vocabulary.pair
     sym = vocabulary.byte[np.frombuffer(word, np.uint8)].tolist()
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -93,68 +103,75 @@ def replay(vocabulary: Vocabulary, words: list[bytes]) -> list[list[int]]:
     """Ids of every word, by replaying the merges over all of them in rank order."""
     if not words:
         return []
-    size, pair = vocabulary.size, vocabulary.pair
     raw = np.frombuffer(b"".join(words), np.uint8)
     lens = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lens)
     n = len(raw)
-    sym = vocabulary.byte[raw].tolist()
+    sym = vocabulary.byte[raw].astype(np.int64)
     after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
     full = lens > 0
     after[ends[full] - 1] = n  # n and -1: no neighbour
     before[(ends - lens)[full]] = -1
-    same = after[:-1] < n if n else np.zeros(0, bool)
-    rank = np.where(same, vocabulary.first[raw[:-1], raw[1:]], -1) if n > 1 else np.zeros(0, np.int32)
-    at = np.flatnonzero(rank >= 0)
-    at = at[np.argsort(rank[at], kind="stable")]
-    first = np.flatnonzero(np.append(True, np.diff(rank[at]) != 0)) if len(at) else at
-    index = {int(rank[p[0]]): p.tolist() for p in np.split(at, first[1:])} if len(at) else {}
-    after, before = after.tolist(), before.tolist()
-    todo = list(index)
-    heapq.heapify(todo)
-    odd: set[int] = set()  # positions in words that are encoded alone
+    index: dict[int, list[np.ndarray]] = {}
+    todo: list[int] = []
+
+    def enter(ranks: np.ndarray, at: np.ndarray) -> None:
+        order = np.argsort(ranks, kind="stable")
+        ranks, at = ranks[order], at[order]
+        cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+        for r, part in zip(ranks[np.append(0, cuts)].tolist(), np.split(at, cuts), strict=True):
+            if r in index:
+                index[r].append(part)
+            else:
+                index[r] = [part]
+                heapq.heappush(todo, r)
+
+    at = np.flatnonzero(after < n)
+    rank = vocabulary.ranks(sym[at], sym[after[at]])
+    if (rank >= 0).any():
+        enter(rank[rank >= 0], at[rank >= 0])
+    odd: list[int] = []  # positions in words that are encoded alone
     while todo:
         now = heapq.heappop(todo)
-        positions = index.pop(now)
-        positions.sort()
-        made = []
-        for i in positions:
-            j = after[i]
-            a = sym[i]
-            if j == n or a < 0 or pair.get(a * size + sym[j]) != now:
-                continue  # a neighbour has merged since
-            sym[i], sym[j] = now, -1
-            k = after[i] = after[j]
-            if k < n:
-                before[k] = i
-            made.append(i)
-        for i in made:
-            if sym[i] != now:
-                continue
-            h, k = before[i], after[i]
-            if k < n and (got := pair.get(now * size + sym[k])) is not None:
-                if got <= now:
-                    odd.add(i)
-                elif got in index:
-                    index[got].append(i)
-                else:
-                    index[got] = [i]
-                    heapq.heappush(todo, got)
-            if h >= 0 and (got := pair.get(sym[h] * size + now)) is not None:
-                if got <= now:
-                    odd.add(i)
-                elif got in index:
-                    index[got].append(h)
-                else:
-                    index[got] = [h]
-                    heapq.heappush(todo, got)
-    left = np.array(sym, np.int64)
-    alive = np.flatnonzero(left >= 0)
+        parts = index.pop(now)
+        i = np.unique(np.concatenate(parts))  # two merges may have named the pair between them
+        i = i[(sym[i] >= 0) & (after[i] < n)]
+        j = after[i]
+        still = vocabulary.ranks(sym[i], sym[j]) == now  # else a neighbour has merged since
+        i, j = i[still], j[still]
+        if len(i) > 1 and (j[:-1] == i[1:]).any():
+            # of overlapping pairs every second one, from the left
+            new = np.append(True, j[:-1] != i[1:])
+            nth = np.arange(len(i)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+            i, j = i[nth % 2 == 0], j[nth % 2 == 0]
+        if not len(i):
+            continue
+        sym[i], sym[j] = now, -1
+        k = after[j]
+        after[i] = k
+        inner = k < n
+        before[k[inner]] = i[inner]
+        # the pairs with both touched neighbours
+        h = before[i]
+        left, right = i[h >= 0], i[inner]
+        place = np.concatenate([h[h >= 0], right])
+        rank = vocabulary.ranks(sym[place], np.concatenate([sym[left], sym[k[inner]]]))
+        late = (rank >= 0) & (rank <= now)
+        if late.any():
+            odd += place[late].tolist()
+        fresh = rank > now
+        if fresh.any():
+            enter(rank[fresh], place[fresh])
+    alive = np.flatnonzero(sym >= 0)
     bounds = np.searchsorted(alive, ends).tolist()
-    ids = left[alive].tolist()
+    ids = sym[alive].tolist()
     out = [ids[a:b] for a, b in zip([0, *bounds[:-1]], bounds, strict=True)]
-    for w in set(np.searchsorted(ends, list(odd), "right").tolist()):
+    for w in set(np.searchsorted(ends, odd, "right").tolist()):
         out[w] = encode_alone(vocabulary, words[w])
+    # the library takes a word that is a token as it is; merges lead there too where a vocabulary was trained by them
+    for w, got in enumerate(out):
+        if len(got) > 1 and (whole := vocabulary.id.get(words[w])) is not None:
+            out[w] = [whole]
     return out
 
 
@@ -163,6 +180,7 @@ def encoder(path: str, pattern: str) -> Pieces:
     """Of each piece: number of ids, the ids in decimal joined by commas, the bytes they decode to. One for each worker."""
     vocabulary = Vocabulary(path)
     whole = Pieces(None, pattern).pattern
+    decimal, token = [str(k) for k in range(vocabulary.size)].__getitem__, vocabulary.token.__getitem__
 
     def compute(strings: list[str]) -> list[tuple[int, str, bytes]]:
         cut = [whole.findall(s) for s in strings]
@@ -170,8 +188,8 @@ def encoder(path: str, pattern: str) -> Pieces:
         ids = replay(vocabulary, [w.encode() for w in place])
         out = []
         for words in cut:
-            got = [x for w in words for x in ids[place[w]]]
-            out.append((len(got), ",".join(map(str, got)), vocabulary.decode(got)))
+            got = ids[place[words[0]]] if len(words) == 1 else [x for w in words for x in ids[place[w]]]
+            out.append((len(got), ",".join(map(decimal, got)), b"".join(map(token, got))))
         return out
 
     return Pieces(compute, pattern)

@@ -24,18 +24,20 @@ def pieces(text: str) -> list[str] | None:
 
 
 class Pieces:
-    """Values of pieces, computed for many new ones at a time; at most ``most`` are kept."""
+    """Values of pieces, computed for many new ones at a time; kept up to ``most`` characters of pieces, no long piece at all."""
 
-    def __init__(self, compute, pattern: str, special: str | None = None, most: int = 600_000) -> None:
-        self.compute, self.pattern, self.special, self.most = compute, regex.compile(pattern), special, most
+    def __init__(self, compute, pattern: str, special: str | None = None, most: int = 9_000_000, long: int = 200) -> None:
+        self.compute, self.pattern, self.special, self.most, self.long = compute, regex.compile(pattern), special, most, long
+        self.held = 0  # characters of the pieces kept, and 8 for each
         self.known: dict[str, object] = {}  # by piece, of the piece with a space before it
         self.bare: dict[str, object] = {}  # by string as it is
 
     def of(self, texts: list[str]) -> list[list]:
         """For each text the values of its parts, in order."""
-        if len(self.known) + len(self.bare) > self.most:
+        if self.held > self.most:
             self.known.clear()
             self.bare.clear()
+            self.held = 0
         cut = []
         new, new_bare = set(), set()
         for text in texts:
@@ -48,11 +50,19 @@ class Pieces:
                 new.update(parts[1:])
                 new_bare.add(parts[0])
                 cut.append((True, parts))
-        todo = [x for x in new if x not in self.known]
-        self.known.update(zip(todo, self.compute([" " + x for x in todo]), strict=True))
-        todo = [x for x in new_bare if x not in self.bare]
-        self.bare.update(zip(todo, self.compute(todo), strict=True))
-        return [[self.bare[p[0]], *map(self.known.__getitem__, p[1:])] if spaced else list(map(self.bare.__getitem__, p)) for spaced, p in cut]
+        self._learn(self.known, new, " ")
+        self._learn(self.bare, new_bare, "")
+        out = [[self.bare[p[0]], *map(self.known.__getitem__, p[1:])] if spaced else list(map(self.bare.__getitem__, p)) for spaced, p in cut]
+        for kept, met in ((self.known, new), (self.bare, new_bare)):
+            for x in met:
+                if len(x) > self.long and kept.pop(x, None) is not None:
+                    self.held -= len(x) + 8
+        return out
+
+    def _learn(self, kept: dict, met: set[str], before: str) -> None:
+        todo = [x for x in met if x not in kept]
+        kept.update(zip(todo, self.compute([before + x for x in todo]), strict=True))
+        self.held += sum(map(len, todo)) + 8 * len(todo)
 
     def _whole(self, text: str) -> list[str]:
         out = []
