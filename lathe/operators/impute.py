@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathe.functions.exprs import to_double_nullable
-from lathe.operators.quantiles import exact_medians
+from lathe.operators.quantiles import ColumnStats, column_statistics, median_of, middle_ranks
 
 STRATEGIES = ("median", "mean", "most_frequent", "constant")
 
@@ -76,7 +76,6 @@ class Imputation:
     strategy: str
     values: dict[str, float | None]
     moments: Moments | None = field(default=None, compare=False)
-    extra: object = field(default=None, compare=False, repr=False)  # result row of ride-along aggregates
 
     def expr(self, c: str) -> Column:
         v = self.values[c]
@@ -92,32 +91,41 @@ class Imputation:
         return df.select(*keep, *self.columns())
 
 
+def statistics(df: DataFrame, cols: list[str], medians: bool, fold: Column | None = None, folds: list | None = None) -> dict:
+    """{without: (rows, {column: ColumnStats})}: counts, moments and middle values of every column from the same passes."""
+    sources = {c: to_double_nullable(c) for c in cols}
+    every = column_statistics(df, {**sources, "": F.lit(0.0)}, middle_ranks, fold, folds, want=cols if medians else [])
+    rows = every.pop("")
+    return {g: (rows[g].n, {c: s[g] for c, s in every.items()}) for g in rows}
+
+
+def imputation_from(strategy: str, rows: int, stats: dict[str, ColumnStats], values: dict[str, float | None] | None = None) -> Imputation:
+    """Median, mean or given values, with the moments that a scaler needs."""
+    if values is None:
+        values = {c: median_of(s) if strategy == "median" else s.mean for c, s in stats.items()}
+    mom = Moments(rows, {c: s.n for c, s in stats.items()}, {c: s.mean for c, s in stats.items()}, {c: s.var_pop for c, s in stats.items()})
+    return Imputation(strategy, values, mom)
+
+
 def fit_imputer(
     df: DataFrame,
     cols: list[str] | tuple[str, ...],
     strategy: str = "median",
     fill_value: float = 0.0,
     with_moments: bool = True,
-    extra_aggs: list | None = None,
-    **median_kw,
 ) -> Imputation:
     cols = list(cols)
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown imputation strategy {strategy!r}; expected one of {STRATEGIES}")
-    extra = list(extra_aggs or [])
     if strategy == "median":
-        # one pass: median sketch + moments (+ any ride-along aggregates) together
-        vals, row = exact_medians(df, cols, extra_aggs=moment_aggs(cols) + extra, source=to_double_nullable, **median_kw)
-        mom = moments_from_row(row, cols)
-        return Imputation(strategy=strategy, values=vals, moments=mom if with_moments else None, extra=row)
-    row = None
-    if with_moments or strategy == "mean" or extra:
-        row = df.agg(*moment_aggs(cols), *extra).collect()[0]
-    mom = moments_from_row(row, cols) if row is not None else None
+        rows, stats = statistics(df, cols, True)[None]
+        imp = imputation_from(strategy, rows, stats)
+        return imp if with_moments else Imputation(strategy, imp.values)
+    mom = moments(df, cols) if with_moments or strategy == "mean" else None
     if strategy == "mean":
         vals = dict(mom.mean)
     elif strategy == "most_frequent":
         vals = most_frequent(df, cols)
     else:
         vals = {c: float(fill_value) for c in cols}
-    return Imputation(strategy=strategy, values=vals, moments=mom, extra=row)
+    return Imputation(strategy, vals, mom)

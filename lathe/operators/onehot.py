@@ -77,6 +77,24 @@ def fit_onehot(
     return OneHot({c: sorted(found[i]) for i, c in enumerate(cols)}, drop_first)
 
 
+def fit_onehot_without(
+    df: DataFrame, cols: list[str], fold: str, folds: list[int], drop_first: bool = True, max_categories: int = 1000
+) -> dict[int, OneHot]:
+    """{fold: the categories of all other folds' rows}, from one ``distinct`` over (column, value, fold)."""
+    if not cols:
+        return {f: OneHot({}, drop_first) for f in folds}
+    each = F.array_compact(F.array(*[F.when(F.col(f"`{c}`").isNotNull(), F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").cast("string").alias("v"))) for i, c in enumerate(cols)]))
+    met = df.select(F.col(f"`{fold}`").cast("int").alias("f"), F.explode(each).alias("e")).select("f", "e.i", "e.v")
+    by_value = met.groupBy("i", "v").agg(F.collect_set("f").alias("folds"))  # at most one entry a fold
+    found: dict[int, list] = {i: [] for i in range(len(cols))}
+    for r in by_value.limit((max_categories + 1) * len(cols)).collect():
+        found[r["i"]].append((r["v"], set(r["folds"])))
+    for i, c in enumerate(cols):
+        if len(found[i]) > max_categories:
+            raise ValueError(f"column {c!r} has more than {max_categories} categories: raise max_categories, or use the sparse form")
+    return {f: OneHot({c: sorted(v for v, seen in found[i] if seen - {f}) for i, c in enumerate(cols)}, drop_first) for f in folds}
+
+
 def category_table(df: DataFrame, cols: list[str] | tuple[str, ...]) -> DataFrame:
     """(column_name, category, position): distinct values in sorted order, numbered from 0 within each column.
 

@@ -1,13 +1,17 @@
 """The preprocessing pipeline: impute -> ratios -> scale, then one-hot.
 
-``PrepSpec.fit(train)`` runs a fixed, small number of distributed aggregate
-passes and keeps only statistics:
+``PrepSpec.fit(train)`` runs a small number of distributed aggregate passes
+and keeps only statistics:
 
-* pass 1: row count and per-column count/mean/population variance, plus the
-  median bracket sketch (median strategy);
-* passes 2-3: median bracket verification and bounded selection;
+* histogram passes over all columns at once (``quantiles``): counts, moments
+  and, for the median strategy, exact medians;
 * one ``distinct`` over (column, value) pairs for the category lists.
 
+``PrepSpec.fit_without(train, fold, folds)`` fits one preparation per fold on
+the rows of all other folds, in the same passes: histograms and category
+lists are counted by fold. So a cross-validation need not let a fold's own
+rows into the statistics that prepare it.
+
 Scaler statistics of imputed columns are derived from the pass-1 moments, so
 the scaler costs no pass of its own. ``FittedPrep.apply(df)`` is a single
 projection with literals; Catalyst collapses impute, ratio, scale and encode
@@ -25,8 +29,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lathe.operators.impute import Imputation, fit_imputer
-from lathe.operators.onehot import OneHot, fit_onehot
+from lathe.operators.impute import Imputation, fit_imputer, imputation_from, statistics
+from lathe.operators.onehot import OneHot, fit_onehot, fit_onehot_without
 from lathe.operators.ratios import ratio_columns
 from lathe.operators.scale import Scaling, fit_scaler, scaler_from_imputation
 
@@ -60,6 +64,41 @@ class PrepSpec:
         return FittedPrep(self, imp, dict(self.ratios), scaling, scale_cols, onehot)
 
 
+    def fit_without(self, df: DataFrame, fold: str, folds: list[int]) -> dict[int, FittedPrep]:
+        """{fold: the preparation fitted on all other folds}."""
+        numeric, cats = list(self.numeric), list(self.categorical)
+        if self.impute not in ("median", "mean", "constant") or (self.scale is not None and set(self.scale) - set(numeric)):
+            raise ValueError("by fold, columns are imputed by median, mean or constant, and only numeric ones are scaled")
+        stats = statistics(df, numeric, self.impute == "median", F.col(f"`{fold}`").cast("int"), folds)
+        onehots = fit_onehot_without(df, cats, fold, folds, self.drop_first, self.max_categories)
+        scale_cols = list(self.scale) if self.scale is not None else numeric
+        out = {}
+        for f in folds:
+            rows, own = stats[f]
+            imp = imputation_from(self.impute, rows, own, {c: float(self.fill_value) for c in numeric} if self.impute == "constant" else None)
+            out[f] = FittedPrep(self, imp, dict(self.ratios), scaler_from_imputation(imp, scale_cols), scale_cols, onehots[f])
+        return out
+
+
+def apply_by_fold(preps: dict[int, FittedPrep], df: DataFrame, fold: str) -> DataFrame:
+    """Every row prepared by the statistics of the other folds: one projection that chooses by fold.
+
+    The indicators are those that any fold's preparation has; a category that
+    only this fold's rows have, and the one dropped first, are all zeros.
+    """
+    names = list(dict.fromkeys(n for p in preps.values() for n in p.feature_names))
+    feats = set(next(iter(preps.values())).spec.numeric) | set(next(iter(preps.values())).spec.categorical)
+    chosen = []
+    cols = {f: dict(zip(p.feature_names, p.numeric_branch() + p.categorical_branch(), strict=True)) for f, p in preps.items()}
+    for n in names:
+        by = None
+        for f, own in cols.items():
+            value = own.get(n, F.lit(0.0))
+            by = F.when(F.col(f"`{fold}`") == f, value) if by is None else by.when(F.col(f"`{fold}`") == f, value)
+        chosen.append(by.alias(n))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in feats], *chosen)
+
+
 @dataclass(frozen=True)
 class FittedPrep:
     spec: PrepSpec

@@ -1,184 +1,173 @@
-"""Exact per-column medians with bounded memory per task.
-
-Spark's exact ``median``/``percentile`` keeps every distinct value of a column
-in one aggregation buffer and merges them in a single final task; at scale
-that is an unbounded group. Here the exact median is found by selection:
-
-1. one pass: ``count`` and a ``percentile_approx`` pair (a, b) around the
-   middle ranks for every column at once (bounded sketch per task);
-2. one pass: per column, rows below / at most a and below / at most b. A
-   middle rank that falls inside the tie block of a or b is resolved to that
-   value outright; otherwise it lies in one of the open intervals
-   (lo, a), (a, b) or (b, hi), which becomes the new search region;
-3. while a region still holds more than ``max_bracket`` rows, another sketch
-   restricted to the region narrows it (ties can never stall this: a value
-   repeated many times is resolved as an endpoint);
-4. one pass: the region rows of all unresolved columns are exploded to
-   (column, value) and numbered per column. Each column's partition holds at
-   most ``max_bracket`` rows; only the middle values come back.
-
-The result equals the mean of the two middle order statistics (the usual
-interpolated median) exactly.
+"""Exact order statistics and moments of many columns by histogram passes: one path at every size.
+
+Spark's exact ``median`` keeps every distinct value of a column in one
+aggregation buffer, a sketch is approximate, and a sort moves all values. Here
+the wanted ranks are found by selection:
+
+1. one grouping of all columns at once by a bucket number that keeps the order
+   of the values: eight buckets per power of two and sign, so at most some
+   thousands per column whatever the values are. Each bucket has its rows,
+   least and greatest value, mean and variance;
+2. a rank that is the first or last of its bucket, or falls into one of equal
+   values, is found. Any other bucket is split evenly between its least and
+   greatest value by the next grouping, again for all columns and ranks at
+   once. Least and greatest always part, so every pass shrinks it; doubles
+   have 2^52 steps within a power of two, so a handful of passes ends it.
+
+All passes are grouped sums in generated code: only bucket counts reach the
+driver, and no value is sorted or collected.
+
+With ``fold`` the buckets are counted by fold. The statistics *without* each
+fold then come from the same passes: counts of the other folds are added up,
+ranks are looked up in every complement, and moments are merged.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Buckets per power of two in the first pass, and of a bucket in the later ones.
+PER_OCTAVE = 8
+PARTS = 1024
+_OFFSET = 1075 * PER_OCTAVE + 1  # the least double is 2^-1074
 
 
 @dataclass
-class _Target:
-    n: int  # non-missing values
-    ranks: tuple[int, ...]  # 1-based ranks wanted
-    values: dict = field(default_factory=dict)  # resolved rank -> value
-    lo: float | None = None  # open lower bound (None: -inf)
-    hi: float | None = None  # open upper bound (None: +inf)
-    le_lo: int = 0  # rows <= lo
-    lt_hi: int = 0  # rows < hi
+class Moments1:
+    """Count, mean and population variance of one column."""
 
-    @property
-    def size(self) -> int:
-        return self.lt_hi - self.le_lo
-
-    @property
-    def pending(self) -> list[int]:
-        return [k for k in self.ranks if k not in self.values]
+    n: int = 0
+    mean: float = 0.0
+    m2: float = 0.0
 
+    def add(self, n: int, mean: float, var: float) -> None:
+        both = self.n + n
+        off = mean - self.mean
+        self.m2 += var * n + off * off * self.n * n / both
+        self.mean += off * n / both
+        self.n = both
 
-def _inside(c: str, t: _Target):
-    cond = F.col(c).isNotNull()
-    if t.lo is not None:
-        cond = cond & (F.col(c) > F.lit(t.lo))
-    if t.hi is not None:
-        cond = cond & (F.col(c) < F.lit(t.hi))
-    return cond
+    @property
+    def var(self) -> float | None:
+        return self.m2 / self.n if self.n else None
 
 
-def _sketch(df: DataFrame, targets: dict[str, _Target], accuracy: int) -> dict[str, tuple]:
-    """percentile_approx pair around the pending ranks, restricted to each region."""
-    names = list(targets)
-    exprs = []
-    for i, c in enumerate(names):
-        t = targets[c]
-        span = 2.0 / accuracy
-        p1 = min(max((min(t.pending) - t.le_lo) / t.size - span, 0.0), 1.0)
-        p2 = min(max((max(t.pending) - t.le_lo) / t.size + span, 0.0), 1.0)
-        exprs.append(F.percentile_approx(F.when(_inside(c, t), F.col(c)), [p1, p2], accuracy).alias(f"q{i}"))
-    row = df.agg(*exprs).collect()[0]
-    return {c: tuple(row[f"q{i}"]) for i, c in enumerate(names) if row[f"q{i}"]}
-
-
-def _locate(df: DataFrame, targets: dict[str, _Target], cand: dict[str, tuple]) -> None:
-    """Count around (a, b); resolve ranks on a tie block, else shrink the region."""
-    names = list(cand)
-    exprs = []
-    for i, c in enumerate(names):
-        a, b = cand[c]
-        x = F.col(c)
-        exprs += [
-            F.count_if(x < F.lit(a)).alias(f"lta{i}"),
-            F.count_if(x <= F.lit(a)).alias(f"lea{i}"),
-            F.count_if(x < F.lit(b)).alias(f"ltb{i}"),
-            F.count_if(x <= F.lit(b)).alias(f"leb{i}"),
-        ]
-    row = df.agg(*exprs).collect()[0]
-    for i, c in enumerate(names):
-        a, b = cand[c]
-        t = targets[c]
-        lta, lea, ltb, leb = row[f"lta{i}"], row[f"lea{i}"], row[f"ltb{i}"], row[f"leb{i}"]
-        region = None
-        for k in t.pending:
-            if lta < k <= lea:
-                t.values[k] = float(a)
-            elif ltb < k <= leb:
-                t.values[k] = float(b)
-            elif k <= lta:
-                region = (t.lo, a, t.le_lo, lta)
-            elif k <= ltb:
-                region = (a, b, lea, ltb)
+@dataclass
+class ColumnStats:
+    n: int
+    mean: float | None
+    var_pop: float | None
+    values: dict[int, float] = field(default_factory=dict)  # rank (from 1) -> value
+
+
+def _octave(v: Column) -> Column:
+    """A bucket number that never falls as the value rises; zero and the infinities have their own."""
+    size = F.least(F.floor(F.log2(F.abs(v)) * PER_OCTAVE), F.lit(1025 * PER_OCTAVE)) + F.lit(_OFFSET)
+    return F.when(v == 0, F.lit(0)).otherwise((F.signum(v) * size).cast("int"))
+
+
+def _pass(df: DataFrame, segments: list[list[tuple[int, float, float] | None]], moments: bool) -> dict[int, dict[int, dict]]:
+    """segment -> bucket -> fold -> (rows, least, greatest, mean, variance); a segment of None is a whole column."""
+    each = []
+    for i, own in enumerate(segments):
+        v = F.col(f"_v{i}")
+        for s in own:
+            if s is None:
+                each.append(F.when(v.isNotNull(), F.struct(F.lit(-i - 1).alias("s"), _octave(v).alias("b"), v.alias("v"))))
             else:
-                region = (b, t.hi, leb, t.lt_hi)
-        if region is not None and t.pending:
-            t.lo, t.hi, t.le_lo, t.lt_hi = region
-
-
-def exact_medians(
-    df: DataFrame,
-    cols: list[str],
-    accuracy: int = 10_000,
-    max_bracket: int = 1_000_000,
-    extra_aggs: list | None = None,
-    source=None,
-) -> dict[str, float | None] | tuple[dict[str, float | None], object]:
-    """Exact medians of ``cols``; with ``extra_aggs`` also returns their result row.
-
-    ``extra_aggs`` ride along in the first pass (e.g. the moments a scaler
-    needs), so fitting imputer and scaler together costs no additional scan.
-    Columns with at most ``max_bracket`` values skip the sketch entirely.
-    ``source(c)`` maps a column name to the expression whose median is wanted
-    (e.g. NaN -> NULL); other columns of ``df`` stay available to the extras.
+                number, lo, hi = s
+                # within a bucket both ends have one sign, so the difference can't overflow
+                b = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * PARTS), F.lit(PARTS - 1)).cast("int")
+                each.append(F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), F.struct(F.lit(number).alias("s"), b.alias("b"), v.alias("v"))))
+    placed = df.select("_f", F.explode(F.array_compact(F.array(*each))).alias("e")).select("_f", "e.*")
+    aggs = [F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    if moments:
+        aggs += [F.avg("v").alias("mean"), F.var_pop("v").alias("var")]
+    out: dict[int, dict[int, dict]] = {}
+    for r in placed.groupBy("_f", "s", "b").agg(*aggs).collect():
+        out.setdefault(r["s"], {}).setdefault(r["b"], {})[r["_f"]] = (r["n"], r["lo"], r["hi"], *((r["mean"], r["var"]) if moments else ()))
+    return out
+
+
+def _others(by_fold: dict, without) -> list[tuple]:
+    return [x for f, x in by_fold.items() if f != without]
+
+
+def column_statistics(
+    df: DataFrame, columns: dict[str, Column], ranks: Callable[[int], set[int]], fold: Column | None = None, folds: list | None = None, want: list[str] | None = None
+) -> dict:
+    """{column: {without: ColumnStats}} with the values at ``ranks(n)``.
+
+    ``without`` is None where ``fold`` is; else each of ``folds``, the
+    statistics being those of all other rows. NULLs are left out; a NaN must
+    have been made NULL. Ranks are looked up for the columns in ``want`` (default: all).
     """
-    if source is not None:
-        keep = [c for c in df.columns if c not in cols]
-        df = df.select(*keep, *[source(c).alias(c) for c in cols])
-    extra = list(extra_aggs or [])
-    if not cols:
-        row = df.agg(*extra).collect()[0] if extra else None
-        return ({}, row) if extra_aggs is not None else {}
-    first = df.agg(
-        *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-        *[
-            F.percentile_approx(F.col(c), [0.5 - 2.0 / accuracy, 0.5 + 2.0 / accuracy], accuracy).alias(f"q{i}")
-            for i, c in enumerate(cols)
-        ],
-        *extra,
-    ).collect()[0]
-    targets: dict[str, _Target] = {}
-    cand: dict[str, tuple] = {}
-    for i, c in enumerate(cols):
-        n = first[f"n{i}"]
-        if n == 0:
-            continue
-        t = _Target(n=n, ranks=tuple(sorted({(n + 1) // 2, n // 2 + 1})), lt_hi=n)
-        targets[c] = t
-        if n > max_bracket and first[f"q{i}"]:
-            cand[c] = tuple(first[f"q{i}"])
-    if cand:
-        _locate(df, targets, cand)
-    for _ in range(32):
-        wide = {c: t for c, t in targets.items() if t.pending and t.size > max_bracket}
-        if not wide:
-            break
-        _locate(df, targets, _sketch(df, wide, accuracy))
-    else:
-        raise RuntimeError("the medians' regions did not shrink to a size that can be sorted")
-    open_targets = {c: t for c, t in targets.items() if t.pending}
-    if open_targets:
-        names = list(open_targets)
-        parts = [
-            F.when(_inside(c, open_targets[c]), F.struct(F.lit(i).alias("i"), F.col(c).cast("double").alias("v")))
-            for i, c in enumerate(names)
-        ]
-        exploded = df.select(F.explode(F.filter(F.array(*parts), lambda x: x.isNotNull())).alias("e")).select("e.i", "e.v")
-        ranked = exploded.withColumn("r", F.row_number().over(Window.partitionBy("i").orderBy("v")))
-        wanted = None
-        for i, c in enumerate(names):
-            t = open_targets[c]
-            cond = (F.col("i") == i) & F.col("r").isin(*[k - t.le_lo for k in t.pending])
-            wanted = cond if wanted is None else (wanted | cond)
-        for r in ranked.filter(wanted).collect():
-            t = open_targets[names[r["i"]]]
-            t.values[r["r"] + t.le_lo] = float(r["v"])
-    out: dict[str, float | None] = {}
-    for c in cols:
-        t = targets.get(c)
-        if t is None:
-            out[c] = None
-            continue
-        v1, v2 = t.values[t.ranks[0]], t.values[t.ranks[-1]]
-        out[c] = v1 if v1 == v2 else v1 + (v2 - v1) * 0.5
-    return (out, first) if extra_aggs is not None else out
+    names = list(columns)
+    groups = [None] if fold is None else list(folds)
+    table = df.select((fold if fold is not None else F.lit(0)).alias("_f"), *[columns[c].cast("double").alias(f"_v{i}") for i, c in enumerate(names)])
+    out: dict = {c: {g: ColumnStats(0, None, None) for g in groups} for c in names}
+    if not names:
+        return out
+    hist = _pass(table, [[None] for _ in names], True)
+    open_ranks: list[tuple] = []  # column, group, rank, segment, rows of the group below the segment
+    for i, c in enumerate(names):
+        buckets = hist.get(-i - 1, {})
+        for g in groups:
+            m = Moments1()
+            for b in sorted(buckets):
+                for n, _, _, mean, var in _others(buckets[b], g):
+                    m.add(n, mean, var)
+            out[c][g] = ColumnStats(m.n, m.mean if m.n else None, m.var)
+            if m.n and (want is None or c in want):
+                open_ranks += [(i, g, k, -i - 1, 0) for k in sorted(ranks(m.n))]
+    while open_ranks:
+        segments: list[list] = [[] for _ in names]
+        numbers: dict[tuple[int, int], int] = {}
+        nxt = []
+        for i, g, rank, seg, below in open_ranks:
+            for b in sorted(hist[seg]):
+                own = _others(hist[seg][b], g)
+                n = sum(x[0] for x in own)
+                if below + n < rank:
+                    below += n
+                    continue
+                lo, hi = min(x[1] for x in own), max(x[2] for x in own)
+                values = out[names[i]][g].values
+                if rank == below + 1 or lo == hi:
+                    values[rank] = lo
+                elif rank == below + n:
+                    values[rank] = hi
+                else:
+                    # the bucket as all folds have it, so that complements share its parts
+                    if (seg, b) not in numbers:
+                        numbers[seg, b] = len(numbers)
+                        every = hist[seg][b].values()
+                        segments[i].append((numbers[seg, b], min(x[1] for x in every), max(x[2] for x in every)))
+                    nxt.append((i, g, rank, numbers[seg, b], below))
+                break
+        open_ranks = nxt
+        if open_ranks:
+            hist = _pass(table, segments, False)
+    return out
+
+
+def middle_ranks(n: int) -> set[int]:
+    return {(n + 1) // 2, n // 2 + 1}
+
+
+def median_of(stats: ColumnStats) -> float | None:
+    """Mean of the two middle values, None without any."""
+    if not stats.n:
+        return None
+    a, b = (stats.values[k] for k in ((stats.n + 1) // 2, stats.n // 2 + 1))
+    return a if a == b else a + (b - a) * 0.5
+
+
+def exact_medians(df: DataFrame, cols: list[str], source: Callable[[str], Column] | None = None) -> dict[str, float | None]:
+    """Exact medians; ``source(c)`` maps a column name to the expression whose median is wanted (say, NaN to NULL)."""
+    got = column_statistics(df, {c: source(c) if source else F.col(f"`{c}`") for c in cols}, middle_ranks)
+    return {c: median_of(s[None]) for c, s in got.items()}

@@ -40,6 +40,7 @@ from lathe.operators.metrics import r2_of
 from lathe.functions.hashing import key_hash
 from lathe.operators.forest import Forest, cross_validated, fit_laid_out, lay_out
 from lathe.operators.learners import deterministic_layout, layout_partitions
+from lathe.operators.prep import PrepSpec
 
 SCORINGS = {
     "neg_mean_squared_error": ("mse", -1.0),
@@ -95,6 +96,7 @@ class SearchResult:
     best_score: float
     best_model: object | None
     folds: int
+    prep: object | None = None  # with preparation by fold: the one fitted on all rows, which the best model expects
 
 
 def summarize_cv(scores: DataFrame, cands_df: DataFrame | None = None) -> DataFrame:
@@ -126,14 +128,26 @@ def _score_of(scoring: str, r) -> float:
     return sign * (math.sqrt(mean) if metric == "rmse" else mean)
 
 
-def _forest_search(estimator: Forest, cands, df, features, label, fold_col, scoring, return_train_score, refit, key) -> SearchResult:
+def _forest_search(estimator: Forest, cands, df, features, label, fold_col, scoring, return_train_score, refit, key, prep: PrepSpec | None) -> SearchResult:
     if key is None:
         raise ValueError("a forest's rows are named by a key")
     spark, features = df.sparkSession, list(features)
     indexed = [c if isinstance(c, tuple) else (i, c) for i, c in enumerate(cands)]
-    laid = lay_out(df, features, label, key, fold_col)
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())
-    sums = cross_validated(laid, [estimator.with_params(p) for _, p in indexed], folds).collect()  # a row per candidate, fold and side
+    forests = [estimator.with_params(p) for _, p in indexed]
+    # sums: a row per candidate, fold and side
+    fitted = None
+    if prep is None:
+        laid = lay_out(df, features, label, key, fold_col)
+        sums = cross_validated(laid, forests, folds).collect()
+    else:
+        sums = []
+        for f, own in prep.fit_without(df, fold_col, folds).items():
+            sums += cross_validated(lay_out(own.apply(df), own.feature_names, label, key, fold_col), forests, [f]).collect()
+        if refit:
+            fitted = prep.fit(df)
+            features = fitted.feature_names
+            laid = lay_out(fitted.apply(df), features, label, key, fold_col)
     results = [(indexed[r["candidate"]][0], int(r["fold"]), "test" if r["test"] else "train", float(_score_of(scoring, r))) for r in sums if r["test"] or return_train_score]
     scores = spark.createDataFrame(results, "candidate_id long, fold int, split string, score double")
     named = spark.createDataFrame([(cid, json.dumps(p, sort_keys=True)) for cid, p in indexed], "candidate_id long, params string")
@@ -141,7 +155,7 @@ def _forest_search(estimator: Forest, cands, df, features, label, fold_col, scor
     best = best_candidate(cv).collect()[0]
     params = dict(indexed)[best["candidate_id"]]
     model = fit_laid_out(laid, estimator.with_params(params), features) if refit else None
-    return SearchResult(scores, cv, int(best["candidate_id"]), params, float(best["mean_test_score"]), model, len(folds))
+    return SearchResult(scores, cv, int(best["candidate_id"]), params, float(best["mean_test_score"]), model, len(folds), fitted)
 
 
 def grid_search(
@@ -157,7 +171,9 @@ def grid_search(
     refit: bool = True,
     key: str | None = None,
     apply_params: Callable[[Estimator, dict], Estimator] | None = None,
+    prep: PrepSpec | None = None,
 ) -> SearchResult:
+    """With ``prep`` (forests only), ``df`` holds unprepared columns and each fold is prepared by the other folds' statistics."""
     from lathe.operators.learners import with_params
 
     from pyspark.ml import PipelineModel
@@ -165,7 +181,9 @@ def grid_search(
 
     spark = df.sparkSession
     if isinstance(estimator, Forest):
-        return _forest_search(estimator, cands, df, features, label, fold_col, scoring, return_train_score, refit, key)
+        return _forest_search(estimator, cands, df, features, label, fold_col, scoring, return_train_score, refit, key, prep)
+    if prep is not None:
+        raise ValueError("preparation by fold is for forests; prepare the table first")
     apply_params = apply_params or with_params
     indexed = [c if isinstance(c, tuple) else (i, c) for i, c in enumerate(cands)]
     # assemble the feature vector once (by name); every fit reads the same rows

@@ -98,6 +98,7 @@ def grow(orders: Orders, y: np.ndarray, weight: np.ndarray, max_features: int, n
     """The tree of the rows with a weight above 0; ``node``: hash of the root, ``max_depth``: levels left below it."""
     x, p = orders.x, len(orders.x)
     ws, used = weight * y, weight > 0
+    plain = bool((weight[used] == 1).all())  # sums of weights are then counts
     order = [o[used[o]] for o in orders.order]
     feature, value, left = [np.array([LEAF], np.int32)], [np.zeros(1)], [np.zeros(1, np.int64)]
     size = np.array([len(order[0])]) if p else np.array([0])
@@ -108,7 +109,6 @@ def grow(orders: Orders, y: np.ndarray, weight: np.ndarray, max_features: int, n
     while len(size):
         # nodes of this level are segments of every order
         first = np.cumsum(size) - size
-        seg = np.repeat(np.arange(len(size)), size)
         o = order[0]
         w_all, s_all = np.add.reduceat(weight[o], first), np.add.reduceat(ws[o], first)
         label = y[o]
@@ -119,24 +119,34 @@ def grow(orders: Orders, y: np.ndarray, weight: np.ndarray, max_features: int, n
         use = drawn(hashes, apart & may[:, None], max_features)
         best, best_f, best_k = np.full(len(size), -np.inf), np.full(len(size), -1), np.zeros(len(size), np.int64)
         for f in range(p):
-            mine = np.flatnonzero(use[:, f])
+            use_f = use[:, f]
+            mine = np.flatnonzero(use_f)
             if not len(mine):
                 continue
-            whole = len(mine) == len(size)
-            at = order[f] if whole else order[f][use[seg, f]]
+            at = order[f] if len(mine) == len(size) else order[f][np.repeat(use_f, size)]
             n = size[mine]
-            begin = np.cumsum(n) - n
-            s = seg if whole else np.repeat(np.arange(len(mine)), n)
-            w, t = np.cumsum(weight[at]), np.cumsum(ws[at])
-            w -= np.append(0.0, w)[begin][s]
-            t -= np.append(0.0, t)[begin][s]
-            rest = w_all[mine][s] - w
+            end = np.cumsum(n)
+            begin = end - n
             r = orders.rank[f][at]
-            ok = np.append((r[1:] != r[:-1]) & (s[1:] == s[:-1]), False) & (w >= min_leaf) & (rest >= min_leaf)
+            ok = np.empty(len(at), bool)
+            np.not_equal(r[1:], r[:-1], out=ok[:-1])
+            ok[end - 1] = False  # a node's last row has none to its right
             k = np.flatnonzero(ok)
+            s = np.repeat(np.arange(len(mine)), n)
+            sk = s[k]
+            t = np.cumsum(ws[at])
+            tk = t[k] - (t[begin] - ws[at[begin]])[sk]
+            if plain:
+                wk = (k + 1 - begin[sk]).astype(np.float64)
+            else:
+                w = np.cumsum(weight[at])
+                wk = w[k] - (w[begin] - weight[at[begin]])[sk]
+            rk = w_all[mine][sk] - wk
+            if min_leaf > 1:
+                big = (wk >= min_leaf) & (rk >= min_leaf)
+                k, sk, tk, wk, rk = k[big], sk[big], tk[big], wk[big], rk[big]
             if not len(k):
                 continue
-            wk, tk, rk, sk = w[k], t[k], rest[k], s[k]
             over = s_all[mine][sk] - tk
             gain = tk * tk / wk + over * over / rk
             head = np.flatnonzero(np.append(True, sk[1:] != sk[:-1]))
@@ -154,7 +164,7 @@ def grow(orders: Orders, y: np.ndarray, weight: np.ndarray, max_features: int, n
         n_left = np.zeros(len(size), np.int64)
         for f in np.unique(best_f[here]).tolist():
             mine = here[best_f[here] == f]
-            at = order[f][(best_f == f)[seg]]
+            at = order[f][np.repeat(best_f == f, size)]
             n = size[mine]
             begin = np.cumsum(n) - n
             s = np.repeat(np.arange(len(mine)), n)

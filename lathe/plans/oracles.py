@@ -435,6 +435,30 @@ ORACLES["tree_one_feature"] = ORACLES["forest_one_feature"] = with_base(
     f"SELECT i.o_orderkey, {r6('near.m')} AS prediction FROM imp_test i JOIN near ON i.n_lines = near.n_lines"
 )
 
+# statistics of each fold's complement, and rows prepared by them
+_by_fold = (
+    ", tf AS (SELECT *, ('0x' || substr(md5(concat_ws('#', CAST(o_orderkey AS VARCHAR), '42')), 9, 8))::BIGINT % 5 AS fold FROM train)\n"
+    ", med_f AS (SELECT k, " + ", ".join(f"median(CAST({c} AS DOUBLE)) AS m_{c}" for c in NUMERIC) + " FROM range(0, 5) r(k) JOIN tf ON tf.fold <> r.k GROUP BY k)\n"
+    ", imp_f AS (SELECT m.k, t.o_orderkey, t.fold, t.o_totalprice, t.o_orderpriority, "
+    + ", ".join(f"coalesce(CAST(t.{c} AS DOUBLE), m.m_{c}) AS {c}" for c in NUMERIC)
+    + " FROM tf t CROSS JOIN med_f m)\n"
+    ", sc_f AS (SELECT k, " + ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in NUMERIC) + " FROM imp_f WHERE fold <> k GROUP BY k)\n"
+)
+ORACLES["fold_prep_stats"] = with_base(
+    _by_fold
+    + _long([f"SELECT CAST(k AS INTEGER) AS fold, '{c}' AS column_name, round(m_{c}, 5) + 0.0 AS median, round(mu_{c}, 5) + 0.0 AS mean, round(sd_{c}, 5) + 0.0 AS std FROM med_f JOIN sc_f USING (k)" for c in NUMERIC])
+)
+ORACLES["fold_prep_rows"] = with_base(
+    _by_fold
+    + f"SELECT i.o_orderkey, round(i.o_totalprice, 5) + 0.0 AS {LABEL}, CAST(i.fold AS INTEGER) AS fold, "
+    + ", ".join(
+        [f"round(i.{n} / nullif(i.{d}, 0), 5) + 0.0 AS {name}" for name, n, d in RATIOS]
+        + [f"round((i.{c} - s.mu_{c}) / s.sd_{c}, 5) + 0.0 AS {c}" for c in NUMERIC]
+        + indicator_sql("i")
+    )
+    + " FROM imp_f i JOIN sc_f s ON s.k = i.k WHERE i.fold = i.k"
+)
+
 EXACT_FEATURES = ["sum_qty", "returned_qty", "n_supp", "n_lines", "c_acctbal"]
 
 

@@ -15,6 +15,7 @@ from lathe.operators.forest import Forest, tree
 from lathe.operators.learners import fit_model, linear_regression
 from lathe.operators.linear import fit_ols, kfold_ols
 from lathe.operators.metrics import regression_metrics
+from lathe.operators.prep import apply_by_fold
 from lathe.operators.profile import input_example
 from lathe.operators.search import (
     best_candidate,
@@ -25,7 +26,7 @@ from lathe.operators.search import (
     summarize_cv,
 )
 from lathe.operators.split import hash_folds
-from lathe.plans.cases import CV_LABEL, FOLDS, KEY, LABEL, MEAN_GRID, SEED, OrderCase, cv_table
+from lathe.plans.cases import CV_LABEL, FOLDS, KEY, LABEL, MEAN_GRID, NUMERIC, SEED, OrderCase, base_spec, cv_table
 from lathe.plans.flows import CV_METRIC, EVAL_METRICS, EVAL_RUN, FOREST_GRID, INGEST_RUN, PARENT_RUN
 from lathe.plans.queries import fin
 from lathe.session import ensure_checkpoint_dir
@@ -176,6 +177,34 @@ def q_grid_search_forest(spark, sf):
     return res.cv_results.withColumn("is_best", F.col("candidate_id") == F.lit(res.best_index))
 
 
+def q_fold_prep_stats(spark, sf):
+    """Per fold: median, mean and deviation of every column, fitted on the other folds."""
+    case = OrderCase(spark, sf)
+    data = hash_folds(case.train, KEY, FOLDS, SEED)
+    rows = [
+        (f, c, p.imputation.values[c], p.scaling.mean[c], p.scaling.std[c])
+        for f, p in base_spec().fit_without(data, "fold", list(range(FOLDS))).items()
+        for c in NUMERIC
+    ]
+    return fin(spark.createDataFrame(rows, "fold int, column_name string, median double, mean double, std double"), 5)
+
+
+def q_fold_prep_rows(spark, sf):
+    """Every training row prepared by the statistics of the other folds."""
+    case = OrderCase(spark, sf)
+    data = hash_folds(case.train, KEY, FOLDS, SEED)
+    return fin(apply_by_fold(base_spec().fit_without(data, "fold", list(range(FOLDS))), data, "fold"), 5)
+
+
+def q_grid_search_by_fold(spark, sf):
+    """The forest search with each fold prepared by the other folds' statistics."""
+    case = OrderCase(spark, sf)
+    data = hash_folds(case.train, KEY, FOLDS, SEED)
+    grid = param_grid({"n_estimators": [3], "max_features": [2, 6]})
+    res = grid_search(Forest(bootstrap=False, seed=SEED), grid, data, [], LABEL, key=KEY, prep=base_spec(), refit=False)
+    return res.cv_results.withColumn("is_best", F.col("candidate_id") == F.lit(res.best_index))
+
+
 def q_score_many_models(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
@@ -365,6 +394,8 @@ MODEL_QUERIES = {
     "input_example": q_input_example,
     "tree_one_feature": q_tree_one_feature,
     "forest_one_feature": q_forest_one_feature,
+    "fold_prep_stats": q_fold_prep_stats,
+    "fold_prep_rows": q_fold_prep_rows,
     "tree_exact": q_tree_exact,
     "forest_exact": q_forest_exact,
     "ols_residuals": q_ols_residuals,
@@ -375,6 +406,7 @@ MODEL_QUERIES = {
     "fit_tree_predict": q_fit_tree_predict,
     "fit_forest_predict": q_fit_forest_predict,
     "grid_search_forest": q_grid_search_forest,
+    "grid_search_by_fold": q_grid_search_by_fold,
     "score_many_models": q_score_many_models,
     "model_roundtrip": q_model_roundtrip,
     "pipeline_full": q_pipeline_full,

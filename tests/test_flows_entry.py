@@ -36,7 +36,7 @@ def test_full_pipeline_run_tree_and_score(spark, sf0001, tmp_path):
     store = TrackingStore(spark, str(tmp_path / "track"))
     out = full_pipeline(
         spark, feat, ORDER_ROLES, store, str(tmp_path / "work"), ratios=ORDER_RATIOS,
-        grid={"n_estimators": [2], "max_features": [2, 4], "bootstrap": [False]}, max_depth=3, parallelism=2,
+        grid={"n_estimators": [2], "max_features": [2, 4], "bootstrap": [False]}, max_depth=3,
     )
     tree = run_tree(store.read("runs"), store.read("metrics")).collect()
     children = {r["run_name"] for r in tree if r["parent_run_name"] == "Parent run"}
@@ -78,7 +78,7 @@ def test_train_models_logs_and_saves(spark, sf0001, tmp_path):
     store = TrackingStore(spark, str(tmp_path / "track"))
     out = train_models(
         ing.train, feats, "o_totalprice", "o_orderkey", store=store, model_dir=str(tmp_path / "models"),
-        grid={"n_estimators": [2], "max_features": [2, 3], "bootstrap": [True]}, max_depth=3, parallelism=2,
+        grid={"n_estimators": [2], "max_features": [2, 3], "bootstrap": [True]}, max_depth=3,
     )
     assert set(out) == {"Linear_Regression", "Decision_tree", "Random_Forest"}
     names = {r["run_name"] for r in store.read("runs").collect()}
