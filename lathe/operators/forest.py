@@ -12,8 +12,9 @@ options, fold and place in the forest) are grown once.
 2. While a node of a tree holds more than ``cells`` values (rows x features),
    one pass per level adds up histograms of weight, label and rows for all
    such nodes of all trees; a task per node takes the best cut, only the
-   cuts reach the driver. Cut points are quantiles of the whole table; a node
-   that lies inside one bin of every feature gets bins of its own, evenly
+   cuts reach the driver. Cut points are quantiles of the whole table, found by
+   counting prefixes of the values' bits (so they don't depend on the layout
+   either); a node that lies inside one bin of every feature gets bins of its own, evenly
    spaced between its least and greatest values.
 3. Rows of smaller nodes meet in a task, which finishes the subtree with exact
    splits (``tree_growth``); its size is bounded by ``cells``. Where the whole
@@ -179,6 +180,69 @@ def label_scale(n: int, top: float) -> float:
     return 2.0 ** min(50 - math.ceil(math.log2(n)) - math.ceil(math.log2(top)), 900)
 
 
+def _batch(rows: list[tuple], **types: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types.values(), strict=True)], names=list(types))
+
+
+# --- cut points -----------------------------------------------------------------------
+
+
+def _keys(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers in the order of the doubles; -0.0 as 0.0."""
+    bits = (x + 0.0).view(np.uint64)
+    return np.where(bits >> np.uint64(63), ~bits, bits | np.uint64(1 << 63))
+
+
+def _value(key: int) -> float:
+    bits = key ^ (1 << 63) if key >> 63 else ~key & (1 << 64) - 1
+    return float(np.array([bits], np.uint64).view(np.float64)[0])
+
+
+def _prefixes(p: int, shift: int, inside: list[np.ndarray] | None, above: int):
+    """Rows per feature and prefix; ``inside``: only below these prefixes of the last pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[dict[int, int]] = [{} for _ in range(p)]
+        for b in _blocks(batches, p):
+            for f in range(p):
+                keys = _keys(b.x[f])
+                if inside is not None:
+                    keys = keys[np.isin(keys >> np.uint64(above), inside[f])]
+                for k, c in zip(*[a.tolist() for a in np.unique(keys >> np.uint64(shift), return_counts=True)], strict=True):
+                    found[f][k] = found[f].get(k, 0) + c
+        rows = [(f, str(k), c) for f, own in enumerate(found) for k, c in own.items()]
+        if rows:
+            yield _batch(rows, f=pa.int32(), prefix=pa.string(), n=pa.int64())
+
+    return run
+
+
+def cut_points(table: DataFrame, n: int, p: int) -> list[np.ndarray]:
+    """At most BINS - 1 values per feature that split the rows about evenly: prefixes that hold more than a bin's share are looked into."""
+    done: list[list[tuple[int, int]]] = [[] for _ in range(p)]  # (greatest key of the prefix, rows)
+    inside, above = None, 64
+    for shift in (48, 36, 24, 12, 0):
+        counted = table.mapInArrow(_prefixes(p, shift, inside, above), "f int, prefix string, n long").groupBy("f", "prefix").agg(F.sum("n").alias("n")).collect()
+        heavy: list[list[int]] = [[] for _ in range(p)]
+        for r in counted:
+            k = int(r["prefix"])
+            if shift and r["n"] * BINS > n:
+                heavy[r["f"]].append(k)
+            else:
+                done[r["f"]].append(((k + 1 << shift) - 1, r["n"]))
+        if not any(heavy):
+            break
+        inside, above = [np.array(h, np.uint64) for h in heavy], shift
+    out = []
+    for own in done:
+        own.sort()
+        below = np.cumsum([c for _, c in own])
+        at = np.searchsorted(below, np.arange(1, BINS) * n / BINS, "left")
+        cuts = [_value(own[k][0]) for k in np.unique(at).tolist() if k < len(own)]
+        out.append(np.array(cuts if len(own) > BINS else [_value(k) for k, _ in own][: BINS - 1]))
+    return out
+
+
 # --- tops: levels of nodes too large for a task ----------------------------------------
 
 
@@ -208,10 +272,6 @@ class Top:
         return self.left[node], self.left[node] + 1
 
 
-def _batch(rows: list[tuple], **types: pa.DataType) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), types.values(), strict=True)], names=list(types))
-
-
 def _histograms(specs, tops, nodes, cuts, p: int, scale: float):
     """Per task and open node: weight, label sum and rows per feature and bin; least and greatest label."""
     by_tree: dict[int, list[int]] = {}
@@ -584,8 +644,7 @@ def lay_out(df: DataFrame, features: list[str], label: str, key: str, fold: str
     p = len(features)
     quantiles: list[np.ndarray] = []
     if n * p > cells:
-        probs = [k / BINS for k in range(1, BINS)]
-        quantiles = [np.unique(q) for q in df.approxQuantile(list(features), probs, 1.0 / (4 * BINS))]
+        quantiles = cut_points(table, n, p)
     return LaidOut(table, n, p, label_scale(n, top), quantiles, cells)
 
 
