@@ -459,6 +459,51 @@ ORACLES["fold_prep_rows"] = with_base(
     + " FROM imp_f i JOIN sc_f s ON s.k = i.k WHERE i.fold = i.k"
 )
 
+# least squares with every feature: normal equations of centred columns, solved by elimination row by row
+_OLS = [x[0] for x in RATIOS] + NUMERIC + INDICATORS
+
+
+def _ols_sql(rows: str, part: str) -> str:
+    """``rows`` (fold, is_part per model k, features, label) -> CTEs up to ``beta`` (k, b DOUBLE[], means) and the shared row list."""
+    p = len(_OLS)
+    cols = [q(c) for c in _OLS] + [LABEL]
+    means = ", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(cols))
+    dev = ", ".join(f"{c} - m{i} AS d{i}" for i, c in enumerate(cols))
+    gram = ", ".join("[" + ", ".join(f"sum(d{i} * d{j})" for j in range(p + 1)) + "]" for i in range(p))
+    return (
+        f", mu AS (SELECT k, {means} FROM {rows} WHERE {part} GROUP BY k)\n"
+        f", dev AS (SELECT r.k, {dev} FROM {rows} r JOIN mu USING (k) WHERE {part})\n"
+        f", gram AS (SELECT k, [{gram}] AS g FROM dev GROUP BY k)\n"
+        ", solved AS (SELECT k, 1 AS step, g FROM gram UNION ALL SELECT k, step + 1, "
+        "list_transform(range(1, len(g) + 1), lambda i: CASE WHEN i = step THEN list_transform(g[i], lambda x: x / g[step][step]) "
+        "ELSE list_transform(range(1, len(g[i]) + 1), lambda j: g[i][j] - g[i][step] * g[step][j] / g[step][step]) END) "
+        f"FROM solved WHERE step <= {p})\n"
+        f", beta AS (SELECT k, list_transform(g, lambda r: r[{p + 1}]) AS b, [{', '.join(f'm{i}' for i in range(p + 1))}] AS m FROM solved JOIN mu USING (k) WHERE step = {p + 1})\n"
+    )
+
+
+def _ols_guess(alias: str) -> str:
+    return f"b.m[{len(_OLS) + 1}]" + "".join(f" + b.b[{i + 1}] * ({alias}.{q(c)} - b.m[{i + 1}])" for i, c in enumerate(_OLS))
+
+
+def _raw_prepared(src: str, extra: str) -> str:
+    cols = [f"i.{n} / nullif(i.{d}, 0) AS {name}" for name, n, d in RATIOS] + [f"(i.{c} - s.mu_{c}) / s.sd_{c} AS {c}" for c in NUMERIC] + indicator_sql("i")
+    return f"SELECT {extra}, i.{KEY}, i.{LABEL}, {', '.join(cols)} FROM {src} i CROSS JOIN sc s"
+
+
+ORACLES["fit_ols_predict"] = with_base(
+    f", tr AS ({_raw_prepared('imp_train', '0 AS k')}), te AS ({_raw_prepared('imp_test', '0 AS k')})\n"
+    + _ols_sql("tr", "TRUE")
+    + f"SELECT t.{KEY}, round({_ols_guess('t')}, 3) + 0.0 AS prediction FROM te t JOIN beta b USING (k)"
+).replace("WITH ", "WITH RECURSIVE ", 1)
+ORACLES["kfold_ols"] = with_base(
+    f", base AS ({_raw_prepared('imp_train', FOLD_SQL.replace('fold', 'fold') + ' AS fold')}), tr AS (SELECT r.k, base.* FROM base CROSS JOIN range(0, 5) r(k))\n"
+    + _ols_sql("tr", "fold <> k")
+    + f", off AS (SELECT t.k, t.fold = t.k AS is_test, t.{LABEL} - ({_ols_guess('t')}) AS e FROM tr t JOIN beta b USING (k))\n"
+    "SELECT CAST(k AS INTEGER) AS fold, count(*) FILTER (WHERE is_test) AS n_test, count(*) FILTER (WHERE NOT is_test) AS n_train, "
+    "round(avg(e * e) FILTER (WHERE is_test), 0) + 0.0 AS test_mse, round(avg(e * e) FILTER (WHERE NOT is_test), 0) + 0.0 AS train_mse FROM off GROUP BY k"
+).replace("WITH ", "WITH RECURSIVE ", 1)
+
 EXACT_FEATURES = ["sum_qty", "returned_qty", "n_supp", "n_lines", "c_acctbal"]
 
 

@@ -125,7 +125,7 @@ def q_fit_ols_predict(spark, sf):
     case = OrderCase(spark, sf)
     p = case.prep
     model = fit_ols(p.apply(case.train), p.feature_names, LABEL)
-    return model.transform(p.apply(case.test)).select(KEY, "prediction")
+    return fin(model.transform(p.apply(case.test)).select(KEY, "prediction"), 3)
 
 
 def q_kfold_ols(spark, sf):
@@ -133,10 +133,11 @@ def q_kfold_ols(spark, sf):
     p = case.prep
     data = hash_folds(p.apply(case.train), KEY, FOLDS, SEED)
     rows = kfold_ols(data, p.feature_names, LABEL)
-    return spark.createDataFrame(
+    out = spark.createDataFrame(
         [(r["fold"], r["n_test"], r["n_train"], r["test_mse"], r["train_mse"]) for r in rows],
         "fold int, n_test long, n_train long, test_mse double, train_mse double",
     )
+    return fin(out, 0)  # squared errors of prices: about 2e10
 
 
 def q_kfold_ols_one_feature(spark, sf):

@@ -76,3 +76,31 @@ def test_ols_prediction_is_plain_projection(spark):
     df, _, _ = _design(spark, 50)
     plan = fit_ols(df, ["a", "b", "c"], "y").transform(df)._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_factors_are_merged_in_a_tree(spark, monkeypatch):
+    from lathe.operators import linear
+
+    monkeypatch.setattr(linear, "MERGED", 3)
+    df, X, y = _design(spark, 500, 3)
+    m = fit_ols(df.repartition(20), ["a", "b", "c"], "y")
+    coef = np.linalg.lstsq(np.c_[np.ones(len(y)), X], y, rcond=None)[0]
+    np.testing.assert_allclose([m.intercept, *m.coef], coef, atol=1e-9)
+
+
+def test_nearly_dependent_columns(spark):
+    """Cross-products would square the condition number: 1e-9 beside 1 is lost in them."""
+    rng = np.random.default_rng(5)
+    a, e = rng.normal(size=600), rng.normal(size=600) * 1e-9
+    df = spark.createDataFrame([(float(x), float(x + d), float(3 * x + 2 * d * 1e9)) for x, d in zip(a, e, strict=True)], "a double, b double, y double")
+    m = fit_ols(df, ["a", "b"], "y")
+    r = regression_metrics(m.transform(df), "y").first()
+    assert r.rmse < 1e-4
+
+
+def test_few_rows_and_equal_columns(spark):
+    df = spark.createDataFrame([(1.0, 1.0, 2.0), (2.0, 2.0, 4.0), (None, 1.0, 1.0)], "a double, b double, y double")
+    m = fit_ols(df, ["a", "b"], "y")
+    assert m.coef == pytest.approx((1.0, 1.0)) and m.intercept == pytest.approx(0.0, abs=1e-12)
+    with pytest.raises(ValueError):
+        fit_ols(df.limit(0), ["a", "b"], "y")
