@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 #: Buckets per power of two in the first pass, and of a bucket in the later ones.
 PER_OCTAVE = 8
-PARTS = 1024
+PARTS = 4096
 _OFFSET = 1075 * PER_OCTAVE + 1  # the least double is 2^-1074
 
 
@@ -72,18 +72,24 @@ def _octave(v: Column) -> Column:
 
 def _pass(df: DataFrame, segments: list[list[tuple[int, float, float] | None]], moments: bool) -> dict[int, dict[int, dict]]:
     """segment -> bucket -> fold -> (rows, least, greatest, mean, variance); a segment of None is a whole column."""
-    each = []
-    for i, own in enumerate(segments):
-        v = F.col(f"_v{i}")
-        for s in own:
-            if s is None:
-                each.append(F.when(v.isNotNull(), F.struct(F.lit(-i - 1).alias("s"), _octave(v).alias("b"), v.alias("v"))))
-            else:
-                number, lo, hi = s
+    # one row per column and value; the bucket's expression then stands in the plan once, not once a column
+    used = [i for i, own in enumerate(segments) if own]
+    stacked = F.expr(f"stack({len(used)}, " + ", ".join(f"{i}, _v{i}" for i in used) + ") as (i, v)")
+    long = df.select("_f", stacked).where("v is not null")
+    v = F.col("v")
+    if segments[used[0]][0] is None:
+        placed = long.select("_f", (-F.col("i") - 1).alias("s"), _octave(v).alias("b"), "v")
+    else:
+        found = None
+        for i in used:
+            for number, lo, hi in segments[i]:
                 # within a bucket both ends have one sign, so the difference can't overflow
-                b = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * PARTS), F.lit(PARTS - 1)).cast("int")
-                each.append(F.when((v >= F.lit(lo)) & (v <= F.lit(hi)), F.struct(F.lit(number).alias("s"), b.alias("b"), v.alias("v"))))
-    placed = df.select("_f", F.explode(F.array_compact(F.array(*each))).alias("e")).select("_f", "e.*")
+                inside = (F.col("i") == i) & (v >= F.lit(lo)) & (v <= F.lit(hi))
+                at = F.struct(F.lit(number).alias("s"), F.lit(lo).alias("lo"), F.lit(hi - lo).alias("width"))
+                found = F.when(inside, at) if found is None else found.when(inside, at)
+        placed = long.withColumn("at", found).where("at is not null")
+        b = F.least(F.floor((v - F.col("at.lo")) / F.col("at.width") * PARTS), F.lit(PARTS - 1)).cast("int")
+        placed = placed.select("_f", F.col("at.s").alias("s"), b.alias("b"), "v")
     aggs = [F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
     if moments:
         aggs += [F.avg("v").alias("mean"), F.var_pop("v").alias("var")]
