@@ -10,9 +10,12 @@ shuffle; ids of a payload that very many pages share are spread over salts.
 
 Each task writes archives of about ``archive_bytes`` under names of its own attempt
 and returns them for the manifest, a table in the shared folder: files of lost or
-repeated attempts are in no manifest. Null pages are empty payloads. Equal ids
-are told apart by nothing and share their verdict. An empty table gives no
-archive; other columns are not read.
+repeated attempts are in no manifest. Null pages are empty payloads. An id may
+repeat: each of its rows is judged by its own payload, and rows equal in both
+have one verdict (both hold the payload, where the id is the smallest). Rows
+without an id are responses. Pages are read whole, however long; a very long
+one is a record of its own batch. An empty table gives no archive; other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -107,12 +110,12 @@ def _writer(folder: str, words: bytes, level: int, archive_bytes: int, date: str
 
 
 def payload_groups(pages: DataFrame, least_bytes: int) -> DataFrame:
-    """(id, refers_to) of the pages whose payload a page with a smaller id has."""
-    keys = pages.select("id", F.sha1(F.coalesce("html", F.lit("")).cast("binary")).alias("sha"), F.coalesce(F.octet_length("html"), F.lit(0)).alias("n")).where(F.col("n") >= least_bytes)
+    """(id, sha, n, refers_to) of the pages whose payload (by digest and length) a page with a smaller id has."""
+    keys = pages.select("id", "sha", "n").where(F.col("n") >= least_bytes)
     many = keys.groupBy("sha", "n").agg(F.min("id").alias("first"), F.count("*").alias("c")).where("c > 1")
     salted = many.select("sha", "n", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    own = keys.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    return own.join(salted, ["sha", "n", "salt"]).where("id <> first").select("id", F.col("first").alias("refers_to")).distinct()
+    own = keys.where("id is not null").withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    return own.join(salted, ["sha", "n", "salt"]).where("id <> first").select("id", "sha", "n", F.col("first").alias("refers_to")).distinct()
 
 
 def write_archives(
@@ -134,9 +137,11 @@ def write_archives(
     folder = folder or scratch(spark)
     store, base = opened(folder)
     store.create_dir(base, recursive=True)
+    # a row is judged by its own payload: ids may repeat with different ones
+    rows = rows.withColumns({"sha": F.sha1(F.coalesce("html", F.lit("")).cast("binary")), "n": F.coalesce(F.octet_length("html"), F.lit(0))})
     revisits = small_enough(cut(payload_groups(rows, least_bytes)))
     arrow_batches(spark)
-    out = rows.join(revisits, "id", "left").select("id", "url", "html", "refers_to")
+    out = rows.join(revisits, ["id", "sha", "n"], "left").select("id", "url", "html", "refers_to")
     return cut(out.mapInArrow(_writer(folder, words, level, archive_bytes, date), "path string, records long, bytes long")), folder
 
 
@@ -205,5 +210,6 @@ def _batch(rows: list[list], names: list[str]) -> pa.RecordBatch:
 def read_archives(manifest: DataFrame, folder: str, html: bool = False, id_col: str = "page_id") -> DataFrame:
     """One row per record of the archives; ``html``: with the payload (none for revisits)."""
     schema = "id long, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", html binary" * html
-    files = manifest.select("path").repartition("path")
+    # an explicit number, as the paths' few bytes say nothing of the archives' size: a task for each
+    files = manifest.select("path").repartition(max(1, min(manifest.count(), 100_000)))
     return files.mapInArrow(_reader(folder, html), schema).withColumnRenamed("id", id_col)

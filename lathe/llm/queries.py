@@ -114,11 +114,11 @@ WITH by_source AS (SELECT source, sum(strlen(coalesce(text, ''))) AS bytes FROM
      rates AS (SELECT source, CASE WHEN bytes > 0 THEN 1.0 * w / (SELECT sum(w) FROM weighted) * (SELECT sum(bytes) FROM weighted) / bytes ELSE 1.0::DOUBLE END AS rate FROM weighted),
      steps AS (SELECT source, rate, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS cdf FROM rates, range(0, 90) t(k)),
      drawn AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, s.rate,
-                      ('0x' || substr(md5('mix#' || d.doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+                      ('0x' || substr(md5('mix#' || coalesce(d.doc_id::VARCHAR, md5(d.text), '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
                FROM documents d JOIN rates s ON d.source IS NOT DISTINCT FROM s.source),
      counted AS (SELECT *, (SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM drawn.source AND s.cdf <= drawn.u)::INT AS copies FROM drawn)
 SELECT doc_id, text, lang, source, n_chars, round(rate, 9) AS rate, copies, "copy"::INT AS "copy",
-       ('0x' || substr(md5('mix-place#' || doc_id || '#' || "copy"), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS place
+       ('0x' || substr(md5('mix-place#' || coalesce(doc_id::VARCHAR, md5(text), '') || '#' || "copy"), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS place
 FROM (SELECT *, unnest(range(1, copies + 1)) AS "copy" FROM counted WHERE copies > 0)
 """,
     "op4_warc_zdict": """

@@ -186,6 +186,23 @@ def test_warc_round_trip(spark):
     assert op04_warc.read_archives(manifest, folder).count() == 0
 
 
+def test_warc_keeps_every_payload_of_repeated_ids(spark):
+    rows = [(3, "AAA"), (5, "AAA"), (5, "BBB"), (5, "CCC"), (6, "CCC"), (3, "AAA"), (None, "AAA"), (None, "DDD"), (7, "DDD"), (9, "long " * 400_000), (8, "long " * 400_000), (None, None), (5, None)]
+    pages = spark.createDataFrame([(i, f"u{k}", t) for k, (i, t) in enumerate(rows)], "page_id long, url string, html string")
+    manifest, folder = op04_warc.write_archives(pages.repartition(4), archive_bytes=1 << 10)
+    read = op04_warc.read_archives(manifest, folder, html=True)
+    assert manifest.count() > 1 and read.rdd.getNumPartitions() == manifest.count()
+    got = collections.Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, bytes(r.html)) for r in read.collect())
+    want = collections.Counter()
+    for i, t in rows:
+        data = (t or "").encode()
+        ids = [j for j, u in rows if (u or "") == (t or "") and j is not None]
+        first = min(ids) if ids and i is not None and i > min(ids) else None
+        sha = base64.b32encode(hashlib.sha1(data).digest()).decode()
+        want[i, len(data), sha, "response" if first is None else "revisit", first, data if first is None else b""] += 1
+    assert got == want
+
+
 def test_quality_measures_and_verdicts(docs):
     got = {r.doc_id: r for r in op09_quality.cascade(docs).collect()}
     assert len(got) == docs.count() and op09_quality.cascade(empty(docs)).count() == 0
