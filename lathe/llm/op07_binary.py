@@ -1,22 +1,26 @@
 """Token ids as fixed-stride shards in training order.
 
-Texts are encoded, end with ``eos`` and are cut into sequences of ``length`` ids
-(the last is filled up with ``eos``; its record says how many are real). The
-one pass over the texts writes packed ids to the shared folder, each row with
-the number of sequences that its task wrote before it. With the tasks' totals
-(one number a task) every sequence has its number. A keyed Feistel
+Texts are encoded, end with ``eos`` and run on one after another, some
+megabytes of them at a time; this stream is cut into sequences of ``length``
+ids, so that a text's end costs no filling (only a stream's last sequence is
+filled up with ``eos``; its record says how many ids are real). The one pass
+over the texts writes packed ids to the shared folder, each row with the
+number of sequences that its task wrote before it. With the tasks' totals (one
+number a task) every sequence has its number. A keyed Feistel
 permutation of the next power of four, walked until it lands below the number
 of sequences, turns it into a slot: a bijection, with no sort and no table.
 
 Slots ``[k * per_shard, (k + 1) * per_shard)`` make shard k. Each task gathers its
 sequences by shard, so few and large rows are shuffled; each shard is one buffer
 of fixed size, filled by position, written as a file of records of equal stride
-(``RECORD`` header, then ids). Slot s is at byte ``(s % per_shard) * stride`` of shard
+(``RECORD`` header, then ids). The header names the text that a sequence begins
+in and how many of its ids stand in earlier sequences; after its records a
+shard lists the texts that begin inside them (``START``). Slot s is at byte ``(s % per_shard) * stride`` of shard
 ``s // per_shard``: a reader goes on from any slot after a restart.
 
-Null and empty texts have one sequence, of ``eos`` alone; null ids are -1.
-Repeated rows are sequences of their own. An empty table gives no shard. Other
-columns are not read.
+Null and empty texts are ``eos`` alone; null ids are -1. Repeated rows stand in
+the stream as often. A very long text is a stream of its own, in memory as a
+whole. An empty table gives no shard. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -38,8 +42,10 @@ from lathe.llm.files import attempt_name, opened
 from lathe.llm.op06_tokens import PATTERN
 from lathe.llm.words import U, mix
 
-#: What stands before the ids of a record.
-RECORD = np.dtype([("id", "<i8"), ("seq", "<i4"), ("n", "<i4")])
+#: What stands before the ids of a record: the text it begins in, that text's ids before it, the ids that are real.
+RECORD = np.dtype([("id", "<i8"), ("offset", "<i4"), ("n", "<i4")])
+#: A text that begins inside a sequence: the sequence's place in the shard, the id's place in the sequence, the text.
+START = np.dtype([("place", "<i4"), ("offset", "<i4"), ("id", "<i8")])
 ROUNDS = 4
 #: Bytes of records that a task gathers before they are dealt to shards, and the level of packing.
 GATHERED, LEVEL = 24 << 20, 6
@@ -90,47 +96,62 @@ def _encoded(path: str, length: int):
             for lo, hi in blocks(texts, BATCH_BYTES):
                 tokens = [np.array(encode(t), "<u2") for t in texts[lo:hi].to_pylist()]
                 size = np.array([len(t) for t in tokens], "<i4")
-                n = int((-(-(size.astype(np.int64) + 1) // length)).sum())
-                blob = pack.compress(ids[lo:hi].astype("<i8").tobytes() + size.tobytes() + b"".join(t.tobytes() for t in tokens))
-                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([n], pa.int64()), pa.array([hi - lo], pa.int64()), pa.array([blob], pa.binary())], names=["part", "before", "n", "texts", "blob"])
+                n = -(-(int(size.sum()) + len(size)) // length)
+                head = pack.compress(ids[lo:hi].astype("<i8").tobytes() + size.tobytes())
+                blob = pack.compress(b"".join(t.tobytes() for t in tokens))
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([before], pa.int64()), pa.array([n], pa.int64()), pa.array([hi - lo], pa.int64()), pa.array([head], pa.binary()), pa.array([blob], pa.binary())], names=["part", "before", "n", "texts", "head", "blob"])
                 before += n
 
     return run
 
 
-def _records(blob: bytes, texts: int, length: int, eos: int) -> np.ndarray:
-    """The bytes of a packed row's records, one line each."""
-    ids, size = np.frombuffer(blob, "<i8", texts), np.frombuffer(blob, "<i4", texts, 8 * texts).astype(np.int64)
-    tokens = np.frombuffer(blob, "<u2", offset=12 * texts)
-    count = -(-(size + 1) // length)
-    first = np.cumsum(count) - count
-    out = np.full((int(count.sum()), length), eos, "<u2")
-    out.reshape(-1)[np.arange(len(tokens)) + np.repeat(first * length - (np.cumsum(size) - size), size)] = tokens
-    doc = np.repeat(np.arange(texts), count)
-    head = np.empty(len(doc), RECORD)
-    head["id"], head["seq"] = ids[doc], np.arange(len(doc)) - first[doc]
-    head["n"] = np.minimum(size[doc] + 1 - head["seq"].astype(np.int64) * length, length)
-    return np.concatenate([head.view(np.uint8).reshape(-1, RECORD.itemsize), out.view(np.uint8)], axis=1)
+def _stream(head: bytes, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, sizes and places of a packed row's texts in its stream; each is followed by ``eos``."""
+    ids, size = np.frombuffer(head, "<i8", texts), np.frombuffer(head, "<i4", texts, 8 * texts).astype(np.int64)
+    return ids, size, np.cumsum(size + 1) - size - 1
+
+
+def _records(head: bytes, blob: bytes, texts: int, length: int, eos: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a packed row's records, one line each, and the texts that begin inside them by record."""
+    ids, size, first = _stream(head, texts)
+    tokens = np.frombuffer(blob, "<u2")
+    total = int(size.sum()) + texts
+    out = np.full((-(-total // length), length), eos, "<u2")
+    out.reshape(-1)[np.arange(len(tokens)) + np.repeat(np.arange(texts), size)] = tokens
+    begin = np.arange(len(out)) * length
+    text = np.searchsorted(first, begin, "right") - 1
+    records = np.empty(len(out), RECORD)
+    records["id"], records["offset"], records["n"] = ids[text], begin - first[text], np.minimum(total - begin, length)
+    inside = np.flatnonzero(first % length)
+    starts = np.empty(len(inside), START)
+    starts["place"], starts["offset"], starts["id"] = first[inside] // length, first[inside] % length, ids[inside]
+    return np.concatenate([records.view(np.uint8).reshape(-1, RECORD.itemsize), out.view(np.uint8)], axis=1), starts
 
 
 def _dealt(eos: int, length: int, per_shard: int, key: int, n: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, pack, unpack = Slots(n, key), zstandard.ZstdCompressor(level=LEVEL), zstandard.ZstdDecompressor()
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
         def by_shard() -> pa.RecordBatch:
-            slot, records = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            order = np.argsort(slot, kind="stable")
-            shard = slot[order] // per_shard
+            slot, records, start_slot, starts = (np.concatenate([h[k] for h in held]) for k in range(4))
+            order, start_order = np.argsort(slot, kind="stable"), np.argsort(start_slot, kind="stable")
+            shard, start_shard = slot[order] // per_shard, start_slot[start_order] // per_shard
+            starts["place"] = start_slot % per_shard
             cuts = np.flatnonzero(np.append(True, shard[1:] != shard[:-1]))
-            ends = [*cuts[1:], len(order)]
-            got = [pack.compress((slot[order[a:b]] % per_shard).astype("<i4").tobytes() + records[order[a:b]].tobytes()) for a, b in zip(cuts, ends, strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(shard[cuts].astype(np.int64)), pa.array([b - a for a, b in zip(cuts, ends, strict=True)], pa.int64()), pa.array(got, pa.binary())], names=["shard", "n", "blob"])
+            rows = []
+            for a, b in zip(cuts, [*cuts[1:], len(order)], strict=True):
+                lo, hi = np.searchsorted(start_shard, [shard[a], shard[a] + 1])
+                blob = (slot[order[a:b]] % per_shard).astype("<i4").tobytes() + records[order[a:b]].tobytes() + starts[start_order[lo:hi]].tobytes()
+                rows.append((int(shard[a]), int(b - a), pack.compress(blob)))
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["shard", "n", "blob"])
 
         for batch in batches:
-            for part, before, k, texts, blob in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for part, before, k, texts, head, blob in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
                 begin = shared.value[part] + before
-                held.append((slots.of(np.arange(begin, begin + k)), _records(unpack.decompress(blob), texts, length, eos)))
+                slot = slots.of(np.arange(begin, begin + k))
+                records, starts = _records(unpack.decompress(head), unpack.decompress(blob), texts, length, eos)
+                held.append((slot, records, slot[starts["place"]], starts))
                 if sum(h[1].nbytes for h in held) >= GATHERED:
                     yield by_shard()
                     held.clear()
@@ -144,6 +165,7 @@ def _written(folder: str, row: int, per_shard: int, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = opened(folder)
         shard, buffer, filled = None, None, 0
+        starts: list[bytes] = []
         unpack = zstandard.ZstdDecompressor()
 
         def ended() -> pa.RecordBatch:
@@ -151,7 +173,9 @@ def _written(folder: str, row: int, per_shard: int, n: int):
             if filled != size:
                 raise RuntimeError(f"shard {shard} has {filled} of {size} sequences")
             path = f"{base}/{attempt_name(f'shard-{shard:08d}.bin')}"
-            data = buffer[: size * row].tobytes()
+            texts = np.frombuffer(b"".join(starts), START)
+            data = buffer[: size * row].tobytes() + texts[np.lexsort((texts["offset"], texts["place"]))].tobytes()
+            starts.clear()
             with store.open_output_stream(path) as f:
                 f.write(data)
             return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([path]), pa.array([size], pa.int64()), pa.array([zlib.crc32(data)], pa.int64())], names=["shard", "path", "n", "crc32"])
@@ -164,7 +188,8 @@ def _written(folder: str, row: int, per_shard: int, n: int):
                     shard, filled = s, 0
                     buffer = np.zeros(min(per_shard, n - s * per_shard) * row, np.uint8)
                 data = unpack.decompress(blob)
-                buffer.reshape(-1, row)[np.frombuffer(data, "<i4", k)] = np.frombuffer(data, np.uint8, offset=4 * k).reshape(k, row)
+                buffer.reshape(-1, row)[np.frombuffer(data, "<i4", k)] = np.frombuffer(data, np.uint8, k * row, 4 * k).reshape(k, row)
+                starts.append(data[k * (4 + row) :])
                 filled += k
         if shard is not None:
             yield ended()
@@ -177,7 +202,7 @@ def write_shards(documents: DataFrame, vocabulary: str, folder: str | None = Non
     spark = documents.sparkSession
     docs = only(documents, id=id_col, text=text_col).withColumn("id", F.coalesce(F.col("id").cast("long"), F.lit(-1)))
     arrow_batches(spark)
-    packed = cut(docs.mapInArrow(_encoded(vocabulary, length), "part int, before long, n long, texts long, blob binary"))
+    packed = cut(docs.mapInArrow(_encoded(vocabulary, length), "part int, before long, n long, texts long, head binary, blob binary"))
     offsets, n = {}, 0
     for p in sorted(packed.groupBy("part").agg(F.sum("n").alias("n")).collect()):  # a number for each task
         offsets[p.part] = n
@@ -198,22 +223,35 @@ def _read(folder: str, layout: dict, from_slot: int, ids: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = opened(folder)
+        names = ["slot", "doc_id", "doc_offset", "n_tokens", "shard", "byte_offset", "tokens_crc32"] + ["tokens"] * ids
         for batch in batches:
             for shard, path, n in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 at = max(0, from_slot - shard * per_shard)
                 with store.open_input_file(path) as f:
+                    f.seek(n * row)
+                    starts = np.frombuffer(f.read(), START)
                     f.seek(at * row)
                     while at < n:
                         k = min(4096, n - at)
                         data = np.frombuffer(f.read(k * row), np.uint8).reshape(k, row)
                         head = data[:, : RECORD.itemsize].copy().view(RECORD)[:, 0]
-                        tokens = data[:, RECORD.itemsize :]
-                        names = ["slot", "doc_id", "seq_no", "n_tokens", "shard", "byte_offset", "tokens_crc32"]
-                        cols = [pa.array(shard * per_shard + at + np.arange(k)), pa.array(head["id"]), pa.array(head["seq"].astype(np.int64)), pa.array(head["n"].astype(np.int64)), pa.array(np.full(k, shard)), pa.array((at + np.arange(k)) * row), pa.array([zlib.crc32(t[: 2 * m]) for t, m in zip(np.ascontiguousarray(tokens), head["n"].tolist(), strict=True)], pa.int64())]
+                        tokens = np.ascontiguousarray(data[:, RECORD.itemsize :]).view("<u2").reshape(-1)
+                        lo, hi = np.searchsorted(starts["place"], [at, at + k])
+                        # a piece of text from each sequence's begin and from each start inside it
+                        place = np.concatenate([np.arange(k), starts["place"][lo:hi] - at])
+                        begin = np.concatenate([np.zeros(k, np.int64), starts["offset"][lo:hi]])
+                        order = np.lexsort((begin, place))
+                        place, begin = place[order], begin[order]
+                        end = np.append(begin[1:], 0)
+                        last = np.append(place[1:] != place[:-1], True)
+                        end[last] = head["n"]
+                        doc = np.concatenate([head["id"], starts["id"][lo:hi]])[order]
+                        before = np.concatenate([head["offset"], np.zeros(hi - lo, np.int64)])[order]
+                        spans = list(zip((place * length + begin).tolist(), (place * length + end).tolist(), strict=True))
+                        cols = [pa.array(shard * per_shard + at + place), pa.array(doc), pa.array(before.astype(np.int64)), pa.array(end - begin), pa.array(np.full(len(place), shard)), pa.array((at + place) * row + RECORD.itemsize + 2 * begin), pa.array([zlib.crc32(tokens[a:b]) for a, b in spans], pa.int64())]
                         if ids:
-                            names.append("tokens")
-                            flat = np.ascontiguousarray(tokens).view("<u2").astype(np.int32)
-                            cols.append(pa.array([t[:m] for t, m in zip(flat, head["n"].tolist(), strict=True)], pa.list_(pa.int32())))
+                            wide = tokens.astype(np.int32)
+                            cols.append(pa.array([wide[a:b] for a, b in spans], pa.list_(pa.int32())))
                         yield pa.RecordBatch.from_arrays(cols, names=names)
                         at += k
 
@@ -221,8 +259,11 @@ def _read(folder: str, layout: dict, from_slot: int, ids: bool):
 
 
 def read_shards(manifest: DataFrame, layout: dict, from_slot: int = 0, tokens: bool = False) -> DataFrame:
-    """One row per sequence, read back in slot order within each shard; from any slot on, without reading what comes before."""
-    schema = "slot long, doc_id long, seq_no long, n_tokens long, shard long, byte_offset long, tokens_crc32 long" + ", tokens array<int>" * tokens
+    """One row per piece of text in a sequence, in slot order within each shard; from any slot on, without reading the records before.
+
+    ``doc_offset``: the text's ids in earlier sequences; ``byte_offset``: of the piece's first id.
+    """
+    schema = "slot long, doc_id long, doc_offset long, n_tokens long, shard long, byte_offset long, tokens_crc32 long" + ", tokens array<int>" * tokens
     last = F.col("shard") >= from_slot // layout["per_shard"]
     files = manifest.where(last).select("shard", "path", "n").repartition(max(1, min(-(-layout["sequences"] // layout["per_shard"]), 100_000)), "shard")
     return files.mapInArrow(_read(layout["folder"], layout, from_slot, tokens), schema)
