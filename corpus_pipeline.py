@@ -39,7 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def training_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per fixed-length sequence, read back from the shards."""
+    """One row per piece of text in a fixed-length sequence, read back from the shards."""
     manifest, layout = op07_binary.write_shards(docs, vocabulary("byte_bpe_50k.tiktoken"))
     return op07_binary.read_shards(manifest, layout)
 
