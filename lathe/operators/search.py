@@ -3,7 +3,8 @@
 * ``param_grid``: every combination, keys in sorted order, the last key
   varying fastest (the usual grid order); ``candidates_frame`` puts it in a
   DataFrame with a ``candidate_id``.
-* ``sample_candidates``: random search as a seeded hash sample of the grid.
+* ``sample_candidates``: random search as a seeded hash sample of the grid;
+  ``sample_distributions``: candidates drawn from distributions.
 * ``grid_search`` of a ``Forest``: the trees of all candidates and folds grow
   together over one packed table, a fold being a weight of 0 (``forest``); the
   scans don't depend on the number of candidates. Test and train errors come
@@ -68,6 +69,32 @@ def sample_candidates(cands: list[dict], n_iter: int, seed: int = 42) -> list[tu
     return [(i, cands[i]) for i in sorted(order[:n_iter])]
 
 
+def sample_distributions(space: dict[str, tuple], n_iter: int, seed: int = 42) -> list[dict]:
+    """``n_iter`` candidates drawn from distributions, each parameter by the inverse CDF of a hashed (candidate, parameter).
+
+    ``("uniform", a, b)``, ``("loguniform", a, b)``, ``("int", a, b)`` (both ends
+    included) or ``("choice", [...])``.
+    """
+    import hashlib
+
+    def draw(u: float, kind: str, *args):
+        if kind == "choice":
+            return args[0][int(u * len(args[0]))]
+        a, b = args
+        if kind == "int":
+            return a + int(u * (b - a + 1))
+        if kind == "uniform":
+            return a + u * (b - a)
+        if kind == "loguniform":
+            return math.exp(math.log(a) + u * (math.log(b) - math.log(a)))
+        raise ValueError(f"unknown distribution {kind!r}")
+
+    def unit(i: int, name: str) -> float:
+        return int(hashlib.md5(f"{i}#{name}#{seed}".encode()).hexdigest()[:13], 16) / float(1 << 52)
+
+    return [{name: draw(unit(i, name), *space[name]) for name in sorted(space)} for i in range(n_iter)]
+
+
 def sample_candidates_frame(cands_df: DataFrame, n_iter: int, seed: int = 42) -> DataFrame:
     """The same sample as a DataFrame operation (top n by key hash, no global sort)."""
     h = key_hash("candidate_id", seed)

@@ -138,13 +138,12 @@ ORACLES["profile_columns"] = with_base(
 
 
 def _digest(src: str) -> str:
+    # the data holds no double of 2^43 or more
     toks = []
     for c, t in zip(_feat_cols, _feat_types):
-        if t == "double":
-            toks.append(f"coalesce(CAST(CAST(round({c} * 1000000.0) AS BIGINT) AS VARCHAR), '∅')")
-        else:
-            toks.append(f"coalesce(CAST({c} AS VARCHAR), '∅')")
-    row = "concat_ws('|', " + ", ".join(toks) + ")"
+        text = f"length({c}) || ':' || {c}" if t == "string" else f"CAST(CAST(round({c} * 1000000.0) AS BIGINT) AS VARCHAR) || ';'" if t == "double" else f"CAST({c} AS VARCHAR) || ';'"
+        toks.append(f"coalesce({text}, '-;')")
+    row = " || ".join(toks)
     return (
         f"SELECT count(*) AS num_rows, CAST(count(*) * {len(_feat_cols)} AS BIGINT) AS num_elements, "
         f"CAST(coalesce(sum(CAST(('0x' || substr(md5({row}), 1, 15)) AS BIGINT)::HUGEINT), 0) % 18446744073709551616 AS VARCHAR) AS digest "
@@ -622,3 +621,50 @@ ORACLES["run_durations"] = with_base(
     "UNION ALL SELECT 'data_ingestion_and_preprocessing', 'Parent run', 'FINISHED', TRUE, 0, count(*)::DOUBLE FROM train "
     "UNION ALL SELECT 'evaluation', 'Parent run', 'FINISHED', TRUE, 0, count(*)::DOUBLE FROM test"
 )
+
+
+# --- inferred types, signature rules, run states, draws -----------------------------------
+
+_csv_sums = "count(n_lines)::DOUBLE AS n_lines, round(sum(CASE WHEN o_orderkey = (SELECT max(o_orderkey) FROM orders) THEN 0.5 ELSE o_orderkey % 7 END), 3) AS half, count(o_orderpriority)::DOUBLE AS quoted"
+ORACLES["csv_inferred"] = with_base(
+    _long(
+        [
+            f"SELECT CAST({k} AS BIGINT) AS position, '{c}' AS column_name, {t} AS data_type, s.* FROM (SELECT {_csv_sums} FROM feat) s"
+            for k, (c, t) in enumerate(
+                [
+                    (KEY, "'bigint'"), ("n_lines", "'bigint'"),
+                    ("c_acctbal", "(SELECT CASE WHEN count(*) FILTER (WHERE c_acctbal <> floor(c_acctbal)) > 0 THEN 'double' ELSE 'bigint' END FROM feat)"),
+                    ("quoted", "'string'"), ("half", "'double'"), ("blank", "'string'"), ("even", "'boolean'"),
+                ]
+            )
+        ]
+    )
+)
+_urgent = "o_orderpriority = '1-URGENT'"
+ORACLES["signature_violations"] = with_base(
+    _long(
+        [
+            f"SELECT '{c}' AS column_name, '{rule}' AS rule, count(*) AS n_rows FROM feat WHERE {cond}"
+            for c, rule, cond in [
+                (KEY, "required", "o_orderkey IS NULL"), ("avg_tax", "missing", "TRUE"), ("sum_qty", "required", "sum_qty IS NULL"),
+                ("n_supp", "type", _urgent), ("n_lines", "required", "n_lines IS NULL"),
+                ("", "kept", f"NOT coalesce({_urgent}, FALSE) AND sum_qty IS NOT NULL"), ("", "set apart", f"{_urgent} OR sum_qty IS NULL"),
+            ]
+        ]
+    )
+)
+ORACLES["run_states"] = (
+    "SELECT o_orderpriority AS run_name, CASE o_orderpriority WHEN '2-HIGH' THEN 'FAILED' WHEN '5-LOW' THEN 'RUNNING' ELSE 'FINISHED' END AS status, "
+    "o_orderpriority <> '5-LOW' AS ended, count(*) AS n_rows FROM orders GROUP BY o_orderpriority"
+)
+
+
+def _drawn(name: str) -> str:
+    return f"(('0x' || substr(md5(draw || '#{name}#42'), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE)"
+
+
+ORACLES["random_search_draws"] = (
+    "WITH d AS (SELECT draw, floor(" + _drawn("group_by") + " * 4)::BIGINT AS candidate_id, 3 + floor(" + _drawn("depth") + " * 10)::BIGINT AS depth, "
+    "round(exp(ln(0.001) + " + _drawn("rate") + " * (ln(1.0) - ln(0.001))), 4) AS rate, round(0.2 + " + _drawn("share") + " * 0.6, 4) AS share FROM range(0, 8) t(draw)) "
+    f"SELECT d.draw, d.candidate_id, d.depth, d.rate, d.share, c.mean_test_score FROM d JOIN ({ORACLES['cv_results_ranked']}) c USING (candidate_id)"
+)

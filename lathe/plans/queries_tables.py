@@ -15,8 +15,8 @@ from lathe.operators.learners import fit_model, linear_regression
 from lathe.operators.metrics import regression_metrics
 from lathe.operators.onehot import category_table, sparse_onehot
 from lathe.operators.prep import vector_column
-from lathe.operators.profile import column_profile
-from lathe.operators.search import param_grid
+from lathe.operators.profile import column_profile, set_apart, signature_violations
+from lathe.operators.search import param_grid, sample_distributions
 from lathe.operators.split import hash_folds
 from lathe.plans.cases import CATEGORICAL, CV_LABEL, FOLDS, KEY, LABEL, SEED, OrderCase
 from lathe.plans.flows import EVAL_RUN, FOREST_GRID, INGEST_RUN, PARENT_RUN, score_models
@@ -177,7 +177,77 @@ def q_run_durations(spark, sf):
     return got.select("run_name", "parent_run_name", "status", fits.alias("times_fit"), F.coalesce("n_children", F.lit(0)).alias("n_children"), F.col("value").alias("n_rows"))
 
 
+def q_csv_inferred(spark, sf):
+    """Types inferred from CSV files of which only the last one has a fraction in a column of whole numbers."""
+    feat = order_features(spark, sf)
+    most = feat.agg(F.max(KEY)).first()[0]
+    quoted = F.concat(F.lit('a, "'), F.col("o_orderpriority"), F.lit('"')).alias("quoted")
+    half = F.when(F.col(KEY) == most, F.lit("0.5")).otherwise((F.col(KEY) % 7).cast("string")).alias("half")
+    path = _folder(spark, "csv")
+    table = feat.select(KEY, "n_lines", "c_acctbal", quoted, half, F.lit(None).cast("string").alias("blank"), (F.col(KEY) % 2 == 0).alias("even"))
+    write_table(table.repartitionByRange(4, KEY), path, "csv")
+    got = read_csv(spark, path)
+    sums = got.agg(F.count("n_lines").alias("a"), F.round(F.sum("half"), 3).alias("b"), F.count_if(F.col("quoted").like('a, "%"')).alias("c")).first()
+    rows = [(k, f.name, f.dataType.simpleString(), *(float(x) for x in sums)) for k, f in enumerate(got.schema.fields)]
+    return spark.createDataFrame(rows, "position long, column_name string, data_type string, n_lines double, half double, quoted double")
+
+
+def _damaged_features(spark, sf):
+    """Features as a careless export has them: counts as text, some of it no number."""
+    feat = order_features(spark, sf)
+    text = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("n/a")).otherwise(F.col("n_supp").cast("string"))
+    return feat.withColumn("n_supp", text).drop("avg_tax")
+
+
+SIGNATURE = [(KEY, "bigint", True), ("avg_tax", "double", True), ("sum_qty", "double", True), ("returned_qty", "double", False), ("n_supp", "bigint", False), ("n_lines", "bigint", True)]
+
+
+def q_signature_violations(spark, sf):
+    """Rows that break each rule of a signature, and how many rows stay and are set apart."""
+    df = _damaged_features(spark, sf)
+    good, bad = set_apart([x for x in SIGNATURE if x[0] != "avg_tax"], df)
+    parts = good.agg(F.lit("").alias("column_name"), F.lit("kept").alias("rule"), F.count(F.col("n_supp") + 1).alias("n_rows")).unionByName(
+        bad.agg(F.lit("").alias("column_name"), F.lit("set apart").alias("rule"), F.count("*").alias("n_rows"))
+    )
+    return signature_violations(SIGNATURE, df).unionByName(parts)
+
+
+def q_run_states(spark, sf):
+    """A run per priority, the last one without an end; the log is compacted on the way."""
+    sizes = read_table(spark, sf, "orders").groupBy("o_orderpriority").count().orderBy("o_orderpriority").collect()  # five rows
+    store = TrackingStore(spark, _folder(spark, "tracking"))
+    exp = store.experiment("states")
+    for k, r in enumerate(sizes):
+        run = store.begin_run(r["o_orderpriority"], exp)
+        store.log_metrics(run, {"n_rows": r["count"]})
+        if k == 2:
+            store.compact("runs")
+        if k + 1 < len(sizes):
+            store.end_run(run, "FAILED" if k == 1 else "FINISHED")
+    got = run_tree(store.read("runs"), store.read("metrics"))
+    return got.select("run_name", "status", F.col("end_time").isNotNull().alias("ended"), F.col("value").cast("long").alias("n_rows"))
+
+
+#: A space of the group-mean stand-in's candidates, with parameters of each kind.
+SPACE = {"group_by": ("choice", [0, 1, 2, 3]), "depth": ("int", 3, 12), "rate": ("loguniform", 0.001, 1.0), "share": ("uniform", 0.2, 0.8)}
+
+
+def q_random_search_draws(spark, sf):
+    """Candidates drawn from distributions, with their cross-validated scores."""
+    from lathe.plans.queries_models import _cv_results
+
+    draws = sample_distributions(SPACE, 8, SEED)
+    rows = [(i, d["group_by"], d["depth"], d["rate"], d["share"]) for i, d in enumerate(draws)]
+    table = spark.createDataFrame(rows, "draw long, candidate_id long, depth long, rate double, share double")
+    scores = _cv_results(spark, sf).select("candidate_id", "mean_test_score")
+    return fin(table.join(scores, "candidate_id").select("draw", "candidate_id", "depth", F.round("rate", 4).alias("rate"), F.round("share", 4).alias("share"), F.round("mean_test_score", 4).alias("mean_test_score")))
+
+
 TABLE_QUERIES = {
+    "csv_inferred": q_csv_inferred,
+    "signature_violations": q_signature_violations,
+    "run_states": q_run_states,
+    "random_search_draws": q_random_search_draws,
     "csv_roundtrip": q_csv_roundtrip,
     "prepared_roundtrip": q_prepared_roundtrip,
     "land_once": q_land_once,

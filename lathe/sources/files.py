@@ -1,7 +1,8 @@
 """File sources and sinks: headered CSV, Parquet, landing tables, predictions.
 
-* ``read_csv``: headered CSV with an explicit schema (or inference as a
-  convenience); empty fields are missing, and NaN in double columns is turned
+* ``read_csv``: headered CSV with an explicit schema, or with types inferred
+  from every row of every file (``infer_schema``: one aggregate over all
+  columns); empty fields are missing, and NaN in double columns is turned
   into NULL so every operator sees one kind of missing value.
 * ``load_labelled``: a table plus its roles; the label is optional.
 * ``write_table``: overwrite a prepared table (label kept in the row).
@@ -29,13 +30,30 @@ def normalize_missing(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def infer_schema(spark: SparkSession, path: str) -> T.StructType:
+    """The narrowest of boolean, bigint, double and string that holds every value of a column; string without any.
+
+    All rows decide, in one pass: how many values of each column there are and
+    how many each type can read.
+    """
+    text = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    kinds = [T.BooleanType(), T.LongType(), T.DoubleType()]
+    aggs = []
+    for i, c in enumerate(text.columns):
+        v = F.col(f"`{c}`")
+        reads = [v.rlike("(?i)^\\s*(true|false)\\s*$"), v.try_cast("bigint").isNotNull(), v.try_cast("double").isNotNull()]
+        aggs += [F.count(v).alias(f"n{i}"), *[F.count_if(r).alias(f"k{i}_{j}") for j, r in enumerate(reads)]]
+    row = text.agg(*aggs).first() if aggs else None
+    fields = []
+    for i, c in enumerate(text.columns):
+        fits = [k for j, k in enumerate(kinds) if row[f"n{i}"] and row[f"k{i}_{j}"] == row[f"n{i}"]]
+        fields.append(T.StructField(c, fits[0] if fits else T.StringType()))
+    return T.StructType(fields)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     reader = spark.read.option("header", True).option("mode", "FAILFAST").option("nanValue", "NaN")
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True)
-    return normalize_missing(reader.csv(path))
+    return normalize_missing(reader.schema(schema if schema is not None else infer_schema(spark, path)).csv(path))
 
 
 def read_table_file(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:

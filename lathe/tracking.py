@@ -10,6 +10,14 @@ Tables (parquet folders under one root):
 * inputs(run_id, dataset_id, context)   context: training / testing
 * datasets(dataset_id, digest, name, num_rows, num_elements, schema_json, targets)
 
+``runs`` is a log of events: a start (status RUNNING, no end) and an end; ``read``
+gives the latest state of each run, so a run whose driver was lost shows as
+RUNNING with what it had logged. Tables are only ever appended to. ``compact``
+writes a new generation beside the files that it covers and then a pointer
+that names them; a reader takes the newest pointer's folder and every file that
+it doesn't cover, so rows appended meanwhile are neither lost nor read twice,
+and readers of the old files are not disturbed.
+
 Record builders are plain DataFrame operations (``cv_run_records`` turns a
 cv_results table into runs/params/metrics/tags by unpivoting), so logging a
 search of any size is a distributed append. Reads are ordinary joins:
@@ -117,6 +125,14 @@ def _whole():
     return Window.partitionBy()
 
 
+def latest_runs(events: DataFrame) -> DataFrame:
+    """The last event of each run: its end, else its start."""
+    rest = [c for c in events.columns if c != "run_id"]
+    place = F.struct((F.col("status") != "RUNNING").alias("ended"), F.coalesce("end_time", "start_time").alias("at"))
+    last = events.groupBy("run_id").agg(F.max_by(F.struct(*rest), place).alias("e"))
+    return last.select("run_id", *[F.col(f"e.{c}").alias(c) for c in rest])
+
+
 def run_tree(runs: DataFrame, metrics: DataFrame | None = None) -> DataFrame:
     """Child runs with their parent's name (self equi-join) and, if given, metrics."""
     parents = runs.select(F.col("run_id").alias("parent_run_id"), F.col("run_name").alias("parent_run_name"))
@@ -164,6 +180,7 @@ class Run:
     experiment_id: str
     run_name: str
     parent_run_id: str | None
+    started: int = 0  # epoch milliseconds
 
 
 class TrackingStore:
@@ -176,23 +193,57 @@ class TrackingStore:
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def _files(self, folder: str) -> dict[str, str]:
+        """Name -> address of the data files directly in a folder, none if it is missing."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(path):
+            return {}
+        return {st.getPath().getName(): st.getPath().toString() for st in fs.listStatus(path) if st.isFile() and not st.getPath().getName().startswith(("_", "."))}
+
+    def _generation(self, table: str) -> tuple[int, dict]:
+        """Number and content of the newest pointer; 0 without one."""
+        pointers = {int(n.removeprefix("generation-").removesuffix(".json")): at for n, at in self._files(f"{self.path(table)}__generations").items() if n.endswith(".json")}
+        if not pointers:
+            return 0, {"folder": None, "covers": []}
+        newest = max(pointers)
+        return newest, json.loads("".join(r[0] for r in self.spark.read.text(pointers[newest]).collect()))
+
+    def log(self, table: str) -> DataFrame:
+        """All rows of a table: those of the newest generation and of the files that it doesn't cover."""
+        _, now = self._generation(table)
+        covered = set(now["covers"])
+        files = [at for name, at in self._files(self.path(table)).items() if name not in covered]
+        if now["folder"]:
+            files += self._files(now["folder"]).values()
+        if not files:
+            return self.spark.createDataFrame([], SCHEMAS[table])
+        return self.spark.read.schema(SCHEMAS[table]).parquet(*files)
+
     def read(self, table: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(SCHEMAS[table]).parquet(self.path(table))
-        except Exception as e:  # noqa: BLE001 - missing folder means an empty table
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return self.spark.createDataFrame([], SCHEMAS[table])
-            raise
+        return latest_runs(self.log(table)) if table == "runs" else self.log(table)
 
     def append(self, table: str, df: DataFrame) -> None:
         cols = [c.split()[0] for c in SCHEMAS[table].split(", ")]
         df.select(*cols).write.mode("append").parquet(self.path(table))
 
     def compact(self, table: str, files: int = 1) -> None:
-        """Rewrite an append-heavy table into ``files`` files (via a staged copy, kept and reused)."""
-        staged = f"{self.path(table)}__compacted"
-        self.read(table).repartition(files).write.mode("overwrite").parquet(staged)
-        self.spark.read.schema(SCHEMAS[table]).parquet(staged).write.mode("overwrite").parquet(self.path(table))
+        """Rewrite an append-heavy table into ``files`` files, as a new generation that covers those there are now."""
+        number, _ = self._generation(table)
+        covers = sorted(self._files(self.path(table)))
+        folder = f"{self.path(table)}__generations/{uuid.uuid4().hex}"
+        self.log(table).repartition(files).write.parquet(folder)
+        # files appended since ``covers`` was listed may be in the folder too: then this attempt covers too little, and is dropped
+        if sorted(self._files(self.path(table))) != covers:
+            return
+        jvm = self.spark.sparkContext._jvm
+        target = jvm.org.apache.hadoop.fs.Path(f"{self.path(table)}__generations/generation-{number + 1}.json")
+        fs = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        staged = jvm.org.apache.hadoop.fs.Path(f"{folder}.pointer")
+        out = fs.create(staged)
+        out.write(bytearray(json.dumps({"folder": folder, "covers": covers}).encode()))
+        out.close()
+        fs.rename(staged, target)  # does nothing where another compaction was first
 
     def append_records(self, records: dict[str, DataFrame]) -> None:
         for table, df in records.items():
@@ -215,10 +266,31 @@ class TrackingStore:
         self.append("experiments", new)
         return self.read("experiments")
 
+    def _event(self, run: Run, status: str, start: int, end: int | None) -> None:
+        row = [(run.run_id, run.experiment_id, run.parent_run_id, run.run_name, status, start, end, getpass.getuser(), "lathe")]
+        df = self.spark.createDataFrame(
+            row,
+            "run_id string, experiment_id string, parent_run_id string, run_name string, status string, "
+            "s long, e long, user_id string, source_name string",
+        ).select(
+            "run_id", "experiment_id", "parent_run_id", "run_name", "status",
+            F.timestamp_millis("s").alias("start_time"), F.timestamp_millis("e").alias("end_time"),
+            "user_id", "source_name",
+        )
+        self.append("runs", df)
+
+    def begin_run(self, run_name: str, experiment_id: str, parent: Run | None = None) -> Run:
+        """Log the start of a run; until ``end_run`` its state is RUNNING."""
+        run = Run(uuid.uuid4().hex, experiment_id, run_name, parent.run_id if parent else None, int(time.time() * 1000))
+        self._event(run, "RUNNING", run.started, None)
+        return run
+
+    def end_run(self, run: Run, status: str = "FINISHED") -> None:
+        self._event(run, status, run.started, int(time.time() * 1000))
+
     @contextmanager
     def start_run(self, run_name: str, experiment_id: str, parent: Run | None = None):
-        run = Run(uuid.uuid4().hex, experiment_id, run_name, parent.run_id if parent else None)
-        start = int(time.time() * 1000)
+        run = self.begin_run(run_name, experiment_id, parent)
         status = "FINISHED"
         try:
             yield run
@@ -226,18 +298,7 @@ class TrackingStore:
             status = "FAILED"
             raise
         finally:
-            end = int(time.time() * 1000)
-            row = [(run.run_id, experiment_id, run.parent_run_id, run_name, status, start, end, getpass.getuser(), "lathe")]
-            df = self.spark.createDataFrame(
-                row,
-                "run_id string, experiment_id string, parent_run_id string, run_name string, status string, "
-                "s long, e long, user_id string, source_name string",
-            ).select(
-                "run_id", "experiment_id", "parent_run_id", "run_name", "status",
-                F.timestamp_millis("s").alias("start_time"), F.timestamp_millis("e").alias("end_time"),
-                "user_id", "source_name",
-            )
-            self.append("runs", df)
+            self.end_run(run, status)
 
     def log_params(self, run: Run, params: dict) -> None:
         rows = [(run.run_id, str(k), _as_text(v)) for k, v in params.items()]

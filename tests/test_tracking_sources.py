@@ -123,11 +123,78 @@ def test_compact_keeps_rows(spark, tmp_path):
     store.compact("metrics")
     after = sorted((r["step"], r["value"]) for r in store.read("metrics").collect())
     assert before == after and len(after) == 5
-    files = [f for f in os.listdir(str(tmp_path / "track" / "metrics")) if f.endswith(".parquet")]
-    assert len(files) == 1
+    # the new generation is one file; those that it covers stay for readers who have them open
+    _, now = store._generation("metrics")
+    assert len(store._files(now["folder"])) == 1 and len(store._files(store.path("metrics"))) == len(now["covers"]) > 1
 
 
 def test_two_searches_of_a_model_get_their_own_runs(spark):
     cv = spark.createDataFrame([(0, "{}", -1.0, 0.1, 1)], "candidate_id long, params string, mean_test_score double, std_test_score double, rank_test_score long")
     ids = {cv_run_records(cv, "e", "m", 5, search_id=s)["runs"].first()["run_id"] for s in (None, "a", "b")}
     assert len(ids) == 3
+
+
+def test_digest_of_odd_numbers(spark):
+    """NaN, infinities and very large values have a digest; rows that differ have different ones."""
+    from lathe.operators.profile import dataset_profile
+
+    def digest(rows, schema):
+        return dataset_profile(spark.createDataFrame(rows, schema)).first().digest
+
+    odd = [float("nan"), float("inf"), float("-inf"), 9.3e12, 1e300, 1.0000000000000002e300, -1e300, 2.0**53, 2.0**53 + 2, 2.0**93, 2.0**133 * 1.5, 0.0, 5e-324, 8796093022208.0, 8796093022208.002, None]
+    got = [digest([(x,)], "x double") for x in odd]
+    # 5e-324 is no millionth: it is told from nothing but 0
+    assert len(set(got)) == len(odd) - 1 and got[odd.index(0.0)] == got[odd.index(5e-324)]
+    pairs = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("-;", "x"), ("", "x"), ("x", None), ("1:a", "b"), ("1", ":ab")]
+    assert len({digest([p], "a string, b string") for p in pairs}) == len(pairs)
+
+
+def test_runs_without_an_end_and_generations(spark, tmp_path):
+    store = TrackingStore(spark, str(tmp_path / "t"))
+    exp = store.experiment("e")
+    a, b = store.begin_run("a", exp), store.begin_run("b", exp)
+    before = store.read("runs")  # a reader from before the compaction
+    store.compact("runs", 1)
+    store.end_run(a)
+    c = store.begin_run("c", exp, b)
+    state = {r.run_name: (r.status, r.end_time is None) for r in store.read("runs").collect()}
+    assert state == {"a": ("FINISHED", False), "b": ("RUNNING", True), "c": ("RUNNING", True)}
+    assert before.count() == 2 and store.log("runs").count() == 4
+    store.compact("runs", 2)
+    store.end_run(c, "FAILED")
+    assert {r.run_name: r.status for r in store.read("runs").collect()} == {"a": "FINISHED", "b": "RUNNING", "c": "FAILED"}
+    assert store.log("runs").count() == 5 and before.count() == 2
+
+
+def test_types_from_all_files(spark, tmp_path):
+    from lathe.sources.files import infer_schema, read_csv
+
+    path = tmp_path / "csv"
+    path.mkdir()
+    (path / "a.csv").write_text('i,d,s,b,e,q,n\n1,1,x,true,,"a,b",1\n2,2,y,FALSE,,"c ""d""",\n')
+    (path / "b.csv").write_text("i,d,s,b,e,q,n\n-3,2.5,7,false,,z,NaN\n")
+    assert [(f.name, f.dataType.simpleString()) for f in infer_schema(spark, str(path))] == [("i", "bigint"), ("d", "double"), ("s", "string"), ("b", "boolean"), ("e", "string"), ("q", "string"), ("n", "double")]
+    rows = {r.i: (r.d, r.s, r.b, r.q, r.n) for r in read_csv(spark, str(path)).collect()}
+    assert rows == {1: (1.0, "x", True, "a,b", 1.0), 2: (2.0, "y", False, 'c "d"', None), -3: (2.5, "7", False, "z", None)}
+
+
+def test_rows_set_apart_by_signature(spark):
+    from lathe.operators.profile import set_apart, signature_violations
+
+    df = spark.createDataFrame([("1", 1.0, "a"), ("x", 2.0, "b"), (None, None, "c"), ("3", float("nan"), None)], "a string, b double, c string")
+    expected = [("a", "bigint", False), ("b", "double", True), ("c", "string", False), ("d", "double", True)]
+    assert {(r.column_name, r.rule): r.n_rows for r in signature_violations(expected, df).collect()} == {("a", "type"): 1, ("b", "required"): 2, ("d", "missing"): 4}
+    good, bad = set_apart(expected[:3], df)
+    assert [tuple(r) for r in good.collect()] == [(1, 1.0, "a")]
+    assert sorted(r.violations for r in bad.collect()) == [["a:type"], ["b:required"], ["b:required"]]
+
+
+def test_draws_from_distributions():
+    from lathe.operators.search import sample_distributions
+
+    space = {"a": ("uniform", 2.0, 3.0), "b": ("loguniform", 1e-4, 1.0), "c": ("int", 1, 3), "d": ("choice", ["x", "y"])}
+    got = sample_distributions(space, 2000, 7)
+    assert got[:5] == sample_distributions(space, 5, 7) and got != sample_distributions(space, 2000, 8)
+    assert all(2 <= g["a"] < 3 and 1e-4 <= g["b"] < 1 for g in got)
+    assert {g["c"] for g in got} == {1, 2, 3} and {g["d"] for g in got} == {"x", "y"}
+    assert abs(sum(g["b"] < 1e-2 for g in got) / 2000 - 0.5) < 0.05  # half of the logarithms
