@@ -20,7 +20,7 @@ def _double_text(d: Column) -> Column:
     whole numbers after an exact scaling by 2^-40 as often as needed.
     """
     size = F.abs(d)
-    times = F.greatest(F.floor((F.log2(size) - 53) / 40) + 1, F.lit(0))
+    times = F.greatest(F.floor((F.log2(size) - 53) / 40), F.lit(0))
     v = d * F.pow(F.lit(2.0), times * -40)
     high = F.floor(v / F.lit(2.0**40))
     low = F.floor((v - high * F.lit(2.0**40)) * F.lit(1024.0))

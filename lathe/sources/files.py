@@ -36,7 +36,7 @@ def infer_schema(spark: SparkSession, path: str) -> T.StructType:
     All rows decide, in one pass: how many values of each column there are and
     how many each type can read.
     """
-    text = spark.read.option("header", True).option("mode", "FAILFAST").csv(path)
+    text = spark.read.option("header", True).option("escape", '"').option("mode", "FAILFAST").csv(path)
     kinds = [T.BooleanType(), T.LongType(), T.DoubleType()]
     aggs = []
     for i, c in enumerate(text.columns):
@@ -52,7 +52,7 @@ def infer_schema(spark: SparkSession, path: str) -> T.StructType:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    reader = spark.read.option("header", True).option("mode", "FAILFAST").option("nanValue", "NaN")
+    reader = spark.read.option("header", True).option("escape", '"').option("mode", "FAILFAST").option("nanValue", "NaN")
     return normalize_missing(reader.schema(schema if schema is not None else infer_schema(spark, path)).csv(path))
 
 
@@ -77,7 +77,7 @@ def load_labelled(
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("escape", '"')  # a quote inside quotes is doubled
     writer.format(fmt).save(path)
 
 
@@ -91,5 +91,5 @@ def write_predictions(scored: DataFrame, path: str, model_col: str = "model", fm
     """Per-model prediction tables: one partition folder per model name."""
     writer = scored.write.mode("overwrite").partitionBy(model_col)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("escape", '"')  # a quote inside quotes is doubled
     writer.format(fmt).save(path)
