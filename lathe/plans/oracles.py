@@ -668,3 +668,13 @@ ORACLES["random_search_draws"] = (
     "round(exp(ln(0.001) + " + _drawn("rate") + " * (ln(1.0) - ln(0.001))), 4) AS rate, round(0.2 + " + _drawn("share") + " * 0.6, 4) AS share FROM range(0, 8) t(draw)) "
     f"SELECT d.draw, d.candidate_id, d.depth, d.rate, d.share, c.mean_test_score FROM d JOIN ({ORACLES['cv_results_ranked']}) c USING (candidate_id)"
 )
+
+
+ORACLES["train_models_saved"] = with_base(
+    _long([f"SELECT '{m}' AS model, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_keys FROM test" for m in ("Decision_tree", "Linear_Regression", "Random_Forest_untuned", "model")])
+)
+ORACLES["pipeline_files"] = with_base(
+    "SELECT 'raw train' AS what, count(*) AS n_rows FROM train UNION ALL SELECT 'raw test', count(*) FROM test "
+    "UNION ALL SELECT 'cv table', 2 UNION ALL SELECT 'input example', least(3, 1 + (count(*) - 1) // 50) FROM train "
+    "UNION ALL SELECT 'label sum train', CAST(round(sum(o_totalprice)) AS BIGINT) FROM train UNION ALL SELECT 'label sum test', CAST(round(sum(o_totalprice)) AS BIGINT) FROM test"
+)

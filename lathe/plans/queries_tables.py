@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +20,13 @@ from lathe.operators.profile import column_profile, set_apart, signature_violati
 from lathe.operators.search import param_grid, sample_distributions
 from lathe.operators.split import hash_folds
 from lathe.plans.cases import CATEGORICAL, CV_LABEL, FOLDS, KEY, LABEL, SEED, OrderCase
-from lathe.plans.flows import EVAL_RUN, FOREST_GRID, INGEST_RUN, PARENT_RUN, score_models
+from lathe.plans.flows import BEST_RUN, EVAL_RUN, FOREST_GRID, INGEST_RUN, PARENT_RUN, full_pipeline, score_models, train_models
 from lathe.plans.queries import fin
 from lathe.roles import numeric_by_schema, roles_from_schema
 from lathe.session import ensure_checkpoint_dir
 from lathe.sources.files import land_once, load_labelled, read_csv, write_table
 from lathe.sources.models import save_model
-from lathe.sources.tables import order_features, read_table
+from lathe.sources.tables import ORDER_ROLES, order_features, read_table
 from lathe.tracking import TrackingStore, run_durations, run_tree, runs_per_parent
 
 
@@ -243,7 +244,33 @@ def q_random_search_draws(spark, sf):
     return fin(table.join(scores, "candidate_id").select("draw", "candidate_id", "depth", F.round("rate", 4).alias("rate"), F.round("share", 4).alias("share"), F.round("mean_test_score", 4).alias("mean_test_score")))
 
 
+def q_train_models_saved(spark, sf):
+    """The four models that the train flow saves, each loaded again and scored on the hold-out."""
+    case = OrderCase(spark, sf)
+    p = case.prep
+    root = _folder(spark, "models")
+    train_models(p.apply(case.train), p.feature_names, LABEL, KEY, model_dir=f"{root}/m", grid={"n_estimators": [2], "max_features": [2, 6]}, forest={"n_estimators": 3})
+    write_table(p.apply(case.test), f"{root}/test")
+    scored = score_models(spark, f"{root}/m", f"{root}/test", f"{root}/predictions", KEY, LABEL)
+    return scored.groupBy("model").agg(F.count("Predictions").alias("n_rows"), F.countDistinct(KEY).alias("n_keys"))
+
+
+def q_pipeline_files(spark, sf):
+    """Rows of the files that the tracked pipeline writes, read again: raw split, CV table, input example."""
+    root = _folder(spark, "pipeline")
+    store = TrackingStore(spark, f"{root}/tracking")
+    full_pipeline(spark, order_features(spark, sf), ORDER_ROLES, store, f"{root}/work", test_size=0.25, seed=SEED, grid={"n_estimators": [2], "max_features": [2, 6]})
+    runs = {r["run_name"]: r["run_id"] for r in store.read("runs").collect()}  # four runs
+    parent, best = runs[PARENT_RUN], runs[BEST_RUN]
+    files = {"raw train": f"data/{parent}/train", "raw test": f"data/{parent}/test", "cv table": f"cv_results/{best}", "input example": f"models/{best}_input_example"}
+    tables = [spark.read.parquet(f"{root}/work/{at}").agg(F.lit(name).alias("what"), F.count("*").alias("n_rows")) for name, at in files.items()]
+    raw = [spark.read.parquet(f"{root}/work/{files[f'raw {part}']}").agg(F.lit(f"label sum {part}").alias("what"), F.round(F.sum(LABEL)).cast("long").alias("n_rows")) for part in ("train", "test")]
+    return reduce(DataFrame.unionByName, tables + raw)
+
+
 TABLE_QUERIES = {
+    "train_models_saved": q_train_models_saved,
+    "pipeline_files": q_pipeline_files,
     "csv_inferred": q_csv_inferred,
     "signature_violations": q_signature_violations,
     "run_states": q_run_states,
