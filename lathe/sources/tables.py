@@ -44,27 +44,38 @@ ORDER_RATIOS = {
 }
 
 
+#: Lines that one task groups: each takes some hundred bytes there.
+LINES_PER_TASK = 500_000
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def line_aggregates(lineitem: DataFrame) -> DataFrame:
+def line_partitions(lineitem: DataFrame) -> int:
+    """Tasks that the lines' groups are spread over: as many as the table's rows ask for (files tell their rows without a scan)."""
+    return max(lineitem.sparkSession.sparkContext.defaultParallelism, -(-lineitem.count() // LINES_PER_TASK))
+
+
+def line_aggregates(lineitem: DataFrame, tasks: int | None = None) -> DataFrame:
     """Per-order line aggregates, skew-safe.
 
     Two grouping levels instead of one ``count(distinct)``: level one groups by
-    (order, supplier) with map-side partial aggregation, level two by order,
-    again partially aggregated before its shuffle. A hot order key therefore
-    contributes at most one row per map task to each shuffle; no task ever
-    receives a hot group's raw rows.
+    (order, supplier), which spreads a hot order over tasks, level two by order,
+    to which an order comes with a row a supplier. Hardly two lines share order
+    and supplier, so a map-side partial aggregate would hold every row of its
+    input; rows are dealt to a number of tasks that grows with the table
+    instead, and each aggregate holds a bounded number of groups.
     """
-    per_supp = lineitem.groupBy("l_orderkey", "l_suppkey").agg(
+    tasks = tasks or line_partitions(lineitem)
+    per_supp = lineitem.repartition(tasks, "l_orderkey", "l_suppkey").groupBy("l_orderkey", "l_suppkey").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum("l_quantity").alias("_q"),
         F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))).alias("_rq"),
         F.sum("l_discount").alias("_d"),
         F.sum("l_tax").alias("_t"),
     )
-    per_order = per_supp.groupBy("l_orderkey").agg(
+    per_order = per_supp.repartition(tasks, "l_orderkey").groupBy("l_orderkey").agg(
         F.sum("_n").alias("n_lines"),
         F.count(F.lit(1)).alias("n_supp"),
         F.sum("_q").alias("sum_qty"),
@@ -86,20 +97,21 @@ def line_aggregates(lineitem: DataFrame) -> DataFrame:
 def order_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders LEFT JOIN line aggregates LEFT JOIN customer; one row per order.
 
-    Join strategies are left to Catalyst/AQE: the line aggregate is already
-    hash-partitioned on the order key, so only ``orders`` moves for the first
-    join; ``customer`` is broadcast only when AQE measures it under the
+    The line aggregate is already hash-partitioned on the order key, and
+    ``orders`` is dealt to the same number of tasks, so nothing else moves for
+    the first join; ``customer`` is broadcast only when AQE measures it under the
     broadcast threshold, otherwise a sort-merge join runs with AQE skew
     splitting for hot customers.
     """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"
     )
-    lines = line_aggregates(
-        read_table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag"
-        )
+    lineitem = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_suppkey", "l_quantity", "l_discount", "l_tax", "l_returnflag"
     )
+    tasks = line_partitions(lineitem)
+    lines = line_aggregates(lineitem, tasks)
+    orders = orders.repartition(tasks, "o_orderkey")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").join(
         customer, F.col("o_custkey") == F.col("c_custkey"), "left"
