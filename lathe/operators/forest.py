@@ -11,11 +11,11 @@ options, fold and place in the forest) are grown once.
    written to the shared folder (lineage ends there).
 2. While a node of a tree holds more than ``cells`` values (rows x features),
    one pass per level adds up histograms of weight, label and rows for all
-   such nodes of all trees; a task per node takes the best cut, only the
-   cuts reach the driver. Cut points are quantiles of the whole table, found by
-   counting prefixes of the values' bits (so they don't depend on the layout
-   either); a node that lies inside one bin of every feature gets bins of its own, evenly
-   spaced between its least and greatest values.
+   such nodes of all trees. Their borders are quantiles of the whole table, found by
+   counting prefixes of the values' bits. The sums bound what any cut
+   inside a bin can gain; bins that may hold a better cut than the best border
+   are looked into by further passes, with finer bins or value by value, until
+   the node's best cut is known. So it is the cut that step 3 would take, and ``cells`` and the layout don't change the model.
 3. Rows of smaller nodes meet in a task, which finishes the subtree with exact
    splits (``tree_growth``); its size is bounded by ``cells``. Where the whole
    table is no larger, this is the root, and a task grows several trees from
@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lathe.functions.hashing import key_hash_u32
-from lathe.operators.tree_growth import LEAF, Orders, Tree, bag_weights, child_hash, drawn, grow, tree_hash
+from lathe.operators.tree_growth import LEAF, Orders, Tree, bag_weights, child_hash, grow, mix32, tree_hash
 from lathe.session import stored
 
 #: Values (rows x features) of a node that one task finishes: 32 MB of doubles.
@@ -60,6 +60,8 @@ SHARE_BYTES = 32 << 20
 #: Bytes of histograms that one task adds up at a time.
 HISTOGRAM_BYTES = 128 << 20
 BINS = 128
+#: Rows of a node's stretches whose values are listed, not counted by finer bins.
+LISTED = 50_000
 _INT, _DOUBLE, _LONG = struct.Struct("=i"), struct.Struct("=d"), struct.Struct("=q")
 
 
@@ -283,156 +285,382 @@ class Top:
         return self.left[node], self.left[node] + 1
 
 
-def _histograms(specs, tops, nodes, cuts, p: int, scale: float):
-    """Per task and open node: weight, label sum and rows per feature and bin; least and greatest label.
+@dataclass
+class Open:
+    """A node whose best cut is being narrowed down: the best border of bins so far, and the stretches that may hold a better one."""
+
+    low: float  # least and greatest label, weight and label sum of the node
+    high: float
+    weight: float
+    total: float
+    best: tuple[float, int, float] = (-np.inf, LEAF, 0.0)  # gain, feature, border
+    ends: tuple[float, float] | None = None  # the values on both sides of the cut, once they are known
+    most: tuple[int, int] = (0, 0)  # at most so many rows on each side
+    stretches: np.ndarray = field(default_factory=lambda: np.zeros((0, len(_STRETCH))))
+    rounds: int = 0
+    listed: bool = True  # whether the values themselves are looked at, as they are few
+
+    def leave(self, stretches: bytes) -> None:
+        self.stretches = np.frombuffer(bytes(stretches)).reshape(-1, len(_STRETCH))
+        self.listed = bool(self.stretches[:, _ROWS].sum() <= LISTED)
+
+    def stretches_of(self) -> dict[int, np.ndarray]:
+        own = self.stretches
+        return {int(f): own[own[:, 0] == f] for f in np.unique(own[:, 0])}
+
+
+#: A stretch: values of a feature above ``lo`` up to ``hi``, weight and label sum below and inside it, rows inside, most rows on both sides of a cut in it.
+_STRETCH = ("f", "lo", "hi", "w0", "s0", "w", "s", "rows", "most_left", "most_right")
+_ROWS = 7
 
-    Most nodes share their cut points, so a block's bins are looked up once for
-    all trees; the nodes of a tree are counted together, by place and bin.
-    """
-    sets: list[list[np.ndarray]] = []
-    number: dict[int, int] = {}
-    by_tree: dict[int, dict[int, list[int]]] = {}  # tree -> cut points -> nodes
-    for t, node in nodes:
-        own = cuts[t, node]
-        if id(own) not in number:
-            number[id(own)] = len(sets)
-            sets.append(own)
-        by_tree.setdefault(t, {}).setdefault(number[id(own)], []).append(node)
+
+def _nodes_rows(trees, specs, b: Block, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights; the rows that a tree grows on by their top's node, and these nodes."""
+    weight = specs[t].weights(b.kh, b.fold)
+    used = np.flatnonzero(weight > 0)
+    at = trees[t].nodes_of(b.x if len(used) == len(weight) else b.x[:, used])
+    order = np.argsort(at.astype(np.int32), kind="stable")
+    return weight, used[order], at[order]
+
+
+def _histograms(specs, tops, wanted: dict[tuple[int, int], list[int]], cuts, p: int, scale: float):
+    """Per task and open node: weight, label sum and rows per wanted feature and bin; least and greatest label and values."""
+    by_tree: dict[int, list[int]] = {}
+    for t, node in wanted:
+        by_tree.setdefault(t, []).append(node)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = {t: tops[t].as_tree() for t in by_tree}
-        sums = {(t, c): np.zeros((3, p, len(own), BINS)) for t, by_cuts in by_tree.items() for c, own in by_cuts.items()}
-        ends = {(t, c): np.array([[np.inf], [-np.inf]]).repeat(h.shape[2], 1) for (t, c), h in sums.items()}
-        place = {}
-        for (t, c), h in sums.items():
-            place[t, c] = np.full(len(tops[t].feature), -1)
-            place[t, c][by_tree[t][c]] = np.arange(h.shape[2])
+        sums = {t: np.zeros((3, p, len(own), BINS)) for t, own in by_tree.items()}
+        ends = {t: np.array([[np.inf], [-np.inf]]).repeat((p + 1) * len(own), 1).reshape(2, p + 1, len(own)) for t, own in by_tree.items()}
+        place, needs = {}, {}
+        for t, own in by_tree.items():
+            place[t] = np.full(len(tops[t].feature), -1)
+            place[t][own] = np.arange(len(own))
+            needs[t] = np.array([[f in wanted[t, node] for node in own] for f in range(p)])
         for b in _blocks(batches, p, scale):
-            bins: dict[int, np.ndarray] = {}
-            for t, by_cuts in by_tree.items():
-                at, weight = trees[t].nodes_of(b.x), specs[t].weights(b.kh, b.fold)
-                for c in by_cuts:
-                    slot = place[t, c][at]
-                    rows = np.flatnonzero(slot >= 0)
-                    if not len(rows):
-                        continue
-                    if c not in bins:
-                        bins[c] = np.stack([np.searchsorted(own, v, "left") for own, v in zip(sets[c], b.x, strict=True)])
-                    slot, w, y = slot[rows], weight[rows], b.y[rows]
-                    wy, used = w * y, w > 0
-                    np.minimum.at(ends[t, c][0], slot[used], y[used])
-                    np.maximum.at(ends[t, c][1], slot[used], y[used])
-                    h = sums[t, c]
-                    size = h.shape[2] * BINS
-                    for f in range(p):
-                        k = bins[c][f, rows] + slot * BINS
-                        h[0, f] += np.bincount(k, w, size).reshape(-1, BINS)
-                        h[1, f] += np.bincount(k, wy, size).reshape(-1, BINS)
-                        h[2, f] += np.bincount(k, minlength=size).reshape(-1, BINS)
-        for (t, c), h in sums.items():
-            out = [(t, node, *ends[t, c][:, k].tolist(), h[:, :, k].tobytes()) for k, node in enumerate(by_tree[t][c]) if h[2, :, k].any()]
+            bins = np.stack([np.searchsorted(own, v, "left") for own, v in zip(cuts, b.x, strict=True)]) if p else None
+            for t, own in by_tree.items():
+                slot, weight = place[t][trees[t].nodes_of(b.x)], specs[t].weights(b.kh, b.fold)
+                rows = np.flatnonzero(slot >= 0)
+                rows = rows[np.argsort(slot[rows].astype(np.int32), kind="stable")]
+                h, end = sums[t], ends[t]
+                size = h.shape[2] * BINS
+                for f in np.flatnonzero(needs[t].any(axis=1)).tolist():
+                    mine = rows if needs[t][f].all() else rows[needs[t][f][slot[rows]]]
+                    k = bins[f, mine] + slot[mine] * BINS
+                    w = weight[mine]
+                    h[0, f] += np.bincount(k, w, size).reshape(-1, BINS)
+                    h[1, f] += np.bincount(k, w * b.y[mine], size).reshape(-1, BINS)
+                    h[2, f] += np.bincount(k, minlength=size).reshape(-1, BINS)
+                    _extend(end[:, f], slot, mine[w > 0], b.x[f])
+                _extend(end[:, p], slot, rows[weight[rows] > 0], b.y)
+        for t, own in by_tree.items():
+            out = []
+            for k, node in enumerate(own):
+                want = wanted[t, node]
+                if sums[t][2, want, k].any():
+                    out.append((t, node, *ends[t][:, p, k].tolist(), sums[t][:, want, k].tobytes(), ends[t][:, want, k].tobytes()))
             if out:
-                yield _batch(out, tree=pa.int32(), node=pa.int32(), low=pa.float64(), high=pa.float64(), h=pa.binary())
+                yield _batch(out, tree=pa.int32(), node=pa.int32(), low=pa.float64(), high=pa.float64(), h=pa.binary(), ends=pa.binary())
 
     return run
 
 
-def _best_cut(specs, tops, p: int):
-    """The best cut of a node from its histograms; without one, whether its values may differ inside the bins."""
-    schema = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("rows", pa.int64()), ("weight", pa.float64()), ("total", pa.float64()), ("pure", pa.bool_()), ("feature", pa.int32()), ("bin", pa.int32()), ("rows_left", pa.int64())])
+def _extend(ends: np.ndarray, slot: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """Least and greatest value by slot; ``rows`` stand by slot."""
+    if len(rows):
+        own = slot[rows]
+        head = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        v, own = values[rows], own[head]
+        ends[0, own] = np.minimum(ends[0, own], np.minimum.reduceat(v, head))
+        ends[1, own] = np.maximum(ends[1, own], np.maximum.reduceat(v, head))
+
+
+def _bound(w0, s0, w, s, node) -> np.ndarray:
+    """No cut inside the stretch gains more.
+
+    The gain is convex in the weight and label sum on the left. Those that a cut
+    inside may have lie in a parallelogram, as labels lie between the least
+    and the greatest, so the gain is greatest at a corner: the lowest labels first, or the
+    highest. The other two corners are the stretch's ends.
+    """
+    low, high, weight, total = node
+    few = (w * high - s) / (high - low)  # rows with the lowest label, if the others have the highest
+    best = np.full(np.shape(w), -np.inf)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        for a, b in ((0.0, 0.0), (w, s), (few, few * low), (w - few, (w - few) * high)):
+            wl, sl = w0 + a, s0 + b
+            wr, sr = weight - wl, total - sl
+            best = np.maximum(best, np.where(wl > 0, sl * sl / wl, 0.0) + np.where(wr > 0, sr * sr / wr, 0.0))
+    return best * (1 + 1e-9)
+
+
+def _better(gain: float, f: int, cut: float, than: tuple) -> bool:
+    """Of equal gains the first feature's, then the lowest value's."""
+    return gain > than[0] or gain == than[0] > -np.inf and (f, cut) < tuple(than[1:3])
+
+
+_JUDGED = "tree int, node int, state int, rows long, low double, high double, weight double, total double, gain double, feature int, cut double, left long, stretches binary"
+
+
+def _best_border(specs, tops, wanted, cuts, extents, p: int):
+    """The best border of a node from its histograms, and the bins inside which a cut may gain as much. State 0: a leaf, 1: open, 2: more features must be counted."""
+    names = [x.split()[0] for x in _JUDGED.split(", ")]
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), *[pa.float64()] * 5, pa.int32(), pa.float64(), pa.int64(), pa.binary()]
+    schema = pa.schema(list(zip(names, types, strict=True)))
 
     def run(parts: pa.Table) -> pa.Table:
         t, node = parts["tree"][0].as_py(), parts["node"][0].as_py()
-        h = np.zeros((3, p, BINS))
+        want, spec = wanted[t, node], specs[t]
+        h = np.zeros((3, len(want), BINS))
         for x in parts["h"]:
             h += np.frombuffer(x.as_buffer(), np.float64).reshape(h.shape)
+        ends = np.stack([np.frombuffer(x.as_buffer(), np.float64).reshape(2, -1) for x in parts["ends"]])
+        differs = ends[:, 0].min(axis=0) < ends[:, 1].max(axis=0)
         low, high = np.min(parts["low"].to_numpy()), np.max(parts["high"].to_numpy())
         weight, total, rows = h[0, 0].sum(), h[1, 0].sum(), int(h[2, 0].sum())
-        pure = not low < high
-        spec, best = specs[t], (-np.inf, LEAF, 0)
-        if not pure and weight >= 2 * spec.min_leaf:
-            differs = ((h[0] > 0).sum(axis=1) > 1)[None, :]
-            for f in np.flatnonzero(drawn(np.array([tops[t].hash[node]], np.uint64), differs, spec.max_features)[0]).tolist():
-                w, s = np.cumsum(h[0, f])[:-1], np.cumsum(h[1, f])[:-1]
-                ok = np.flatnonzero((h[0, f][:-1] > 0) & (w >= spec.min_leaf) & (weight - w >= spec.min_leaf))
+        state, best, left, found = 0, (-np.inf, LEAF, 0.0), 0, np.zeros((0, len(_STRETCH)))
+        if low < high and weight >= 2 * spec.min_leaf:
+            used = [k for k in range(len(want)) if differs[k]][: spec.max_features]
+            state = 2 if len(used) < spec.max_features and len(want) < p else 1 if used else 0
+        if state == 1:
+            stretches = []
+            for k in used:
+                f, (w, s, n) = want[k], np.cumsum(h[:, k], axis=1)
+                ok = np.flatnonzero((h[0, k][:-1] > 0) & (w[:-1] >= spec.min_leaf) & (weight - w[:-1] >= spec.min_leaf))
                 if len(ok):
-                    w, s = w[ok], s[ok]
-                    gain = s * s / w + (total - s) * (total - s) / (weight - w)
-                    if gain.max() > best[0]:
-                        best = (gain.max(), f, int(ok[gain.argmax()]))
-        left = int(h[2, best[1], : best[2] + 1].sum()) if best[1] != LEAF else 0
-        return pa.table([[v] for v in (t, node, rows, weight, total, pure, best[1], best[2], left)], schema=schema)
+                    gain = s[ok] * s[ok] / w[ok] + (total - s[ok]) * (total - s[ok]) / (weight - w[ok])
+                    at = int(ok[gain.argmax()])
+                    if _better(gain.max(), f, float(cuts[f][at]), best):
+                        best, left = (float(gain.max()), f, float(cuts[f][at])), int(n[at])
+                wide = np.flatnonzero((h[2, k] > 1) & (h[0, k] > 0) & (extents[0, f] < extents[1, f]))
+                own = [np.full(len(wide), f), np.nextafter(extents[0, f, wide], -np.inf), extents[1, f, wide], (w - h[0, k])[wide], (s - h[1, k])[wide], *h[:, k, wide], n[wide], (rows - n + h[2, k])[wide]]
+                stretches.append(np.stack(own, axis=1))
+            found = np.concatenate(stretches)
+            found = found[_bound(*found[:, 3:7].T, (low, high, weight, total)) >= best[0]]
+        row = (t, node, state, rows, low, high, weight, total, *best, left, found.tobytes())
+        return pa.table([pa.array([v], c) for v, c in zip(row, types, strict=True)], schema=schema)
 
     return run
 
 
-def _extents(tops, nodes, p: int, scale: float, specs):
-    """Least and greatest value of every feature in these nodes, by task."""
+def _edges(lo: float, hi: float, rounds: int) -> np.ndarray:
+    """Values that part the stretch, its ends among them: evenly spaced at first, then by the doubles between the ends, so that some passes end it whatever the values are."""
+    step = hi - lo
+    if not rounds and np.isfinite(step):
+        inner = lo + step * (np.arange(1, BINS) / BINS)
+    else:
+        a, b = _keys(np.array([lo, hi]))
+        step, k = b - a, np.arange(1, BINS, dtype=np.uint64)
+        keys = a + step // np.uint64(BINS) * k + step % np.uint64(BINS) * k // np.uint64(BINS)
+        inner = np.where(keys >> np.uint64(63), keys ^ np.uint64(1 << 63), ~keys).view(np.float64)
+    return np.concatenate([[lo], np.unique(inner[(inner > lo) & (inner < hi)]), [hi]])
+
+
+def _look(specs, tops, todo: dict[tuple[int, int], Open], p: int, scale: float):
+    """Per task and node: values or counts by edges inside its stretches, and the values on both sides of its best border."""
+    by_tree: dict[int, list[int]] = {}
+    for t, node in todo:
+        by_tree.setdefault(t, []).append(node)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = {n: (np.full(p, np.inf), np.full(p, -np.inf)) for n in nodes}
-        trees = {t: tops[t].as_tree() for t, _ in nodes}
+        trees = {t: tops[t].as_tree() for t in by_tree}
+        own = {k: o.stretches_of() for k, o in todo.items()}
+        edges = {(k, f): np.concatenate([_edges(r[1], r[2], o.rounds) for r in s]) for k, o in todo.items() if not o.listed for f, s in own[k].items()}
+        sums = {k: np.zeros((3, len(e) + 1)) for k, e in edges.items()}
+        lists: dict[tuple, list[np.ndarray]] = {}
+        ends = {k: [-np.inf, np.inf] for k in todo}
         for b in _blocks(batches, p, scale):
-            for t, node in nodes:
-                x = b.x[:, (trees[t].nodes_of(b.x) == node) & (specs[t].weights(b.kh, b.fold) > 0)]
-                if x.shape[1]:
-                    np.minimum(found[t, node][0], x.min(axis=1), out=found[t, node][0])
-                    np.maximum(found[t, node][1], x.max(axis=1), out=found[t, node][1])
-        out = [(t, node, f, float(lo[f]), float(hi[f])) for (t, node), (lo, hi) in found.items() for f in range(p) if lo[f] <= hi[f]]
-        if out:
-            yield _batch(out, tree=pa.int32(), node=pa.int32(), f=pa.int32(), low=pa.float64(), high=pa.float64())
+            for t, nodes in by_tree.items():
+                weight, order, at = _nodes_rows(trees, specs, b, t)
+                first, last = (np.searchsorted(at, nodes, side) for side in ("left", "right"))
+                for node, lo, hi in zip(nodes, first.tolist(), last.tolist(), strict=True):
+                    k, rows = (t, node), order[lo:hi]
+                    if lo == hi:
+                        continue
+                    w = weight[rows]
+                    ws = w * b.y[rows]
+                    if todo[k].best[1] != LEAF and todo[k].ends is None:
+                        v = b.x[todo[k].best[1]][rows]
+                        left = v <= todo[k].best[2]
+                        ends[k] = [max(ends[k][0], v[left].max(initial=-np.inf)), min(ends[k][1], v[~left].min(initial=np.inf))]
+                    for f, s in own[k].items():
+                        v = b.x[f][rows]
+                        if (k, f) in edges:
+                            place = np.searchsorted(edges[k, f], v, "left")
+                            for c, x in enumerate((w, ws, None)):
+                                sums[k, f][c] += np.bincount(place, x, sums[k, f].shape[1])
+                            continue
+                        place = np.searchsorted(s[:, 2], v, "left")
+                        inside = np.flatnonzero(v > np.append(s[:, 1], np.inf)[place])
+                        if len(inside):
+                            lists.setdefault((k, f), []).append(_by_value(v[inside], w[inside], ws[inside]))
+        out = [(*k, f, h.tobytes(), None) for (k, f), h in sums.items() if h.any()]
+        out += [(*k, f, _by_value(*np.concatenate(v, axis=1)).tobytes(), None) for (k, f), v in lists.items()]
+        out += [(*k, -1, None, np.array(v).tobytes()) for k, v in ends.items()]
+        yield _batch(out, tree=pa.int32(), node=pa.int32(), f=pa.int32(), data=pa.binary(), ends=pa.binary())
 
     return run
 
 
-def _between(low: float, high: float) -> np.ndarray:
-    """At most BINS - 1 cut points between two values, evenly spaced."""
-    inner = low + (high - low) * (np.arange(BINS - 1) / (BINS - 1)) if high > low else np.array([low])
-    return np.unique(inner)
+def _by_value(v: np.ndarray, w: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """Distinct values in order with their weight and label sum."""
+    order = np.argsort(v, kind="stable")
+    v = v[order]
+    head = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
+    return np.stack([v[head], np.add.reduceat(w[order], head), np.add.reduceat(s[order], head)])
+
+
+_SETTLED = "tree int, node int, gain double, feature int, cut double, a double, b double, left long, right long, stretches binary"
+
+
+def _narrow(specs, todo: dict[tuple[int, int], Open]):
+    """The best cut after a look into a node's stretches, and what is left of them."""
+    names = [x.split()[0] for x in _SETTLED.split(", ")]
+    types = [pa.int32(), pa.int32(), pa.float64(), pa.int32(), *[pa.float64()] * 3, pa.int64(), pa.int64(), pa.binary()]
+
+    def run(parts: pa.Table) -> pa.Table:
+        t, node = parts["tree"][0].as_py(), parts["node"][0].as_py()
+        o, least = todo[t, node], specs[t].min_leaf
+        a, b = o.ends or (-np.inf, np.inf)
+        data: dict[int, list[np.ndarray]] = {}
+        for f, x, e in zip(parts["f"].to_pylist(), parts["data"], parts["ends"], strict=True):
+            if f < 0:
+                got = np.frombuffer(e.as_buffer(), np.float64)
+                a, b = (max(a, got[0]), min(b, got[1])) if o.ends is None else (a, b)
+            else:
+                data.setdefault(f, []).append(np.frombuffer(x.as_buffer(), np.float64).reshape(3, -1))
+        best, ends, most, rest = o.best, (a, b), o.most, []
+        for f, own in o.stretches_of().items():
+            if f not in data:
+                continue
+            if o.listed:
+                every = _by_value(*np.concatenate(data[f], axis=1))
+            else:
+                every, at = np.sum(data[f], axis=0), 0
+            for r in own:
+                if o.listed:
+                    lo, hi = np.searchsorted(every[0], r[1:3], "right")
+                    v, w, s = every[:, lo:hi]
+                    cut, after = v[:-1], v[1:]
+                else:
+                    e = _edges(r[1], r[2], o.rounds)
+                    w, s, n = every[:, at + 1 : at + len(e)]
+                    at, cut, after = at + len(e), e[1:-1], None
+                wl, sl = r[3] + np.cumsum(w), r[4] + np.cumsum(s)
+                ok = np.flatnonzero((w[:-1] > 0) & (wl[:-1] >= least) & (o.weight - wl[:-1] >= least))
+                if len(ok):
+                    x, y = wl[ok], sl[ok]
+                    gain = y * y / x + (o.total - y) * (o.total - y) / (o.weight - x)
+                    k = int(ok[gain.argmax()])
+                    if _better(gain.max(), f, float(cut[k]), best):
+                        best, most = (float(gain.max()), f, float(cut[k])), (int(r[8]), int(r[9]))
+                        ends = None if after is None else (float(cut[k]), float(after[k]))
+                if not o.listed:
+                    wide = np.flatnonzero((n > 1) & (w > 0) & (np.nextafter(e[:-1], np.inf) < e[1:]))
+                    of = [np.full(len(wide), f), e[:-1][wide], e[1:][wide], (wl - w)[wide], (sl - s)[wide], w[wide], s[wide], n[wide], np.full(len(wide), r[8]), np.full(len(wide), r[9])]
+                    rest.append(np.stack(of, axis=1))
+        left = np.concatenate(rest) if rest else np.zeros((0, len(_STRETCH)))
+        left = left[_bound(*left[:, 3:7].T, (o.low, o.high, o.weight, o.total)) >= best[0]]
+        row = (t, node, *best, *(ends or (None, None)), *most, left.tobytes())
+        return pa.table([pa.array([v], c) for v, c in zip(row, types, strict=True)], names=names)
+
+    return run
+
+
+def _lots(spec: TreeSpec, hash: int, p: int) -> list[int]:
+    """Features in the order in which a node draws them; with all drawn, as they stand."""
+    if spec.max_features >= p:
+        return list(range(p))
+    return mix32(np.uint64(hash) ^ mix32(np.arange(1, p + 1, dtype=np.uint64))).argsort().tolist()
 
 
 def _grow_tops(table: DataFrame, specs: list[TreeSpec], n: int, p: int, scale: float, quantiles: list[np.ndarray], cells: int) -> list[Top]:
-    """Splits, level by level, every node of more than ``cells`` values; cuts are the only thing that reaches the driver."""
+    """Splits, level by level, every node of more than ``cells`` values by its best cut; only borders, stretches and cuts reach the driver.
+
+    Histograms give the gain at every border of bins and, by their sums, a
+    bound of the gain of any cut inside a bin. Bins that may hold a better cut
+    than the best border are looked into, by finer bins or, where they hold few rows,
+    by the values themselves, until none is left: the cut is the one
+    that all values would give, as in the smaller nodes.
+    """
     tops = [Top(hash=[s.hash]) for s in specs]
-    cuts = {(t, 0): quantiles for t in range(len(specs))}
-    todo = list(cuts) if n * share_of(p) > cells else []
+    if n * share_of(p) <= cells:
+        return tops
+    extents = _bin_extents(table, quantiles, p)
+    todo = [(t, 0) for t in range(len(specs))]
     at_once = max(1, HISTOGRAM_BYTES // (3 * 8 * BINS * max(p, 1)))
     while todo:
-        found = []
-        for k in range(0, len(todo), at_once):
-            some = todo[k : k + at_once]
-            parts = table.mapInArrow(_histograms(specs, tops, some, {c: cuts[c] for c in some}, p, scale), "tree int, node int, low double, high double, h binary")
-            found += parts.groupBy("tree", "node").applyInArrow(_best_cut(specs, tops, p), "tree int, node int, rows long, weight double, total double, pure boolean, feature int, bin int, rows_left long").collect()
-        todo, stuck = [], []
-        for r in found:
-            t, node, top, spec = r["tree"], r["node"], tops[r["tree"]], specs[r["tree"]]
-            ended = spec.max_depth is not None and top.depth[node] >= spec.max_depth
-            if r["pure"] or ended or r["weight"] < 2 * spec.min_leaf:
+        # a node that has drawn features of equal values draws on: some more are counted than it needs
+        wanted = {(t, node): _lots(specs[t], tops[t].hash[node], p)[: specs[t].max_features + 2] for t, node in todo}
+        todo, opened = [], {}
+        while wanted:
+            some = dict(list(wanted.items())[:at_once])
+            parts = table.mapInArrow(_histograms(specs, tops, some, quantiles, p, scale), "tree int, node int, low double, high double, h binary, ends binary")
+            for r in parts.groupBy("tree", "node").applyInArrow(_best_border(specs, tops, some, quantiles, extents, p), _JUDGED).collect():
+                t, node, top = r["tree"], r["node"], tops[r["tree"]]
+                if r["state"] == 2:
+                    wanted[t, node] = _lots(specs[t], top.hash[node], p)
+                    continue
+                del wanted[t, node]
                 top.value[node] = r["total"] / r["weight"] if r["weight"] else 0.0
-            elif r["feature"] == LEAF:
-                stuck.append((t, node))
-                top.value[node] = r["total"] / r["weight"]
-            else:
-                own = cuts.pop((t, node))
-                sides = top.split(node, r["feature"], float(own[r["feature"]][r["bin"]]))
-                for child, rows in zip(sides, (r["rows_left"], r["rows"] - r["rows_left"]), strict=True):
-                    if rows * share_of(p) > cells:
-                        cuts[t, child] = own
-                        todo.append((t, child))
-                    else:
-                        top.unit[child] = 0  # numbered when all are known
-        if stuck:
-            ends = table.mapInArrow(_extents(tops, stuck, p, scale, specs), "tree int, node int, f int, low double, high double")
-            ends = ends.groupBy("tree", "node", "f").agg(F.min("low").alias("low"), F.max("high").alias("high")).collect()
-            for t, node in stuck:
-                own = {r["f"]: _between(r["low"], r["high"]) for r in ends if (r["tree"], r["node"]) == (t, node)}
-                # equal values throughout, or no cut that leaves enough rows on both sides: a leaf
-                if any(len(c) > 1 for c in own.values()) and not all(np.array_equal(own[f], cuts[t, node][f]) for f in own):
-                    cuts[t, node] = [own[f] for f in range(p)]
-                    todo.append((t, node))
+                if r["state"] == 1 and (specs[t].max_depth is None or top.depth[node] < specs[t].max_depth):
+                    opened[t, node] = Open(r["low"], r["high"], r["weight"], r["total"], (r["gain"], r["feature"], r["cut"]), None, (r["left"], r["rows"] - r["left"]))
+                    opened[t, node].leave(r["stretches"])
+        while opened:
+            some, room = {}, HISTOGRAM_BYTES
+            for k, o in opened.items():
+                if o.best[1] == LEAF and not len(o.stretches):
+                    continue  # no cut: a leaf
+                room -= 24 * BINS * (1 + len(o.stretches))
+                if some and room < 0:
+                    break
+                some[k] = o
+            if not some:
+                break
+            opened = {k: o for k, o in opened.items() if k not in some}
+            looks = table.mapInArrow(_look(specs, tops, some, p, scale), "tree int, node int, f int, data binary, ends binary")
+            for r in looks.groupBy("tree", "node").applyInArrow(_narrow(specs, some), _SETTLED).collect():
+                t, node, top = r["tree"], r["node"], tops[r["tree"]]
+                o = some[t, node]
+                o.best, o.most, o.rounds = (r["gain"], r["feature"], r["cut"]), (r["left"], r["right"]), o.rounds + 1
+                o.ends = None if r["a"] is None else (r["a"], r["b"])
+                o.leave(r["stretches"])
+                if len(o.stretches) or o.best[1] != LEAF and o.ends is None:
+                    opened[t, node] = o
+                elif o.best[1] != LEAF:
+                    a, b = o.ends
+                    cut = a + (b - a) * 0.5
+                    for child, rows in zip(top.split(node, o.best[1], cut if a <= cut < b else a), o.most, strict=True):
+                        if rows * share_of(p) > cells:
+                            todo.append((t, child))
+                        else:
+                            top.unit[child] = 0  # numbered when all are known
     return tops
 
 
+def _bin_extents(table: DataFrame, cuts: list[np.ndarray], p: int) -> np.ndarray:
+    """Least and greatest value in each bin of each feature."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.array([[[np.inf]], [[-np.inf]]]).repeat(p, 1).repeat(BINS, 2)
+        for b in _blocks(batches, p):
+            for f in range(p):
+                v = np.unique(b.x[f])
+                _extend(found[:, f], np.searchsorted(cuts[f], v, "left"), np.arange(len(v)), v)
+        yield _batch([(f, found[:, f].tobytes()) for f in range(p)], f=pa.int32(), ends=pa.binary())
+
+    def both(parts: pa.Table) -> pa.Table:
+        own = np.stack([np.frombuffer(x.as_buffer(), np.float64).reshape(2, BINS) for x in parts["ends"]])
+        return pa.table([[parts["f"][0].as_py()], [np.stack([own[:, 0].min(axis=0), own[:, 1].max(axis=0)]).tobytes()]], schema=pa.schema([("f", pa.int32()), ("ends", pa.binary())]))
+
+    out = np.zeros((2, p, BINS))
+    for r in table.mapInArrow(run, "f int, ends binary").groupBy("f").applyInArrow(both, "f int, ends binary").collect():
+        out[:, r["f"]] = np.frombuffer(bytes(r["ends"])).reshape(2, BINS)
+    return out
+
+
 # --- subtrees finished inside a task ------------------------------------------------------
 
 _PART = "unit long, salt long, block long, n long, top double, kh binary, fold binary, y binary, x binary, places binary"
